@@ -126,10 +126,10 @@ def order_statistics(
 
 
 def quantile_ranks(rows: int, share: float) -> tuple[int, int, float]:
-    """The two ranks around a quantile and the weight of the upper one."""
+    """The ranks around a quantile, equal if it falls on one, and the weight of the upper one."""
     position = (rows - 1) * share
     lower = int(position)
-    return lower, min(lower + 1, rows - 1), position - lower
+    return lower, lower + (position > lower), position - lower
 
 
 def blend(lower: float, upper: float, weight: float) -> float:

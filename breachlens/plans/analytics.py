@@ -12,36 +12,38 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Question = Callable[[DataFrame], DataFrame]
+# columns need a running session, so the questions hold makers of columns
+Measure = Callable[[], Column]
 
 
-def _count(name: str) -> Column:
-    return F.count(F.lit(1)).alias(name)
+def _count(name: str) -> Measure:
+    return lambda: F.count(F.lit(1)).alias(name)
 
 
-def _mean(column: str, name: str) -> Column:
-    return F.round(F.avg(column), 2).alias(name)
+def _mean(column: str, name: str) -> Measure:
+    return lambda: F.round(F.avg(column), 2).alias(name)
 
 
-def _total(column: str, name: str) -> Column:
-    return F.round(F.sum(column), 2).alias(name)
+def _total(column: str, name: str) -> Measure:
+    return lambda: F.round(F.sum(column), 2).alias(name)
 
 
-def _percent(flag: str, name: str) -> Column:
-    return F.round(F.avg(F.col(flag).cast("double")) * 100, 2).alias(name)
+def _percent(flag: str, name: str) -> Measure:
+    return lambda: F.round(F.avg(F.col(flag).cast("double")) * 100, 2).alias(name)
 
 
-def _overall(*measures: Column) -> Question:
-    return lambda t: t.agg(*measures)
+def _overall(*measures: Measure) -> Question:
+    return lambda t: t.agg(*[make() for make in measures])
 
 
-def _by(key: str, measure: Column, name: str) -> Question:
+def _by(key: str, measure: Measure, name: str) -> Question:
     """One measure per key value, the largest first, equal ones by key."""
-    return lambda t: t.groupBy(key).agg(measure).orderBy(F.desc(name), key)
+    return lambda t: t.groupBy(key).agg(measure()).orderBy(F.desc(name), key)
 
 
 def _split(flag: str) -> Question:
     """Incidents with and without a flag."""
-    return lambda t: t.groupBy(flag).agg(_count("incidents")).orderBy(F.desc(flag))
+    return lambda t: t.groupBy(flag).agg(_count("incidents")()).orderBy(F.desc(flag))
 
 
 def _top(column: str, *more: str) -> Question:
@@ -53,7 +55,7 @@ def _top(column: str, *more: str) -> Question:
 
 def monthly_trend(t: DataFrame) -> DataFrame:
     month = ["incident_year", "incident_month"]
-    return t.groupBy(*month).agg(_count("total_incidents")).orderBy(*month)
+    return t.groupBy(*month).agg(_count("total_incidents")()).orderBy(*month)
 
 
 def high_severity_list(t: DataFrame) -> DataFrame:
@@ -64,13 +66,13 @@ def high_severity_list(t: DataFrame) -> DataFrame:
 
 
 def costliest_sectors(t: DataFrame) -> DataFrame:
-    losses = t.groupBy("sector").agg(_total("total_financial_impact", "total_loss"))
+    losses = t.groupBy("sector").agg(_total("total_financial_impact", "total_loss")())
     return losses.orderBy(F.desc("total_loss"), "sector").limit(5)
 
 
 def leading_actors(t: DataFrame) -> DataFrame:
     """The most frequent threat actor of each region; ties give several rows."""
-    per_actor = t.groupBy("region", "threat_actor").agg(_count("incidents"))
+    per_actor = t.groupBy("region", "threat_actor").agg(_count("incidents")())
     place = F.rank().over(Window.partitionBy("region").orderBy(F.desc("incidents")))
     first = per_actor.withColumn("place", place).where("place = 1").drop("place")
     return first.orderBy("region", "threat_actor")
@@ -78,9 +80,9 @@ def leading_actors(t: DataFrame) -> DataFrame:
 
 def impact_by_attack(t: DataFrame) -> DataFrame:
     sums = t.groupBy("attack_type").agg(
-        _count("incidents"),
-        _total("total_financial_impact", "total_impact"),
-        _mean("total_financial_impact", "avg_financial_impact"),
+        _count("incidents")(),
+        _total("total_financial_impact", "total_impact")(),
+        _mean("total_financial_impact", "avg_financial_impact")(),
     )
     named = sums.withColumnRenamed("total_impact", "total_financial_impact")
     return named.orderBy(F.desc("total_financial_impact"), "attack_type")
@@ -88,7 +90,7 @@ def impact_by_attack(t: DataFrame) -> DataFrame:
 
 def resolution_by_sector(t: DataFrame) -> DataFrame:
     rates = t.groupBy("sector").agg(
-        _count("incidents"), _percent("resolved_within_7_days", "resolution_rate")
+        _count("incidents")(), _percent("resolved_within_7_days", "resolution_rate")()
     )
     return rates.orderBy(F.desc("resolution_rate"), "sector")
 
@@ -149,7 +151,7 @@ QUESTIONS: dict[str, Question] = {
         _percent("resolved_within_7_days", "resolution_success_rate"),
         _mean("detection_time_hours", "avg_detection_time"),
     ),
-    "q26_high_risk_count": lambda t: t.where(F.col("risk_score") >= 20).agg(_count("high_risk_incidents")),
+    "q26_high_risk_count": lambda t: t.where(F.col("risk_score") >= 20).agg(_count("high_risk_incidents")()),
     "q27_impact_by_attack": impact_by_attack,
     "q28_resolution_by_sector": resolution_by_sector,
     "q29_table_sanity": table_sanity,

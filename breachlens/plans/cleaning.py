@@ -315,13 +315,15 @@ def clean_incidents(
     order_by: list[str] | None = None,
     raw_rows: int | None = None,
     folder: str | None = None,
+    clean_path: str | None = None,
 ) -> Cleaned:
     """Raw rows in, checked clean layer and cleaning report out.
 
     ``order_by`` names the columns that tell which of several rows with one id came first; they
     are dropped unless they belong to the incident columns. Without it the row order of the
     DataFrame decides, which is only safe for a source read straight from files.
-    The layers go to ``folder`` (default: a fresh one in the shared folder).
+    Working layers go to ``folder`` (default: a fresh one in the shared folder), the clean layer
+    to ``clean_path`` (default: next to them).
     """
     folder = folder or new_folder(raw.sparkSession, "clean")
     typed, first_pass = write_typed(raw, order_by, f"{folder}/typed")
@@ -329,7 +331,7 @@ def clean_incidents(
     gaps = {name: first_pass[f"missing:{name}"] for name in NUMBER_COLUMNS}
     stats = number_statistics(typed, gaps, rows)
     spellings = category_spellings(typed, f"{folder}/spellings")
-    clean, measured = write_clean(typed, stats, spellings, f"{folder}/clean")
+    clean, measured = write_clean(typed, stats, spellings, clean_path or f"{folder}/clean")
     if raw_rows is None:
         raw_rows = raw.count()
     filled_roles = [*CATEGORY_COLUMNS, *NUMBER_COLUMNS, *FLAG_COLUMNS]

@@ -163,9 +163,9 @@ def monthly_incidents(df: DataFrame) -> DataFrame:
     per_month = df.groupBy(F.last_day(INCIDENT_DATE).alias("month_end")).agg(
         F.count(F.lit(1)).alias("incidents")
     )
-    span = df.agg(
-        F.trunc(F.min(INCIDENT_DATE), "month").alias("first"),
-        F.trunc(F.max(INCIDENT_DATE), "month").alias("last"),
+    span = per_month.agg(
+        F.trunc(F.min("month_end"), "month").alias("first"),
+        F.trunc(F.max("month_end"), "month").alias("last"),
     )
     months = span.select(
         F.explode(F.sequence("first", "last", F.expr("interval 1 month"))).alias("month")

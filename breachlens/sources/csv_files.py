@@ -37,13 +37,13 @@ def read_incident_csv(spark: SparkSession, path: str, multi_line: bool = True) -
     """All cells as text, missing-value spellings as NULL, plus the position in the files.
 
     The three ``SOURCE_ORDER`` columns keep the file order, which a later shuffle would lose.
-    Rows shorter than the header are filled with NULL; ``broken_rows`` tells the longer ones.
+    Rows shorter than the header are filled with NULL; ``_too_long`` marks the longer ones. A
+    folder may hold many files, all with the same header; another header in one of them fails.
     ``multi_line`` reads line breaks inside quotes and makes each file one task: turn it off for
     few huge files known to have none.
     """
     names = read_header(spark, path)
-    fields = [T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))]
-    schema = T.StructType([*fields, T.StructField(_BROKEN, T.StringType())])
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, _BROKEN]])
     cells = (
         spark.read.schema(schema)
         .options(
@@ -57,11 +57,13 @@ def read_incident_csv(spark: SparkSession, path: str, multi_line: bool = True) -
             columnNameOfCorruptRecord=_BROKEN,
             maxCharsPerColumn=-1,
             columnPruning=False,
+            enforceSchema=False,
         )
         .csv(path)
     )
-    positioned = cells.select(
-        *[missing_cell_to_null(F.col(f"_c{i}")).alias(name) for i, name in enumerate(names)],
+    blank_line = F.coalesce(F.trim(_BROKEN) == "", F.lit(False))
+    positioned = cells.where(~blank_line).select(
+        *[missing_cell_to_null(F.col(f"`{name}`")).alias(name) for name in names],
         _BROKEN,
         F.col("_metadata.file_path").alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_source_block"),
@@ -74,5 +76,11 @@ def read_incident_csv(spark: SparkSession, path: str, multi_line: bool = True) -
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header line in every part file."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """CSV with a header line in every part file. Cells keep their spaces; NULL is an empty cell."""
+    df.write.mode(mode).options(
+        header=True,
+        encoding="UTF-8",
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    ).csv(path)
