@@ -12,7 +12,7 @@ from breachlens.schema import (
     CATEGORY_COLUMNS,
     FENCED_COLUMNS,
     FLAG_COLUMNS,
-    FREQUENCYFEATURE_GROUPS,
+    FREQUENCY_FEATURES,
     INCIDENT_COLUMNS,
     MISSING_CELLS,
     NUMBER_COLUMNS,
@@ -109,7 +109,7 @@ FROM limited, quartiles""",
   CASE WHEN share <= 0.25 THEN 'Low' WHEN share <= 0.5 THEN 'Medium' WHEN share <= 0.75 THEN 'High'
        ELSE 'Critical' END AS incident_cost_category,
   CAST(severity_score >= 8 AS INTEGER) AS high_severity_flag, high_ransom_flag, large_breach_flag, long_downtime_flag,
-  {_list(f'count(*) OVER (PARTITION BY {c}) AS {f}' for c, f in FREQUENCYFEATURE_GROUPS.items())},
+  {_list(f'count(*) OVER (PARTITION BY {c}) AS {f}' for c, f in FREQUENCY_FEATURES.items())},
   severity_score * 3 + zero_day_used * 2 + data_exfiltration * 2 + high_ransom_flag + large_breach_flag AS risk_score,
   {half_even('severity_score + ln(1 + records_affected) + downtime_hours / 24 + detection_time_hours / 24')} AS incident_complexity_score
 FROM flagged""",
@@ -232,7 +232,7 @@ FEATURE_GROUPS = {
     "feat_speed": ["detection_speed"],
     "feat_cost_category": ["incident_cost_category"],
     "feat_flags": ["high_severity_flag", "high_ransom_flag", "large_breach_flag", "long_downtime_flag"],
-    "feat_frequency": list(FREQUENCYFEATURE_GROUPS.values()),
+    "feat_frequency": list(FREQUENCY_FEATURES.values()),
     "feat_scores": ["risk_score", "incident_complexity_score"],
 }
 ENGINEERED_COLUMNS = [*INCIDENT_COLUMNS, *[c for many in FEATURE_GROUPS.values() for c in many]]
