@@ -1,13 +1,15 @@
 """Data-quality checks. They raise ``ValueError``; rows are never set aside or dropped.
 
-Counting checks come as named aggregate expressions, so that one job (usually the one that
-writes the layer anyway) answers all checks of a stage, and the ``raise_*`` functions read them.
+Each stage is checked on the layer it has written. One aggregate with a handful of functions
+counts the rows that break any rule; only if there are some, a second one counts per column and
+rule to name the first broken one.
 """
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Iterable
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from breachlens.functions.numbers import is_infinite, is_missing
-from breachlens.schema import FLAG_COLUMNS, INCIDENT_COLUMNS, INCIDENT_ID, NUMBER_COLUMNS, VALUE_RANGES
+from breachlens.schema import (
+    FLAG_COLUMNS,
+    INCIDENT_COLUMNS,
+    INCIDENT_DATE,
+    INCIDENT_ID,
+    NUMBER_COLUMNS,
+    VALUE_RANGES,
+)
 
 log = logging.getLogger("breachlens")
 
@@ -46,27 +55,51 @@ def count_if(condition: Column) -> Column:
     return F.count_if(F.coalesce(condition, F.lit(False)))
 
 
+def measure(df: DataFrame, measures: dict[str, Column]) -> dict[str, Any]:
+    """All measures in one scan."""
+    return df.agg(*[c.alias(name) for name, c in measures.items()]).first().asDict()
+
+
+def any_of(conditions: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
+def incomplete(df: DataFrame) -> Column:
+    """Whether a row has a missing or an infinite value in any column."""
+    broken = []
+    for field in df.schema.fields:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            # false for NaN and infinities, null for NULL
+            broken.append(~F.coalesce(F.abs(value) < F.lit(float("inf")), F.lit(False)))
+        else:
+            broken.append(value.isNull())
+    return any_of(broken)
+
+
 def row_measures(df: DataFrame) -> dict[str, Column]:
     """Rows, and per column the missing and the infinite values."""
     measures = {"rows": F.count(F.lit(1))}
     for field in df.schema.fields:
-        measures[f"missing:{field.name}"] = F.count_if(is_missing(F.col(field.name), field.dataType))
+        measures[f"missing:{field.name}"] = F.count_if(is_missing(F.col(f"`{field.name}`"), field.dataType))
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            measures[f"infinite:{field.name}"] = count_if(is_infinite(F.col(field.name)))
+            measures[f"infinite:{field.name}"] = count_if(is_infinite(F.col(f"`{field.name}`")))
     return measures
 
 
+def outside_range(name: str) -> Column:
+    """Whether the value lies outside the inclusive range of its column."""
+    lower, upper = VALUE_RANGES[name]
+    outside = F.lit(False)
+    if lower is not None:
+        outside = outside | (F.col(name) < lower)
+    if upper is not None:
+        outside = outside | (F.col(name) > upper)
+    return outside
+
+
 def range_measures() -> dict[str, Column]:
-    """Per ranged column the values outside its inclusive range."""
-    measures = {}
-    for name, (lower, upper) in VALUE_RANGES.items():
-        outside = F.lit(False)
-        if lower is not None:
-            outside = outside | (F.col(name) < lower)
-        if upper is not None:
-            outside = outside | (F.col(name) > upper)
-        measures[f"outside:{name}"] = count_if(outside)
-    return measures
+    return {f"outside:{name}": count_if(outside_range(name)) for name in VALUE_RANGES}
 
 
 def flag_measures(df: DataFrame) -> dict[str, Column]:
@@ -109,57 +142,76 @@ def warn_duplicates(duplicates: int) -> None:
         log.warning("%d duplicate incident IDs found; cleaning keeps the first of each.", duplicates)
 
 
-def check_cleaned(measured: dict[str, Any]) -> None:
-    """Final check of the clean layer, on the measures taken while it was written."""
-    if not measured["rows"]:
+def check_cleaned(clean: DataFrame) -> dict[str, Any]:
+    """Final check of the written clean layer; returns its row count and latest date."""
+    broken = incomplete(clean) | any_of(outside_range(name) for name in VALUE_RANGES)
+    found = measure(
+        clean,
+        {"rows": F.count(F.lit(1)), "broken": count_if(broken), "latest": F.max(INCIDENT_DATE)},
+    )
+    if not found["rows"]:
         raise ValueError("Dataset became empty after cleaning.")
-    missing = missing_columns(measured)
+    if not found["broken"]:
+        return found
+    details = measure(clean, {**row_measures(clean), **range_measures()})
+    missing = missing_columns(details)
     if INCIDENT_ID in missing:
         raise ValueError(f"{INCIDENT_ID} contains missing values.")
     if missing:
         raise ValueError(f"{sum(missing.values())} missing value(s) remain after cleaning.")
-    if infinite_columns(measured):
+    if infinite_columns(details):
         raise ValueError("Final validation failed: non-finite numeric values detected.")
-    for name in VALUE_RANGES:
-        if measured[f"outside:{name}"]:
-            raise ValueError(
-                f"Final validation failed for '{name}': "
-                f"{measured[f'outside:{name}']} value(s) outside the allowed range."
-            )
-
-
-def check_engineered(measured: dict[str, Any], expected_rows: int, label: str) -> None:
-    """A layer that was just written: as many rows as expected, nothing missing or infinite."""
-    if not measured["rows"]:
-        raise ValueError(f"{label} contains no rows.")
-    if measured["rows"] != expected_rows:
-        raise ValueError(
-            f"{label} row-count mismatch: expected {expected_rows}, got {measured['rows']}."
-        )
-    missing = missing_columns(measured)
-    if missing:
-        raise ValueError(f"{label} contains missing values: {sorted(missing)}")
-    if infinite_columns(measured):
-        raise ValueError(f"{label} contains non-finite numeric values: {infinite_columns(measured)}")
-
-
-def check_feature_input(measured: dict[str, Any], duplicates: int, invalid: dict[str, int]) -> None:
-    """Input of the feature stage. ``invalid`` counts unreadable values per column."""
-    if not measured["rows"]:
+    name = next(name for name in VALUE_RANGES if details[f"outside:{name}"])
+    raise ValueError(
+        f"Final validation failed for '{name}': "
+        f"{details[f'outside:{name}']} value(s) outside the allowed range."
+    )
+
+
+def check_complete(df: DataFrame, label: str, expected_rows: int | None = None) -> int:
+    """A written layer has the expected rows and nothing missing or infinite; returns its rows."""
+    found = measure(df, {"rows": F.count(F.lit(1)), "broken": count_if(incomplete(df))})
+    if not found["rows"]:
+        raise ValueError(f"{label} is empty.")
+    if expected_rows is not None and found["rows"] != expected_rows:
+        raise ValueError(f"{label} row-count mismatch: expected {expected_rows}, got {found['rows']}.")
+    if found["broken"]:
+        details = measure(df, row_measures(df))
+        missing = missing_columns(details)
+        if INCIDENT_ID in missing:
+            raise ValueError(f"{label} contains missing {INCIDENT_ID} values.")
+        if missing:
+            raise ValueError(f"{label} contains missing values: {sorted(missing)}")
+        raise ValueError(f"{label} contains invalid numeric values in {infinite_columns(details)}")
+    return found["rows"]
+
+
+def check_feature_input(raw: DataFrame, typed: DataFrame) -> dict[str, Any]:
+    """Input of the feature stage: ``raw`` as given, ``typed`` with unreadable values as NULL."""
+    watched = [INCIDENT_ID, INCIDENT_DATE, *NUMBER_COLUMNS, *FLAG_COLUMNS]
+    found = measure(
+        typed,
+        {
+            "rows": F.count(F.lit(1)),
+            "broken": count_if(incomplete(typed.select(*watched))),
+            "latest": F.max(INCIDENT_DATE),
+        },
+    )
+    if not found["rows"]:
         raise ValueError("Input dataset is empty.")
-    if measured[f"missing:{INCIDENT_ID}"]:
+    details = measure(typed, row_measures(typed.select(*watched))) if found["broken"] else {}
+    if details and details[f"missing:{INCIDENT_ID}"]:
         raise ValueError(f"{INCIDENT_ID} contains missing values.")
-    if duplicates:
+    if duplicate_count(raw):
         raise ValueError(f"{INCIDENT_ID} contains duplicate values.")
-    if invalid["incident_date"]:
-        raise ValueError(
-            "incident_date contains invalid or missing values. Expected YYYY-MM-DD format."
-        )
+    if not details:
+        return found
+    if details[f"missing:{INCIDENT_DATE}"]:
+        raise ValueError("incident_date contains invalid or missing values. Expected YYYY-MM-DD format.")
     for name in NUMBER_COLUMNS:
-        if invalid[name]:
+        if details[f"missing:{name}"] or details[f"infinite:{name}"]:
             raise ValueError(f"Column '{name}' contains invalid numeric values.")
-    for name in FLAG_COLUMNS:
-        if measured[f"missing:{name}"]:
-            raise ValueError(f"Boolean column '{name}' contains missing values.")
-        if invalid[name]:
-            raise ValueError(f"Boolean column '{name}' contains invalid values.")
+    given = measure(raw, row_measures(raw.select(*FLAG_COLUMNS)))
+    name = next(name for name in FLAG_COLUMNS if details[f"missing:{name}"])
+    what = "missing" if given[f"missing:{name}"] else "invalid"
+    raise ValueError(f"Boolean column '{name}' contains {what} values.")

@@ -18,24 +18,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _LOG_STEPS = 1024.0  # buckets per factor e: at most 1.5 million over the whole double range
 _LINEAR_STEPS = 65536.0
 
-_OPEN_TYPE = T.StructType(
-    [
-        T.StructField("name", T.StringType(), False),
-        T.StructField("low", T.DoubleType(), False),
-        T.StructField("high", T.DoubleType(), False),
-        T.StructField("offset", T.LongType(), False),
-    ]
-)
-_WANTED_TYPE = T.StructType(
-    [T.StructField("name", T.StringType(), False), T.StructField("rank", T.LongType(), False)]
-)
-
-
 @dataclass(frozen=True)
 class OrderStatistic:
     """The value at a rank, with the number of rows below it and equal to it."""
@@ -45,10 +31,11 @@ class OrderStatistic:
     equal: int
 
 
-def _unpivot(df: DataFrame, columns: list[str]) -> DataFrame:
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    values = doubles.unpivot([], columns, "name", "value")
-    return values.where(F.col("value").isNotNull() & ~F.isnan("value")).select(
+def _unpivot(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """(name, value) of all present values."""
+    doubles = df.select(*[value.alias(name) for name, value in values.items()])
+    long = doubles.unpivot([], list(values), "name", "value")
+    return long.where(F.col("value").isNotNull() & ~F.isnan("value")).select(
         "name", (F.col("value") + F.lit(0.0)).alias("value")
     )
 
@@ -68,14 +55,15 @@ def _linear_bucket(value: Column, low: Column, high: Column) -> Column:
     )
 
 
-def _holding_rank(buckets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The buckets that hold a wanted rank: bounded by the number of wanted ranks."""
+def _holding_ranks(buckets: DataFrame, wanted: dict[str, list[int]]) -> DataFrame:
+    """One row per wanted rank: the bucket that holds it, and how many values lie below."""
+    ranks = F.create_map(
+        *[F.lit(x) for pair in wanted.items() for x in pair]
+    )[F.col("name")]
     up_to = Window.partitionBy("name", "low").orderBy("bucket")
-    running = buckets.withColumn(
-        "below", F.col("offset") + F.sum("rows").over(up_to) - F.col("rows")
-    )
-    held = (F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("below") + F.col("rows"))
-    return running.join(F.broadcast(wanted), ["name"]).where(held)
+    below = F.col("offset") + F.sum("rows").over(up_to) - F.col("rows")
+    inside = lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("rows"))
+    return buckets.withColumn("below", below).withColumn("rank", F.explode(F.filter(ranks, inside)))
 
 
 def order_statistics(
@@ -87,42 +75,65 @@ def order_statistics(
     result. ``df`` is scanned once per pass, reading only the named columns, so pass a written
     layer and not a long chain of work.
     """
-    spark = df.sparkSession
     found: dict[tuple[str, int], OrderStatistic] = {}
-    wanted = [(name, int(rank)) for name, many in ranks.items() for rank in sorted(many)]
+    wanted = {name: sorted(int(r) for r in many) for name, many in ranks.items() if many}
     if not wanted:
         return found
-    numbers = _unpivot(df, list(ranks))
+    columns = {name: F.col(f"`{name}`").cast("double") for name in wanted}
     summary = [
         F.count(F.lit(1)).alias("rows"),
         F.min("value").alias("low_value"),
         F.max("value").alias("high_value"),
     ]
     buckets = (
-        numbers.groupBy("name", _log_bucket(F.col("value")).alias("bucket"))
+        _unpivot(df, columns)
+        .groupBy("name", _log_bucket(F.col("value")).alias("bucket"))
         .agg(*summary)
         .withColumns({"low": F.lit(0.0), "offset": F.lit(0).cast("long")})
     )
-    while wanted:
-        held = _holding_rank(buckets, spark.createDataFrame(wanted, _WANTED_TYPE)).collect()
-        intervals = {}
-        for row in held:
-            if row.low_value == row.high_value:
-                found[row.name, row.rank] = OrderStatistic(row.low_value, row.below, row.rows)
+    while True:
+        spans: dict[str, set[tuple[float, float, int]]] = {}
+        still: dict[str, list[int]] = {}
+        for row in _holding_ranks(buckets, wanted).collect():
+            if row["low_value"] == row["high_value"]:
+                found[row["name"], row["rank"]] = OrderStatistic(row["low_value"], row["below"], row["rows"])
             else:
-                intervals[row.name, row.low_value] = (row.high_value, row.below)
-        wanted = [(r.name, r.rank) for r in held if (r.name, r.rank) not in found]
+                spans.setdefault(row["name"], set()).add((row["low_value"], row["high_value"], row["below"]))
+                still.setdefault(row["name"], []).append(row["rank"])
+        wanted = still
         if not wanted:
-            break
-        spans = [(name, low, high, below) for (name, low), (high, below) in intervals.items()]
-        open_spans = spark.createDataFrame(spans, _OPEN_TYPE)
-        # at most one open span per wanted rank, and the spans of a column do not overlap
-        inside = numbers.join(F.broadcast(open_spans), ["name"]).where(
-            F.col("value").between(F.col("low"), F.col("high"))
-        )
-        bucket = _linear_bucket(F.col("value"), F.col("low"), F.col("high")).alias("bucket")
-        buckets = inside.groupBy("name", "low", "offset", bucket).agg(*summary)
-    return found
+            return found
+        buckets = _refined(df, {name: columns[name] for name in wanted}, spans, summary)
+
+
+def _refined(
+    df: DataFrame,
+    columns: dict[str, Column],
+    spans: dict[str, set[tuple[float, float, int]]],
+    summary: list[Column],
+) -> DataFrame:
+    """Finer buckets inside the open spans: at most one span per wanted rank, none overlap."""
+    narrowed = {}
+    for name, value in columns.items():
+        inside = F.lit(False)
+        for low, high, _ in spans[name]:
+            inside = inside | value.between(F.lit(low), F.lit(high))
+        narrowed[name] = F.when(inside, value)
+    listed = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("name"), F.lit(low).alias("low"), F.lit(high).alias("high"),
+                F.lit(below).cast("long").alias("offset"),
+            )
+            for name, many in spans.items()
+            for low, high, below in sorted(many)
+        ]
+    )
+    open_spans = df.sparkSession.range(1).select(F.inline(listed))
+    placed = _unpivot(df, narrowed).join(F.broadcast(open_spans), ["name"])
+    held = placed.where(F.col("value").between(F.col("low"), F.col("high")))
+    bucket = _linear_bucket(F.col("value"), F.col("low"), F.col("high")).alias("bucket")
+    return held.groupBy("name", "low", "offset", bucket).agg(*summary)
 
 
 def quantile_ranks(rows: int, share: float) -> tuple[int, int, float]:

@@ -28,8 +28,7 @@ from breachlens.operators.checks import (
     check_cleaned,
     check_required,
     count_if,
-    range_measures,
-    row_measures,
+    measure,
 )
 from breachlens.operators.order_stats import OrderStatistic, blend, quantile_ranks
 from breachlens.schema import (
@@ -49,6 +48,8 @@ from breachlens.sources.layers import write_layer
 from breachlens.sources.workspace import new_folder
 
 _SHARES = (0.25, 0.5, 0.75)
+# columns whose values can be unreadable, in the order in which that is reported
+_CHECKED = [*NUMBER_COLUMNS, *FLAG_COLUMNS, INCIDENT_DATE]
 
 
 @dataclass(frozen=True)
@@ -73,6 +74,12 @@ class Cleaned:
 
 
 # --- row-local part -----------------------------------------------------------
+def _parser(name: str):
+    if name == INCIDENT_DATE:
+        return parse_day
+    return parse_number if name in NUMBER_COLUMNS else parse_flag
+
+
 def typed_columns(df: DataFrame) -> list[Column]:
     """Every column in its clean type; values that are missing or unreadable become NULL.
 
@@ -84,48 +91,47 @@ def typed_columns(df: DataFrame) -> list[Column]:
         value = F.col(f"`{name}`")
         if name == INCIDENT_ID or name in CATEGORY_COLUMNS:
             value = value.cast("string")
-        elif name == INCIDENT_DATE:
-            value = parse_day(value, types[name])
-        elif name in NUMBER_COLUMNS:
-            value = parse_number(value, types[name])
-        elif name in FLAG_COLUMNS:
-            value = parse_flag(value, types[name])
+        elif name in _CHECKED:
+            value = _parser(name)(value, types[name])
         out.append(value.alias(name))
     return out
 
 
-def typed_measures(types: dict[str, T.DataType]) -> dict[str, Column]:
-    """Rows, gaps and unreadable values; ``_raw_*`` columns hold the values as they came."""
-    measures = {"rows": F.count(F.lit(1))}
-    for name in [INCIDENT_DATE, *CATEGORY_COLUMNS, *NUMBER_COLUMNS, *FLAG_COLUMNS]:
-        raw = F.col(f"_raw_{name}")
-        gap = is_missing(raw, types[name])
-        measures[f"missing:{name}"] = F.count_if(gap)
-        if name not in CATEGORY_COLUMNS:
-            unreadable = ~gap & F.col(name).isNull()
-            measures[f"unreadable:{name}"] = F.count_if(unreadable)
-            measures[f"example:{name}"] = F.min(F.when(unreadable, raw.cast("string")))
-    return measures
+def unreadable_bits(types: dict[str, T.DataType]) -> Column:
+    """One bit per checked column: the value is present but cannot be read as its type."""
+    bits = F.lit(0)
+    for i, name in enumerate(_CHECKED):
+        value = F.col(name)
+        present = ~is_missing(value, types[name])
+        unread = present & _parser(name)(value, types[name]).isNull()
+        bits = bits + F.when(unread, 1 << i).otherwise(0)
+    return bits
 
 
-def check_readable(measured: dict[str, Any], first_dates: Any) -> None:
-    """Raise for unreadable numbers, flags and dates, in this order."""
-    for name in NUMBER_COLUMNS:
-        if measured[f"unreadable:{name}"]:
-            raise ValueError(
-                f"Column '{name}' contains {measured[f'unreadable:{name}']} invalid numeric value(s)."
-            )
-    for name in FLAG_COLUMNS:
-        if measured[f"unreadable:{name}"]:
-            raise ValueError(
-                f"Invalid boolean value: {measured[f'example:{name}']!r}. "
-                "Expected true/false, yes/no, y/n, t/f, or 1/0."
-            )
-    if measured[f"unreadable:{INCIDENT_DATE}"]:
+def check_readable(first: DataFrame, order_by: list[str]) -> None:
+    """Raise for unreadable numbers, flags and dates, in this order. Only run if there are some."""
+    types = {f.name: f.dataType for f in first.schema.fields}
+    bad = {
+        name: ~is_missing(F.col(name), types[name]) & _parser(name)(F.col(name), types[name]).isNull()
+        for name in _CHECKED
+    }
+    counts = measure(first, {name: F.count_if(condition) for name, condition in bad.items()})
+    name = next(name for name in _CHECKED if counts[name])
+
+    def examples(limit: int) -> list[str]:
+        text = F.col(name).cast("string").alias("text")
+        return [r["text"] for r in first.where(bad[name]).orderBy(*order_by).select(text).limit(limit).collect()]
+
+    if name in NUMBER_COLUMNS:
+        raise ValueError(f"Column '{name}' contains {counts[name]} invalid numeric value(s).")
+    if name in FLAG_COLUMNS:
         raise ValueError(
-            f"Found {measured[f'unreadable:{INCIDENT_DATE}']} invalid {INCIDENT_DATE} value(s). "
-            f"Expected YYYY-MM-DD format. Examples: {first_dates()}"
+            f"Invalid boolean value: {examples(1)[0]!r}. Expected true/false, yes/no, y/n, t/f, or 1/0."
         )
+    raise ValueError(
+        f"Found {counts[name]} invalid {INCIDENT_DATE} value(s). "
+        f"Expected YYYY-MM-DD format. Examples: {examples(5)}"
+    )
 
 
 # --- global statistics --------------------------------------------------------
@@ -223,8 +229,7 @@ def fenced(name: str, stats: dict[str, NumberStatistics]) -> Column:
 def category_spellings(typed: DataFrame, folder: str) -> DataFrame:
     """(column, value, clean, rows): each distinct category text, its clean form, its row count."""
     counts = category_counts(typed, CATEGORY_COLUMNS)
-    spellings, _ = write_layer(counts.withColumn("clean", normalize_category(F.col("value"))), folder)
-    return spellings
+    return write_layer(counts.withColumn("clean", normalize_category(F.col("value"))), folder)
 
 
 def clean_columns(
@@ -252,7 +257,8 @@ def write_typed(
 ) -> tuple[DataFrame, dict[str, Any]]:
     """Keep the first row per id, type the columns and write the layer the statistics read.
 
-    Numbers and flags that are missing stay NULL. Raises if a value cannot be read.
+    Numbers and flags that are missing stay NULL. Raises if a value cannot be read. Returns the
+    layer with its row count and the gaps per column.
     """
     check_required(raw.columns, "Missing required columns")
     if order_by is None:
@@ -261,19 +267,20 @@ def write_typed(
     first = keep_first(raw, INCIDENT_ID, order_by)
     kept = first.drop(*[c for c in order_by if c not in INCIDENT_COLUMNS])
     types = {f.name: f.dataType for f in kept.schema.fields}
-    watched = [INCIDENT_DATE, *CATEGORY_COLUMNS, *NUMBER_COLUMNS, *FLAG_COLUMNS]
-    both = kept.select(*typed_columns(kept), *[F.col(c).alias(f"_raw_{c}") for c in watched])
-    typed, measured = write_layer(
-        both, folder, typed_measures(types), drop=[f"_raw_{c}" for c in watched]
+    marked = kept.select(*typed_columns(kept), unreadable_bits(types).alias("_unreadable"))
+    written = write_layer(marked, folder)
+    gaps = [*CATEGORY_COLUMNS, *NUMBER_COLUMNS, *FLAG_COLUMNS]
+    measured = measure(
+        written,
+        {
+            "rows": F.count(F.lit(1)),
+            "unreadable": F.bit_or("_unreadable"),
+            **{f"missing:{c}": F.count_if(F.col(c).isNull()) for c in gaps},
+        },
     )
-
-    def first_dates() -> list[str]:
-        date = F.col(INCIDENT_DATE)
-        bad = first.where(date.isNotNull() & parse_day(date, types[INCIDENT_DATE]).isNull())
-        return [str(r[0]) for r in bad.orderBy(*order_by).select(date).limit(5).collect()]
-
-    check_readable(measured, first_dates)
-    return typed, measured
+    if measured["unreadable"]:
+        check_readable(first, order_by)
+    return written.drop("_unreadable"), measured
 
 
 def write_clean(
@@ -285,29 +292,19 @@ def write_clean(
     for name in CATEGORY_COLUMNS:
         if name in spelled:
             looked_up = look_up(looked_up, spellings, name, "clean", f"_clean_{name}")
-    columns = clean_columns(typed, stats, spelled)
-    measures = {
-        **row_measures(looked_up.select(*columns)),
-        **range_measures(),
-        "latest": F.max(INCIDENT_DATE),
-    }
-    steps = []
-    for name in NUMBER_COLUMNS:
-        steps += [
-            filled(name, stats).alias(f"_filled_{name}"),
-            limited(name, stats).alias(f"_limited_{name}"),
-        ]
-        at_limit = F.col(f"_limited_{name}")
-        measures[f"adjusted:{name}"] = count_if(F.col(f"_filled_{name}") != at_limit)
-        measures[f"fenced:{name}"] = count_if(at_limit != F.col(name))
-    clean, measured = write_layer(
-        looked_up.select(*columns, *steps),
-        folder,
-        measures,
-        drop=[f"_{step}_{name}" for step in ("filled", "limited") for name in NUMBER_COLUMNS],
+    clean = write_layer(looked_up.select(*clean_columns(typed, stats, spelled)), folder)
+    return clean, check_cleaned(clean)
+
+
+def changed_values(typed: DataFrame, stats: dict[str, NumberStatistics]) -> dict[str, int]:
+    """How many filled values the limits and then the fences changed, per column."""
+    return measure(
+        typed,
+        {
+            **{f"adjusted:{c}": count_if(filled(c, stats) != limited(c, stats)) for c in VALUE_RANGES},
+            **{f"fenced:{c}": count_if(limited(c, stats) != fenced(c, stats)) for c in FENCED_COLUMNS},
+        },
     )
-    check_cleaned(measured)
-    return clean, measured
 
 
 def clean_incidents(
@@ -332,10 +329,11 @@ def clean_incidents(
     stats = number_statistics(typed, gaps, rows)
     spellings = category_spellings(typed, f"{folder}/spellings")
     clean, measured = write_clean(typed, stats, spellings, clean_path or f"{folder}/clean")
+    changed = changed_values(typed, stats)
     if raw_rows is None:
         raw_rows = raw.count()
     filled_roles = [*CATEGORY_COLUMNS, *NUMBER_COLUMNS, *FLAG_COLUMNS]
-    fenced_counts = {c: measured[f"fenced:{c}"] for c in FENCED_COLUMNS if measured[f"fenced:{c}"]}
+    fenced_counts = {c: changed[f"fenced:{c}"] for c in FENCED_COLUMNS if changed[f"fenced:{c}"]}
     report = {
         "initial_rows": raw_rows,
         "final_rows": measured["rows"],
@@ -344,7 +342,7 @@ def clean_incidents(
         "outliers_capped": sum(fenced_counts.values()),
         "outliers_capped_by_column": fenced_counts,
         "range_adjustments_by_column": {
-            c: measured[f"adjusted:{c}"] for c in VALUE_RANGES if measured[f"adjusted:{c}"]
+            c: changed[f"adjusted:{c}"] for c in VALUE_RANGES if changed[f"adjusted:{c}"]
         },
     }
     return Cleaned(clean, report, stats, measured, typed, spellings)

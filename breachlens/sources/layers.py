@@ -1,36 +1,18 @@
-"""Written layers: Parquet by default, with the quality measures taken while writing."""
+"""Written layers: Parquet for rows, JSON for the cleaning report."""
 
 from __future__ import annotations
 
 import json
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_layer(
-    df: DataFrame,
-    path: str,
-    measures: dict[str, Column] | None = None,
-    drop: list[str] | None = None,
-) -> tuple[DataFrame, dict[str, Any]]:
-    """Write ``df`` to ``path`` and return (the layer read back, the measures taken on the way).
-
-    The measures are aggregates observed in the stage that writes. Spark counts each task of
-    that stage once, also when an executor is lost and the task runs again, so no second scan
-    is needed to check what was written. Columns in ``drop`` are seen by the measures only.
-    """
-    taken: dict[str, Any] = {}
-    kept = df.drop(*(drop or []))
-    if measures:
-        watch = Observation()
-        observed = df.observe(watch, *[c.alias(name) for name, c in measures.items()])
-        observed.drop(*(drop or [])).write.parquet(path)
-        taken = watch.get
-    else:
-        kept.write.parquet(path)
-    return df.sparkSession.read.schema(kept.schema).parquet(path), taken
+def write_layer(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and return the layer read back, cut off from what made it."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_json_report(spark: SparkSession, report: dict[str, Any], path: str) -> DataFrame:
