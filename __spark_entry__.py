@@ -26,7 +26,7 @@ from breachlens.operators.checks import (
 )
 from breachlens.plans import profile
 from breachlens.plans.analytics import QUESTIONS
-from breachlens.plans.cleaning import Cleaned, clean_incidents, filled, limited
+from breachlens.plans.cleaning import Cleaned, clean_incidents, filled, limited, read_clean_csv
 from breachlens.plans.features import engineer_features
 from breachlens.schema import (
     CATEGORY_COLUMNS,
@@ -39,6 +39,7 @@ from breachlens.schema import (
     REFERENCE_DATE,
 )
 from breachlens.sources import IncidentTable, new_folder, write_csv
+from breachlens.sources.incident_table import load_engineered
 from breachlens.sources.layers import write_json_report
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -213,6 +214,20 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def clean_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean layer exported as CSV, read back and typed."""
+    path = new_folder(spark, "csv")
+    write_csv(layers(spark, sf_dir).cleaned.df, path)
+    return _shown(read_clean_csv(spark, path))
+
+
+def engineered_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The engineered table exported as CSV, read back and checked."""
+    path = new_folder(spark, "csv")
+    write_csv(incidents(spark, sf_dir), path)
+    return _shown(load_engineered(spark, path, csv=True))
+
+
 def _ordered_csv(spark: SparkSession, sf_dir: str) -> str:
     """Raw CSV files whose row order has the first row of each id first.
 
@@ -347,6 +362,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_checks": dq_checks,
         "dq_raw_checks": dq_raw_checks,
         "csv_round_trip": csv_round_trip,
+        "clean_csv": clean_csv,
+        "engineered_csv": engineered_csv,
         "csv_pipeline": csv_pipeline,
         "run_summary": run_summary,
         "table_rows": table_rows,

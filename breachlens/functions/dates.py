@@ -17,5 +17,4 @@ def parse_day(value: Column, dtype: T.DataType) -> Column:
         return value
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return value.cast("date")
-    shaped = F.when(value.rlike(r"^\d{4}-\d{1,2}-\d{1,2}\z"), value)
-    return F.try_to_date(shaped, "yyyy-M-d")
+    return F.when(value.rlike(r"^\d{4}-\d{1,2}-\d{1,2}\z"), value.try_cast("date"))

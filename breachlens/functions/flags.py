@@ -19,5 +19,10 @@ def parse_flag(value: Column, dtype: T.DataType) -> Column:
         return value
     if isinstance(dtype, T.NumericType):
         return F.when(value == 1, True).when(value == 0, False)
-    word = F.lower(F.regexp_replace(value, r"(?U)^\s+|\s+$", ""))
+    # the plain trim settles nearly all values; other white space is only looked for in the rest
+    stripped = F.regexp_replace(value, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.coalesce(_flag_of(F.lower(F.trim(value))), _flag_of(F.lower(stripped)))
+
+
+def _flag_of(word: Column) -> Column:
     return F.when(word.isin([*TRUE_WORDS, "1.0"]), True).when(word.isin([*FALSE_WORDS, "0.0"]), False)

@@ -17,7 +17,7 @@ import math
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,8 +44,9 @@ from breachlens.schema import (
     NUMBER_COLUMNS,
     VALUE_RANGES,
 )
+from breachlens.sources.csv_files import SOURCE_ORDER, read_incident_csv
 from breachlens.sources.layers import write_layer
-from breachlens.sources.workspace import new_folder
+from breachlens.sources.workspace import WIDE_ROWS_PER_PARTITION, new_folder, shuffle_sized_for
 
 _SHARES = (0.25, 0.5, 0.75)
 # columns whose values can be unreadable, in the order in which that is reported
@@ -260,7 +261,6 @@ def write_typed(
     Numbers and flags that are missing stay NULL. Raises if a value cannot be read. Returns the
     layer with its row count and the gaps per column.
     """
-    check_required(raw.columns, "Missing required columns")
     if order_by is None:
         order_by = ["_row_order"]
         raw = raw.withColumn("_row_order", F.monotonically_increasing_id())
@@ -322,16 +322,19 @@ def clean_incidents(
     Working layers go to ``folder`` (default: a fresh one in the shared folder), the clean layer
     to ``clean_path`` (default: next to them).
     """
-    folder = folder or new_folder(raw.sparkSession, "clean")
-    typed, first_pass = write_typed(raw, order_by, f"{folder}/typed")
+    check_required(raw.columns, "Missing required columns")
+    spark = raw.sparkSession
+    folder = folder or new_folder(spark, "clean")
+    if raw_rows is None:
+        raw_rows = raw.count()
+    with shuffle_sized_for(spark, raw_rows, WIDE_ROWS_PER_PARTITION):
+        typed, first_pass = write_typed(raw, order_by, f"{folder}/typed")
     rows = first_pass["rows"]
     gaps = {name: first_pass[f"missing:{name}"] for name in NUMBER_COLUMNS}
     stats = number_statistics(typed, gaps, rows)
     spellings = category_spellings(typed, f"{folder}/spellings")
     clean, measured = write_clean(typed, stats, spellings, clean_path or f"{folder}/clean")
     changed = changed_values(typed, stats)
-    if raw_rows is None:
-        raw_rows = raw.count()
     filled_roles = [*CATEGORY_COLUMNS, *NUMBER_COLUMNS, *FLAG_COLUMNS]
     fenced_counts = {c: changed[f"fenced:{c}"] for c in FENCED_COLUMNS if changed[f"fenced:{c}"]}
     report = {
@@ -346,3 +349,10 @@ def clean_incidents(
         },
     }
     return Cleaned(clean, report, stats, measured, typed, spellings)
+
+
+def read_clean_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A clean layer that was exported as CSV, with its columns typed again."""
+    cells = read_incident_csv(spark, path, multi_line).drop(*SOURCE_ORDER, "_too_long")
+    check_required(cells.columns, "Missing required columns")
+    return cells.select(*typed_columns(cells))

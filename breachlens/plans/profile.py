@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from breachlens.functions import parse_day, round_half_even
 from breachlens.functions.numbers import is_missing
 from breachlens.operators import category_counts, quantiles
-from breachlens.operators.checks import check_required, duplicate_count
+from breachlens.operators.checks import check_required, duplicate_count, measure
 from breachlens.schema import CATEGORY_COLUMNS, FLAG_COLUMNS, INCIDENT_DATE, INCIDENT_ID, NUMBER_COLUMNS
 
 MONEY_COLUMNS = ["ransom_demand_usd", "regulatory_fine_usd"]
@@ -221,22 +221,69 @@ def flag_rates(df: DataFrame) -> DataFrame:
 def correlations(df: DataFrame) -> DataFrame:
     """Pearson correlation of every two number columns, rounded; NULL for a constant column.
 
-    All pairs come from one aggregate of moments, so the table is read once.
+    A first scan takes means and gaps, a second one sums products of the distances from the
+    means: one plain sum per pair, which is as exact as running moments and much cheaper. Pairs
+    with gaps are summed over the rows where both values are present.
     """
-    pairs = list(combinations(NUMBER_COLUMNS, 2))
-    wanted = {}
-    for a, b in pairs:
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        spread = F.stddev_pop(F.when(both, F.col(a))) * F.stddev_pop(F.when(both, F.col(b)))
-        wanted[a, b] = F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
-    for c in NUMBER_COLUMNS:
-        wanted[c, c] = F.when(F.stddev_pop(c) > 0, F.lit(1.0))
+    columns = NUMBER_COLUMNS
+    seen = measure(
+        df,
+        {
+            "rows": F.count(F.lit(1)),
+            **{f"n:{c}": F.count(c) for c in columns},
+            **{f"mean:{c}": F.avg(c) for c in columns},
+            **{f"varies:{c}": F.min(c) < F.max(c) for c in columns},
+        },
+    )
+    away = {c: F.col(c) - F.lit(seen[f"mean:{c}"]) for c in columns}
+    wanted: dict[tuple[str, str], Column] = {}
+    for a, b in combinations(columns, 2):
+        if not (seen[f"varies:{a}"] and seen[f"varies:{b}"]):
+            wanted[a, b] = F.lit(None).cast("double")
+        elif seen[f"n:{a}"] == seen[f"n:{b}"] == seen["rows"]:
+            squares = F.sqrt(F.sum(away[a] * away[a])) * F.sqrt(F.sum(away[b] * away[b]))
+            wanted[a, b] = F.sum(away[a] * away[b]) / squares
+        else:
+            wanted[a, b] = _correlation_of_present(F.col(a), F.col(b), away[a], away[b])
+    for c in columns:
+        wanted[c, c] = F.lit(1.0 if seen[f"varies:{c}"] else None).cast("double")
     row = df.agg(*[round_half_even(v, 2).alias(f"{a}|{b}") for (a, b), v in wanted.items()])
     entries = []
-    for a in NUMBER_COLUMNS:
-        for b in NUMBER_COLUMNS:
+    for a in columns:
+        for b in columns:
             held = f"`{a}|{b}`" if (a, b) in wanted else f"`{b}|{a}`"
             entries.append(
                 F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(held).alias("r"))
             )
     return row.select(F.inline(F.array(*entries)))
+
+
+def _correlation_of_present(a: Column, b: Column, away_a: Column, away_b: Column) -> Column:
+    both = a.isNotNull() & b.isNotNull()
+
+    def total(value: Column) -> Column:
+        return F.sum(F.when(both, value))
+
+    n = F.nullif(F.count_if(both).cast("double"), F.lit(0.0))
+    shared = total(away_a * away_b) - total(away_a) * total(away_b) / n
+    square_a = total(away_a * away_a) - total(away_a) * total(away_a) / n
+    square_b = total(away_b * away_b) - total(away_b) * total(away_b) / n
+    varies = (F.min(F.when(both, a)) < F.max(F.when(both, a))) & (
+        F.min(F.when(both, b)) < F.max(F.when(both, b))
+    )
+    return F.when(varies, shared / F.nullif(F.sqrt(square_a) * F.sqrt(square_b), F.lit(0.0)))
+
+
+def incident_profile(df: DataFrame) -> dict[str, DataFrame]:
+    """All parts of the profile of a clean table, after the input checks."""
+    check_profile_input(df)
+    return {
+        "column_quality": column_quality(df),
+        "numbers": describe_numbers(df),
+        "top_categories": top_categories(df),
+        "monthly_incidents": monthly_incidents(df),
+        "severity_histogram": severity_histogram(df),
+        "money_totals": money_totals(df),
+        "flag_rates": flag_rates(df),
+        "correlations": correlations(df),
+    }

@@ -432,6 +432,8 @@ def oracle_sql() -> dict[str, str]:
         )
         + " FROM raw",
     )
+    out["clean_csv"] = out["clean_incidents"]
+    out["engineered_csv"] = engineered
     out["csv_pipeline"] = engineered
     out["table_rows"] = on("engineered", "SELECT count(*) AS rows FROM engineered")
     out["table_preview"] = on(

@@ -117,6 +117,10 @@ def test_correlations(both):
     assert len(got) == 49
     for r in got:
         assert r["r"] == pytest.approx(matrix.loc[r["column_a"], r["column_b"]], abs=0.0101)
+    whole = df.na.drop()
+    matrix = want.dropna()[NUMBER_COLUMNS].corr().round(2)
+    for r in rows(profile.correlations(whole)):
+        assert r["r"] == pytest.approx(matrix.loc[r["column_a"], r["column_b"]], abs=0.0101)
     constant = rows(profile.correlations(df.withColumn("severity_score", F.lit(5.0))))
     assert {r["r"] for r in constant if "severity_score" in (r["column_a"], r["column_b"])} == {None}
 
@@ -132,3 +136,9 @@ def test_profile_input_checks(both):
         profile.check_profile_input(df.union(df))
     with pytest.raises(ValueError, match="dates"):
         profile.check_profile_input(df.withColumn("incident_date", F.lit(None).cast("date")))
+
+
+def test_whole_profile(both):
+    df, _ = both
+    parts = profile.incident_profile(df)
+    assert len(parts) == 8 and all(part.count() > 0 for part in parts.values())

@@ -8,9 +8,9 @@ import breachlens.sources.workspace as workspace
 from breachlens.batch import land_csv, load_raw, run_batch, save_summary
 from breachlens.operators.checks import check_header
 from breachlens.plans.analytics import QUESTIONS
-from breachlens.plans.cleaning import clean_incidents
+from breachlens.plans.cleaning import clean_incidents, read_clean_csv
 from breachlens.plans.features import engineer_features
-from breachlens.schema import INCIDENT_COLUMNS, MISSING_CELLS
+from breachlens.schema import FLAG_COLUMNS, INCIDENT_COLUMNS, MISSING_CELLS
 from breachlens.sources import IncidentTable, read_header, read_incident_csv, write_csv
 from breachlens.sources.incident_table import load_engineered
 
@@ -319,6 +319,34 @@ def test_load_engineered(spark, make, tmp_path):
             load_engineered(spark, str(tmp_path / f"bad{i}"))
 
 
+def test_exported_csv_is_read_back(spark, make, tmp_path):
+    cleaned = clean_incidents(make([{"sector": 'a "quoted", one'}]))
+    write_csv(cleaned.df, str(tmp_path / "clean"))
+    assert sorted(read_clean_csv(spark, str(tmp_path / "clean")).collect()) == sorted(cleaned.df.collect())
+    engineered = engineer_features(cleaned)
+    write_csv(engineered, str(tmp_path / "engineered"))
+    loaded = load_engineered(spark, str(tmp_path / "engineered"), csv=True)
+    want = engineered.withColumns({c: F.col(c).cast("int") for c in FLAG_COLUMNS})
+    assert loaded.dtypes == want.dtypes
+    assert sorted(loaded.collect()) == sorted(want.collect())
+    write_csv(engineered.withColumn("zero_day_used", F.lit("maybe")), str(tmp_path / "bad"))
+    with pytest.raises(ValueError, match="invalid boolean values in 'zero_day_used'"):
+        load_engineered(spark, str(tmp_path / "bad"), csv=True)
+    with pytest.raises(FileNotFoundError, match="Engineered dataset not found"):
+        load_engineered(spark, str(tmp_path / "none"), csv=True)
+
+
+def test_shuffle_size_grows_with_rows_and_is_restored(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with workspace.shuffle_sized_for(spark, 100, 10):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "10"
+    with workspace.shuffle_sized_for(spark, 5, 10):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    with pytest.raises(RuntimeError), workspace.shuffle_sized_for(spark, 1000, 1):
+        raise RuntimeError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_all_questions_run(spark, make, table):
     assert len(QUESTIONS) == 29
     table.store(engineer_features(clean_incidents(make())))
