@@ -298,6 +298,30 @@ def test_statements_and_parameters(spark, make, table, tmp_path):
     assert {(r["sector"], r["n"]) for r in got} == {("Finance", "2"), ("Healthcare", "1"), (None, "1")}
 
 
+def test_sql_text_gives_the_same_answers(spark, make, table):
+    """Statements as an SQL user writes them, with REAL casts, chained CTEs and rank windows."""
+    table.store(engineer_features(clean_incidents(make())))
+    rows = spark.table(table.name)
+    texts = {
+        "q16_resolution_rate": "SELECT ROUND(100 * AVG(CAST(resolved_within_7_days AS REAL)), 2) AS r FROM {t}",
+        "q22_leading_actors": "WITH c AS (SELECT region, threat_actor, COUNT(*) AS n FROM {t} GROUP BY 1, 2), "
+        "r AS (SELECT *, RANK() OVER (PARTITION BY region ORDER BY n DESC) AS p FROM c) "
+        "SELECT region, threat_actor, n FROM r WHERE p = 1 ORDER BY 1, 2",
+        "q27_impact_by_attack": "SELECT attack_type, COUNT(*), ROUND(SUM(total_financial_impact), 2) AS "
+        "total_financial_impact, ROUND(AVG(total_financial_impact), 2) FROM {t} GROUP BY attack_type "
+        "ORDER BY total_financial_impact DESC, attack_type",
+    }
+    for name, text in texts.items():
+        got = [tuple(r) for r in table.fetch(text.replace("{t}", table.name)).collect()]
+        assert got == [tuple(r) for r in QUESTIONS[name](rows).collect()], name
+
+
+def test_table_under_a_quoted_path(spark, make, tmp_path):
+    table = IncidentTable(spark, str(tmp_path / "it's a table"), "t_quoted_path")
+    table.replace(make())
+    assert table.row_count() == 3
+
+
 def test_load_engineered(spark, make, tmp_path):
     with pytest.raises(FileNotFoundError):
         load_engineered(spark, str(tmp_path / "none"))
