@@ -208,7 +208,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows written as CSV and landed again by the CSV source."""
     folder = new_folder(spark, "csv")
     write_csv(raw_incidents(spark, sf_dir).select(*INCIDENT_COLUMNS), f"{folder}/files")
-    landed, _ = land_csv(spark, f"{folder}/files", f"{folder}/landed")
+    landed, _ = land_csv(spark, f"{folder}/files", f"{folder}/landed", multi_line=False)
     return landed.select(
         *[F.col(c).cast("double").alias(c) if c in NUMBER_COLUMNS else F.col(c) for c in INCIDENT_COLUMNS]
     )
@@ -241,7 +241,8 @@ def _ordered_csv(spark: SparkSession, sf_dir: str) -> str:
 def csv_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run from CSV files to the published table."""
     name = f"incidents_{uuid.uuid4().hex[:12]}"
-    run_batch(spark, _ordered_csv(spark, sf_dir), new_folder(spark, "target"), table_name=name)
+    source = _ordered_csv(spark, sf_dir)
+    run_batch(spark, source, new_folder(spark, "target"), table_name=name, multi_line=False)
     return _shown(spark.table(name))
 
 

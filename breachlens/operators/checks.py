@@ -169,8 +169,16 @@ def check_cleaned(clean: DataFrame) -> dict[str, Any]:
 
 
 def check_complete(df: DataFrame, label: str, expected_rows: int | None = None) -> int:
-    """A written layer has the expected rows and nothing missing or infinite; returns its rows."""
-    found = measure(df, {"rows": F.count(F.lit(1)), "broken": count_if(incomplete(df))})
+    """A written engineered layer: the expected rows, nothing missing or infinite, flags 0 or 1.
+
+    Returns the row count. One scan if all is well.
+    """
+    flags = [c for c in FLAG_COLUMNS if c in df.columns and df.schema[c].dataType != T.BooleanType()]
+    no_flag = any_of(~F.coalesce(F.col(c).isin(0, 1), F.lit(True)) for c in flags)
+    found = measure(
+        df,
+        {"rows": F.count(F.lit(1)), "broken": count_if(incomplete(df)), "no_flag": count_if(no_flag)},
+    )
     if not found["rows"]:
         raise ValueError(f"{label} is empty.")
     if expected_rows is not None and found["rows"] != expected_rows:
@@ -183,6 +191,10 @@ def check_complete(df: DataFrame, label: str, expected_rows: int | None = None)
         if missing:
             raise ValueError(f"{label} contains missing values: {sorted(missing)}")
         raise ValueError(f"{label} contains invalid numeric values in {infinite_columns(details)}")
+    if found["no_flag"]:
+        details = measure(df, flag_measures(df))
+        name = next(name for name in FLAG_COLUMNS if details[f"unflag:{name}"])
+        raise ValueError(f"{label} contains invalid boolean values in '{name}'.")
     return found["rows"]
 
 

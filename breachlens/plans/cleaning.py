@@ -352,7 +352,10 @@ def clean_incidents(
 
 
 def read_clean_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """A clean layer that was exported as CSV, with its columns typed again."""
+    """A clean layer that was exported as CSV, typed again and landed as Parquet.
+
+    The text is parsed once; what reads the result many times reads columns.
+    """
     cells = read_incident_csv(spark, path, multi_line).drop(*SOURCE_ORDER, "_too_long")
     check_required(cells.columns, "Missing required columns")
-    return cells.select(*typed_columns(cells))
+    return write_layer(cells.select(*typed_columns(cells)), new_folder(spark, "clean-csv"))
