@@ -114,11 +114,13 @@ def _refined(
 ) -> DataFrame:
     """Finer buckets inside the open spans: at most one span per wanted rank, none overlap."""
     narrowed = {}
+    anywhere = F.lit(False)
     for name, value in columns.items():
         inside = F.lit(False)
-        for low, high, _ in spans[name]:
+        for low, high, _ in sorted(spans[name]):
             inside = inside | value.between(F.lit(low), F.lit(high))
         narrowed[name] = F.when(inside, value)
+        anywhere = anywhere | inside
     listed = F.array(
         *[
             F.struct(
@@ -130,7 +132,8 @@ def _refined(
         ]
     )
     open_spans = df.sparkSession.range(1).select(F.inline(listed))
-    placed = _unpivot(df, narrowed).join(F.broadcast(open_spans), ["name"])
+    # few rows are left here, so the unpivot of the later passes is nearly free
+    placed = _unpivot(df.where(anywhere), narrowed).join(F.broadcast(open_spans), ["name"])
     held = placed.where(F.col("value").between(F.col("low"), F.col("high")))
     bucket = _linear_bucket(F.col("value"), F.col("low"), F.col("high")).alias("bucket")
     return held.groupBy("name", "low", "offset", bucket).agg(*summary)
