@@ -1,6 +1,6 @@
 """Incident rows derived from the star-schema tables, one per line item.
 
-The text runs unchanged in Spark SQL and in DuckDB, so tests and queries share one raw layer.
+The text, with the tables filled in, runs in Spark SQL and in DuckDB, so both share one raw layer.
 """
 
 from __future__ import annotations
@@ -42,22 +42,13 @@ SELECT concat('INC-', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRI
   CASE WHEN l_linestatus = 'F' THEN 'Yes' ELSE ' no ' END AS resolved_within_7_days,
   CASE l_returnflag WHEN 'R' THEN '1' WHEN 'A' THEN 'FALSE' ELSE NULL END AS data_exfiltration,
   CASE WHEN l_linenumber = 1 THEN 't' ELSE 'N' END AS zero_day_used
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey
+  JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
+  JOIN {part} ON l_partkey = p_partkey JOIN {supplier} ON l_suppkey = s_suppkey
 """.strip()
 
 
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw layer with its three order columns, over all rows of the tables in ``sf_dir``."""
     tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in SOURCE_TABLES}
-    return spark.sql(
-        RAW_SQL.replace("FROM lineitem JOIN", "FROM {lineitem} JOIN")
-        .replace("JOIN orders ON", "JOIN {orders} ON")
-        .replace("JOIN customer ON", "JOIN {customer} ON")
-        .replace("JOIN nation ON", "JOIN {nation} ON")
-        .replace("JOIN region ON", "JOIN {region} ON")
-        .replace("JOIN part ON", "JOIN {part} ON")
-        .replace("JOIN supplier ON", "JOIN {supplier} ON"),
-        **tables,
-    )
+    return spark.sql(RAW_SQL, **tables)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from breachlens.functions.numbers import is_infinite, is_missing
+from breachlens.operators.sizing import NARROW_ROWS_PER_PARTITION, shuffle_sized_for
 from breachlens.schema import (
     FLAG_COLUMNS,
     INCIDENT_COLUMNS,
@@ -123,10 +124,15 @@ def infinite_columns(measured: dict[str, Any]) -> list[str]:
     return [name.split(":", 1)[1] for name, n in measured.items() if name.startswith("infinite:") and n]
 
 
-def duplicate_count(df: DataFrame, key: str = INCIDENT_ID) -> int:
-    """Rows beyond the first of each key, null as one key. Shuffles the key column only."""
+def duplicate_count(df: DataFrame, rows: int, key: str = INCIDENT_ID) -> int:
+    """Rows beyond the first of each key, null as one key. Shuffles the key column only.
+
+    ``rows`` is the size of ``df``, known from an earlier check, and sets the shuffle width.
+    """
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    return per_key.agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("n")).first()["n"]
+    extra = per_key.agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("n"))
+    with shuffle_sized_for(df.sparkSession, rows, NARROW_ROWS_PER_PARTITION):
+        return extra.first()["n"]
 
 
 # --- raising ----------------------------------------------------------------
@@ -214,7 +220,7 @@ def check_feature_input(raw: DataFrame, typed: DataFrame) -> dict[str, Any]:
     details = measure(typed, row_measures(typed.select(*watched))) if found["broken"] else {}
     if details and details[f"missing:{INCIDENT_ID}"]:
         raise ValueError(f"{INCIDENT_ID} contains missing values.")
-    if duplicate_count(raw):
+    if duplicate_count(raw, found["rows"]):
         raise ValueError(f"{INCIDENT_ID} contains duplicate values.")
     if not details:
         return found

@@ -31,6 +31,11 @@ from breachlens.operators.checks import (
     measure,
 )
 from breachlens.operators.order_stats import OrderStatistic, blend, quantile_ranks
+from breachlens.operators.sizing import (
+    NARROW_ROWS_PER_PARTITION,
+    WIDE_ROWS_PER_PARTITION,
+    shuffle_sized_for,
+)
 from breachlens.schema import (
     CATEGORY_COLUMNS,
     EMPTY_COLUMN_NUMBER,
@@ -46,7 +51,7 @@ from breachlens.schema import (
 )
 from breachlens.sources.csv_files import SOURCE_ORDER, read_incident_csv
 from breachlens.sources.layers import write_layer
-from breachlens.sources.workspace import WIDE_ROWS_PER_PARTITION, new_folder, shuffle_sized_for
+from breachlens.sources.workspace import new_folder
 
 _SHARES = (0.25, 0.5, 0.75)
 # columns whose values can be unreadable, in the order in which that is reported
@@ -332,7 +337,8 @@ def clean_incidents(
     rows = first_pass["rows"]
     gaps = {name: first_pass[f"missing:{name}"] for name in NUMBER_COLUMNS}
     stats = number_statistics(typed, gaps, rows)
-    spellings = category_spellings(typed, f"{folder}/spellings")
+    with shuffle_sized_for(spark, rows, NARROW_ROWS_PER_PARTITION):
+        spellings = category_spellings(typed, f"{folder}/spellings")
     clean, measured = write_clean(typed, stats, spellings, clean_path or f"{folder}/clean")
     changed = changed_values(typed, stats)
     filled_roles = [*CATEGORY_COLUMNS, *NUMBER_COLUMNS, *FLAG_COLUMNS]

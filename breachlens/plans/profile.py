@@ -27,7 +27,7 @@ def check_profile_input(df: DataFrame) -> None:
     ).first()
     if not found["rows"]:
         raise ValueError("Profile input is empty.")
-    if found["no_id"] or duplicate_count(df):
+    if found["no_id"] or duplicate_count(df, found["rows"]):
         raise ValueError("Missing or duplicate incident IDs.")
     if found["no_date"]:
         raise ValueError("Invalid or missing incident dates.")

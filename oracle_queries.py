@@ -6,7 +6,7 @@ typed values, medians, limits, fences, clean rows, features. Each query adds its
 
 from __future__ import annotations
 
-from breachlens.fixture import ORDER_COLUMNS, RAW_SQL
+from breachlens.fixture import ORDER_COLUMNS, RAW_SQL, SOURCE_TABLES
 from breachlens.schema import (
     ACRONYMS,
     CATEGORY_COLUMNS,
@@ -73,7 +73,7 @@ def _list(items) -> str:
 def chain(last: str) -> str:
     """The chain up to and including the step named ``last``."""
     steps = {
-        "raw": RAW_SQL,
+        "raw": RAW_SQL.format(**{name: name for name in SOURCE_TABLES}),
         "dedup": f"SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY incident_id ORDER BY {_list(ORDER_COLUMNS)}) = 1",
         "medians": f"SELECT {_list(f'coalesce(median({c}), 0) AS {c}_mid' for c in NUMBER_COLUMNS)} FROM dedup",
         "filled": f"""SELECT incident_id, CAST(incident_date AS DATE) AS incident_date,

@@ -9,7 +9,7 @@ from conftest import SCHEMA
 from pyspark.sql import functions as F
 
 from breachlens.plans import profile
-from breachlens.schema import CATEGORY_COLUMNS, FLAG_COLUMNS, INCIDENT_COLUMNS, NUMBER_COLUMNS
+from breachlens.schema import CATEGORY_COLUMNS, INCIDENT_COLUMNS, NUMBER_COLUMNS
 
 
 @pytest.fixture(scope="module")

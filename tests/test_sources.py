@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import breachlens.sources.workspace as workspace
 from breachlens.batch import land_csv, load_raw, run_batch, save_summary
 from breachlens.operators.checks import check_header
+from breachlens.operators.sizing import shuffle_sized_for
 from breachlens.plans.analytics import QUESTIONS
 from breachlens.plans.cleaning import clean_incidents, read_clean_csv
 from breachlens.plans.features import engineer_features
@@ -87,6 +88,15 @@ def test_cells_of_all_kinds(spark, write_file, multi_line):
     ]
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_windows_files(spark, tmp_path, multi_line):
+    """A byte-order mark and CR LF line ends."""
+    path = tmp_path / "windows.csv"
+    path.write_bytes("\ufeffa,b\r\n1, x \r\nNA,é\r\n".encode())
+    got = read_incident_csv(spark, str(path), multi_line).select("a", "b", "_too_long").collect()
+    assert [tuple(r) for r in got] == [("1", " x ", False), (None, "é", False)]
+
+
 def test_line_break_in_quotes(spark, write_file):
     got = read_incident_csv(spark, write_file(["a,b", '1,"x', 'y"', "2,z"])).select("a", "b").collect()
     assert [tuple(r) for r in got] == [("1", "x\ny"), ("2", "z")]
@@ -362,11 +372,11 @@ def test_exported_csv_is_read_back(spark, make, tmp_path):
 
 def test_shuffle_size_grows_with_rows_and_is_restored(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    with workspace.shuffle_sized_for(spark, 100, 10):
+    with shuffle_sized_for(spark, 100, 10):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "10"
-    with workspace.shuffle_sized_for(spark, 5, 10):
+    with shuffle_sized_for(spark, 5, 10):
         assert spark.conf.get("spark.sql.shuffle.partitions") == before
-    with pytest.raises(RuntimeError), workspace.shuffle_sized_for(spark, 1000, 1):
+    with pytest.raises(RuntimeError), shuffle_sized_for(spark, 1000, 1):
         raise RuntimeError
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
