@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_VALUES = 10_000
-SALTS = 1024
 
 
 def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -61,7 +60,7 @@ def attach_frequency(
     The size of each column's value list is measured first. A list within the bounds is
     broadcast, so the wide table is not shuffled. Beyond them only the most frequent values are
     broadcast and the others are joined by a shuffle, where the rows already served are spread
-    over salts by ``spread_by``: no join key is left that holds many rows.
+    by their ``spread_by`` value: no join key is left that holds many rows.
     ``counts`` is read several times, so pass a written result of ``category_counts``.
     """
     small = bounded_columns(counts, broadcast_rows)
@@ -83,25 +82,22 @@ def attach_frequency(
 def _hot_and_tail(
     df: DataFrame, listed: DataFrame, column: str, feature: str, spread_by: str, hot_values: int
 ) -> DataFrame:
-    hot = listed.orderBy(F.desc("_rows"), "_value").limit(hot_values)
-    tail = listed.join(F.broadcast(hot.select(F.col("_value").alias("_hot"))),
-                       F.col("_value").eqNullSafe(F.col("_hot")), "left_anti")
-    hot = hot.select(F.col("_value").alias("_hot"), F.col("_rows").alias("_hot_rows"))
-    tail = tail.select(
-        F.col("_value").alias("_tail"), F.lit(0).alias("_tail_salt"), F.col("_rows").alias("_tail_rows")
+    top = listed.orderBy(F.desc("_rows"), "_value").limit(hot_values)
+    hot = top.select(F.col("_value").alias("_hot"), F.col("_rows").alias("_hot_rows"))
+    cold = F.col("_value").eqNullSafe(F.col("_hot"))
+    tail = listed.join(F.broadcast(hot.select("_hot")), cold, "left_anti").select(
+        F.col("_value").alias("_tail"), F.col("_rows").alias("_tail_rows")
     )
+    # Rows already served get a key of their own from the id, so the shuffle spreads them evenly.
+    # The salt has to be in the key: a separate constant column would be folded out of the join.
     served = F.col("_hot_rows").isNotNull()
-    salted = (
-        df.join(F.broadcast(hot), F.col(column).eqNullSafe(F.col("_hot")), "left")
-        .withColumn(
-            "_salt",
-            F.when(served, F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int") + 1).otherwise(0),
-        )
-        .withColumn("_key", F.when(~served, F.col(column)))
-    )
-    match = (F.col("_salt") == F.col("_tail_salt")) & F.col("_key").eqNullSafe(F.col("_tail"))
+    own_key = F.concat(F.lit("\u0000"), F.xxhash64(spread_by).cast("string"))
+    salted = df.join(
+        F.broadcast(hot), F.col(column).eqNullSafe(F.col("_hot")), "left"
+    ).withColumn("_key", F.when(served, own_key).otherwise(F.col(column)))
+    match = F.col("_key").eqNullSafe(F.col("_tail")) & F.col("_hot_rows").isNull()
     return (
         salted.join(tail, match, "left")
         .withColumn(feature, F.coalesce("_hot_rows", "_tail_rows"))
-        .drop("_hot", "_hot_rows", "_salt", "_key", "_tail", "_tail_salt", "_tail_rows")
+        .drop("_hot", "_hot_rows", "_key", "_tail", "_tail_rows")
     )

@@ -112,6 +112,30 @@ def test_frequency_by_broadcast_and_by_hot_and_tail(spark, broadcast_rows):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_hot_rows_are_spread_by_the_shuffle(spark):
+    """The tail is joined by a shuffle here, and a third of the rows must not meet in one task."""
+    df = spark.range(0, 30_000, 1, 4).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("v"), "id")).alias("c")
+    )
+    counts = category_counts(df, ["c"]).cache()
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+                "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = attach_frequency(df, counts, {"c": "n"}, "id", broadcast_rows=5, hot_values=3)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        got = {(r["n"], r["count"]) for r in out.groupBy("n").count().collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan
+    assert len(sizes) == 16 and max(sizes) < 1.3 * sum(sizes) / 16
+    assert got == {(10_000, 10_000), (1, 20_000)}
+
+
 def test_frequency_counts_every_null_category(spark):
     df = spark.createDataFrame([(1, None), (2, None), (3, "x")], "id int, c string")
     out = attach_frequency(df, category_counts(df, ["c"]), {"c": "n"}, "id")

@@ -193,6 +193,16 @@ def test_run_from_csv(spark, write_file, tmp_path):
     assert len(list((target / "t_run").glob("version-*/_SUCCESS"))) == 2
 
 
+def test_entry_from_the_shell(spark, write_file, tmp_path, monkeypatch, capsys):
+    from breachlens.__main__ import main
+
+    arguments = [write_file(lines_of()), str(tmp_path / "out"), "--table", "t_shell", "--single-line"]
+    monkeypatch.setattr("sys.argv", ["breachlens", *arguments])
+    main()
+    assert "clean_records: 3" in capsys.readouterr().out
+    assert spark.table("t_shell").count() == 3
+
+
 def test_failed_run_keeps_the_table(spark, write_file, tmp_path):
     target = str(tmp_path / "target")
     run_batch(spark, write_file(lines_of()), target, table_name="t_kept")
