@@ -163,6 +163,18 @@ def test_infinite_downtime_is_limited(make):
     assert rows["INC-001"]["downtime_hours"] == 720.0
 
 
+def test_infinite_impact_is_fenced(make):
+    """One infinite value lies beyond the upper fence; many push the fence to infinity and fail."""
+    spread = F.substring("incident_id", 5, 3).cast("double")
+    numbers = make(n=20).withColumn("records_affected", spread)
+    one = numbers.withColumn("records_affected", F.when(spread == 3, F.lit(math.inf)).otherwise(spread))
+    done = clean_incidents(one)
+    assert by_id(done.df)["INC-003"]["records_affected"] == done.statistics["records_affected"].fences[1]
+    many = numbers.withColumn("records_affected", F.when(spread > 9, F.lit(math.inf)).otherwise(spread))
+    with pytest.raises(ValueError, match="non-finite"):
+        clean_incidents(many)
+
+
 def test_missing_column_and_extra_columns(make):
     with pytest.raises(ValueError, match="Missing required columns"):
         clean_incidents(make().drop("region"))

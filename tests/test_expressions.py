@@ -39,6 +39,14 @@ def test_category_spelling(spark):
     assert apply(spark, list(cases), normalize_category) == list(cases.values())
 
 
+def test_all_white_space_counts(spark):
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    texts = [f"{s}a{s}{s}b{s}" for s in spaces]
+    assert apply(spark, texts, normalize_category) == ["A B"] * len(texts)
+    yes = [f"{s}yes{s}" for s in spaces]
+    assert apply(spark, yes, lambda c: parse_flag(c, T.StringType())) == [True] * len(yes)
+
+
 def test_category_spelling_is_idempotent(spark):
     values = ["apip", "https api", "a-b'c", "ip iot DOS ddos", "  x  "]
     once = apply(spark, values, normalize_category)
