@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 import oracle_queries
 from breachlens.batch import land_csv, run_batch, save_summary
 from breachlens.fixture import ORDER_COLUMNS, raw_incidents
-from breachlens.functions import parse_day, parse_flag, parse_number
+from breachlens.functions import PARSED_COLUMNS, unreadable
 from breachlens.operators import keep_first
 from breachlens.operators.checks import (
     count_if,
@@ -27,7 +27,7 @@ from breachlens.operators.checks import (
 from breachlens.plans import profile
 from breachlens.plans.analytics import QUESTIONS
 from breachlens.plans.cleaning import Cleaned, clean_incidents, filled, limited, read_clean_csv
-from breachlens.plans.features import engineer_features
+from breachlens.plans.features import FEATURE_GROUPS, engineer_features
 from breachlens.schema import (
     CATEGORY_COLUMNS,
     FENCED_COLUMNS,
@@ -184,13 +184,9 @@ def dq_raw_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_incidents(spark, sf_dir)
     kept = keep_first(raw, INCIDENT_ID, ORDER_COLUMNS)
     types = {f.name: f.dataType for f in kept.schema.fields}
-    unreadable = {}
-    for name in [*NUMBER_COLUMNS, *FLAG_COLUMNS, INCIDENT_DATE]:
-        parse = parse_number if name in NUMBER_COLUMNS else parse_flag if name in FLAG_COLUMNS else parse_day
-        value = F.col(name)
-        unreadable[f"unreadable:{name}"] = count_if(value.isNotNull() & parse(value, types[name]).isNull())
-    row = kept.agg(*[c.alias(n) for n, c in unreadable.items()])
-    entries = [F.struct(F.lit(n).alias("check"), F.col(f"`{n}`").alias("rows")) for n in unreadable]
+    bad = {f"unreadable:{name}": count_if(unreadable(name, types[name])) for name in PARSED_COLUMNS}
+    row = kept.agg(*[c.alias(n) for n, c in bad.items()])
+    entries = [F.struct(F.lit(n).alias("check"), F.col(f"`{n}`").alias("rows")) for n in bad]
     per_id = raw.groupBy(INCIDENT_ID).agg(F.count(F.lit(1)).alias("n"))
     ids = per_id.agg(
         F.sum("n").alias("rows"),
@@ -347,7 +343,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clean_incidents": _clean(*INCIDENT_COLUMNS),
         "clean_statistics": clean_statistics,
         "quality_report": quality_report,
-        **{name: _features(*columns) for name, columns in oracle_queries.FEATURE_GROUPS.items()},
+        **{name: _features(*columns) for name, columns in FEATURE_GROUPS.items()},
         "engineered": lambda spark, sf_dir: _shown(incidents(spark, sf_dir)),
         "engineered_standalone": engineered_standalone,
         "eda_quality": _profile(profile.column_quality),

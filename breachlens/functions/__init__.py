@@ -9,9 +9,11 @@ from breachlens.functions.numbers import (
     round_half_even,
     safe_ratio,
 )
+from breachlens.functions.roles import PARSED_COLUMNS, parsed, unreadable
 from breachlens.functions.text import missing_cell_to_null, normalize_category
 
 __all__ = [
+    "PARSED_COLUMNS",
     "bounded",
     "missing_cell_to_null",
     "nan_to_null",
@@ -19,6 +21,8 @@ __all__ = [
     "parse_day",
     "parse_flag",
     "parse_number",
+    "parsed",
     "round_half_even",
     "safe_ratio",
+    "unreadable",
 ]

@@ -82,9 +82,10 @@ def attach_frequency(
 def _hot_and_tail(
     df: DataFrame, listed: DataFrame, column: str, feature: str, spread_by: str, hot_values: int
 ) -> DataFrame:
+    # digests instead of the values, so the broadcast is bounded by their number alone
     top = listed.orderBy(F.desc("_rows"), "_value").limit(hot_values)
-    hot = top.select(F.col("_value").alias("_hot"), F.col("_rows").alias("_hot_rows"))
-    cold = F.col("_value").eqNullSafe(F.col("_hot"))
+    hot = top.select(F.sha2("_value", 256).alias("_hot"), F.col("_rows").alias("_hot_rows"))
+    cold = F.sha2("_value", 256).eqNullSafe(F.col("_hot"))
     tail = listed.join(F.broadcast(hot.select("_hot")), cold, "left_anti").select(
         F.col("_value").alias("_tail"), F.col("_rows").alias("_tail_rows")
     )
@@ -93,7 +94,7 @@ def _hot_and_tail(
     served = F.col("_hot_rows").isNotNull()
     own_key = F.concat(F.lit("\u0000"), F.xxhash64(spread_by).cast("string"))
     salted = df.join(
-        F.broadcast(hot), F.col(column).eqNullSafe(F.col("_hot")), "left"
+        F.broadcast(hot), F.sha2(F.col(column), 256).eqNullSafe(F.col("_hot")), "left"
     ).withColumn("_key", F.when(served, own_key).otherwise(F.col(column)))
     match = F.col("_key").eqNullSafe(F.col("_tail")) & F.col("_hot_rows").isNull()
     return (

@@ -21,8 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from breachlens.functions import bounded, normalize_category, parse_day, parse_flag, parse_number
-from breachlens.functions.numbers import is_missing
+from breachlens.functions import PARSED_COLUMNS, bounded, normalize_category, parsed, unreadable
 from breachlens.operators import bounded_columns, category_counts, keep_first, look_up, order_statistics
 from breachlens.operators.checks import (
     check_cleaned,
@@ -54,8 +53,6 @@ from breachlens.sources.layers import write_layer
 from breachlens.sources.workspace import new_folder
 
 _SHARES = (0.25, 0.5, 0.75)
-# columns whose values can be unreadable, in the order in which that is reported
-_CHECKED = [*NUMBER_COLUMNS, *FLAG_COLUMNS, INCIDENT_DATE]
 
 
 @dataclass(frozen=True)
@@ -80,12 +77,6 @@ class Cleaned:
 
 
 # --- row-local part -----------------------------------------------------------
-def _parser(name: str):
-    if name == INCIDENT_DATE:
-        return parse_day
-    return parse_number if name in NUMBER_COLUMNS else parse_flag
-
-
 def typed_columns(df: DataFrame) -> list[Column]:
     """Every column in its clean type; values that are missing or unreadable become NULL.
 
@@ -97,8 +88,8 @@ def typed_columns(df: DataFrame) -> list[Column]:
         value = F.col(f"`{name}`")
         if name == INCIDENT_ID or name in CATEGORY_COLUMNS:
             value = value.cast("string")
-        elif name in _CHECKED:
-            value = _parser(name)(value, types[name])
+        elif name in PARSED_COLUMNS:
+            value = parsed(name, types[name])
         out.append(value.alias(name))
     return out
 
@@ -106,23 +97,17 @@ def typed_columns(df: DataFrame) -> list[Column]:
 def unreadable_bits(types: dict[str, T.DataType]) -> Column:
     """One bit per checked column: the value is present but cannot be read as its type."""
     bits = F.lit(0)
-    for i, name in enumerate(_CHECKED):
-        value = F.col(name)
-        present = ~is_missing(value, types[name])
-        unread = present & _parser(name)(value, types[name]).isNull()
-        bits = bits + F.when(unread, 1 << i).otherwise(0)
+    for i, name in enumerate(PARSED_COLUMNS):
+        bits = bits + F.when(unreadable(name, types[name]), 1 << i).otherwise(0)
     return bits
 
 
 def check_readable(first: DataFrame, order_by: list[str]) -> None:
     """Raise for unreadable numbers, flags and dates, in this order. Only run if there are some."""
     types = {f.name: f.dataType for f in first.schema.fields}
-    bad = {
-        name: ~is_missing(F.col(name), types[name]) & _parser(name)(F.col(name), types[name]).isNull()
-        for name in _CHECKED
-    }
+    bad = {name: unreadable(name, types[name]) for name in PARSED_COLUMNS}
     counts = measure(first, {name: F.count_if(condition) for name, condition in bad.items()})
-    name = next(name for name in _CHECKED if counts[name])
+    name = next(name for name in PARSED_COLUMNS if counts[name])
 
     def examples(limit: int) -> list[str]:
         text = F.col(name).cast("string").alias("text")

@@ -7,9 +7,11 @@ typed values, medians, limits, fences, clean rows, features. Each query adds its
 from __future__ import annotations
 
 from breachlens.fixture import ORDER_COLUMNS, RAW_SQL, SOURCE_TABLES
+from breachlens.plans.features import FEATURE_GROUPS
 from breachlens.schema import (
     ACRONYMS,
     CATEGORY_COLUMNS,
+    FEATURE_COLUMNS,
     FENCED_COLUMNS,
     FLAG_COLUMNS,
     FREQUENCY_FEATURES,
@@ -220,22 +222,7 @@ def _missing_cell(c: str) -> str:
     return f"CASE WHEN CAST({c} AS VARCHAR) IN ({tokens}) THEN NULL ELSE {c} END AS {c}"
 
 
-FEATURE_GROUPS = {
-    "feat_date": [
-        "incident_year", "incident_month", "incident_day", "incident_week", "incident_quarter",
-        "incident_weekday", "is_weekend", "month_name", "incident_age_days", "quarter_label",
-    ],
-    "feat_ratio": [
-        "ransom_per_record", "fine_per_record", "total_financial_impact", "downtime_per_record",
-        "response_efficiency",
-    ],
-    "feat_speed": ["detection_speed"],
-    "feat_cost_category": ["incident_cost_category"],
-    "feat_flags": ["high_severity_flag", "high_ransom_flag", "large_breach_flag", "long_downtime_flag"],
-    "feat_frequency": list(FREQUENCY_FEATURES.values()),
-    "feat_scores": ["risk_score", "incident_complexity_score"],
-}
-ENGINEERED_COLUMNS = [*INCIDENT_COLUMNS, *[c for many in FEATURE_GROUPS.values() for c in many]]
+ENGINEERED_COLUMNS = [*INCIDENT_COLUMNS, *FEATURE_COLUMNS]
 
 _CLEAN_DTYPES = {
     **{c: "string" for c in ["incident_id", *CATEGORY_COLUMNS]},
