@@ -14,6 +14,7 @@ expressions would cost more than all other work on the rows together.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
@@ -126,19 +127,62 @@ def check_readable(first: DataFrame, order_by: list[str]) -> None:
 
 
 # --- global statistics --------------------------------------------------------
-def _filled_value(
-    rank: int, present: int, gaps: int, fill: float, stats: dict[int, OrderStatistic]
-) -> float:
-    """Value at a rank of the column once its gaps hold ``fill``.
+@dataclass(frozen=True)
+class _FilledColumn:
+    """A number column whose gaps hold ``fill``, known by some order statistics of its values."""
 
-    Sorted, that column is: the values below the fill, the fill itself (own copies and gaps), the
-    values above. So a rank is served from the front or, shifted by the gaps, from the back.
-    """
-    if rank < present and stats[rank].value < fill:
-        return stats[rank].value
-    if rank - gaps >= 0 and stats[rank - gaps].value > fill:
-        return stats[rank - gaps].value
-    return fill
+    rows: int
+    gaps: int
+    fill: float
+    held: dict[int, OrderStatistic]
+
+    def at(self, rank: int) -> float:
+        """Value at a rank.
+
+        Sorted, the column is: the values below the fill, the fill itself (own copies and gaps),
+        the values above. So a rank is served from the front or, shifted by the gaps, from the back.
+        """
+        if rank < self.rows - self.gaps and self.held[rank].value < self.fill:
+            return self.held[rank].value
+        if rank >= self.gaps and self.held[rank - self.gaps].value > self.fill:
+            return self.held[rank - self.gaps].value
+        return self.fill
+
+    def quantile(self, share: float, low: float, high: float) -> float:
+        """Interpolated quantile of the values pulled into [low, high], which keeps their order."""
+        first, second, weight = quantile_ranks(self.rows, share)
+        return blend(*[min(max(self.at(rank), low), high) for rank in (first, second)], weight)
+
+
+def _median(at: Callable[[int], float], rows: int) -> float:
+    low, high, _ = quantile_ranks(rows, 0.5)
+    return at(low) if low == high else (at(low) + at(high)) / 2
+
+
+def _wanted_ranks(rows: int, gaps: int) -> set[int]:
+    present = rows - gaps
+    ranks = set(quantile_ranks(present, 0.5)[:2])
+    for share in _SHARES:
+        for rank in quantile_ranks(rows, share)[:2]:
+            ranks |= {r for r in (rank, rank - gaps) if 0 <= r < present}
+    return ranks
+
+
+def _column_statistics(
+    name: str, rows: int, gaps: int, held: dict[int, OrderStatistic]
+) -> NumberStatistics:
+    present = rows - gaps
+    fill = _median(lambda rank: held[rank].value, present) if present else EMPTY_COLUMN_NUMBER
+    column = _FilledColumn(rows, gaps, fill, held)
+    lower, upper = VALUE_RANGES[name]
+    low = -math.inf if lower is None else lower
+    high = math.inf if upper is None else upper
+    fences = None
+    if name in FENCED_COLUMNS:
+        fences = outlier_fences(column.quantile(0.25, low, high), column.quantile(0.75, low, high))
+    if fences is not None:
+        low, high = max(low, fences[0]), min(high, fences[1])
+    return NumberStatistics(fill, fences, _median(lambda rank: min(max(column.at(rank), low), high), rows))
 
 
 def number_statistics(typed: DataFrame, missing: dict[str, int], rows: int) -> dict[str, NumberStatistics]:
@@ -146,53 +190,16 @@ def number_statistics(typed: DataFrame, missing: dict[str, int], rows: int) -> d
 
     ``missing`` counts the gaps per column in ``typed``. Two scans of the seven columns.
     """
-    wanted: dict[str, set[int]] = {}
-    for name in NUMBER_COLUMNS:
-        gaps = missing[name]
-        present = rows - gaps
-        if not present:
-            continue
-        ranks = set(quantile_ranks(present, 0.5)[:2])
-        for share in _SHARES:
-            for rank in quantile_ranks(rows, share)[:2]:
-                ranks |= {r for r in (rank, rank - gaps) if 0 <= r < present}
-        wanted[name] = ranks
-    held = order_statistics(typed, wanted)
-    out = {}
-    for name in NUMBER_COLUMNS:
-        gaps = missing[name]
-        present = rows - gaps
-        lower, upper = VALUE_RANGES[name]
-        stats = {rank: stat for (column, rank), stat in held.items() if column == name}
-        if present:
-            low, high, _ = quantile_ranks(present, 0.5)
-            fill = _middle(stats[low].value, stats[high].value)
-        else:
-            fill = EMPTY_COLUMN_NUMBER
-
-        def limited(rank: int) -> float:
-            value = _filled_value(rank, present, gaps, fill, stats)
-            value = value if lower is None else max(value, lower)
-            return value if upper is None else min(value, upper)
-
-        def quantile(share: float) -> float:
-            first, second, weight = quantile_ranks(rows, share)
-            return blend(limited(first), limited(second), weight)
-
-        fences = outlier_fences(quantile(0.25), quantile(0.75)) if name in FENCED_COLUMNS and rows else None
-
-        def capped(rank: int) -> float:
-            value = limited(rank)
-            return value if fences is None else min(max(value, fences[0]), fences[1])
-
-        low, high, _ = quantile_ranks(rows, 0.5) if rows else (0, 0, 0.0)
-        median = _middle(capped(low), capped(high)) if rows else EMPTY_COLUMN_NUMBER
-        out[name] = NumberStatistics(fill, fences, median)
-    return out
-
-
-def _middle(low: float, high: float) -> float:
-    return low if low == high else (low + high) / 2
+    if not rows:
+        return {name: NumberStatistics(EMPTY_COLUMN_NUMBER, None, EMPTY_COLUMN_NUMBER) for name in NUMBER_COLUMNS}
+    wanted = {name: _wanted_ranks(rows, missing[name]) for name in NUMBER_COLUMNS if missing[name] < rows}
+    found = order_statistics(typed, wanted)
+    return {
+        name: _column_statistics(
+            name, rows, missing[name], {rank: stat for (column, rank), stat in found.items() if column == name}
+        )
+        for name in NUMBER_COLUMNS
+    }
 
 
 def outlier_fences(q1: float, q3: float) -> tuple[float, float] | None:
