@@ -16,9 +16,10 @@ def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     The counts are combined before the shuffle, so a value that holds a third of all rows
     costs one record per task.
     """
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    names = {c: F.col("`" + c.replace("`", "``") + "`") for c in columns}
+    texts = df.select(*[value.cast("string").alias(c) for c, value in names.items()])
     return (
-        texts.unpivot([], columns, "column", "value")
+        texts.unpivot([], list(names.values()), "column", "value")
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
     )

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-WIDE_ROWS_PER_PARTITION = 2_000_000  # some 500 MB of incident rows
+WIDE_ROWS_PER_PARTITION = 4_000_000  # about 1 GB of incident rows
 NARROW_ROWS_PER_PARTITION = 20_000_000  # ids only
 
 

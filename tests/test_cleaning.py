@@ -184,6 +184,23 @@ def test_missing_column_and_extra_columns(make):
         clean_incidents(make().withColumn("note", F.when(F.col("region") == "West", "x")))
 
 
+def test_extra_columns_pass_all_stages(spark, make, tmp_path):
+    """Names with dots and spaces, text and numbers, through to the table and the profile."""
+    from breachlens.plans.features import engineer_features
+    from breachlens.plans.profile import column_quality, dataset_summary
+    from breachlens.sources import IncidentTable
+
+    extra = make().withColumns({"source.system": F.lit("siem"), "analyst hours": F.lit(2.5)})
+    cleaned = clean_incidents(extra)
+    table = IncidentTable(spark, str(tmp_path / "extra"), "t_extra_columns")
+    table.store(engineer_features(cleaned), expected_rows=3)
+    row = spark.table("t_extra_columns").first().asDict()
+    assert row["source.system"] == "siem" and row["analyst hours"] == 2.5 and len(row) == 45
+    quality = {r["column"]: r for r in column_quality(cleaned.df).collect()}
+    assert quality["source.system"]["unique"] == 1 and quality["analyst hours"]["dtype"] == "double"
+    assert column_quality(cleaned.df, exact=False).count() == dataset_summary(cleaned.df).count() == 18
+
+
 def test_empty_input(make):
     with pytest.raises(ValueError, match="empty"):
         clean_incidents(make().limit(0))
