@@ -42,6 +42,14 @@ from breachlens.sources import IncidentTable, new_folder, write_csv
 from breachlens.sources.incident_table import load_engineered
 from breachlens.sources.layers import write_json_report
 
+try:  # the subpackage is optional; its queries are added if it is there
+    import corpus_pipeline
+    from breachlens.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "breachlens.llm"):
+        raise
+    llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -328,7 +336,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def ask(question):
         return lambda spark, sf_dir: question(incidents(spark, sf_dir))
 
+    llm = {}
+    if llm_queries is not None:
+        llm = {**llm_queries.queries(), "pipeline": corpus_pipeline.run}
     return {
+        **llm,
         **{name: ask(question) for name, question in QUESTIONS.items()},
         "clean_dedupe": clean_dedupe,
         "clean_text": _clean(INCIDENT_ID, *CATEGORY_COLUMNS),
@@ -373,4 +385,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    texts = oracle_queries.oracle_sql()
+    if llm_queries is not None:
+        texts |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            texts["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return texts
