@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breachlens.llm import quality
+from breachlens.llm import decontamination, quality
 from breachlens.llm.common import ship_package
 from breachlens.llm.sql import ORACLE_SQL
 
@@ -17,6 +17,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated_documents(
+        spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality.quality_ledger(_table(spark, sf_dir, "documents"))
     return ledger.select(
@@ -28,7 +38,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_quality": op7_quality}
+    return {"op1_decontamination": op1_decontamination, "op7_quality": op7_quality}
 
 
 def oracle_sql() -> dict[str, str]:

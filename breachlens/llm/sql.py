@@ -40,4 +40,33 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM judged
 """
 
-ORACLE_SQL = {"op7_quality": _QUALITY}
+_DECONTAMINATION = r"""
+WITH lowered AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT item_id::VARCHAR AS item,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 13) AS n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS win
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+places AS (
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM lowered CROSS JOIN (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+hits AS (SELECT r, i, n, item FROM places JOIN windows USING (n, win)),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+found AS (
+  SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM lowered LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
+"""
+
+ORACLE_SQL = {"op1_decontamination": _DECONTAMINATION, "op7_quality": _QUALITY}
