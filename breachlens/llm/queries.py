@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breachlens.llm import decontamination, quality
+from breachlens.llm import decontamination, line_dedup, quality
 from breachlens.llm.common import ship_package
 from breachlens.llm.sql import ORACLE_SQL
+from breachlens.sources import new_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,8 +38,17 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "text", (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("bigint").alias("n_lines")
+    )
+    kept = line_dedup.drop_repeated_lines(spark, docs, new_folder(spark, "lines"), n_dropped="n_dropped")
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontamination": op1_decontamination, "op7_quality": op7_quality}
+    return {"op1_decontamination": op1_decontamination, "op7_quality": op7_quality, "op9_line_dedup": op9_line_dedup}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,0 +1,94 @@
+import random
+from collections import defaultdict
+
+import pytest
+
+from breachlens.llm.cuckoo import CuckooFilter
+from breachlens.llm.line_dedup import LineStore, drop_repeated_lines, line_key
+
+LONG = "a line that is long enough"
+CASES = [
+    (1, f"{LONG}\nshort\n{LONG}\nown line of one\n"), (2, f"  {LONG.upper()} \t\nshort\nelse and more"), (3, None), (4, ""),
+    (5, "\n\n"), (6, LONG), (6, f"{LONG}\nelse and more"), (7, "exactly10c\n\x0b exactly10c \r"), (8, "EXACTLY10C"),
+    (9, "ééééééééé"), (10, "ééééééééé"), (11, "éééééééééé"), (12, "éééééééééé"), (13, "É" * 10), (14, f"{LONG}\n" * 5000),
+    (15, "sep inside"), (16, "sep inside\x1c"), (17, " non breaking "), (18, " non breaking "),
+]
+
+
+def dropped(docs):
+    """Brute force: kept text by position in ``docs``."""
+    order = lambda i: (i is None, i or 0)
+    holders = defaultdict(set)
+    for i, text in docs:
+        for line in (text or "").encode().split(b"\n"):
+            if line_key(line):
+                holders[line_key(line)].add(order(i))
+    out = []
+    for i, text in docs:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if not (line_key(x.encode()) and min(holders[line_key(x.encode())]) != order(i))]
+        out.append((i, None if text is None else "\n".join(kept), len(lines) - len(kept)))
+    return out
+
+
+def test_query_equals_sql(spark, docs, folder_of, against_sql):
+    against_sql(spark, "op9_line_dedup", folder_of(documents=docs(*CASES), benchmark=docs((1, "x"))))
+
+
+def test_empty_table(spark, docs, folder_of, against_sql):
+    against_sql(spark, "op9_line_dedup", folder_of(documents=docs((1, "x")).where("false"), benchmark=docs((1, "x"))))
+
+
+def test_rows_without_id_and_clashing_columns(spark, docs, tmp_path):
+    cases = [*CASES, (None, LONG), (None, f"{LONG}\nonly without id"), (None, "only without id")]
+    table = docs(*cases).selectExpr("*", "1 AS dedup_id", "2 AS dedup_keys", "3 AS key")
+    found = drop_repeated_lines(spark, table, f"{tmp_path}/store", n_dropped="n_dropped")
+    assert found.columns == [*table.columns, "n_dropped"]
+    assert sorted(map(repr, found.select("doc_id", "text", "n_dropped").collect())) == sorted(
+        f"Row(doc_id={i!r}, text={t!r}, n_dropped={n!r})" for i, t, n in dropped(cases)
+    )
+
+
+def test_deletions_undo_insertions(spark, docs, tmp_path):
+    rng = random.Random(3)
+    pool = [f"sentence number {i} of the pool" for i in range(40)]
+    text = lambda: "\n".join(rng.choice(pool) for _ in range(rng.randrange(6)))
+    first, second = [(i, text()) for i in range(0, 30, 2)], [(i, text()) for i in range(1, 31, 2)]
+    store = LineStore(spark, f"{tmp_path}/store")
+    state = lambda: sorted(map(tuple, store.counts.select("key", "n_docs", "first_doc", "repeated").collect()))
+    kept = lambda rows: sorted((r.doc_id, r.text, r.n) for r in store.dedupe(docs(*rows), n_dropped="n").collect())
+    store.insert(docs(*first))
+    before = state()
+    assert kept(first) == sorted(dropped(first))
+    store.insert(docs(*second))
+    assert kept(first + second) == sorted(dropped(first + second))
+    assert sum(n for _, n, _, _ in state()) == sum(len({x for x in t.split("\n") if x}) for _, t in first + second)
+    store.insert(docs(*second[:3]))  # a second time: no change
+    assert kept(first + second) == sorted(dropped(first + second))
+    store.delete(docs(*second, (999, "never inserted")))
+    assert state() == before
+    assert kept(first) == sorted(dropped(first))
+
+
+@pytest.mark.parametrize("n", [0, 1, 5000])
+def test_cuckoo_filter(n):
+    rng = random.Random(n)
+    keys, others = ([rng.randbytes(16) for _ in range(n)] for _ in range(2))
+    cuckoo = CuckooFilter.sized(n)
+    cuckoo.add(keys)
+    assert not cuckoo.open
+    cuckoo = CuckooFilter.load(cuckoo.dump())
+    assert cuckoo.holds(keys).all()
+    assert cuckoo.holds(others).sum() <= n * 0.01
+    cuckoo.remove(keys[: n // 2])
+    assert cuckoo.holds(keys[n // 2 :]).all()
+    assert cuckoo.holds(keys[: n // 2]).sum() <= n * 0.01
+    cuckoo.remove(keys[n // 2 :])
+    assert not cuckoo.table.any()
+
+
+def test_overfull_filter_admits_everything():
+    rng = random.Random(0)
+    cuckoo = CuckooFilter.sized(8)
+    cuckoo.add([rng.randbytes(16) for _ in range(500)])
+    assert CuckooFilter.load(cuckoo.dump()).holds([rng.randbytes(16)]).all()
