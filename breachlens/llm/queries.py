@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breachlens.llm import decontamination, line_dedup, quality
+from breachlens.llm import decontamination, licenses, line_dedup, quality
 from breachlens.llm.common import ship_package
 from breachlens.llm.sql import ORACLE_SQL
 from breachlens.sources import new_folder
@@ -28,6 +28,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality.quality_ledger(_table(spark, sf_dir, "documents"))
     return ledger.select(
@@ -48,7 +52,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontamination": op1_decontamination, "op7_quality": op7_quality, "op9_line_dedup": op9_line_dedup}
+    return {"op1_decontamination": op1_decontamination, "op3_licenses": op3_licenses, "op7_quality": op7_quality, "op9_line_dedup": op9_line_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
