@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breachlens.llm import decontamination, licenses, line_dedup, quality
-from breachlens.llm.common import ship_package
+from breachlens.llm import bpe, decontamination, licenses, line_dedup, quality
+from breachlens.llm.common import ship_package, utf8
 from breachlens.llm.sql import ORACLE_SQL
 from breachlens.sources import new_folder
 
@@ -32,6 +33,16 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = bpe.encode(utf8("text"), path)
+    coded = _table(spark, sf_dir, "documents").select("doc_id", ids.alias("ids"))
+    return coded.select(
+        "doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"),
+    )
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality.quality_ledger(_table(spark, sf_dir, "documents"))
     return ledger.select(
@@ -52,7 +63,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontamination": op1_decontamination, "op3_licenses": op3_licenses, "op7_quality": op7_quality, "op9_line_dedup": op9_line_dedup}
+    return {"op1_decontamination": op1_decontamination, "op3_licenses": op3_licenses, "op5_bpe": op5_bpe, "op7_quality": op7_quality, "op9_line_dedup": op9_line_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
