@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breachlens.llm import bpe, decontamination, licenses, line_dedup, quality
+from breachlens.llm import bpe, decontamination, licenses, line_dedup, quality, token_files
 from breachlens.llm.common import ship_package, utf8
 from breachlens.llm.sql import ORACLE_SQL
 from breachlens.sources import new_folder
@@ -33,6 +33,17 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-files")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_token_files(_table(spark, sf_dir, "documents"), folder, path)
+    read = token_files.read_token_files(spark, folder).select(
+        "part", "start", "doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+    placed = read.join(token_files.part_starts(spark, folder), "part")
+    return placed.select("doc_id", (F.col("part_start") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = bpe.encode(utf8("text"), path)
@@ -63,7 +74,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontamination": op1_decontamination, "op3_licenses": op3_licenses, "op5_bpe": op5_bpe, "op7_quality": op7_quality, "op9_line_dedup": op9_line_dedup}
+    return {"op1_decontamination": op1_decontamination, "op3_licenses": op3_licenses, "op4_token_files": op4_token_files, "op5_bpe": op5_bpe, "op7_quality": op7_quality, "op9_line_dedup": op9_line_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
