@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breachlens.llm import bpe, decontamination, language, licenses, line_dedup, quality, simhash, token_files
+from breachlens.llm import bpe, decontamination, language, licenses, line_dedup, quality, secret_scan, simhash, token_files
 from breachlens.llm.common import ship_package, utf8
 from breachlens.llm.sql import ORACLE_SQL
 from breachlens.sources import new_folder
@@ -88,8 +88,16 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(_table(spark, sf_dir, "documents"), path_col="source")
+    return found.select("doc_id", "finding", "kind", "start", "stop", F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontamination": op1_decontamination, "op2_language": op2_language, "op3_licenses": op3_licenses, "op4_token_files": op4_token_files, "op5_bpe": op5_bpe, "op7_quality": op7_quality, "op8_simhash": op8_simhash, "op9_line_dedup": op9_line_dedup}
+    return {
+        "op1_decontamination": op1_decontamination, "op2_language": op2_language, "op3_licenses": op3_licenses, "op4_token_files": op4_token_files, "op5_bpe": op5_bpe, "op7_quality": op7_quality, "op8_simhash": op8_simhash, "op9_line_dedup": op9_line_dedup,
+        "op10_secrets": op10_secrets,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
