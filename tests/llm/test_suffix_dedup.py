@@ -1,0 +1,109 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from breachlens.llm import suffix_dedup
+from breachlens.llm.queries import queries
+from breachlens.llm.suffix_arrays import common_prefixes, suffix_order
+
+L = suffix_dedup.LENGTH
+
+
+def random_bytes(rng, n):
+    return bytes(rng.choice(b"ab\0") for _ in range(n))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_order_and_common_prefixes_equal_brute_force(seed):
+    rng = random.Random(seed)
+    parts = [random_bytes(rng, rng.randrange(1, 90)) for _ in range(20)]
+    parts += [parts[0] * 2, b"a" * 200, b"ab" * 70, b"\0" * 100][: seed % 5]
+    text = b"".join(parts)
+    depth = [1, 8, 9, 50, 64, 50][seed]
+    order = suffix_order(np.frombuffer(text, np.uint8), depth)
+    assert sorted(order) == list(range(len(text)))
+    padded = text + bytes(depth)
+    keys = [padded[i : i + depth] for i in order]
+    assert keys == sorted(keys)
+    sizes = np.array([len(p) for p in parts])
+    shared = common_prefixes(np.frombuffer(text, np.uint8), order, np.cumsum(sizes) - sizes, sizes, depth)
+    for a, b, n in zip(order[:-1], order[1:], shared[1:]):
+        x, y = text[a:], text[b:]
+        true = next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+        assert min(true, depth) <= n <= true
+    assert shared[0] == 0
+
+
+def test_empty_array():
+    empty = np.empty(0, np.uint8)
+    assert len(suffix_order(empty, 50)) == 0
+    assert len(common_prefixes(empty, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), 50)) == 0
+
+
+def test_merging_arrays_equals_one_array():
+    rng = random.Random(4)
+    pool = [random_bytes(rng, L + 20) for _ in range(12)]
+    passages = [rng.choice(pool)[rng.randrange(10) :][: L + rng.randrange(1, 10)] for _ in range(60)]
+    holders = np.array([rng.randrange(1000) for _ in passages])
+    made = [suffix_dedup.sorted_strings(passages[i : i + 9], holders[i : i + 9]) for i in range(0, 60, 9)]
+    suffix_dedup.merge_sorted([(s, least) for s, least, _ in made])
+    found = np.concatenate([least[number] for _, least, number in made])
+    windows = [p[i : i + L] for p in passages for i in range(len(p) - L + 1)]
+    of = [h for p, h in zip(passages, holders) for _ in range(len(p) - L + 1)]
+    least = {w: min(h for v, h in zip(windows, of) if v == w) for w in set(windows)}
+    assert found.tolist() == [least[w] for w in windows]
+
+
+def slow_removal(cases):
+    order = lambda i: (i is None, i or 0)
+    first, texts = {}, [(i, (t or "").encode()) for i, t in cases]
+    for i, text in texts:
+        for a in range(len(text) - L + 1):
+            key = text[a : a + L]
+            first[key] = min(order(i), first.get(key, order(i)))
+    out = []
+    for i, text in texts:
+        gone = [False] * len(text)
+        for a in range(len(text) - L + 1):
+            if first[text[a : a + L]] < order(i):
+                gone[a : a + L] = [True] * L
+        kept = bytes(b for b, g in zip(text, gone) if not g)
+        spans = sum(g and not h for g, h in zip(gone, [False, *gone[:-1]]))
+        out.append((i, len(text), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def random_cases(seed):
+    rng = random.Random(seed)
+    alphabet = ["abcdefgh ", "ab", "é中x"][seed % 3]
+    make = lambda n: "".join(rng.choice(alphabet) for _ in range(n))
+    pool = [make(rng.choice([49, 50, 51, 80, 300])) for _ in range(8)]
+    cases = [(1000 + i, t) for i, t in enumerate([None, "", "short", "a" * 500, "a" * 700, "ab" * 100, "a" * 49, "a" * 50])]
+    for i in range(25):
+        parts = [rng.choice(pool) if rng.random() < 0.6 else make(rng.randrange(60)) for _ in range(rng.randrange(6))]
+        cases.append((rng.randrange(500), "".join(parts)))
+    cases += [cases[-1], (None, pool[-1] + "z"), (None, pool[-1] + "y"), (2000, "".join(pool) * 20)]
+    rng.shuffle(cases)
+    return cases
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_query_equals_brute_force(spark, docs, folder_of, monkeypatch, seed):
+    for name, value in zip(
+        ("SEGMENT_BYTES", "CHUNK", "SHARD_TEXT", "ARRAY_BYTES"),
+        [(4 << 20, 4 << 20, 16 << 20, 4 << 20), (500, 64, 300, 200), (1, 1 << 20, 1 << 20, 100), (3000, 1000, 100, 1 << 20)][seed],
+    ):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    cases = random_cases(seed)
+    found = queries()["op6_suffix_dedup"](spark, folder_of(documents=docs(*cases, parts=3)))
+    assert found.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, slow_removal(cases)))
+
+
+def test_empty_and_clean_tables(spark, docs, folder_of):
+    query = queries()["op6_suffix_dedup"]
+    assert query(spark, folder_of(documents=docs((1, "x")).where("false"))).count() == 0
+    table = docs((1, "x"), (2, None)).selectExpr("*", "1 AS segment", "2 AS data", "3 AS shard")
+    assert sorted(r.n_removed for r in query(spark, folder_of(documents=table)).collect()) == [0, 0]
