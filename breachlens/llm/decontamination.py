@@ -295,6 +295,7 @@ def contaminated_documents(
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    bad = contaminated_documents(spark, docs, items, id_col, text_col).where("contaminated").select("doc_id").distinct()
+    found = contaminated_documents(spark, docs, items, id_col, text_col).where("contaminated").select("doc_id").distinct()
+    bad = write_layer(found, new_folder(spark, "contaminated"))  # Spark then knows its size and picks the join by it
     key = unused_name(docs, "contaminated_id")
     return docs.join(bad.withColumnRenamed("doc_id", key), F.col(f"`{id_col}`").eqNullSafe(F.col(key)), "left_anti")
