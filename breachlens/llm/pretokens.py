@@ -13,6 +13,8 @@ import unicodedata
 from functools import cache
 
 import numpy as np
+import pandas as pd
+import xxhash
 
 _END, _LETTER, _NUMBER, _SPACE, _OTHER = range(5)
 #: Stands between texts; no UTF-8 text holds it.
@@ -101,3 +103,68 @@ def cut_pretokens(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np
     sizes = np.array([len(t) for t in texts], np.int64)
     edges = np.searchsorted(starts, np.cumsum(sizes + 1))
     return data_bytes, starts, lengths, np.diff(edges, prepend=0)
+
+
+# --- equal pieces ---------------------------------------------------------------
+#: Bytes of a piece that are compared as four 8-byte words.
+WORD_BYTES = 32
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """64-bit numbers with their bits mixed."""
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def _two_words(data: bytes, starts: np.ndarray, lengths: np.ndarray, first: int) -> list[np.ndarray]:
+    """Two 8-byte words of each piece from byte ``first`` on, zero beyond its end."""
+    view = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    out = []
+    for offset in (first, first + 8):
+        at = np.minimum(starts + offset, len(view) - 1)
+        out.append(view[at] & _MASKS[np.clip(lengths - offset, 0, 8)])
+    return out
+
+
+def piece_words(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(hash of the length and first ``WORD_BYTES`` bytes, those bytes as four words) of each piece.
+
+    ``data`` must go on for as many bytes behind the last piece.
+    """
+    words = _two_words(data, starts, lengths, 0)
+    h = mixed(words[0] ^ mixed(lengths.astype(np.uint64)))
+    h = mixed(h ^ words[1])
+    more = np.flatnonzero(lengths > 16)
+    rest = [np.zeros(len(starts), np.uint64) for _ in range(2)]
+    if len(more):
+        for word, part in zip(rest, _two_words(data, starts[more], lengths[more], 16)):
+            word[more] = part
+            h[more] = mixed(h[more] ^ part)
+    return h, words + rest
+
+
+def distinct_pieces(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code of each piece, place of a piece with each code): equal pieces, and only those, share a code."""
+    h, words = piece_words(data, starts, lengths)
+    for i in np.flatnonzero(lengths > WORD_BYTES).tolist():
+        h[i] = xxhash.xxh64_intdigest(data[starts[i] : starts[i] + lengths[i]])
+    codes, seen = pd.factorize(h)
+    first = np.empty(len(seen), np.int64)
+    first[codes[::-1]] = np.arange(len(codes))[::-1]
+    same = lengths == lengths[first[codes]]
+    for word in words:
+        same &= word == word[first[codes]]
+    for i in np.flatnonzero(same & (lengths > WORD_BYTES)).tolist():
+        a, b, n = starts[i], starts[first[codes[i]]], lengths[i]
+        same[i] = data[a : a + n] == data[b : b + n]
+    others: dict[bytes, int] = {}
+    places = first.tolist()
+    for i in np.flatnonzero(~same).tolist():  # equal hashes of different pieces
+        piece = data[starts[i] : starts[i] + lengths[i]]
+        if piece not in others:
+            others[piece] = len(places)
+            places.append(i)
+        codes[i] = others[piece]
+    return codes, np.array(places, np.int64)

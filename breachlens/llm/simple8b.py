@@ -14,24 +14,27 @@ import numpy as np
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 ESCAPE = 15
 #: Values of a block.
-BLOCK = 8192
+BLOCK = 32768
 _POWERS = np.array([1 << n for n in range(64)], np.uint64)
+_WIDTHS = np.searchsorted(_POWERS, np.arange(1 << 16, dtype=np.uint64), "right").astype(np.uint8)
 
 
 def _word_sizes(values: np.ndarray) -> np.ndarray:
     """How many of the values from each position on a word would take; 0 where an escape is due."""
     n = len(values)
     width = np.zeros(n + 64, np.uint8)
-    width[:n] = np.searchsorted(_POWERS, values, "right")
+    small = values < len(_WIDTHS)
+    width[:n] = _WIDTHS[np.where(small, values, 0).astype(np.uint16)]
+    width[:n][~small] = np.searchsorted(_POWERS, values[~small], "right")
     most = {1: width}
     for count in sorted(COUNTS)[1:]:  # largest width among the next ``count``, from two shorter runs
         half = max(c for c in most if 2 * c >= count and c < count)
         wide = most[half].copy()
         np.maximum(wide[: len(wide) - (count - half)], most[half][count - half :], out=wide[: len(wide) - (count - half)])
         most[count] = wide
-    size = (width <= 60).astype(np.uint8)
+    size = (width <= 60).view(np.uint8)
     for count in sorted(COUNTS)[1:]:
-        size[most[count] <= 60 // count] = count
+        np.maximum(size, (most[count] <= 60 // count).view(np.uint8) * np.uint8(count), out=size)
     return size[:n]
 
 
@@ -53,9 +56,10 @@ def encode_block(values: np.ndarray) -> np.ndarray:
     for selector, count in enumerate(COUNTS):
         mine = size == count
         if mine.any():
-            shifts = np.arange(count, dtype=np.uint64) * np.uint64(60 // count)
-            parts = padded[start[mine][:, None] + np.arange(count)] << shifts
-            words[place[mine]] = np.bitwise_or.reduce(parts, 1) | np.uint64(selector << 60)
+            first, packed = start[mine], np.full(int(mine.sum()), selector << 60, np.uint64)
+            for i in range(count):
+                packed |= padded[first + i] << np.uint64(i * (60 // count))
+            words[place[mine]] = packed
     escaped = size == 0
     words[place[escaped]] = np.uint64(ESCAPE << 60)
     words[place[escaped] + 1] = values[start[escaped]]
@@ -82,7 +86,7 @@ def decode(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
     count[raw] = 1
     # values stand before each word: what earlier words of its block hold, after all earlier blocks
     before = np.cumsum(count) - count
-    block = np.searchsorted(offsets, np.arange(len(words)), "right") - 1
+    block = np.repeat(np.arange(len(offsets)), np.diff(offsets, append=len(words)))
     place = before - before[offsets][block] + block * BLOCK if len(words) else before
     limit = np.minimum((block + 1) * BLOCK, n)
     out = np.empty(n + 64, np.uint64)
@@ -92,8 +96,11 @@ def decode(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
         if len(mine):
             bits = 60 // size
             mask = np.uint64((1 << bits) - 1)
-            to = place[mine][:, None] + np.arange(size)
-            parts = (words[mine][:, None] >> (np.arange(size, dtype=np.uint64) * np.uint64(bits))) & mask
-            good = to < limit[mine][:, None]
-            out[to[good]] = parts[good]
+            ends = place[mine] + size > limit[mine]  # last words of blocks, filled up with zeros
+            first, held = place[mine][~ends], words[mine][~ends]
+            for i in range(size):
+                out[first + i] = held >> np.uint64(i * bits) & mask
+            for at in mine[ends].tolist():
+                left = int(limit[at] - place[at])
+                out[place[at] : limit[at]] = words[at] >> np.arange(left, dtype=np.uint64) * np.uint64(bits) & mask
     return out[:n]

@@ -12,8 +12,10 @@ the order of their texts; rows without id come first.
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -24,14 +26,14 @@ from pyspark.sql import functions as F
 
 from breachlens.llm import simple8b
 from breachlens.llm.common import blocks, utf8
-from breachlens.llm.pretokens import cut_pretokens, valid_utf8
+from breachlens.llm.pretokens import cut_pretokens, distinct_pieces, valid_utf8
 
 #: Token ids of one row; a longer document is a row of its own.
 ROW_IDS = 1 << 18
 #: Text bytes that are tokenized together.
 BLOCK_BYTES = 2 << 20
 #: Pre-tokens whose ids a worker remembers.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 700_000
 
 FILE = (
     "part int, row int, start bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, "
@@ -44,6 +46,8 @@ _ARROW = pa.schema(
     ]
 )
 DOCUMENT = "part int, start bigint, doc_id bigint, n_tokens bigint, ids binary"
+#: Pre-tokens that are joined to one text for the library.
+_JOINED = 256
 #: Fixed value: a pre-tokenizer that cuts texts as ``cut_pretokens`` does.
 _BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 
@@ -57,6 +61,7 @@ class Encoder:
     """
 
     def __init__(self, tokenizer_json: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(tokenizer_json)
@@ -64,34 +69,56 @@ class Encoder:
         spec = json.loads(tokenizer_json)
         kind = {k: (spec.get("pre_tokenizer") or {}).get(k, d) for k, d in (("type", None), ("add_prefix_space", True), ("use_regex", True))}
         self.by_piece = kind == _BYTE_LEVEL and spec.get("normalizer") is None and spec["model"]["type"] == "BPE"
+        #: bytes of each token: its text has a character for each
+        self.sizes = np.zeros(self.library.get_vocab_size(), np.int64)
+        for token, i in self.library.get_vocab().items() if self.by_piece else ():
+            self.sizes[i] = len(token)
         self._forget()
 
     def _forget(self) -> None:
         self.slots: dict[bytes, int] = {}
         self.ids, self.ends = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
-    def _ask(self, texts: list[bytes]) -> list[list[int]]:
-        found = self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [x.ids for x in found]
+    def _ask(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, number of ids of each)."""
+        found = [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), np.uint32), np.array([len(x) for x in found], np.int64)
+
+    def _ask_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pre-tokens that begin with a space. Joined, they are cut as before, and the
+        library needs a third less time; where its tokens don't end with the words, it is asked anew."""
+        ids, _ = self._ask(["".join(words[i : i + _JOINED]) for i in range(0, len(words), _JOINED)])
+        ends = np.cumsum([len(w.encode()) for w in words])
+        token_ends = np.cumsum(self.sizes[ids])
+        last = np.searchsorted(token_ends, ends)
+        if len(ids) and last[-1] + 1 == len(ids) and (token_ends[last] == ends).all():
+            return ids, np.diff(last, prepend=-1)
+        return self._ask(words)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each)."""
         if not self.by_piece:
-            ids = self._ask(texts)
-            return np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64)
+            return self._ask([t.decode() for t in texts])
         if len(self.slots) > CACHE_ENTRIES:
             self._forget()
         data, starts, lengths, per_text = cut_pretokens(texts)
-        pieces = [data[a:b] for a, b in zip(starts.tolist(), (starts + lengths).tolist())]
+        codes, places = distinct_pieces(data, starts, lengths)
+        pieces = [data[a:b] for a, b in zip(starts[places].tolist(), (starts + lengths)[places].tolist())]
         known = self.slots
-        new = list(dict.fromkeys(p for p in pieces if p not in known))
-        for piece, number in zip(new, range(len(known), len(known) + len(new))):
-            known[piece] = number
+        slots = list(map(known.get, pieces))
+        new = [i for i, slot in enumerate(slots) if slot is None]
         if new:
-            asked = self._ask(new)
-            self.ids = np.concatenate([self.ids, np.array([i for x in asked for i in x], np.uint32)])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in asked])])
-        slots = np.array(list(map(known.__getitem__, pieces)), np.int64)
+            strings = {i: pieces[i].decode() for i in new}
+            words = [i for i in new if len(strings[i]) > 1 and strings[i][0] == " " and not strings[i][1].isspace()]
+            rest = sorted(set(new) - set(words))
+            for ask, which in ((self._ask_words, words), (self._ask, rest)):
+                if which:
+                    for i in which:
+                        slots[i] = known[pieces[i]] = len(known)
+                    ids, counts = ask([strings[i] for i in which])
+                    self.ids = np.concatenate([self.ids, ids])
+                    self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
+        slots = np.array(slots, np.int64)[codes]
         n = self.ends[slots + 1] - self.ends[slots]
         total = np.cumsum(n)
         ids = self.ids[np.arange(int(n.sum())) + np.repeat(self.ends[slots] - total + n, n)]

@@ -56,6 +56,14 @@ def test_ids_equal_the_library(monkeypatch, name):
         assert ids.tolist() == [i for x in expected for i in x]
 
 
+def test_words_whose_tokens_run_on_are_asked_one_by_one():
+    encoder = token_files.Encoder(open(PATH, encoding="utf-8").read())
+    words = [" the", "re", " is", "n't"]  # joined, these are other pre-tokens
+    ids, counts = encoder._ask_words(words)
+    expected = [library().encode(w, add_special_tokens=False).ids for w in words]
+    assert ids.tolist() == [i for x in expected for i in x] and counts.tolist() == [len(x) for x in expected]
+
+
 @pytest.mark.parametrize("row_ids", [1, 50, 1 << 18])
 def test_query_equals_the_library(spark, docs, folder_of, monkeypatch, row_ids):
     monkeypatch.setattr(token_files, "ROW_IDS", row_ids)
