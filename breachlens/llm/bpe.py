@@ -25,14 +25,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from breachlens.llm.common import blocks
-from breachlens.llm.pretokens import cut_pretokens, valid_utf8
+from breachlens.llm.pretokens import WORD_BYTES, cut_pretokens, distinct_pieces, mixed, piece_words, valid_utf8
 
 #: Text bytes that are encoded together.
 BLOCK_BYTES = 2 << 20
 #: Merged pre-tokens that a worker remembers.
 CACHE_ENTRIES = 500_000
-#: Longest entry that the hash resolves; longer ones go through the merges' own look-up.
-_HASHED = 32
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -41,34 +39,15 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(entry): int(rank) for entry, rank in (line.split() for line in lines if line)}
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
-
-
-_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
-
-
-def _words(data: bytes, starts: np.ndarray, lengths: np.ndarray, first: int) -> list[np.ndarray]:
-    """Two 8-byte words of each piece from byte ``first`` on, zero beyond its end."""
-    view = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
-    out = []
-    for offset in (first, first + 8):
-        at = np.minimum(starts + offset, len(view) - 1)
-        out.append(view[at] & _MASKS[np.clip(lengths - offset, 0, 8)])
-    return out
-
-
 class PerfectHash:
     """Minimal perfect hash of byte strings to 0..n-1: levels of slots that one remaining key hits alone."""
 
     def __init__(self, keys: list[bytes]):
         self.levels: list[np.ndarray] = []
-        data = b"".join(keys) + bytes(_HASHED + 8)
+        data = b"".join(keys) + bytes(WORD_BYTES + 8)
         lengths = np.array([len(k) for k in keys], np.int64)
         starts = np.cumsum(lengths) - lengths
-        h, words = self._hash(data, starts, lengths)
+        h, words = piece_words(data, starts, lengths)
         left, placed = np.arange(len(keys)), 0
         index = np.empty(len(keys), np.int64)
         while len(left):
@@ -84,26 +63,13 @@ class PerfectHash:
         self.lengths = lengths[self.order]
         self.words = [w[self.order] for w in words]
 
-    @staticmethod
-    def _hash(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        words = _words(data, starts, lengths, 0)
-        h = _mixed(words[0] + lengths.astype(np.uint64))
-        h = _mixed(h ^ words[1])
-        more = np.flatnonzero(lengths > 16)
-        rest = [np.zeros(len(starts), np.uint64) for _ in range(2)]
-        if len(more):
-            for word, part in zip(rest, _words(data, starts[more], lengths[more], 16)):
-                word[more] = part
-                h[more] = _mixed(h[more] ^ part)
-        return h, words + rest
-
     @staticmethod
     def _slot(h: np.ndarray, level: int, size: int) -> np.ndarray:
-        return (_mixed(h + np.uint64(0x632BE59BD9B4E019 * (level + 1) & (1 << 64) - 1)) % np.uint64(size)).astype(np.int64)
+        return (mixed(h + np.uint64(0x632BE59BD9B4E019 * (level + 1) & (1 << 64) - 1)) % np.uint64(size)).astype(np.int64)
 
     def find(self, data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Number of each piece's key in the list the hash was built from; -1 for other pieces."""
-        h, words = self._hash(data, starts, lengths)
+        h, words = piece_words(data, starts, lengths)
         index = np.full(len(starts), -1, np.int64)
         left = np.arange(len(starts))
         for number, level in enumerate(self.levels):
@@ -112,7 +78,7 @@ class PerfectHash:
             left = left[found < 0]
             if not len(left):
                 break
-        same = (index >= 0) & (lengths <= _HASHED)
+        same = (index >= 0) & (lengths <= WORD_BYTES)
         at = np.where(same, index, 0)
         same &= self.lengths[at] == lengths
         for mine, theirs in zip(self.words, words):
@@ -126,7 +92,7 @@ class Coder:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         entries = list(ranks)
-        short = [e for e in entries if len(e) <= _HASHED]
+        short = [e for e in entries if len(e) <= WORD_BYTES]
         self.hash = PerfectHash(short)
         self.short_ids = np.array([ranks[e] for e in short], np.uint32)
         by_id = {i: e for e, i in ranks.items()}
@@ -165,17 +131,14 @@ class Coder:
         return out
 
     def _slots(self, pieces: list[bytes]) -> np.ndarray:
-        """Numbers under which the pieces' ids are kept; unseen pieces are merged first."""
+        """Numbers under which the ids of distinct pieces are kept; unseen pieces are merged first."""
         known = self.slots
         slots = list(map(known.get, pieces))
         for i, slot in enumerate(slots):
             if slot is None:
-                slot = known.get(pieces[i])
-                if slot is None:
-                    slot = known[pieces[i]] = len(known)
-                    self.merged.extend(self.merge(pieces[i]))
-                    self.ends.append(len(self.merged))
-                slots[i] = slot
+                slots[i] = known[pieces[i]] = len(known)
+                self.merged.extend(self.merge(pieces[i]))
+                self.ends.append(len(self.merged))
         return np.array(slots, np.int64)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
@@ -185,8 +148,9 @@ class Coder:
         missed = np.flatnonzero(found < 0)
         if len(self.slots) > CACHE_ENTRIES:
             self._forget()
-        places = zip(starts[missed].tolist(), (starts[missed] + lengths[missed]).tolist())
-        slots = self._slots([data[a:b] for a, b in places])
+        codes, places = distinct_pieces(data, starts[missed], lengths[missed])
+        begins, ends = starts[missed][places], (starts + lengths)[missed][places]
+        slots = self._slots([data[a:b] for a, b in zip(begins.tolist(), ends.tolist())])[codes]
         ends, merged = np.array(self.ends), np.array(self.merged, np.uint32)
         counts = np.ones(len(starts), np.int64)
         counts[missed] = ends[slots + 1] - ends[slots]
@@ -212,12 +176,14 @@ def _coder(ranks: bytes) -> Coder:
     return Coder({base64.b64decode(entry): int(rank) for entry, rank in lines})
 
 
-def encode_texts(coder: Coder, texts: list[bytes | None]) -> list[np.ndarray]:
-    """Ids of each text, encoded in blocks of bounded size."""
-    out: list[np.ndarray] = []
+def encode_texts(coder: Coder, texts: list[bytes | None]) -> Iterator[list[np.ndarray]]:
+    """Ids of each text, in blocks of bounded size."""
     for start, stop in blocks(texts, BLOCK_BYTES):
-        out += coder.encode([valid_utf8(t) for t in texts[start:stop]])
-    return out
+        yield coder.encode([valid_utf8(t) for t in texts[start:stop]])
+
+
+def _binary(ids: np.ndarray) -> bytes:
+    return ids.astype("<u4").tobytes()
 
 
 def encode(text: Column, ranks_path: str) -> Column:
@@ -226,7 +192,8 @@ def encode(text: Column, ranks_path: str) -> Column:
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([ids.astype("<u4").tobytes() for ids in encode_texts(_coder(ranks), batch.tolist())], dtype=object)
+            for found in encode_texts(_coder(ranks), batch.tolist()):
+                yield pd.Series([_binary(ids) for ids in found], dtype=object)
 
     return F.pandas_udf(run, "binary")(text)
 
@@ -240,3 +207,16 @@ def decode(ids: Column, ranks_path: str) -> Column:
             yield pd.Series([None if x is None else _coder(ranks).decode(np.frombuffer(x, "<u4")) for x in batch], dtype=object)
 
     return F.pandas_udf(run, "binary")(ids)
+
+
+def encode_and_decode(text: Column, ranks_path: str) -> Column:
+    """struct(ids, decoded): a round trip in one Python worker, where two would hold the texts twice."""
+    ranks = Path(ranks_path).read_bytes()
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for found in encode_texts(_coder(ranks), batch.tolist()):
+                sent = [_binary(ids) for ids in found]
+                yield pd.DataFrame({"ids": sent, "decoded": [_coder(ranks).decode(np.frombuffer(x, "<u4")) for x in sent]})
+
+    return F.pandas_udf(run, "ids binary, decoded binary")(text)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breachlens.llm import bpe, decontamination, language, licenses, line_dedup, quality, secret_scan, simhash, token_files
+from breachlens.llm import bpe, decontamination, language, licenses, line_dedup, quality, secret_scan, simhash, suffix_dedup, token_files
 from breachlens.llm.common import ship_package, utf8
 from breachlens.llm.sql import ORACLE_SQL
 from breachlens.sources import new_folder
@@ -56,11 +56,18 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(utf8("text"), path)
-    coded = _table(spark, sf_dir, "documents").select("doc_id", ids.alias("ids"))
-    return coded.select(
+    coded = _table(spark, sf_dir, "documents").select("doc_id", bpe.encode_and_decode(utf8("text"), path).alias("coded"))
+    return coded.select("doc_id", "coded.*").select(
         "doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(spark, _table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
     )
 
 
@@ -95,7 +102,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "op1_decontamination": op1_decontamination, "op2_language": op2_language, "op3_licenses": op3_licenses, "op4_token_files": op4_token_files, "op5_bpe": op5_bpe, "op7_quality": op7_quality, "op8_simhash": op8_simhash, "op9_line_dedup": op9_line_dedup,
+        "op1_decontamination": op1_decontamination, "op2_language": op2_language, "op3_licenses": op3_licenses, "op4_token_files": op4_token_files, "op5_bpe": op5_bpe, "op6_suffix_dedup": op6_suffix_dedup, "op7_quality": op7_quality, "op8_simhash": op8_simhash, "op9_line_dedup": op9_line_dedup,
         "op10_secrets": op10_secrets,
     }
 
