@@ -17,7 +17,9 @@ def main() -> None:
     parser.add_argument("--reference-date", default=REFERENCE_DATE)
     parser.add_argument("--table", default=TABLE_NAME)
     parser.add_argument("--export-csv", action="store_true")
-    parser.add_argument("--single-line", action="store_true", help="no line breaks inside quotes")
+    parser.add_argument(
+        "--multi-line", action=argparse.BooleanOptionalAction, help="whether quoted cells hold line breaks (default: look)"
+    )
     given = parser.parse_args()
     spark = SparkSession.builder.appName("breachlens").getOrCreate()
     result = run_batch(
@@ -26,7 +28,7 @@ def main() -> None:
         given.target,
         reference_date=given.reference_date,
         table_name=given.table,
-        multi_line=not given.single_line,
+        multi_line=given.multi_line,
         export_csv=given.export_csv,
     )
     for name, value in result.summary.items():

@@ -35,13 +35,13 @@ def check_header(names: Iterable[str]) -> None:
     """Reject blank and repeated column names, then missing required ones."""
     names = list(names)
     if any(not name.strip() for name in names):
-        raise ValueError("Dataset contains empty or whitespace-only column name(s).")
+        raise ValueError("A column name is blank.")
     repeated = sorted({name for name in names if names.count(name) > 1})
     if repeated:
-        raise ValueError(f"Dataset contains duplicate column name(s): {repeated}")
+        raise ValueError(f"Column names are repeated: {repeated}")
     missing = sorted(set(INCIDENT_COLUMNS) - set(names))
     if missing:
-        raise ValueError(f"Missing Columns / required columns: {missing}")
+        raise ValueError(f"Missing Columns: {missing}")
 
 
 def check_required(names: Iterable[str], message: str) -> None:
@@ -138,9 +138,9 @@ def duplicate_count(df: DataFrame, rows: int, key: str = INCIDENT_ID) -> int:
 # --- raising ----------------------------------------------------------------
 def check_loaded(rows: int, missing_ids: int) -> None:
     if rows == 0:
-        raise ValueError("Dataset contains no records.")
+        raise ValueError("The source has no rows.")
     if missing_ids:
-        raise ValueError(f"{INCIDENT_ID} contains missing values.")
+        raise ValueError(f"Some rows have no {INCIDENT_ID}.")
 
 
 def warn_duplicates(duplicates: int) -> None:
@@ -156,21 +156,20 @@ def check_cleaned(clean: DataFrame) -> dict[str, Any]:
         {"rows": F.count(F.lit(1)), "broken": count_if(broken), "latest": F.max(INCIDENT_DATE)},
     )
     if not found["rows"]:
-        raise ValueError("Dataset became empty after cleaning.")
+        raise ValueError("Cleaning left no rows.")
     if not found["broken"]:
         return found
     details = measure(clean, {**row_measures(clean), **range_measures()})
     missing = missing_columns(details)
     if INCIDENT_ID in missing:
-        raise ValueError(f"{INCIDENT_ID} contains missing values.")
+        raise ValueError(f"Some rows have no {INCIDENT_ID}.")
     if missing:
-        raise ValueError(f"{sum(missing.values())} missing value(s) remain after cleaning.")
+        raise ValueError(f"Cleaning left gaps: {missing}")
     if infinite_columns(details):
-        raise ValueError("Final validation failed: non-finite numeric values detected.")
+        raise ValueError(f"Cleaning left infinite values in {infinite_columns(details)}")
     name = next(name for name in VALUE_RANGES if details[f"outside:{name}"])
     raise ValueError(
-        f"Final validation failed for '{name}': "
-        f"{details[f'outside:{name}']} value(s) outside the allowed range."
+        f"Cleaning left {details[f'outside:{name}']} values of {name} out of range"
     )
 
 
@@ -186,21 +185,21 @@ def check_complete(df: DataFrame, label: str, expected_rows: int | None = None)
         {"rows": F.count(F.lit(1)), "broken": count_if(incomplete(df)), "no_flag": count_if(no_flag)},
     )
     if not found["rows"]:
-        raise ValueError(f"{label} is empty.")
+        raise ValueError(f"{label} has no rows.")
     if expected_rows is not None and found["rows"] != expected_rows:
-        raise ValueError(f"{label} row-count mismatch: expected {expected_rows}, got {found['rows']}.")
+        raise ValueError(f"{label} has {found['rows']} rows instead of {expected_rows}.")
     if found["broken"]:
         details = measure(df, row_measures(df))
         missing = missing_columns(details)
         if INCIDENT_ID in missing:
-            raise ValueError(f"{label} contains missing {INCIDENT_ID} values.")
+            raise ValueError(f"{label} has rows without {INCIDENT_ID}.")
         if missing:
-            raise ValueError(f"{label} contains missing values: {sorted(missing)}")
-        raise ValueError(f"{label} contains invalid numeric values in {infinite_columns(details)}")
+            raise ValueError(f"{label} has gaps in {sorted(missing)}")
+        raise ValueError(f"{label} has invalid numeric values in {infinite_columns(details)}")
     if found["no_flag"]:
         details = measure(df, flag_measures(df))
         name = next(name for name in FLAG_COLUMNS if details[f"unflag:{name}"])
-        raise ValueError(f"{label} contains invalid boolean values in '{name}'.")
+        raise ValueError(f"{label} has flags other than 0 and 1 in {name}.")
     return found["rows"]
 
 
@@ -216,20 +215,20 @@ def check_feature_input(raw: DataFrame, typed: DataFrame) -> dict[str, Any]:
         },
     )
     if not found["rows"]:
-        raise ValueError("Input dataset is empty.")
+        raise ValueError("The feature input has no rows.")
     details = measure(typed, row_measures(typed.select(*watched))) if found["broken"] else {}
     if details and details[f"missing:{INCIDENT_ID}"]:
-        raise ValueError(f"{INCIDENT_ID} contains missing values.")
+        raise ValueError(f"Some rows have no {INCIDENT_ID}.")
     if duplicate_count(raw, found["rows"]):
-        raise ValueError(f"{INCIDENT_ID} contains duplicate values.")
+        raise ValueError(f"Some {INCIDENT_ID} values are repeated.")
     if not details:
         return found
     if details[f"missing:{INCIDENT_DATE}"]:
-        raise ValueError("incident_date contains invalid or missing values. Expected YYYY-MM-DD format.")
+        raise ValueError("Some rows have an invalid incident_date or none.")
     for name in NUMBER_COLUMNS:
         if details[f"missing:{name}"] or details[f"infinite:{name}"]:
-            raise ValueError(f"Column '{name}' contains invalid numeric values.")
+            raise ValueError(f"{name} has invalid numeric values.")
     given = measure(raw, row_measures(raw.select(*FLAG_COLUMNS)))
     name = next(name for name in FLAG_COLUMNS if details[f"missing:{name}"])
     what = "missing" if given[f"missing:{name}"] else "invalid"
-    raise ValueError(f"Boolean column '{name}' contains {what} values.")
+    raise ValueError(f"{name} has {what} yes/no values.")

@@ -26,6 +26,7 @@ from breachlens.functions import PARSED_COLUMNS, bounded, normalize_category, pa
 from breachlens.operators import bounded_columns, category_counts, keep_first, look_up, order_statistics
 from breachlens.operators.checks import (
     check_cleaned,
+    check_header,
     check_required,
     count_if,
     measure,
@@ -49,7 +50,7 @@ from breachlens.schema import (
     NUMBER_COLUMNS,
     VALUE_RANGES,
 )
-from breachlens.sources.csv_files import SOURCE_ORDER, read_incident_csv
+from breachlens.sources.csv_files import SOURCE_ORDER, land_cells, read_header
 from breachlens.sources.layers import write_layer
 from breachlens.sources.workspace import new_folder
 
@@ -115,14 +116,13 @@ def check_readable(first: DataFrame, order_by: list[str]) -> None:
         return [r["text"] for r in first.where(bad[name]).orderBy(*order_by).select(text).limit(limit).collect()]
 
     if name in NUMBER_COLUMNS:
-        raise ValueError(f"Column '{name}' contains {counts[name]} invalid numeric value(s).")
+        raise ValueError(f"{name}: {counts[name]} invalid numeric values")
     if name in FLAG_COLUMNS:
         raise ValueError(
-            f"Invalid boolean value: {examples(1)[0]!r}. Expected true/false, yes/no, y/n, t/f, or 1/0."
+            f"{name}: {counts[name]} values are neither yes nor no, such as {examples(1)[0]!r}"
         )
     raise ValueError(
-        f"Found {counts[name]} invalid {INCIDENT_DATE} value(s). "
-        f"Expected YYYY-MM-DD format. Examples: {examples(5)}"
+        f"{counts[name]} invalid {INCIDENT_DATE} values are not year-month-day, such as {examples(5)}"
     )
 
 
@@ -251,16 +251,13 @@ def clean_columns(
 
 
 def write_typed(
-    raw: DataFrame, order_by: list[str] | None, folder: str
+    raw: DataFrame, order_by: list[str], folder: str
 ) -> tuple[DataFrame, dict[str, Any]]:
     """Keep the first row per id, type the columns and write the layer the statistics read.
 
     Numbers and flags that are missing stay NULL. Raises if a value cannot be read. Returns the
     layer with its row count and the gaps per column.
     """
-    if order_by is None:
-        order_by = ["_row_order"]
-        raw = raw.withColumn("_row_order", F.monotonically_increasing_id())
     first = keep_first(raw, INCIDENT_ID, order_by)
     kept = first.drop(*[c for c in order_by if c not in INCIDENT_COLUMNS])
     types = {f.name: f.dataType for f in kept.schema.fields}
@@ -306,7 +303,7 @@ def changed_values(typed: DataFrame, stats: dict[str, NumberStatistics]) -> dict
 
 def clean_incidents(
     raw: DataFrame,
-    order_by: list[str] | None = None,
+    order_by: list[str],
     raw_rows: int | None = None,
     folder: str | None = None,
     clean_path: str | None = None,
@@ -314,12 +311,14 @@ def clean_incidents(
     """Raw rows in, checked clean layer and cleaning report out.
 
     ``order_by`` names the columns that tell which of several rows with one id came first; they
-    are dropped unless they belong to the incident columns. Without it the row order of the
-    DataFrame decides, which is only safe for a source read straight from files.
+    are dropped unless they belong to the incident columns. ``raw`` is read more than once unless
+    ``raw_rows`` is given: hand in a landed layer.
     Working layers go to ``folder`` (default: a fresh one in the shared folder), the clean layer
     to ``clean_path`` (default: next to them).
     """
-    check_required(raw.columns, "Missing required columns")
+    if not order_by:
+        raise ValueError("order_by must name the columns that say which row of an id came first.")
+    check_required(raw.columns, "Missing Columns")
     spark = raw.sparkSession
     folder = folder or new_folder(spark, "clean")
     if raw_rows is None:
@@ -349,11 +348,18 @@ def clean_incidents(
     return Cleaned(clean, report, stats, measured, typed, spellings)
 
 
-def read_clean_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_clean_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """A clean layer that was exported as CSV, typed again and landed as Parquet.
 
-    The text is parsed once; what reads the result many times reads columns.
+    Read as strictly as a raw file: text that is not UTF-8, surplus fields and values that cannot be
+    read as their column's type raise.
     """
-    cells = read_incident_csv(spark, path, multi_line).drop(*SOURCE_ORDER, "_too_long")
-    check_required(cells.columns, "Missing required columns")
-    return write_layer(cells.select(*typed_columns(cells)), new_folder(spark, "clean-csv"))
+    check_header(read_header(spark, path))
+    folder = new_folder(spark, "clean-csv")
+    cells, _ = land_cells(spark, path, f"{folder}/cells", multi_line)
+    types = {f.name: f.dataType for f in cells.schema.fields}
+    marked = cells.select(*typed_columns(cells.drop(*SOURCE_ORDER)), unreadable_bits(types).alias("_unreadable"))
+    typed = write_layer(marked, f"{folder}/typed")
+    if typed.agg(F.bit_or("_unreadable")).first()[0]:
+        check_readable(cells, SOURCE_ORDER)
+    return typed.drop("_unreadable")

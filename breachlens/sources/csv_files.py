@@ -4,26 +4,29 @@ from __future__ import annotations
 
 import csv
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from breachlens.functions.text import missing_cell_to_null
+from breachlens.sources.layers import write_layer
 
 SOURCE_ORDER = ["_source_file", "_source_block", "_source_row"]
 _BROKEN = "_broken_record"
-_QUOTED = r'"([^"]|"")*"'
+# a doubled quote is two quoted runs side by side, so the pattern needs no group and no backtracking
+_QUOTED = r'"[^"]*+"'
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
     """Column names as they stand in the first line, blanks and repeats included.
 
     Spark's own header handling renames blank and repeated names, which would hide them from
-    the schema checks.
+    the schema checks. Blank lines before it are skipped (in files read whole, empty ones only).
     """
     try:
-        first = spark.read.text(path).first()
+        first = spark.read.text(path).where("value RLIKE '[^\\\\s\\ufeff]'").first()
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error.getCondition()):
             raise FileNotFoundError(f"Dataset not found:\n{path}") from error
@@ -33,7 +36,40 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return next(csv.reader([first.value.lstrip("\ufeff")]), [])
 
 
-def read_incident_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def text_faults(spark: SparkSession, path: str) -> tuple[int, bool]:
+    """(lines that are not UTF-8, whether a quoted cell may run over a line's end), in one scan.
+
+    A cell with a line break leaves its first line with an odd number of quotes.
+    """
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    valid = F.is_valid_utf8("value")
+    found = spark.read.text(path).agg(
+        F.count_if(~valid).alias("bad"), F.max(F.when(valid, quotes % 2 == 1).otherwise(False)).alias("odd")
+    ).first()
+    return found["bad"], bool(found["odd"])
+
+
+def land_cells(spark: SparkSession, path: str, folder: str, multi_line: bool | None = None) -> tuple[DataFrame, int]:
+    """All cells as text in a Parquet layer, with the ``SOURCE_ORDER`` columns, and the number of rows.
+
+    This is the one way CSV enters: text that is not UTF-8 and rows with more fields than the header
+    raise. With ``multi_line=None`` files are read whole only if a quoted cell may hold a line break,
+    else they are split. The text is parsed once.
+    """
+    bad, odd = text_faults(spark, path)
+    if bad:
+        raise RuntimeError(f"Unable to load dataset: {bad} line(s) are not valid UTF-8")
+    try:
+        landed = write_layer(read_incident_csv(spark, path, odd if multi_line is None else multi_line), folder)
+    except (PySparkException, Py4JJavaError) as error:
+        raise RuntimeError(f"Unable to load dataset: {error}") from error
+    found = landed.agg(F.count(F.lit(1)).alias("rows"), F.count_if("_too_long").alias("long")).first()
+    if found["long"]:
+        raise RuntimeError(f"Unable to load dataset: {found['long']} row(s) have more fields than the header")
+    return landed.drop("_too_long"), found["rows"]
+
+
+def read_incident_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     """All cells as text, missing-value spellings as NULL, plus the position in the files.
 
     The three ``SOURCE_ORDER`` columns keep the file order, which a later shuffle would lose.
