@@ -61,7 +61,8 @@ def attach_frequency(
     The size of each column's value list is measured first. A list within the bounds is
     broadcast, so the wide table is not shuffled. Beyond them only the most frequent values are
     broadcast and the others are joined by a shuffle, where the rows already served are spread
-    by their ``spread_by`` value: no join key is left that holds many rows.
+    by their ``spread_by`` value: a key that is left holds one row in ``hot_values`` at most, which
+    adaptive skew splitting takes apart. The sizes choose the plan only; the result is the same.
     ``counts`` is read several times, so pass a written result of ``category_counts``.
     """
     small = bounded_columns(counts, broadcast_rows)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-WIDE_ROWS_PER_PARTITION = 4_000_000  # about 1 GB of incident rows
-NARROW_ROWS_PER_PARTITION = 20_000_000  # ids only
+WIDE_ROWS_PER_PARTITION = 800_000  # about 200 MB of incident rows
+NARROW_ROWS_PER_PARTITION = 5_000_000  # about 200 MB of ids or category texts
+
+_one_at_a_time = threading.RLock()
 
 
 @contextmanager
@@ -16,12 +19,14 @@ def shuffle_sized_for(spark: SparkSession, rows: int, rows_per_partition: int) -
     """Within the block, shuffles get enough partitions for ``rows``, never fewer than configured.
 
     Adaptive execution merges small partitions but does not split large ones, so the number has
-    to grow with the table.
+    to grow with the table. The setting only changes plans, never results. It belongs to the session,
+    so threads take turns; a plan must run inside the block to get the width.
     """
     setting = "spark.sql.shuffle.partitions"
-    configured = spark.conf.get(setting)
-    spark.conf.set(setting, max(int(configured), -(-rows // rows_per_partition)))
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, configured)
+    with _one_at_a_time:
+        configured = spark.conf.get(setting)
+        spark.conf.set(setting, max(int(configured), -(-rows // rows_per_partition)))
+        try:
+            yield
+        finally:
+            spark.conf.set(setting, configured)

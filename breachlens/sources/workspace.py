@@ -2,28 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_base: dict[str, str] = {}
-
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master, where driver and tasks share a disk, may fall back to a temporary
-    folder of its own when the setting is absent.
+    Without that setting, it lies beside the tables in the warehouse, which driver and executors
+    share as well.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
-            raise ValueError(
-                "spark.checkpoint.dir is not set; intermediate layers need a shared folder."
-            )
-        if context.applicationId not in _local_base:
-            _local_base[context.applicationId] = tempfile.mkdtemp(prefix="breachlens-")
-        base = _local_base[context.applicationId]
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{base.rstrip('/')}/breachlens/{context.applicationId}/{purpose}-{uuid.uuid4().hex[:12]}"
