@@ -1,6 +1,6 @@
 """Column expressions. All of them are built-in functions, so they stay inside codegen."""
 
-from breachlens.functions.dates import parse_day
+from breachlens.functions.dates import parse_day, reference_day
 from breachlens.functions.flags import parse_flag
 from breachlens.functions.numbers import (
     bounded,
@@ -22,6 +22,7 @@ __all__ = [
     "parse_flag",
     "parse_number",
     "parsed",
+    "reference_day",
     "round_half_even",
     "safe_ratio",
     "unreadable",

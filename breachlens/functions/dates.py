@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,3 +21,16 @@ def parse_day(value: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return value.cast("date")
     return F.when(value.rlike(r"^\d{4}-\d{1,2}-\d{1,2}\z"), value.try_cast("date"))
+
+
+def reference_day(value: str | datetime.date) -> datetime.date:
+    """A reference date given as a date or as year-month-day text; other text raises."""
+    if isinstance(value, datetime.datetime):
+        return value.date()
+    if isinstance(value, datetime.date):
+        return value
+    parts = re.fullmatch(r"(\d{4})-(\d{1,2})-(\d{1,2})", str(value).strip())
+    try:
+        return datetime.date(*map(int, parts.groups()))
+    except (AttributeError, ValueError) as error:
+        raise ValueError(f"The reference date must be a day as YYYY-MM-DD, not {value!r}.") from error

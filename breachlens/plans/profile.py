@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from breachlens.functions import parse_day, round_half_even
+from breachlens.functions import nan_to_null, parse_day, round_half_even
 from breachlens.functions.numbers import is_missing
 from breachlens.operators import category_counts, quantiles
 from breachlens.operators.checks import check_required, duplicate_count, measure
@@ -16,21 +17,32 @@ from breachlens.schema import CATEGORY_COLUMNS, FLAG_COLUMNS, INCIDENT_DATE, INC
 MONEY_COLUMNS = ["ransom_demand_usd", "regulatory_fine_usd"]
 
 
+def profile_input_measures(df: DataFrame) -> dict[str, Column]:
+    """Rows, rows without id and rows without a readable date."""
+    day = parse_day(F.col(INCIDENT_DATE), df.schema[INCIDENT_DATE].dataType)
+    return {
+        "rows": F.count(F.lit(1)),
+        "no_id": F.count_if(F.col(INCIDENT_ID).isNull()),
+        "no_date": F.count_if(day.isNull()),
+    }
+
+
 def check_profile_input(df: DataFrame) -> None:
     """Required columns, at least one row, ids present and unique, dates readable."""
-    check_required(df.columns, "Missing required columns")
-    day = parse_day(F.col(INCIDENT_DATE), df.schema[INCIDENT_DATE].dataType)
-    found = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(INCIDENT_ID).isNull()).alias("no_id"),
-        F.count_if(day.isNull()).alias("no_date"),
-    ).first()
+    check_required(df.columns, "The profile input lacks columns")
+    found = measure(df, profile_input_measures(df))
     if not found["rows"]:
-        raise ValueError("Profile input is empty.")
+        raise ValueError("The profile input has no rows.")
     if found["no_id"] or duplicate_count(df, found["rows"]):
-        raise ValueError("Missing or duplicate incident IDs.")
+        raise ValueError(f"Some {INCIDENT_ID} values are absent or repeated in the profile input.")
     if found["no_date"]:
-        raise ValueError("Invalid or missing incident dates.")
+        raise ValueError(f"The profile input has an invalid {INCIDENT_DATE} or none in some rows.")
+
+
+def _folded(df: DataFrame) -> DataFrame:
+    """Number columns with NaN as NULL, so that every part counts it as missing."""
+    numbers = [c for c in NUMBER_COLUMNS if c in df.columns]
+    return df.withColumns({c: nan_to_null(F.col(c).cast("double")) for c in numbers})
 
 
 def _long(df: DataFrame, values: dict[str, dict[str, Column]], key: str) -> DataFrame:
@@ -47,19 +59,24 @@ def _long(df: DataFrame, values: dict[str, dict[str, Column]], key: str) -> Data
 def column_quality(df: DataFrame, exact: bool = True) -> DataFrame:
     """Type, missing count and share, and distinct values (null is one) of each column.
 
-    The exact count groups (column, value) pairs, combined before the shuffle. With
+    The exact count groups each column by itself, combined before the shuffle. With
     ``exact=False`` distinct values are estimated from sketches, without a shuffle of values.
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     type_of = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
     if exact:
-        texts = df.select(*[_as_text(df, c).alias(c) for c in df.columns])
-        per_value = category_counts(texts, df.columns)
-        counted = per_value.groupBy("column").agg(
-            F.sum("rows").alias("rows"),
-            F.sum(F.when(F.col("value").isNull(), F.col("rows")).otherwise(0)).alias("missing"),
-            F.count(F.lit(1)).alias("unique"),
-        )
+        # one narrow group-by per column in its own type: nothing is turned into text
+        parts = []
+        for c in df.columns:
+            per_value = df.groupBy(_one_gap(df, c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+            gap_rows = F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0))
+            parts.append(
+                per_value.agg(
+                    F.lit(c).alias("column"), F.sum("n").alias("rows"), gap_rows.alias("missing"),
+                    F.count(F.lit(1)).alias("unique"),
+                ).where("rows IS NOT NULL")
+            )
+        counted = reduce(DataFrame.unionByName, parts)
     else:
         gap = {c: is_missing(F.col(f"`{c}`"), df.schema[c].dataType) for c in df.columns}
         counted = _long(
@@ -83,13 +100,10 @@ def column_quality(df: DataFrame, exact: bool = True) -> DataFrame:
     ).orderBy(F.desc("missing"), "column")
 
 
-def _as_text(df: DataFrame, name: str) -> Column:
-    dtype = df.schema[name].dataType.typeName()
+def _one_gap(df: DataFrame, name: str) -> Column:
+    """The column's values, with NaN as NULL and -0.0 as 0.0."""
     value = F.col(f"`{name}`")
-    if dtype in ("double", "float"):
-        # missing stays NULL, and -0.0 and 0.0 are one value
-        return F.when(~F.isnan(value), (value + F.lit(0.0)).cast("string"))
-    return value.cast("string")
+    return nan_to_null(value) if df.schema[name].dataType.typeName() in ("double", "float") else value
 
 
 def missing_report(df: DataFrame) -> DataFrame:
@@ -118,6 +132,7 @@ def dataset_summary(df: DataFrame) -> DataFrame:
 
 def describe_numbers(df: DataFrame) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles of the number columns."""
+    df = _folded(df)
     cuts = quantiles(df, NUMBER_COLUMNS, [0.25, 0.5, 0.75])
 
     def shown(value: Column) -> Column:
@@ -181,6 +196,7 @@ def severity_histogram(df: DataFrame, bins: int = 10) -> DataFrame:
 
     Equal extremes are widened by a half to each side.
     """
+    df = _folded(df)
     ends = df.agg(F.min("severity_score").alias("low"), F.max("severity_score").alias("high")).first()
     low, high = ends["low"], ends["high"]
     if low is None:
@@ -206,7 +222,7 @@ def severity_histogram(df: DataFrame, bins: int = 10) -> DataFrame:
 
 
 def money_totals(df: DataFrame) -> DataFrame:
-    return _long(df, {c: {"total_usd": F.sum(c)} for c in MONEY_COLUMNS}, "column")
+    return _long(_folded(df), {c: {"total_usd": F.sum(c)} for c in MONEY_COLUMNS}, "column")
 
 
 def flag_rates(df: DataFrame) -> DataFrame:
@@ -225,7 +241,7 @@ def correlations(df: DataFrame) -> DataFrame:
     means: one plain sum per pair, which is as exact as running moments and much cheaper. Pairs
     with gaps are summed over the rows where both values are present.
     """
-    columns = NUMBER_COLUMNS
+    columns, df = NUMBER_COLUMNS, _folded(df)
     seen = measure(
         df,
         {
@@ -242,7 +258,7 @@ def correlations(df: DataFrame) -> DataFrame:
             wanted[a, b] = F.lit(None).cast("double")
         elif seen[f"n:{a}"] == seen[f"n:{b}"] == seen["rows"]:
             squares = F.sqrt(F.sum(away[a] * away[a])) * F.sqrt(F.sum(away[b] * away[b]))
-            wanted[a, b] = F.sum(away[a] * away[b]) / squares
+            wanted[a, b] = F.sum(away[a] * away[b]) / F.nullif(squares, F.lit(0.0))
         else:
             wanted[a, b] = _correlation_of_present(F.col(a), F.col(b), away[a], away[b])
     for c in columns:
