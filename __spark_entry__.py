@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle_queries
-from breachlens.batch import land_csv, run_batch, save_summary
-from breachlens.fixture import ORDER_COLUMNS, raw_incidents
+from breachlens.batch import check_run, land_csv, land_raw, run_batch, save_summary
+from breachlens.fixture import ORDER_COLUMNS, dirty_incidents, raw_incidents
 from breachlens.functions import PARSED_COLUMNS, unreadable
 from breachlens.operators import keep_first
 from breachlens.operators.checks import (
+    check_cleaned,
+    check_complete,
     count_if,
     flag_measures,
     range_measures,
@@ -26,7 +28,7 @@ from breachlens.operators.checks import (
 )
 from breachlens.plans import profile
 from breachlens.plans.analytics import QUESTIONS
-from breachlens.plans.cleaning import Cleaned, clean_incidents, filled, limited, read_clean_csv
+from breachlens.plans.cleaning import Cleaned, clean_incidents, filled, limited, read_clean_csv, typed_columns
 from breachlens.plans.features import FEATURE_GROUPS, engineer_features
 from breachlens.schema import (
     CATEGORY_COLUMNS,
@@ -40,7 +42,7 @@ from breachlens.schema import (
 )
 from breachlens.sources import IncidentTable, new_folder, write_csv
 from breachlens.sources.incident_table import load_engineered
-from breachlens.sources.layers import write_json_report
+from breachlens.sources.layers import write_json_report, write_layer
 
 try:  # the subpackage is optional; its queries are added if it is there
     import corpus_pipeline
@@ -62,13 +64,14 @@ class Layers:
 
 
 _built: dict[tuple[str, str], Layers] = {}
+_profile_input_checked: set[tuple[str, str]] = set()
 
 
 def build_layers(spark: SparkSession, sf_dir: str) -> Layers:
     """Raw tables to published query table; raises if any check fails."""
-    raw = raw_incidents(spark, sf_dir)
     folder = new_folder(spark, "layers")
-    cleaned = clean_incidents(raw, ORDER_COLUMNS, folder=folder)
+    raw, rows = land_raw(raw_incidents(spark, sf_dir), ORDER_COLUMNS, f"{folder}/raw")
+    cleaned = clean_incidents(raw, ORDER_COLUMNS, rows, folder)
     engineered = engineer_features(cleaned, folder=f"{folder}/features")
     table = IncidentTable(spark, f"{folder}/table", f"incidents_{uuid.uuid4().hex[:12]}")
     table.store(engineered, expected_rows=cleaned.report["final_rows"])
@@ -102,7 +105,7 @@ def _shown(df: DataFrame) -> DataFrame:
 
 # --- cleaning -----------------------------------------------------------------
 def clean_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keep_first(raw_incidents(spark, sf_dir), INCIDENT_ID, ORDER_COLUMNS).select(*INCIDENT_COLUMNS)
+    return keep_first(layers(spark, sf_dir).raw, INCIDENT_ID, ORDER_COLUMNS).select(*INCIDENT_COLUMNS)
 
 
 def clean_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,18 +167,26 @@ def engineered_standalone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- profile and checks -------------------------------------------------------
 def _profile(of: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: _shown(of(layers(spark, sf_dir).cleaned.df))
+    def part(spark: SparkSession, sf_dir: str) -> DataFrame:
+        clean = layers(spark, sf_dir).cleaned.df
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _profile_input_checked:
+            profile.check_profile_input(clean)
+            _profile_input_checked.add(key)
+        return _shown(of(clean))
+
+    return part
 
 
 def _raw_profile(of: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: of(raw_incidents(spark, sf_dir).select(*INCIDENT_COLUMNS))
+    return lambda spark, sf_dir: of(layers(spark, sf_dir).raw.select(*INCIDENT_COLUMNS))
 
 
 def dq_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every counting check on the query table, one row each."""
     table = incidents(spark, sf_dir)
     measures = {
-        **{n: c for n, c in row_measures(table).items() if not n.startswith("infinite:")},
+        **row_measures(table),
         **range_measures(),
         **flag_measures(table),
         "future": count_if(F.col(INCIDENT_DATE) > F.lit(REFERENCE_DATE).cast("date")),
@@ -189,7 +200,7 @@ def dq_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_raw_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load checks on the raw rows and readability checks on the kept ones."""
-    raw = raw_incidents(spark, sf_dir)
+    raw = layers(spark, sf_dir).raw
     kept = keep_first(raw, INCIDENT_ID, ORDER_COLUMNS)
     types = {f.name: f.dataType for f in kept.schema.fields}
     bad = {f"unreadable:{name}": count_if(unreadable(name, types[name])) for name in PARSED_COLUMNS}
@@ -207,6 +218,94 @@ def dq_raw_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.unionByName(row.select(F.inline(F.array(*entries))))
 
 
+def dq_dirty_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of every check on rows with known faults, by the expressions the stages use."""
+    dirty = dirty_incidents(spark, sf_dir)
+    types = {f.name: f.dataType for f in dirty.schema.fields}
+    typed = dirty.select(*typed_columns(dirty))
+    incidents_only = typed.select(*INCIDENT_COLUMNS)
+    flagged = typed.withColumns(
+        {c: F.when(F.col("src_partkey") % 29 == 0, 2).otherwise(F.col(c).cast("int")) for c in FLAG_COLUMNS}
+    )
+
+    def rows_of(df: DataFrame, measures: dict) -> DataFrame:
+        row = df.agg(*[c.cast("bigint").alias(n) for n, c in measures.items()])
+        entries = [F.struct(F.lit(n).alias("check"), F.col(f"`{n}`").alias("rows")) for n in measures]
+        return row.select(F.inline(F.array(*entries)))
+
+    per_id = dirty.groupBy(INCIDENT_ID).agg(F.count(F.lit(1)).alias("n"))
+    ids = {
+        "missing_ids": F.sum(F.when(F.col(INCIDENT_ID).isNull(), F.col("n")).otherwise(0)),
+        "duplicate_ids": F.sum(F.col("n") - 1),
+    }
+    found = rows_of(dirty, {f"unreadable:{c}": count_if(unreadable(c, types[c])) for c in PARSED_COLUMNS})
+    future = count_if(F.col(INCIDENT_DATE) > F.lit(REFERENCE_DATE).cast("date"))
+    profiled = profile.profile_input_measures(typed)
+    of_rows = {**row_measures(incidents_only), **range_measures(), "future": future, "profile:no_date": profiled["no_date"]}
+    return (
+        found.unionByName(rows_of(typed, of_rows))
+        .unionByName(rows_of(flagged, flag_measures(flagged)))
+        .unionByName(rows_of(per_id, ids))
+    )
+
+
+def dq_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each rule that must stop a run, tried on whole layers with one fault: whether it did."""
+    built = layers(spark, sf_dir)
+    raw, clean, engineered = built.raw, built.cleaned.df, built.engineered
+    dirty = write_layer(dirty_incidents(spark, sf_dir), new_folder(spark, "dirty"))
+
+    def folder() -> str:
+        return new_folder(spark, "rejected")
+
+    def with_fault(df: DataFrame, name: str, value: str) -> DataFrame:
+        return df.withColumn(name, F.when(F.xxhash64(INCIDENT_ID) % 97 == 0, F.expr(value)).otherwise(F.col(name)))
+
+    def cleaned_of(name: str) -> None:
+        """Clean rows whose one dirty column is ``name``."""
+        faulty = raw.drop(name).join(dirty.select(*ORDER_COLUMNS, name).distinct(), ORDER_COLUMNS)
+        clean_incidents(faulty, ORDER_COLUMNS, folder=folder())
+
+    def table_of(df: DataFrame) -> IncidentTable:
+        table = _own_table(spark)
+        table.replace(df)
+        return table
+
+    rules = {
+        "V1 empty": lambda: land_raw(raw.where("false"), ORDER_COLUMNS, folder()),
+        "V2 blank name": lambda: land_raw(raw.withColumn("  ", F.lit(1)), ORDER_COLUMNS, folder()),
+        "V3 repeated name": lambda: land_raw(raw.select("*", "sector"), ORDER_COLUMNS, folder()),
+        "V4 lacking column": lambda: land_raw(raw.drop("region"), ORDER_COLUMNS, folder()),
+        "V5 no id": lambda: land_raw(dirty, ORDER_COLUMNS, folder()),
+        "V6 number": lambda: cleaned_of("records_affected"),
+        "V7 date": lambda: cleaned_of(INCIDENT_DATE),
+        "V8 flag": lambda: cleaned_of("zero_day_used"),
+        "V9 final ids": lambda: table_of(clean.union(clean)),
+        "V10 gap": lambda: check_cleaned(with_fault(clean, "sector", "NULL")),
+        "V11 infinite": lambda: check_cleaned(with_fault(clean, "records_affected", "DOUBLE('inf')")),
+        "V12 range": lambda: check_cleaned(with_fault(clean, "severity_score", "11D")),
+        "V13 feature input": lambda: engineer_features(with_fault(clean, INCIDENT_DATE, "NULL")),
+        "V14 future": lambda: engineer_features(built.cleaned, "2017-1-5"),
+        "V15 feature output": lambda: check_complete(with_fault(engineered, "risk_score", "NULL"), "Output"),
+        "V16 counts": lambda: check_run(raw.count(), clean.count(), clean.count(), clean.count() - 1),
+        "V17 status": lambda: save_summary(spark, {"status": "FAILED", "rows": clean.count()}, folder()),
+        "V18 flag values": lambda: check_complete(with_fault(incidents(spark, sf_dir), "zero_day_used", "2"), "Table"),
+        "V19 profile input": lambda: profile.check_profile_input(dirty),
+        "S3 no file": lambda: land_csv(spark, f"{sf_dir}/no-such-file.csv", folder()),
+        "S12 schema": lambda: table_of(clean).verify_schema(engineered),
+        "S15 table": lambda: IncidentTable(spark, folder(), f"absent_{uuid.uuid4().hex[:12]}").verify(),
+        "S16 repeated insert": lambda: (t := table_of(clean)).execute(f"INSERT INTO {t.name} SELECT * FROM {t.name}"),
+    }
+    out = []
+    for rule, attempt in rules.items():
+        try:
+            attempt()
+            out.append((rule, 0))
+        except (ValueError, FileNotFoundError):
+            out.append((rule, 1))
+    return spark.createDataFrame(out, "rule string, refused int").crossJoin(raw.agg(F.count(F.lit(1)).alias("rows")))
+
+
 # --- sources, sinks, table ----------------------------------------------------
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows written as CSV and landed again by the CSV source."""
@@ -250,22 +349,19 @@ def csv_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(spark.table(name))
 
 
+def feat_other_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ages for another reference date, given without leading zeros."""
+    aged = engineer_features(layers(spark, sf_dir).cleaned, "2026-1-5")
+    return aged.select(INCIDENT_ID, "incident_age_days")
+
+
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of one run, written as CSV and read back."""
-    built = layers(spark, sf_dir)
-    rows = built.table.row_count()
-    raw_columns = [c for c in built.raw.columns if c not in ORDER_COLUMNS]
-    summary = {
-        "status": "SUCCESS",
-        "raw_records": built.cleaned.report["initial_rows"],
-        "clean_records": built.cleaned.report["final_rows"],
-        "engineered_records": rows,
-        "database_records": rows,
-        "original_features": len(raw_columns),
-        "engineered_features": len(built.engineered.columns),
-        "new_features_created": len(built.engineered.columns) - len(raw_columns),
-    }
-    return save_summary(spark, summary, new_folder(spark, "summary"))
+    """Summary of a run over the raw layer, as its saved CSV holds it."""
+    target = new_folder(spark, "target")
+    name = f"incidents_{uuid.uuid4().hex[:12]}"
+    result = run_batch(spark, layers(spark, sf_dir).raw, target, table_name=name, order_by=ORDER_COLUMNS)
+    schema = ", ".join(f"{k} {'string' if isinstance(v, str) else 'bigint'}" for k, v in result.summary.items())
+    return spark.read.schema(schema).csv(f"{target}/reports/summary_report", header=True)
 
 
 def table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,6 +409,22 @@ def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def table_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows added by an INSERT statement, which goes by the rules of the table."""
+    rows = incidents(spark, sf_dir)
+    table = _own_table(spark)
+    table.replace(rows.where("is_weekend = 0"))
+    source = layers(spark, sf_dir).table.name
+    table.execute(f"INSERT INTO {table.name} SELECT * FROM {source} WHERE is_weekend = :flag", {"flag": 1})
+    return spark.table(table.name).groupBy("attack_type").agg(F.count(F.lit(1)).alias("incidents"))
+
+
+def table_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of the query table, their types and the key."""
+    found = layers(spark, sf_dir).table.schema()
+    return found.select("name", "type", F.col("is_key").cast("int").alias("is_key"))
+
+
 def table_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A query result written as CSV and read back."""
     table = layers(spark, sf_dir).table
@@ -370,6 +482,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dataset_summary": _raw_profile(profile.dataset_summary),
         "dq_checks": dq_checks,
         "dq_raw_checks": dq_raw_checks,
+        "dq_dirty_checks": dq_dirty_checks,
+        "dq_rejections": dq_rejections,
+        "feat_other_day": feat_other_day,
+        "table_statement": table_statement,
+        "table_schema": table_schema,
         "csv_round_trip": csv_round_trip,
         "clean_csv": clean_csv,
         "engineered_csv": engineered_csv,

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from breachlens.schema import FLAG_COLUMNS, NUMBER_COLUMNS
+
 # the row of an incident id that counts as the first one
 ORDER_COLUMNS = ["src_partkey", "src_suppkey", "src_price"]
 SOURCE_TABLES = ["lineitem", "orders", "customer", "nation", "region", "part", "supplier"]
@@ -52,3 +54,29 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw layer with its three order columns, over all rows of the tables in ``sf_dir``."""
     tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in SOURCE_TABLES}
     return spark.sql(RAW_SQL, **tables)
+
+
+def _dirty_number(place: int, name: str) -> str:
+    return (
+        f"CASE WHEN src_partkey % 53 = {place} THEN '12abc' WHEN src_partkey % 47 = {place} THEN 'inf' "
+        f"WHEN src_partkey % 43 = {place} THEN '-7' ELSE CAST({name} AS STRING) END AS {name}"
+    )
+
+
+#: The raw rows as text with faults on known shares of them, each kind in each column that can have it.
+DIRTY_SQL = f"""
+SELECT src_partkey, src_suppkey, src_price,
+  CASE WHEN src_partkey % 71 = 0 THEN NULL WHEN src_partkey % 73 = 0 THEN 'INC-TWICE' ELSE incident_id END AS incident_id,
+  CASE WHEN src_partkey % 67 = 0 THEN '2025/13/45' WHEN src_partkey % 59 = 0 THEN NULL
+       WHEN src_partkey % 61 = 0 THEN '2999-01-31' ELSE incident_date END AS incident_date,
+  sector, region, attack_type, threat_actor,
+  {", ".join(_dirty_number(i, name) for i, name in enumerate(NUMBER_COLUMNS))},
+  {", ".join(f"CASE WHEN src_partkey % 41 = {i} THEN 'maybe' ELSE {name} END AS {name}" for i, name in enumerate(FLAG_COLUMNS))}
+FROM ({RAW_SQL})
+""".strip()
+
+
+def dirty_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw layer with faults, over all rows of the tables in ``sf_dir``."""
+    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in SOURCE_TABLES}
+    return spark.sql(DIRTY_SQL, **tables)

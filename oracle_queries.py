@@ -6,12 +6,13 @@ typed values, medians, limits, fences, clean rows, features. Each query adds its
 
 from __future__ import annotations
 
-from breachlens.fixture import ORDER_COLUMNS, RAW_SQL, SOURCE_TABLES
+from breachlens.fixture import DIRTY_SQL, ORDER_COLUMNS, RAW_SQL, SOURCE_TABLES
 from breachlens.plans.features import FEATURE_GROUPS
 from breachlens.schema import (
     ACRONYMS,
     CATEGORY_COLUMNS,
     FEATURE_COLUMNS,
+    FEATURE_TYPES,
     FENCED_COLUMNS,
     FLAG_COLUMNS,
     FREQUENCY_FEATURES,
@@ -20,6 +21,7 @@ from breachlens.schema import (
     NUMBER_COLUMNS,
     REFERENCE_DATE,
     VALUE_RANGES,
+    table_type,
 )
 
 LETTERS = r"\p{Lu}\p{Ll}\p{Lt}"
@@ -263,6 +265,48 @@ _REPORT = [
 ]
 
 
+ENGINEERED_DOUBLES = [*NUMBER_COLUMNS, *(f.name for f in FEATURE_TYPES.fields if f.dataType.typeName() == "double")]
+
+#: Rules of ``dq_rejections``; all must refuse.
+REJECTIONS = [
+    "V1 empty", "V2 blank name", "V3 repeated name", "V4 lacking column", "V5 no id", "V6 number", "V7 date", "V8 flag",
+    "V9 final ids", "V10 gap", "V11 infinite", "V12 range", "V13 feature input", "V14 future", "V15 feature output",
+    "V16 counts", "V17 status", "V18 flag values", "V19 profile input", "S3 no file", "S12 schema", "S15 table",
+    "S16 repeated insert",
+]
+
+
+def dirty_checks() -> str:
+    """Counts of the faults in the dirty rows, read with DuckDB's own casts."""
+    day = "TRY_CAST(incident_date AS DATE)"
+    number = {c: f"TRY_CAST({c} AS DOUBLE)" for c in NUMBER_COLUMNS}
+    counts = {
+        **{f"unreadable:{c}": f"{c} IS NOT NULL AND {x} IS NULL" for c, x in number.items()},
+        **{f"unreadable:{c}": f"{c} IS NOT NULL AND ({flag(c)}) IS NULL" for c in FLAG_COLUMNS},
+        "unreadable:incident_date": f"incident_date IS NOT NULL AND {day} IS NULL",
+        **{f"missing:{c}": f"{c} IS NULL" for c in ["incident_id", *CATEGORY_COLUMNS]},
+        "missing:incident_date": f"{day} IS NULL",
+        **{f"missing:{c}": f"{x} IS NULL" for c, x in number.items()},
+        **{f"missing:{c}": f"({flag(c)}) IS NULL" for c in FLAG_COLUMNS},
+        **{f"infinite:{c}": f"isinf({x})" for c, x in number.items()},
+        **{
+            f"outside:{c}": f"{number[c]} < {lo}" + ("" if hi is None else f" OR {number[c]} > {hi}")
+            for c, (lo, hi) in VALUE_RANGES.items()
+        },
+        "future": f"{day} > DATE '{REFERENCE_DATE}'",
+        "profile:no_date": f"{day} IS NULL",
+        **{f"unflag:{c}": "src_partkey % 29 = 0" for c in FLAG_COLUMNS},
+        "missing_ids": "incident_id IS NULL",
+    }
+    dirty = DIRTY_SQL.format(**{name: name for name in SOURCE_TABLES})
+    selects = [f"SELECT '{k}' AS \"check\", count(*) FILTER ({x}) AS rows FROM dirty" for k, x in counts.items()]
+    selects.append("SELECT 'rows', count(*) FROM dirty")
+    selects.append(
+        "SELECT 'duplicate_ids', count(*) - count(DISTINCT incident_id) - max(CASE WHEN incident_id IS NULL THEN 1 ELSE 0 END) FROM dirty"
+    )
+    return f"WITH dirty AS MATERIALIZED ({dirty})\n" + " UNION ALL ".join(selects)
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(QUESTIONS)
     raw_columns = [c for c in INCIDENT_COLUMNS]
@@ -383,6 +427,7 @@ def oracle_sql() -> dict[str, str]:
             for c, (lo, hi) in VALUE_RANGES.items()
         },
         **{f"unflag:{c}": f"count(*) FILTER ({c} NOT IN (0, 1))" for c in FLAG_COLUMNS},
+        **{f"infinite:{c}": f"count(*) FILTER (isinf({c}))" for c in ENGINEERED_DOUBLES},
         "duplicates": "count(*) - count(DISTINCT incident_id)",
         "future": f"count(*) FILTER (incident_date > DATE '{REFERENCE_DATE}')",
     }
@@ -404,6 +449,23 @@ def oracle_sql() -> dict[str, str]:
             "AND TRY_CAST(incident_date AS DATE) IS NULL) FROM dedup",
         ]
     )
+    out["dq_dirty_checks"] = dirty_checks()
+    out["dq_rejections"] = on(
+        "raw",
+        "SELECT rule, 1 AS refused, (SELECT count(*) FROM raw) AS rows FROM (VALUES "
+        + _list(f"('{rule}')" for rule in REJECTIONS)
+        + ") AS r(rule)",
+    )
+    out["feat_other_day"] = on(
+        "clean",
+        "SELECT incident_id, CAST(date_diff('day', incident_date, DATE '2026-01-05') AS INTEGER) AS incident_age_days FROM clean",
+    )
+    out["table_statement"] = on("engineered", "SELECT attack_type, count(*) AS incidents FROM engineered GROUP BY attack_type")
+    types = {c: table_type(c).simpleString() for c in INCIDENT_COLUMNS}
+    types |= {f.name: f.dataType.simpleString() for f in FEATURE_TYPES.fields}
+    out["table_schema"] = "SELECT * FROM (VALUES " + _list(
+        f"('{c}', '{kind}', {int(c == 'incident_id')})" for c, kind in types.items()
+    ) + ") AS t(name, type, is_key)"
     out["run_summary"] = on(
         "engineered",
         "SELECT 'SUCCESS' AS status, (SELECT count(*) FROM raw) AS raw_records, "
