@@ -2,7 +2,7 @@ import json
 import math
 
 import pytest
-from conftest import ROWS, SCHEMA
+from conftest import ROWS, SCHEMA, cleaned_of
 from pyspark.sql import functions as F
 
 from breachlens.plans.cleaning import clean_incidents, outlier_fences
@@ -14,7 +14,7 @@ def by_id(df):
 
 
 def test_valid_rows_stay_as_they_are(make):
-    done = clean_incidents(make())
+    done = cleaned_of(make())
     assert done.df.columns == INCIDENT_COLUMNS
     rows = by_id(done.df)
     for want in ROWS:
@@ -28,10 +28,10 @@ def test_valid_rows_stay_as_they_are(make):
 
 
 def test_first_duplicate_wins(spark, make):
-    again = make([{"sector": "Energy"}]).where("incident_id = 'INC-001'")
-    done = clean_incidents(make().union(again).coalesce(1))
+    again = make([{"sector": "Transport"}]).where("incident_id = 'INC-001'")
+    done = cleaned_of(make().union(again).coalesce(1))
     assert done.report["duplicates_removed"] == 1 and done.report["final_rows"] == 3
-    assert by_id(done.df)["INC-001"]["sector"] == "Finance"
+    assert by_id(done.df)["INC-001"]["sector"] == "Energy"
 
 
 def test_gaps_limits_and_report(make):
@@ -40,16 +40,16 @@ def test_gaps_limits_and_report(make):
         {"records_affected": -5, "severity_score": 12, "sector": "  "},
         {"response_team_size": 0, "detection_time_hours": None, "threat_actor": "apt-7"},
     ]
-    done = clean_incidents(make(changes))
+    done = cleaned_of(make(changes))
     rows = by_id(done.df)
-    # the median is taken before limits: median(-5, 500)
-    assert rows["INC-001"]["records_affected"] == 247.5
+    # the median is taken before limits: median(-5, 200)
+    assert rows["INC-001"]["records_affected"] == 97.5
     assert rows["INC-002"]["records_affected"] == 0.0
     assert rows["INC-001"]["sector"] == "Unknown" and rows["INC-002"]["sector"] == "Unknown"
     assert rows["INC-001"]["downtime_hours"] == 720.0
     assert rows["INC-002"]["severity_score"] == 10.0
     assert rows["INC-003"]["response_team_size"] == 1.0
-    assert rows["INC-003"]["detection_time_hours"] == 6.0
+    assert rows["INC-003"]["detection_time_hours"] == 7.5
     assert rows["INC-003"]["threat_actor"] == "APT-7"
     assert rows["INC-001"]["data_exfiltration"] is False
     assert done.report["missing_values_filled"] == 4  # a blank category is not missing
@@ -59,7 +59,7 @@ def test_gaps_limits_and_report(make):
 
 
 def test_column_without_values_becomes_zero_then_limited(make):
-    done = clean_incidents(make([{"response_team_size": None, "ransom_demand_usd": None}] * 3))
+    done = cleaned_of(make([{"response_team_size": None, "ransom_demand_usd": None}] * 3))
     rows = done.df.collect()
     assert {r["response_team_size"] for r in rows} == {1.0}
     assert {r["ransom_demand_usd"] for r in rows} == {0.0}
@@ -67,7 +67,7 @@ def test_column_without_values_becomes_zero_then_limited(make):
 
 def test_outliers_go_to_the_fences(make):
     values = [10, 11, 12, 13, 14, 15, 16, 1000, 12, 13]
-    done = clean_incidents(make(n=10).drop("records_affected").withColumn(
+    done = cleaned_of(make(n=10).drop("records_affected").withColumn(
         "records_affected", F.element_at(F.array(*[F.lit(float(v)) for v in values]),
                                          F.substring("incident_id", 5, 3).cast("int") + 1)
     ).select(*INCIDENT_COLUMNS))
@@ -81,7 +81,7 @@ def test_outliers_go_to_the_fences(make):
 
 
 def test_equal_quartiles_leave_outliers(make):
-    done = clean_incidents(make([{"records_affected": 7}, {"records_affected": 7}, {"records_affected": 7}]))
+    done = cleaned_of(make([{"records_affected": 7}, {"records_affected": 7}, {"records_affected": 7}]))
     assert done.statistics["records_affected"].fences is None
 
 
@@ -119,7 +119,7 @@ def test_random_numbers_equal_pandas(spark, seed):
             row[j] = None if kind < 0.25 else pick.choice([0.0, -4.0, 3.0, 55.5]) if kind < 0.6 else pick.gauss(60, 400)
         rows.append(tuple(row))
     want, medians = pandas_clean(rows, columns)
-    done = clean_incidents(spark.createDataFrame(rows, SCHEMA).coalesce(1))
+    done = cleaned_of(spark.createDataFrame(rows, SCHEMA).coalesce(1))
     got = by_id(done.df)
     assert set(got) == set(want.index)
     for key, row in got.items():
@@ -132,34 +132,34 @@ def test_random_numbers_equal_pandas(spark, seed):
 @pytest.mark.parametrize(
     "change, message",
     [
-        ({"records_affected": "abc"}, r"Column 'records_affected' contains 1 invalid numeric"),
+        ({"records_affected": "abc"}, "records_affected: 1 invalid numeric values"),
         ({"severity_score": "1d"}, "invalid numeric"),
         ({"ransom_demand_usd": "1,000"}, "invalid numeric"),
-        ({"zero_day_used": "maybe"}, "Invalid boolean value: 'maybe'"),
-        ({"incident_date": "not-a-date"}, r"Found 1 invalid incident_date .*\['not-a-date'\]"),
+        ({"zero_day_used": "maybe"}, "zero_day_used: 1 values are neither yes nor no, such as 'maybe'"),
+        ({"incident_date": "not-a-date"}, r"1 invalid incident_date .*\['not-a-date'\]"),
         ({"incident_date": "2025-12"}, "invalid incident_date"),
         ({"incident_date": "2025-12-05T00:00:00"}, "invalid incident_date"),
         ({"incident_date": "2025-02-30"}, "invalid incident_date"),
-        ({"incident_date": None}, r"1 missing value\(s\) remain"),
-        ({"incident_id": None}, "incident_id contains missing values"),
-        ({"detection_time_hours": "inf"}, "non-finite"),
+        ({"incident_date": None}, "gaps: {'incident_date': 1}"),
+        ({"incident_id": None}, "no incident_id"),
+        ({"detection_time_hours": "inf"}, "infinite"),
         # the numeric check comes before the flag check, and that before the date check
         ({"records_affected": "x", "zero_day_used": "x", "incident_date": "x"}, "records_affected"),
-        ({"zero_day_used": "x", "incident_date": "x"}, "Invalid boolean"),
+        ({"zero_day_used": "x", "incident_date": "x"}, "neither yes nor no"),
     ],
 )
 def test_bad_input_raises(make, text_schema, change, message):
     with pytest.raises(ValueError, match=message):
-        clean_incidents(make([change], schema=text_schema))
+        cleaned_of(make([change], schema=text_schema))
 
 
 def test_text_input_equals_typed_input(make, text_schema):
-    text = clean_incidents(make([{"incident_date": "2025-12-5"}], schema=text_schema))
-    assert by_id(text.df) == by_id(clean_incidents(make()).df)
+    text = cleaned_of(make([{"incident_date": "2025-3-1"}], schema=text_schema))
+    assert by_id(text.df) == by_id(cleaned_of(make()).df)
 
 
 def test_infinite_downtime_is_limited(make):
-    rows = by_id(clean_incidents(make([{"downtime_hours": math.inf}])).df)
+    rows = by_id(cleaned_of(make([{"downtime_hours": math.inf}])).df)
     assert rows["INC-001"]["downtime_hours"] == 720.0
 
 
@@ -168,20 +168,20 @@ def test_infinite_impact_is_fenced(make):
     spread = F.substring("incident_id", 5, 3).cast("double")
     numbers = make(n=20).withColumn("records_affected", spread)
     one = numbers.withColumn("records_affected", F.when(spread == 3, F.lit(math.inf)).otherwise(spread))
-    done = clean_incidents(one)
+    done = cleaned_of(one)
     assert by_id(done.df)["INC-003"]["records_affected"] == done.statistics["records_affected"].fences[1]
     many = numbers.withColumn("records_affected", F.when(spread > 9, F.lit(math.inf)).otherwise(spread))
-    with pytest.raises(ValueError, match="non-finite"):
-        clean_incidents(many)
+    with pytest.raises(ValueError, match="infinite"):
+        cleaned_of(many)
 
 
 def test_missing_column_and_extra_columns(make):
-    with pytest.raises(ValueError, match="Missing required columns"):
-        clean_incidents(make().drop("region"))
+    with pytest.raises(ValueError, match="Missing Columns"):
+        cleaned_of(make().drop("region"))
     extra = make().withColumn("note one", F.lit("x"))
-    assert clean_incidents(extra).df.columns == [*INCIDENT_COLUMNS, "note one"]
-    with pytest.raises(ValueError, match="missing value"):
-        clean_incidents(make().withColumn("note", F.when(F.col("region") == "West", "x")))
+    assert cleaned_of(extra).df.columns == [*INCIDENT_COLUMNS, "note one"]
+    with pytest.raises(ValueError, match="gaps"):
+        cleaned_of(make().withColumn("note", F.when(F.col("region") == "South", "x")))
 
 
 def test_extra_columns_pass_all_stages(spark, make, tmp_path):
@@ -191,7 +191,7 @@ def test_extra_columns_pass_all_stages(spark, make, tmp_path):
     from breachlens.sources import IncidentTable
 
     extra = make().withColumns({"source.system": F.lit("siem"), "analyst hours": F.lit(2.5)})
-    cleaned = clean_incidents(extra)
+    cleaned = cleaned_of(extra)
     table = IncidentTable(spark, str(tmp_path / "extra"), "t_extra_columns")
     table.store(engineer_features(cleaned), expected_rows=3)
     row = spark.table("t_extra_columns").first().asDict()
@@ -202,8 +202,8 @@ def test_extra_columns_pass_all_stages(spark, make, tmp_path):
 
 
 def test_empty_input(make):
-    with pytest.raises(ValueError, match="empty"):
-        clean_incidents(make().limit(0))
+    with pytest.raises(ValueError, match="no rows"):
+        cleaned_of(make().limit(0))
 
 
 def test_long_value_lists_are_not_broadcast(spark, make, monkeypatch):
@@ -212,17 +212,22 @@ def test_long_value_lists_are_not_broadcast(spark, make, monkeypatch):
     import breachlens.plans.cleaning as cleaning
     import breachlens.plans.features as features
 
-    usual = by_id(features.engineer_features(clean_incidents(make())))
+    usual = by_id(features.engineer_features(cleaned_of(make())))
     monkeypatch.setattr(cleaning, "bounded_columns", lambda values: set())
     monkeypatch.setattr(frequency, "bounded_columns", lambda values, rows: set())
-    assert by_id(features.engineer_features(clean_incidents(make()))) == usual
+    assert by_id(features.engineer_features(cleaned_of(make()))) == usual
 
 
 def test_report_round_trip(spark, make, tmp_path):
     from breachlens.sources.layers import write_json_report
 
-    report = clean_incidents(make([{"severity_score": 99}])).report
+    report = cleaned_of(make([{"severity_score": 99}])).report
     saved = write_json_report(spark, report, str(tmp_path / "report")).first().asDict()
     assert saved == report
     text = next((tmp_path / "report").glob("part-*.json")).read_text()
     assert json.loads(text)["range_adjustments_by_column"] == {"severity_score": 1}
+
+
+def test_a_source_without_an_order_is_refused(make):
+    with pytest.raises(ValueError, match="order_by"):
+        clean_incidents(make(), [])

@@ -128,13 +128,13 @@ def test_correlations(both):
 def test_profile_input_checks(both):
     df, _ = both
     profile.check_profile_input(df)
-    with pytest.raises(ValueError, match="Missing required"):
+    with pytest.raises(ValueError, match="lacks columns"):
         profile.check_profile_input(df.drop("region"))
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="no rows"):
         profile.check_profile_input(df.limit(0))
-    with pytest.raises(ValueError, match="duplicate"):
+    with pytest.raises(ValueError, match="repeated"):
         profile.check_profile_input(df.union(df))
-    with pytest.raises(ValueError, match="dates"):
+    with pytest.raises(ValueError, match="invalid incident_date"):
         profile.check_profile_input(df.withColumn("incident_date", F.lit(None).cast("date")))
 
 
@@ -142,3 +142,24 @@ def test_whole_profile(both):
     df, _ = both
     parts = profile.incident_profile(df)
     assert len(parts) == 8 and all(part.count() > 0 for part in parts.values())
+
+
+def test_nan_counts_as_missing(both):
+    df, want = both
+    holes = df.withColumn("severity_score", F.when(F.col("severity_score") > 6, F.lit(float("nan"))).otherwise(F.col("severity_score")))
+    gaps = want["severity_score"].where(~(want["severity_score"] > 6))
+    described = {r["column"]: r for r in rows(profile.describe_numbers(holes))}["severity_score"]
+    assert described["count"] == gaps.count() and described["max"] == pytest.approx(gaps.max())
+    assert described["mean"] == pytest.approx(gaps.mean(), abs=0.0051)
+    assert sum(r["incidents"] for r in rows(profile.severity_histogram(holes))) == gaps.count()
+    frame = want.assign(severity_score=gaps)[NUMBER_COLUMNS].corr().round(2)
+    for r in rows(profile.correlations(holes)):
+        assert r["r"] == pytest.approx(frame.loc[r["column_a"], r["column_b"]], abs=0.0101)
+    quality = {r["column"]: r for r in rows(profile.column_quality(holes))}["severity_score"]
+    assert quality["missing"] == gaps.isna().sum() and quality["unique"] == gaps.nunique() + 1
+
+
+def test_tiny_numbers_do_not_divide_by_zero(both):
+    df, _ = both
+    tiny = df.withColumn("severity_score", F.col("severity_score") * 1e-200)
+    assert len(rows(profile.correlations(tiny))) == 49

@@ -1,18 +1,20 @@
 import csv
+import uuid
 
 import pytest
-from conftest import ROWS, SCHEMA
+from conftest import ROWS, SCHEMA, cleaned_of
 from pyspark.sql import functions as F
 
 import breachlens.sources.workspace as workspace
-from breachlens.batch import land_csv, load_raw, run_batch, save_summary
+from breachlens.batch import land_csv, land_raw, run_batch, save_summary
 from breachlens.operators.checks import check_header
 from breachlens.operators.sizing import shuffle_sized_for
 from breachlens.plans.analytics import QUESTIONS
-from breachlens.plans.cleaning import clean_incidents, read_clean_csv
+from breachlens.plans.cleaning import read_clean_csv
 from breachlens.plans.features import engineer_features
 from breachlens.schema import FLAG_COLUMNS, INCIDENT_COLUMNS, MISSING_CELLS
 from breachlens.sources import IncidentTable, read_header, read_incident_csv, write_csv
+from breachlens.sources.csv_files import text_faults
 from breachlens.sources.incident_table import load_engineered
 
 NAMES = [f.strip().split(" ")[0] for f in SCHEMA.split(",")]
@@ -53,8 +55,8 @@ def test_header_is_read_as_it_stands(spark, write_file):
 @pytest.mark.parametrize(
     "names, message",
     [
-        ([*NAMES, " "], "empty or whitespace-only"),
-        ([*NAMES, "sector"], r"duplicate column name\(s\): \['sector'\]"),
+        ([*NAMES, " "], "blank"),
+        ([*NAMES, "sector"], r"repeated: \['sector'\]"),
         ([n for n in NAMES if n != "region"], "Missing Columns"),
     ],
 )
@@ -68,12 +70,12 @@ def test_header_check_accepts_extras():
 
 
 def test_file_without_rows(spark, write_file, tmp_path):
-    with pytest.raises(ValueError, match="no records"):
+    with pytest.raises(ValueError, match="no rows"):
         land_csv(spark, write_file([",".join(NAMES)]), str(tmp_path / "landed"))
 
 
 def test_missing_id(spark, write_file, tmp_path):
-    with pytest.raises(ValueError, match="incident_id contains missing"):
+    with pytest.raises(ValueError, match="no incident_id"):
         land_csv(spark, write_file([*lines_of(), "NA," + ",".join(map(str, ROWS[0][1:]))]), str(tmp_path / "l"))
 
 
@@ -98,7 +100,9 @@ def test_windows_files(spark, tmp_path, multi_line):
 
 
 def test_line_break_in_quotes(spark, write_file):
-    got = read_incident_csv(spark, write_file(["a,b", '1,"x', 'y"', "2,z"])).select("a", "b").collect()
+    path = write_file(["a,b", '1,"x', 'y"', "2,z"])
+    assert text_faults(spark, path) == (0, True)
+    got = read_incident_csv(spark, path, True).select("a", "b").collect()
     assert [tuple(r) for r in got] == [("1", "x\ny"), ("2", "z")]
 
 
@@ -126,14 +130,14 @@ def test_every_missing_spelling_is_read_as_null(spark, tmp_path):
         out = csv.writer(file)
         out.writerow(["a", "b"])
         out.writerows(["row", token] for token in MISSING_CELLS)
-    got = read_incident_csv(spark, str(path)).select("a", "b").collect()
+    got = read_incident_csv(spark, str(path), False).select("a", "b").collect()
     assert [tuple(r) for r in got] == [("row", None)] * len(MISSING_CELLS)
 
 
 def test_csv_sink_keeps_cells(spark, tmp_path):
     rows = [("a\nb", ' q"x", ', "é"), ("  lead", "trail  ", "back\\slash"), ("x", None, "7,5")]
     write_csv(spark.createDataFrame(rows, "a string, b string, c string"), str(tmp_path / "out"))
-    got = read_incident_csv(spark, str(tmp_path / "out")).select("a", "b", "c").collect()
+    got = read_incident_csv(spark, str(tmp_path / "out"), True).select("a", "b", "c").collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, rows))
 
 
@@ -142,13 +146,13 @@ def test_first_duplicate_in_file_order_wins(spark, tmp_path):
     folder = tmp_path / "many"
     folder.mkdir()
     first = [list(ROWS[0])]
-    first[0][2] = "Energy"
+    first[0][2] = "Transport"
     later = [list(r) for r in ROWS] + [["X-%d" % i, *ROWS[1][1:]] for i in range(500)]
     (folder / "a.csv").write_text("\n".join(lines_of(first)) + "\n")
     (folder / "b.csv").write_text("\n".join(lines_of(later)) + "\n")
     result = run_batch(spark, str(folder), str(tmp_path / "target"), table_name="t_file_order")
     row = spark.table("t_file_order").where("incident_id = 'INC-001'").first()
-    assert row["sector"] == "Energy" and result.summary["clean_records"] == 503
+    assert row["sector"] == "Transport" and result.summary["clean_records"] == 503
 
 
 def test_shared_folder_setting(spark, monkeypatch):
@@ -164,11 +168,10 @@ def test_shared_folder_setting(spark, monkeypatch):
         sparkContext = Context()
 
         class conf:
-            get = staticmethod(lambda name, default: default)
+            get = staticmethod(lambda name, default="/shared/warehouse/": default)
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        workspace.new_folder(Session, "x")
-    Context.master = "local[2]"
+    # never a folder of one machine: the warehouse is shared as well
+    assert workspace.new_folder(Session, "x").startswith("/shared/warehouse/_work/")
     assert workspace.new_folder(Session, "x") != workspace.new_folder(Session, "x")
 
 
@@ -196,7 +199,7 @@ def test_run_from_csv(spark, write_file, tmp_path):
 def test_entry_from_the_shell(spark, write_file, tmp_path, monkeypatch, capsys):
     from breachlens.__main__ import main
 
-    arguments = [write_file(lines_of()), str(tmp_path / "out"), "--table", "t_shell", "--single-line"]
+    arguments = [write_file(lines_of()), str(tmp_path / "out"), "--table", "t_shell", "--no-multi-line"]
     monkeypatch.setattr("sys.argv", ["breachlens", *arguments])
     main()
     assert "clean_records: 3" in capsys.readouterr().out
@@ -213,14 +216,79 @@ def test_failed_run_keeps_the_table(spark, write_file, tmp_path):
     assert spark.table("t_kept").count() == 3
 
 
-def test_load_checks_of_a_dataframe(spark, make):
-    assert load_raw(make(), []) == 3
-    with pytest.raises(ValueError, match="no records"):
-        load_raw(make().limit(0), [])
-    with pytest.raises(ValueError, match="missing values"):
-        load_raw(make([{"incident_id": None}]), [])
-    with pytest.raises(ValueError, match="Missing Columns"):
-        load_raw(make().drop("region"), [])
+def test_load_checks_of_a_dataframe(spark, make, tmp_path):
+    def land(df, order=("incident_date",)):
+        return land_raw(df, list(order), f"{tmp_path}/{uuid.uuid4().hex}")
+
+    landed, rows = land(make())
+    assert rows == landed.count() == 3
+    for bad, message in [
+        (make().limit(0), "no rows"), (make([{"incident_id": None}]), "no incident_id"), (make().drop("region"), "Missing Columns"),
+    ]:
+        with pytest.raises(ValueError, match=message):
+            land(bad)
+    with pytest.raises(ValueError, match="order_by"):
+        land(make(), [])
+
+
+def test_a_dataframe_source_is_evaluated_once(spark, make, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = make()
+    source = rows.mapInArrow(count, rows.schema)
+    run_batch(spark, source, str(tmp_path / "t"), table_name="t_once", order_by=["incident_date"])
+    assert seen.value == 3
+
+
+# --- what a file must not get away with ---------------------------------------------
+def test_text_that_is_not_utf8_raises(spark, tmp_path):
+    path = tmp_path / "latin.csv"
+    path.write_bytes("\n".join(lines_of()).replace("Retail", "Caf\u00e9").encode("latin-1"))
+    with pytest.raises(RuntimeError, match="1 line.* not valid UTF-8"):
+        land_csv(spark, str(path), str(tmp_path / "landed"))
+
+
+def test_leading_blank_lines_are_skipped(spark, write_file, tmp_path):
+    for multi_line, blank in ((False, ["", "  "]), (True, ["", ""])):
+        _, rows = land_csv(spark, write_file([*blank, *lines_of()]), str(tmp_path / f"l{multi_line}"), multi_line)
+        assert rows == 3
+
+
+def test_long_quoted_cell_in_a_short_row(spark, write_file, tmp_path):
+    """A row with fewer cells than the header, one of them a megabyte with quotes in it."""
+    names = [*NAMES, "note", "more"]
+    lines = [",".join(names), ",".join(map(str, ROWS[0])) + ',"' + 'x, ""y"" ' * 125_000 + '"']
+    landed, rows = land_csv(spark, write_file(lines), str(tmp_path / "landed"))
+    row = landed.first()
+    assert rows == 1 and len(row["note"]) == 7 * 125_000 and row["more"] is None
+
+
+def test_files_are_split_unless_a_quoted_cell_spans_lines(spark, write_file, tmp_path):
+    plain = write_file([*lines_of(), ",".join(map(str, ROWS[0])).replace("Energy", '"a ""quoted"" one"')])
+    assert text_faults(spark, plain) == (0, False)
+    broken = lines_of([[*ROWS[0][:2], '"two\nlines"', *ROWS[0][3:]]])
+    landed, rows = land_csv(spark, write_file(broken, "broken.csv"), str(tmp_path / "landed"))
+    assert rows == 1 and landed.first()["sector"] == "two\nlines"
+
+
+@pytest.mark.parametrize("read", [read_clean_csv, lambda s, p: load_engineered(s, p, csv=True)])
+def test_exported_files_are_read_strictly(spark, make, write_file, tmp_path, read):
+    engineered = engineer_features(cleaned_of(make()))
+    write_csv(engineered.coalesce(1), str(tmp_path / "out"))
+    lines = next((tmp_path / "out").glob("part-*.csv")).read_text().splitlines()
+    assert read(spark, write_file(lines, "ok.csv")).count() == 3
+    with pytest.raises(RuntimeError, match="more fields"):
+        read(spark, write_file([lines[0], lines[1] + ",1", *lines[2:]], "long.csv"))
+    place = lines[0].split(",").index("downtime_hours")
+    cells = lines[1].split(",")
+    cells[place] = "12abc"
+    with pytest.raises(ValueError, match="invalid numeric|cannot be read in .*downtime_hours"):
+        read(spark, write_file([lines[0], ",".join(cells), *lines[2:]], "bad.csv"))
 
 
 def test_bad_summary_is_rejected(spark, tmp_path):
@@ -230,7 +298,7 @@ def test_bad_summary_is_rejected(spark, tmp_path):
 
 # --- table ----------------------------------------------------------------------
 def test_table_round_trip(spark, make, table):
-    engineered = engineer_features(clean_incidents(make()))
+    engineered = engineer_features(cleaned_of(make()))
     table.create(engineered)
     table.replace(engineered)
     table.verify()
@@ -249,8 +317,8 @@ def test_table_with_role_types_is_extended(spark, make, table):
     table.create()
     assert spark.table(table.name).columns == INCIDENT_COLUMNS
     table.insert(make())
-    engineered = engineer_features(clean_incidents(make(n=5).where("incident_id > 'INC-003'")))
-    with pytest.raises(ValueError, match="missing engineered columns"):
+    engineered = engineer_features(cleaned_of(make(n=5).where("incident_id > 'INC-003'")))
+    with pytest.raises(ValueError, match="lacks the columns"):
         table.insert(engineered)
     table.create(engineered)
     table.insert(engineered)
@@ -260,12 +328,12 @@ def test_table_with_role_types_is_extended(spark, make, table):
 
 
 def test_append_rules(spark, make, table):
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="no rows"):
         table.insert(make().limit(0))
     with pytest.raises(ValueError, match="if_exists"):
         table.insert(make(), "replace")
     table.insert(make().where("incident_id = 'INC-001'"))
-    with pytest.raises(ValueError, match="already exists"):
+    with pytest.raises(ValueError, match="already"):
         table.insert(make(), "fail")
     with pytest.raises(ValueError, match="unique"):
         table.insert(make())
@@ -281,9 +349,9 @@ def test_replace_is_all_or_nothing(spark, make, table):
         with pytest.raises(ValueError):
             table.replace(bad)
         assert table.row_count() == 3
-    with pytest.raises(ValueError, match="missing values"):
+    with pytest.raises(ValueError, match="gaps"):
         table.store(make([{"sector": None}]))
-    with pytest.raises(ValueError, match="row-count mismatch"):
+    with pytest.raises(ValueError, match="3 rows instead of 4"):
         table.store(make(), expected_rows=4)
     broken = make().withColumn("severity_score", F.when(F.col("incident_id") > "", F.raise_error(F.lit("lost"))))
     with pytest.raises(Exception, match="lost"):
@@ -293,12 +361,12 @@ def test_replace_is_all_or_nothing(spark, make, table):
 
 def test_replace_from_own_rows(spark, make, table):
     table.replace(make())
-    table.rewrite(lambda rows: rows.where("sector = 'Finance'").withColumn("region", F.lit("East")))
+    table.rewrite(lambda rows: rows.where("sector = 'Energy'").withColumn("region", F.lit("East")))
     assert {r["region"] for r in spark.table(table.name).collect()} == {"East"} and table.row_count() == 2
 
 
 def test_verify_reports(spark, make, table, tmp_path):
-    with pytest.raises(ValueError, match="not found"):
+    with pytest.raises(ValueError, match="no table"):
         table.verify()
     table.replace(make())
     table.attach(table.replace(make().limit(2))["version"])
@@ -315,12 +383,12 @@ def test_statements_and_parameters(spark, make, table, tmp_path):
     table.export(f"SELECT sector, count(*) AS n FROM {table.name} WHERE note IS NULL GROUP BY sector",
                  str(tmp_path / "out"))
     got = spark.read.csv(str(tmp_path / "out"), header=True).collect()
-    assert {(r["sector"], r["n"]) for r in got} == {("Finance", "2"), ("Healthcare", "1"), (None, "1")}
+    assert {(r["sector"], r["n"]) for r in got} == {("Energy", "2"), ("Retail", "1"), (None, "1")}
 
 
 def test_sql_text_gives_the_same_answers(spark, make, table):
     """Statements as an SQL user writes them, with REAL casts, chained CTEs and rank windows."""
-    table.store(engineer_features(clean_incidents(make())))
+    table.store(engineer_features(cleaned_of(make())))
     rows = spark.table(table.name)
     texts = {
         "q16_resolution_rate": "SELECT ROUND(100 * AVG(CAST(resolved_within_7_days AS REAL)), 2) AS r FROM {t}",
@@ -345,17 +413,17 @@ def test_table_under_a_quoted_path(spark, make, tmp_path):
 def test_load_engineered(spark, make, tmp_path):
     with pytest.raises(FileNotFoundError):
         load_engineered(spark, str(tmp_path / "none"))
-    engineered = engineer_features(clean_incidents(make()))
+    engineered = engineer_features(cleaned_of(make()))
     engineered.write.parquet(str(tmp_path / "ok"))
     loaded = load_engineered(spark, str(tmp_path / "ok"))
     assert {r["zero_day_used"] for r in loaded.collect()} == {0, 1}
     cases = {
-        "empty": engineered.limit(0),
-        "duplicate": engineered.union(engineered),
-        "missing required": engineered.drop("sector"),
-        "missing values": engineered.withColumn("risk_score", F.lit(None).cast("double")),
+        "no rows": engineered.limit(0),
+        "repeats": engineered.union(engineered),
+        "lacks columns": engineered.drop("sector"),
+        "gaps": engineered.withColumn("risk_score", F.lit(None).cast("double")),
         "invalid numeric": engineered.withColumn("downtime_hours", F.lit(float("inf"))),
-        "invalid boolean": engineered.withColumn("zero_day_used", F.lit(2)),
+        "flags other": engineered.withColumn("zero_day_used", F.lit(2)),
     }
     for i, (message, df) in enumerate(cases.items()):
         df.write.parquet(str(tmp_path / f"bad{i}"))
@@ -364,7 +432,7 @@ def test_load_engineered(spark, make, tmp_path):
 
 
 def test_exported_csv_is_read_back(spark, make, tmp_path):
-    cleaned = clean_incidents(make([{"sector": 'a "quoted", one'}]))
+    cleaned = cleaned_of(make([{"sector": 'a "quoted", one'}]))
     write_csv(cleaned.df, str(tmp_path / "clean"))
     assert sorted(read_clean_csv(spark, str(tmp_path / "clean")).collect()) == sorted(cleaned.df.collect())
     engineered = engineer_features(cleaned)
@@ -374,9 +442,9 @@ def test_exported_csv_is_read_back(spark, make, tmp_path):
     assert loaded.dtypes == want.dtypes
     assert sorted(loaded.collect()) == sorted(want.collect())
     write_csv(engineered.withColumn("zero_day_used", F.lit("maybe")), str(tmp_path / "bad"))
-    with pytest.raises(ValueError, match="invalid boolean values in 'zero_day_used'"):
+    with pytest.raises(ValueError, match="flags other than 0 and 1 in zero_day_used"):
         load_engineered(spark, str(tmp_path / "bad"), csv=True)
-    with pytest.raises(FileNotFoundError, match="Engineered dataset not found"):
+    with pytest.raises(FileNotFoundError, match="Dataset not found"):
         load_engineered(spark, str(tmp_path / "none"), csv=True)
 
 
@@ -393,19 +461,68 @@ def test_shuffle_size_grows_with_rows_and_is_restored(spark):
 
 def test_all_questions_run(spark, make, table):
     assert len(QUESTIONS) == 29
-    table.store(engineer_features(clean_incidents(make())))
+    table.store(engineer_features(cleaned_of(make())))
     rows = {name: [tuple(r) for r in ask(spark.table(table.name)).collect()] for name, ask in QUESTIONS.items()}
     assert rows["q01_total_incidents"] == [(3,)]
-    assert rows["q02_average_severity"] == [(7.33,)]
-    assert rows["q03_most_severe"][0] == ("INC-003", 9.0, "Ransomware", "Finance")
-    assert rows["q04_by_sector"] == [("Finance", 2), ("Healthcare", 1)]
-    assert rows["q08_monthly_trend"] == [(2025, 12, 3)]
+    assert rows["q02_average_severity"] == [(7.0,)]
+    assert rows["q03_most_severe"][0] == ("INC-003", 9.0, "Malware", "Energy")
+    assert rows["q04_by_sector"] == [("Energy", 2), ("Retail", 1)]
+    assert rows["q08_monthly_trend"] == [(2025, 3, 1), (2025, 4, 1), (2025, 11, 1)]
     assert rows["q12_zero_day_split"] == [(1, 1), (0, 2)]
     assert rows["q16_resolution_rate"] == [(66.67,)]
-    assert rows["q18_high_severity"] == [("INC-003", 9.0, "Finance"), ("INC-001", 8.0, "Finance")]
-    assert rows["q20_costliest_sectors"] == [("Finance", 42000.0), ("Healthcare", 0.0)]
-    assert rows["q22_leading_actors"] == [("North", "Actor A", 1), ("West", "Actor A", 1), ("West", "Actor B", 1)]
-    assert rows["q25_dashboard"] == [(3, 7.33, 28.0, 42000.0, 25.33, 66.67, 4.0)]
+    assert rows["q18_high_severity"] == [("INC-003", 9.0, "Energy"), ("INC-001", 8.0, "Energy")]
+    assert rows["q20_costliest_sectors"] == [("Energy", 26200.0), ("Retail", 0.0)]
+    assert rows["q22_leading_actors"] == [("East", "Group X", 1), ("South", "Group X", 1), ("South", "Group Y", 1)]
+    assert rows["q25_dashboard"] == [(3, 7.0, 34.0, 26200.0, 24.33, 66.67, 5.0)]
     assert rows["q26_high_risk_count"] == [(2,)]
-    assert rows["q27_impact_by_attack"][0] == ("Ransomware", 2, 42000.0, 21000.0)
+    assert rows["q27_impact_by_attack"][0] == ("Malware", 2, 26200.0, 13100.0)
     assert rows["q29_table_sanity"] == [(3, 3, 0, 0, 0)]
+
+
+# --- rules on statements and versions -------------------------------------------------
+def test_insert_statements_obey_the_table(spark, make, table):
+    table.replace(make())
+    for statement in (f"INSERT INTO {table.name} SELECT * FROM {table.name}",
+                      f"insert into table `{table.name}` (incident_id) values ('INC-001')",
+                      f"INSERT INTO {table.name} (incident_id) VALUES ('x'), ('x')",
+                      f"INSERT INTO {table.name} (incident_id) VALUES (NULL)"):
+        with pytest.raises(ValueError, match="unique"):
+            table.execute(statement)
+        assert table.row_count() == 3
+    with pytest.raises(ValueError, match="values for"):
+        table.execute(f"INSERT INTO {table.name} VALUES ('INC-009')")
+    table.execute(f"INSERT OVERWRITE {table.name} SELECT * FROM {table.name} WHERE incident_id = 'INC-002'")
+    assert table.row_count() == 1
+
+
+def test_insert_evaluates_its_rows_once(spark, make, table):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = make()
+    assert table.insert(rows.mapInArrow(count, rows.schema)) == 3
+    assert seen.value == 3
+
+
+def test_failed_replace_adds_no_column(spark, make, table):
+    table.replace(make())
+    before = spark.table(table.name).columns
+    with pytest.raises(ValueError):
+        table.store(make([{"sector": None}]).withColumn("note", F.lit("x")))
+    assert spark.table(table.name).columns == before
+    table.replace(make().withColumn("note", F.lit("x")))
+    assert spark.table(table.name).columns == [*before, "note"]
+
+
+def test_vacuum_keeps_the_present_version(spark, make, table, tmp_path):
+    versions = [table.replace(make())["version"].rsplit("/", 1)[-1] for _ in range(4)]
+    assert set(table.vacuum(keep=1)) < set(versions[:3])
+    assert len(table.vacuum(keep=0)) == 1
+    assert {p.name for p in (tmp_path / "table").glob("version-*")} == {versions[-1]}
+    assert table.row_count() == 3
+    with pytest.raises(ValueError):
+        table.vacuum(-1)
