@@ -18,13 +18,15 @@ one document. A document without id comes after all others; all rows without id
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from breachlens.llm.common import WHITE_SPACE, unused_name, utf8
@@ -37,6 +39,7 @@ SHARD_KEYS = 1_000_000
 #: Lines of one shard are dealt to so many partitions, as one line may stand in most documents.
 SPREAD = 8
 _LAST_ID = (1 << 63) - 1
+_CHANGE = "number int, kind string, folder string, n_shards int"
 _CONTINUED = bytes(range(0x80, 0xC0))
 
 
@@ -114,8 +117,9 @@ def _without_lines(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[p
 class LineStore:
     """Line counts of the documents inserted so far, under a folder that all executors share.
 
-    Each change writes a new version of the counts and filters next to the old one, so a failed
-    change leaves the store as it was; batches of holders and deletions are only appended.
+    Each change writes a new version of the counts and filters next to the old one and is listed when it
+    is complete, so a failed change leaves the store as it was; batches of holders and deletions are
+    only appended. Opening the folder again gives the store of the last change. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -124,9 +128,27 @@ class LineStore:
         self.counts: DataFrame | None = None
         self.filters: DataFrame | None = None
         self.n_shards = 0
-
-    def _path(self, name: str) -> str:
-        return f"{self.folder}/{len(self.batches):05d}-{name}"
+        for change in sorted(self._changes(), key=lambda c: c.number):
+            self.batches.append((change.kind, spark.read.parquet(f"{change.folder}/rows")))
+            self.counts = self._held(spark.read.parquet(f"{change.folder}/counts"))
+            self.filters = spark.read.parquet(f"{change.folder}/filters")
+            self.n_shards = change.n_shards
+
+    def _changes(self) -> list[Row]:
+        """The finished changes of the folder: one row each, written when all else of it is there."""
+        try:
+            return self.spark.read.schema(_CHANGE).parquet(f"{self.folder}/changes").collect()
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" in str(error.getCondition()):
+                return []
+            raise
+
+    def _new_change(self) -> str:
+        return f"{self.folder}/change-{uuid.uuid4().hex}"
+
+    @staticmethod
+    def _held(counts: DataFrame) -> DataFrame:
+        return counts.where("n_docs > 0").select("shard", "key", "n_docs", "first_doc", "repeated")
 
     def _live(self) -> DataFrame:
         """(doc_id, key) of the documents that are in the store."""
@@ -138,10 +160,9 @@ class LineStore:
                 live = live.join(rows, "doc_id", "left_anti")
         return live
 
-    def _publish(self, counts: DataFrame) -> None:
-        """Write the changed counts, then bring the filters in line with them."""
-        path = self._path("counts")
-        counts = write_layer(counts, path)
+    def _publish(self, kind: str, rows: DataFrame, folder: str, counts: DataFrame) -> None:
+        """Write the changed counts, bring the filters in line with them, and list the change."""
+        counts = write_layer(counts, f"{folder}/counts")
         per_shard = counts.groupBy("shard").agg(F.count(F.when(F.col("repeated"), 1)).alias("n"))
         if self.filters is None:
             full = per_shard.select("shard", F.lit(True).alias("rebuild"))
@@ -159,8 +180,11 @@ class LineStore:
         filters = (
             old.groupBy("shard").cogroup(changes.groupBy("of_shard")).applyInPandas(_update_filter, "shard int, data binary")
         )
-        self.filters = write_layer(filters, self._path("filters"))
-        self.counts = counts.where("n_docs > 0").select("shard", "key", "n_docs", "first_doc", "repeated")
+        filters = write_layer(filters, f"{folder}/filters")
+        change = [(len(self.batches), kind, folder, self.n_shards)]
+        self.spark.createDataFrame(change, _CHANGE).coalesce(1).write.mode("append").parquet(f"{self.folder}/changes")
+        self.batches.append((kind, rows))
+        self.counts, self.filters = self._held(counts), filters
 
     def holders(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """(doc_id, key) once for each key that a row holds."""
@@ -169,7 +193,8 @@ class LineStore:
 
     def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> None:
         """Count the lines of ``docs``; lines of an id that the store already holds are added to that document."""
-        rows = write_layer(self.holders(docs, id_col, text_col), self._path("inserted"))
+        folder = self._new_change()
+        rows = write_layer(self.holders(docs, id_col, text_col), f"{folder}/rows")
         if not self.n_shards:
             self.n_shards = max(8, -(-rows.count() // SHARD_KEYS))
         new = rows.distinct()
@@ -178,7 +203,6 @@ class LineStore:
         new = new.groupBy("key").agg(
             F.min("doc_id").alias("new_first"), F.max("doc_id").alias("new_last"), F.count(F.lit(1)).alias("new_docs")
         )
-        self.batches.append(("inserted", rows))
         if self.counts is None:
             merged = new.select(
                 _shard(self.n_shards).alias("shard"), "key", F.col("new_docs").alias("n_docs"),
@@ -198,16 +222,16 @@ class LineStore:
                     | (F.greatest("first_doc", "new_last") > F.least("first_doc", "new_first"))
                 ).alias("repeated"),
             )
-        self._publish(merged)
+        self._publish("inserted", rows, folder, merged)
 
     def delete(self, ids: DataFrame, id_col: str = "doc_id") -> None:
         """Take documents out again; ids that the store does not hold change nothing."""
         order = F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(_LAST_ID)).alias("doc_id")
-        gone = write_layer(ids.select(order).distinct(), self._path("deleted"))
+        folder = self._new_change()
+        gone = write_layer(ids.select(order).distinct(), f"{folder}/rows")
         touched = self._live().join(gone, "doc_id").select("key").distinct()
-        self.batches.append(("deleted", gone))
         left = (
-            self._live().join(touched, "key", "left_semi").groupBy("key").agg(
+            self._live().join(gone, "doc_id", "left_anti").join(touched, "key", "left_semi").groupBy("key").agg(
                 F.count(F.lit(1)).alias("left"), F.min("doc_id").alias("left_first"), F.max("doc_id").alias("left_last")
             )
         )
@@ -220,7 +244,7 @@ class LineStore:
             F.when(F.col("touched"), F.coalesce(F.col("left_first") < F.col("left_last"), F.lit(False)))
             .otherwise(F.col("repeated")).alias("repeated"),
         )
-        self._publish(merged)
+        self._publish("deleted", gone, folder, merged)
 
     def repeats(self, lines: DataFrame) -> DataFrame:
         """Of (doc_id, key) rows, those whose key a document with a smaller id holds too."""

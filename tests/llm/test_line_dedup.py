@@ -65,8 +65,12 @@ def test_deletions_undo_insertions(spark, docs, tmp_path):
     assert sum(n for _, n, _, _ in state()) == sum(len({x for x in t.split("\n") if x}) for _, t in first + second)
     store.insert(docs(*second[:3]))  # a second time: no change
     assert kept(first + second) == sorted(dropped(first + second))
+    store = LineStore(spark, f"{tmp_path}/store")  # opened again
+    assert kept(first + second) == sorted(dropped(first + second))
     store.delete(docs(*second, (999, "never inserted")))
     assert state() == before
+    store = LineStore(spark, f"{tmp_path}/store")
+    assert state() == before
     assert kept(first) == sorted(dropped(first))
 
 
