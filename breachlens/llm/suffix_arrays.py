@@ -6,7 +6,7 @@ import numpy as np
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Places of ``text`` sorted by the ``depth`` bytes (or more) that begin there.
+    """Places of ``text`` (below 2 GB) sorted by the ``depth`` bytes (or more) that begin there.
 
     Larsson-Sadakane refinement: places are first sorted by 8 bytes; then, in rounds, groups of places
     that still agree are sorted by the ranks of the places as far ahead as their order already
@@ -15,14 +15,14 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     n = len(text)
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
     key = np.ndarray(n, ">u8", padded, strides=(1,)).astype(np.uint64)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key, kind="stable").astype(np.int32)
     key = key[order]
-    at, new = np.arange(n), np.concatenate([np.ones(min(n, 1), bool), key[1:] != key[:-1]])
-    rank = np.empty(n, np.int64)
+    at, new = np.arange(n, dtype=np.int32), np.concatenate([np.ones(min(n, 1), bool), key[1:] != key[:-1]])
+    rank = np.empty(n, np.int32)
     reach = 8
     while True:
         # ``at`` are the slots of ``order`` just sorted, ``new`` whether a group begins in them
-        group = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
+        group = at[np.maximum.accumulate(np.where(new, np.arange(len(at), dtype=np.int32), 0))]
         rank[order[at]] = group
         alone = new & np.concatenate([new[1:], np.ones(min(len(new), 1), bool)])
         at = at[~alone]
@@ -31,7 +31,7 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
         place = order[at]
         ahead = place + reach
         then = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
-        key = rank[place] << 32 | then
+        key = rank[place].astype(np.int64) << 32 | then
         sorting = np.argsort(key, kind="stable")
         order[at] = place[sorting]
         key = key[sorting]
@@ -50,11 +50,11 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, starts: np.ndarray, len
     n = len(text)
     padded = np.concatenate([text, np.zeros(depth + 16, np.uint8)])
     words = np.ndarray(n + depth + 8, "<u8", padded, strides=(1,))
-    before = np.empty(n, np.int64)
+    before = np.empty(n, np.int32)
     before[order[1:]] = order[:-1]
     if n:
         before[order[0]] = -1
-    shared = np.zeros(n, np.int64)
+    shared = np.zeros(n, np.int32)
     lanes = np.argsort(-lengths, kind="stable")  # long strings first, so that lanes end from behind
     starts, lengths = starts[lanes], lengths[lanes]
     known = np.zeros(len(starts), np.int64)

@@ -41,14 +41,17 @@ from breachlens.sources.layers import write_layer
 
 #: Bytes of a string whose repetition removes it.
 LENGTH = 50
-ANCHOR = 12
+ANCHOR = 24
 #: Text bytes of a segment; a longer document is a segment of its own.
 SEGMENT_BYTES = 4 << 20
 #: Places whose anchors are found together.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 #: Text bytes per shard of anchors, and passage bytes of one suffix array.
-SHARD_TEXT = 16 << 20
-ARRAY_BYTES = 4 << 20
+SHARD_TEXT = 8 << 20
+ARRAY_BYTES = 2 << 20
+#: Bytes of an anchor's hash that are sent. A shard has a bounded number of anchors, and two that
+#: agree by chance only have their passages compared in vain.
+_SENT_BYTES = 5
 _LAST_ID = (1 << 63) - 1
 
 SEGMENT = "segment bigint, n_bytes bigint, doc_ids array<bigint>, sizes array<bigint>, data binary"
@@ -131,8 +134,10 @@ class _Segment:
             return empty, empty, empty.astype(np.uint64)
         words = np.ndarray(len(part) - 7, "<u8", part, strides=(1,))
         places = len(part) - ANCHOR + 1
-        with np.errstate(over="ignore"):
-            h = mixed(words[:places] * np.uint64(0x9E3779B97F4A7C15) + words[ANCHOR - 8 :] * np.uint64(0xC2B2AE3D27D4EB4F))
+        h = words[:places] * np.uint64(0x9E3779B97F4A7C15)
+        for offset in (8, 16):  # ANCHOR is 24
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + words[offset : offset + places]
+        h = mixed(h)
         least = h & np.uint64(0xFFFFFFFF00000000) | np.arange(places, dtype=np.uint64)
         width, span = 1, LENGTH - ANCHOR + 1
         while 2 * width <= span:  # least of ``width`` neighbours; the place in its low half makes the first one win
@@ -149,7 +154,8 @@ class _Segment:
         begins[1:] &= (at[1:] != at[:-1]) | ~inside[:-1]
         start = np.flatnonzero(begins)
         stops = np.flatnonzero(inside & ~np.concatenate([inside[1:] & ~begins[1:], [False]]))
-        return start + first, stops - start + 1, h[at[start]]
+        # anchors have small hashes; mixed once more, they spread over all shards
+        return start + first, stops - start + 1, mixed(h[at[start]] ^ np.uint64(0x632BE59BD9B4E019))
 
     def strings(self, which: np.ndarray) -> list[bytes]:
         stops = self.start[which] + self.count[which] + LENGTH - 1
@@ -179,7 +185,8 @@ def _send_anchors(n_shards: int):
                 if len(first):
                     several = np.minimum.reduceat(key, first) < np.maximum.reduceat(key, first)
                     for shard, cut in _cuts(_shards(anchor[first], n_shards)):
-                        out.append((shard, row["segment"], _pack_arrays(anchor[first][cut], several[cut])))
+                        sent = anchor[first][cut].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_SENT_BYTES]
+                        out.append((shard, row["segment"], _pack_arrays(sent.reshape(-1), several[cut])))
                 yield pd.DataFrame(out, columns=["shard", "segment", "data"])
 
     return run
@@ -187,7 +194,11 @@ def _send_anchors(n_shards: int):
 
 def _answer_anchors(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """A bit for each sent anchor: whether two documents or more have it."""
-    sent = [_unpack_arrays(d) for d in rows["data"]]
+    sent = []
+    for low, several in (_unpack_arrays(d) for d in rows["data"]):
+        whole = np.zeros((len(several), 8), np.uint8)
+        whole[:, :_SENT_BYTES] = low.reshape(-1, _SENT_BYTES)
+        sent.append((whole.view("<u8")[:, 0], several))
     codes, anchors = pd.factorize(np.concatenate([a for a, _ in sent]))
     known = np.bincount(codes, minlength=len(anchors)) > 1
     known[codes[np.concatenate([s for _, s in sent])]] = True
@@ -220,7 +231,10 @@ def _send_passages(n_shards: int):
                 mine = order[cut]
                 parts = [strings[i] for i in mine.tolist()]
                 sizes = np.array([len(p) for p in parts], np.int32)
-                data = _pack_arrays(np.frombuffer(b"".join(parts), np.uint8), sizes, source[mine], least[mine], most[mine])
+                anchor = segment.anchor[source[mine]].astype(np.uint32)
+                data = _pack_arrays(
+                    np.frombuffer(b"".join(parts), np.uint8), sizes, anchor, source[mine], least[mine], most[mine]
+                )
                 out.append((shard, key[0], data))
         return pd.DataFrame(out, columns=["shard", "segment", "data"])
 
@@ -234,10 +248,12 @@ def _windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner, np.arange(int(n.sum())) + np.repeat(np.cumsum(sizes) - sizes - np.cumsum(n) + n, n)
 
 
-def sorted_strings(passages: list[bytes], holders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sorted_strings(
+    passages: list[bytes], holders: np.ndarray, spelled: bool = True
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct strings in order, smallest holder of each, number of each passage's strings in that list).
 
-    One suffix array over the joined passages; neighbours that share ``LENGTH`` bytes are one string.
+    The strings themselves, which only a merge needs, are left out unless ``spelled``. One suffix array over the joined passages; neighbours that share ``LENGTH`` bytes are one string.
     """
     text = np.frombuffer(b"".join(passages), np.uint8)
     sizes = np.array([len(p) for p in passages], np.int64)
@@ -249,6 +265,8 @@ def sorted_strings(passages: list[bytes], holders: np.ndarray) -> tuple[np.ndarr
     kept, number = np.unique(group[place], return_inverse=True)
     least = np.full(len(kept), _LAST_ID)
     np.minimum.at(least, number, holders[owner])
+    if not spelled:
+        return np.empty(0, f"S{LENGTH}"), least, number
     example = np.empty(len(kept), np.int64)
     example[number] = place
     strings = np.ndarray(max(0, len(text) - LENGTH + 1), f"S{LENGTH}", text, strides=(1,))[example]
@@ -275,31 +293,57 @@ def merge_sorted(arrays: list[tuple[np.ndarray, np.ndarray]]) -> None:
             least[same] = np.minimum(least[same], theirs[inside[same]])
 
 
+def _lowest_holders(passages: list[bytes], holders: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Smallest holder of each string, passage by passage; equal strings have passages with one code.
+
+    The passages come sorted by code.
+    """
+    cut = np.cumsum([len(p) for p in passages]) // ARRAY_BYTES
+    edges = [0, *(np.flatnonzero(cut[1:] != cut[:-1]) + 1).tolist(), len(passages)]
+    joined = [codes[e - 1] == codes[e] for e in edges[1:-1]]  # whether arrays share a code with the next one
+    arrays = []
+    for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+        spelled = any(joined[max(0, i - 1) : i + 1])
+        arrays.append(sorted_strings(passages[a:b], holders[a:b], spelled))
+    start = 0
+    for i in range(len(arrays)):
+        if i == len(joined) or not joined[i]:
+            merge_sorted([(strings, least) for strings, least, _ in arrays[start : i + 1]])
+            start = i + 1
+    return np.concatenate([least[number] for _, least, number in arrays])
+
+
 def _answer_passages(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Per segment the smallest holder of each string of its passages, if it removes one there."""
+    """Per segment the smallest holder of each string of its passages, if it removes one there.
+
+    Equal strings have one anchor. So the strings of a passage that is the only one of its anchor stand
+    in it alone, and its smallest holder is theirs. The other passages are sorted by anchor and go into
+    suffix arrays of bounded size; arrays between which an anchor's passages are split are merged.
+    """
     number: dict[bytes, int] = {}
     sent = []
     for segment, data in zip(rows["segment"], rows["data"]):
-        text, sizes, source, least, most = _unpack_arrays(data)
+        text, sizes, anchor, source, least, most = _unpack_arrays(data)
         text, ends = text.tobytes(), np.cumsum(sizes)
         own = [number.setdefault(text[b - n : b], len(number)) for b, n in zip(ends.tolist(), sizes.tolist())]
-        sent.append((segment, np.array(own, np.int64), source, least, most))
+        sent.append((segment, np.array(own, np.int64), source, least, most, anchor))
     passages = list(number)
-    holders = np.full(len(passages), _LAST_ID)
-    for _, own, _, least, _ in sent:
+    holders, anchors = np.full(len(passages), _LAST_ID), np.empty(len(passages), np.uint32)
+    for _, own, _, least, _, anchor in sent:
         np.minimum.at(holders, own, least)
-    sizes = np.array([len(p) for p in passages], np.int64)
-    # suffix arrays of bounded size over the distinct passages
-    cut = np.cumsum(sizes) // ARRAY_BYTES
-    edges = [0, *(np.flatnonzero(cut[1:] != cut[:-1]) + 1).tolist(), len(passages)]
-    made = [sorted_strings(passages[a:b], holders[a:b]) for a, b in zip(edges[:-1], edges[1:])]
-    merge_sorted([(strings, least) for strings, least, _ in made])
-    lowest = np.concatenate([least[number] for _, least, number in made])
-    counts = sizes - LENGTH + 1
-    first = np.cumsum(counts) - counts
-    low, high = np.minimum.reduceat(lowest, first), np.maximum.reduceat(lowest, first)
+        anchors[own] = anchor
+    counts = np.array([len(p) for p in passages], np.int64) - LENGTH + 1
+    codes, _ = pd.factorize(anchors)
+    several = np.flatnonzero(np.bincount(codes)[codes] > 1)
+    several = several[np.argsort(codes[several], kind="stable")]
+    low, high, first = holders.copy(), holders.copy(), np.zeros(len(passages), np.int64)
+    lowest = np.empty(0, np.int64)
+    if len(several):
+        lowest = _lowest_holders([passages[i] for i in several.tolist()], holders[several], codes[several])
+        first[several] = at = np.cumsum(counts[several]) - counts[several]
+        low[several], high[several] = np.minimum.reduceat(lowest, at), np.maximum.reduceat(lowest, at)
     out = []
-    for segment, own, source, _, most in sent:
+    for segment, own, source, _, most, _ in sent:
         own, source = own[most > low[own]], source[most > low[own]]
         if len(own):
             even = low[own] == high[own]
