@@ -23,12 +23,13 @@ from breachlens.operators.checks import (
     check_complete,
     count_if,
     flag_measures,
+    measure,
     range_measures,
     row_measures,
 )
 from breachlens.plans import profile
 from breachlens.plans.analytics import QUESTIONS
-from breachlens.plans.cleaning import Cleaned, clean_incidents, filled, limited, read_clean_csv, typed_columns
+from breachlens.plans.cleaning import Cleaned, clean_incidents, filled, limited, number_statistics, read_clean_csv, typed_columns
 from breachlens.plans.features import FEATURE_GROUPS, engineer_features
 from breachlens.schema import (
     CATEGORY_COLUMNS,
@@ -64,6 +65,7 @@ class Layers:
 
 
 _built: dict[tuple[str, str], Layers] = {}
+_csv_inputs: dict[tuple[str, str], str] = {}
 _profile_input_checked: set[tuple[str, str]] = set()
 
 
@@ -127,7 +129,11 @@ def _clean(*columns: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def clean_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = layers(spark, sf_dir).cleaned.statistics
+    """Computed anew from the typed layer."""
+    typed = layers(spark, sf_dir).cleaned.typed
+    gaps = {f"missing:{c}": count_if(F.col(c).isNull()) for c in NUMBER_COLUMNS}
+    found = measure(typed, {"rows": F.count(F.lit(1)), **gaps})
+    stats = number_statistics(typed, {c: found[f"missing:{c}"] for c in NUMBER_COLUMNS}, found["rows"])
     rows = [(c, s.fill, *(s.fences or (None, None)), s.clean_median) for c, s in stats.items()]
     return spark.createDataFrame(
         rows, "column string, fill double, lower_fence double, upper_fence double, clean_median double"
@@ -135,9 +141,9 @@ def clean_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The written JSON report, one row per number."""
+    """The written JSON report of a cleaning of the raw layer, one row per number."""
     path = new_folder(spark, "report")
-    saved = write_json_report(spark, layers(spark, sf_dir).cleaned.report, path)
+    saved = write_json_report(spark, clean_incidents(layers(spark, sf_dir).raw, ORDER_COLUMNS).report, path)
     parts = []
     for field in saved.schema.fields:
         if field.dataType.typeName() == "map":
@@ -310,8 +316,8 @@ def dq_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows written as CSV and landed again by the CSV source."""
     folder = new_folder(spark, "csv")
-    write_csv(raw_incidents(spark, sf_dir).select(*INCIDENT_COLUMNS), f"{folder}/files")
-    landed, _ = land_csv(spark, f"{folder}/files", f"{folder}/landed", multi_line=False)
+    write_csv(layers(spark, sf_dir).raw.select(*INCIDENT_COLUMNS), f"{folder}/files")
+    landed, _ = land_csv(spark, f"{folder}/files", f"{folder}/landed")
     return landed.select(
         *[F.col(c).cast("double").alias(c) if c in NUMBER_COLUMNS else F.col(c) for c in INCIDENT_COLUMNS]
     )
@@ -331,21 +337,24 @@ def engineered_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(load_engineered(spark, path, csv=True))
 
 
-def _ordered_csv(spark: SparkSession, sf_dir: str) -> str:
-    """Raw CSV files whose row order has the first row of each id first.
+def ordered_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Raw CSV files whose row order has the first row of each id first; written once per session.
 
     Sorted by the order columns over all rows, so file order and row order agree with them.
     """
-    path = f"{new_folder(spark, 'csv')}/files"
-    write_csv(raw_incidents(spark, sf_dir).orderBy(*ORDER_COLUMNS).select(*INCIDENT_COLUMNS), path)
-    return path
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _csv_inputs:
+        path = f"{new_folder(spark, 'csv')}/files"
+        write_csv(layers(spark, sf_dir).raw.orderBy(*ORDER_COLUMNS).select(*INCIDENT_COLUMNS), path)
+        _csv_inputs[key] = path
+    return _csv_inputs[key]
 
 
 def csv_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run from CSV files to the published table."""
     name = f"incidents_{uuid.uuid4().hex[:12]}"
-    source = _ordered_csv(spark, sf_dir)
-    run_batch(spark, source, new_folder(spark, "target"), table_name=name, multi_line=False)
+    source = ordered_csv(spark, sf_dir)
+    run_batch(spark, source, new_folder(spark, "target"), table_name=name)
     return _shown(spark.table(name))
 
 

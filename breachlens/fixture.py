@@ -50,10 +50,17 @@ FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_cu
 """.strip()
 
 
+def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in SOURCE_TABLES}
+    cores, lines = spark.sparkContext.defaultParallelism, tables["lineitem"]
+    if lines.rdd.getNumPartitions() < cores:  # a file of one row group would keep the whole join in one task
+        tables["lineitem"] = lines.repartition(cores)
+    return tables
+
+
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw layer with its three order columns, over all rows of the tables in ``sf_dir``."""
-    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in SOURCE_TABLES}
-    return spark.sql(RAW_SQL, **tables)
+    return spark.sql(RAW_SQL, **_tables(spark, sf_dir))
 
 
 def _dirty_number(place: int, name: str) -> str:
@@ -78,5 +85,4 @@ FROM ({RAW_SQL})
 
 def dirty_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw layer with faults, over all rows of the tables in ``sf_dir``."""
-    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in SOURCE_TABLES}
-    return spark.sql(DIRTY_SQL, **tables)
+    return spark.sql(DIRTY_SQL, **_tables(spark, sf_dir))
