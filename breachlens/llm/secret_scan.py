@@ -84,9 +84,17 @@ def _text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY) -> dict[bytes, int]:
-    """The ``size`` words that most texts use, with the number of those; counted over all texts."""
-    counts = docs.select(utf8(text_col).alias("text")).mapInArrow(_text_words, "word binary, n bigint")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
+    """At most ``size`` words that most texts use, with the number of those; counted over all texts.
+
+    Words of the count at which the size would be passed are left out together, so the cut is a
+    count: only the numbers of words per count are sorted, and no task or driver holds more words.
+    """
+    words = docs.select(utf8(text_col).alias("text")).mapInArrow(_text_words, "word binary, n bigint")
+    counts = write_layer(words.groupBy("word").agg(F.sum("n").alias("n")), new_folder(docs.sparkSession, "words"))
+    per_count = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
+    more = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    least = per_count.withColumn("held", F.sum("words").over(more)).where(F.col("held") <= size).agg(F.min("n")).first()[0]
+    top = counts.where(F.col("n") >= least) if least is not None else counts.where("false")
     return {bytes(r.word): r.n for r in top.collect()}
 
 
