@@ -35,7 +35,8 @@ def component_roots(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """
     folder, before = new_folder(spark, "components"), None
     a, b = edges.columns
-    edges = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
+    # written first: a round reads its edges several times
+    edges = write_layer(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v"), f"{folder}/edges")
     for step in range(100):
         edges = write_layer(_lift(_hook(edges)), f"{folder}/{step:03d}")
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
