@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from breachlens.llm.common import blocks, utf8
+from breachlens.sources import new_folder
+from breachlens.sources.layers import write_layer
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -188,9 +190,13 @@ def train(
     """Network fitted on the sample of ``docs`` where ``usable`` holds; None if it has no labelled text."""
     order = F.xxhash64(F.col(f"`{id_col}`").cast("string"))
     labelled = docs.where(usable & F.col(f"`{lang_col}`").isNotNull())
+    # first among a 256th of a language's documents, then among what is left: no task sees them all
+    few = F.row_number().over(Window.partitionBy("lang", F.pmod("order", F.lit(256))).orderBy("order"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
     chosen = labelled.select(F.col(f"`{lang_col}`").alias("lang"), order.alias("order")).distinct()
+    chosen = chosen.withColumn("rank", few).where(F.col("rank") <= SAMPLE_DOCS)
     chosen = chosen.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS).select("lang", "order")
+    chosen = write_layer(chosen, new_folder(docs.sparkSession, "language-sample"))  # of known size: no need to shuffle the texts
     texts = labelled.select(F.col(f"`{lang_col}`").alias("lang"), order.alias("order"), utf8(text_col).alias("text"))
     pieces = texts.join(chosen, ["lang", "order"]).mapInPandas(
         _sample_windows, "order bigint, place bigint, lang string, piece binary"
