@@ -34,11 +34,12 @@ WINDOW_WORDS = 13
 #: Free positions between two documents, so that no match and no slop reaches across.
 GAP = 64
 #: Text bytes of a segment; a longer document is a segment of its own.
-SEGMENT_BYTES = 16 << 20
+SEGMENT_BYTES = 8 << 20
 #: Windows handled together in one segment.
 WINDOWS_AT_ONCE = 100_000
-#: Distinct benchmark terms up to which they are broadcast (checked by count); more are joined by a shuffle.
-BROADCAST_TERMS = 200_000
+#: Bytes of distinct benchmark terms up to which they are broadcast (they are summed first); more are joined
+#: by a shuffle.
+BROADCAST_BYTES = 16 << 20
 
 INDEX = "segment bigint, term binary, n bigint, positions binary, doc_id {id_type}, start bigint, n_words bigint"
 
@@ -198,7 +199,7 @@ def match_phrases(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFr
         raise ValueError(f"slop must be at least 0 and below {GAP}")
     lists = index.where("term IS NOT NULL").select("segment", "term", "n", "positions")
     terms = phrases.select(F.explode("terms").alias("term")).distinct()
-    few = terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+    few = (terms.agg(F.sum(F.length("term") + 16)).first()[0] or 0) <= BROADCAST_BYTES
     lists = lists.join(F.broadcast(terms) if few else terms, "term", "left_semi")
     frequency = lists.groupBy("term").agg(F.sum("n").alias("n"))
     # a phrase with a term that no text has is dropped by the inner join and the count below

@@ -27,6 +27,11 @@ def test_query_equals_sql(spark, docs, folder_of, against_sql, monkeypatch, segm
     against_sql(spark, "op1_decontamination", folder)
 
 
+def test_many_terms_are_joined_without_a_broadcast(spark, docs, folder_of, against_sql, monkeypatch):
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 0)
+    against_sql(spark, "op1_decontamination", folder_of(documents=docs(*CASES), benchmark=items_table(spark)))
+
+
 @pytest.mark.parametrize("empty", ["documents", "benchmark"])
 def test_empty_tables_and_no_hits(spark, docs, folder_of, against_sql, empty):
     tables = {"documents": docs(*CASES), "benchmark": items_table(spark)}
