@@ -168,3 +168,37 @@ def distinct_pieces(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> tup
             places.append(i)
         codes[i] = others[piece]
     return codes, np.array(places, np.int64)
+
+
+class PieceTable:
+    """Numbers given to pieces of up to ``SHORT`` bytes, kept in sorted arrays: some 30 bytes a piece, no objects."""
+
+    SHORT = 16
+
+    def __init__(self) -> None:
+        empty = np.empty(0, np.uint64)
+        self.hash, self.words, self.lengths, self.numbers = empty, [empty, empty], np.empty(0, np.uint8), np.empty(0, np.int32)
+
+    def find(self, data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The number of each piece, -1 where the table has none."""
+        out = np.full(len(starts), -1, np.int64)
+        short = np.flatnonzero(lengths <= self.SHORT)
+        if len(short) and len(self.hash):
+            h, words = piece_words(data, starts[short], lengths[short])
+            at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
+            same = (self.hash[at] == h) & (self.lengths[at] == lengths[short])
+            for mine, theirs in zip(self.words, words):
+                same &= mine[at] == theirs
+            out[short[same]] = self.numbers[at[same]]
+        return out
+
+    def add(self, data: bytes, starts: np.ndarray, lengths: np.ndarray, numbers: np.ndarray) -> None:
+        """Keep the numbers of distinct pieces that the table lacks; longer ones are passed over."""
+        short = lengths <= self.SHORT
+        h, words = piece_words(data, starts[short], lengths[short])
+        h = np.concatenate([self.hash, h])
+        order = np.argsort(h, kind="stable")
+        self.hash = h[order]
+        self.words = [np.concatenate([mine, new])[order] for mine, new in zip(self.words, words)]
+        self.lengths = np.concatenate([self.lengths, lengths[short].astype(np.uint8)])[order]
+        self.numbers = np.concatenate([self.numbers, numbers[short].astype(np.int32)])[order]

@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 
 from breachlens.llm import simple8b
 from breachlens.llm.common import blocks, utf8
-from breachlens.llm.pretokens import cut_pretokens, distinct_pieces, valid_utf8
+from breachlens.llm.pretokens import PieceTable, cut_pretokens, distinct_pieces, valid_utf8
 
 #: Token ids of one row; a longer document is a row of its own.
 ROW_IDS = 1 << 18
 #: Text bytes that are tokenized together.
 BLOCK_BYTES = 2 << 20
 #: Pre-tokens whose ids a worker remembers.
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 1_000_000
 
 FILE = (
     "part int, row int, start bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, "
@@ -76,7 +76,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.slots: dict[bytes, int] = {}
+        self.known = PieceTable()
         self.ids, self.ends = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
     def _ask(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -99,26 +99,25 @@ class Encoder:
         """(ids of all texts in a row, number of ids of each)."""
         if not self.by_piece:
             return self._ask([t.decode() for t in texts])
-        if len(self.slots) > CACHE_ENTRIES:
+        if len(self.ends) > CACHE_ENTRIES:
             self._forget()
         data, starts, lengths, per_text = cut_pretokens(texts)
         codes, places = distinct_pieces(data, starts, lengths)
-        pieces = [data[a:b] for a, b in zip(starts[places].tolist(), (starts + lengths)[places].tolist())]
-        known = self.slots
-        slots = list(map(known.get, pieces))
-        new = [i for i, slot in enumerate(slots) if slot is None]
-        if new:
-            strings = {i: pieces[i].decode() for i in new}
-            words = [i for i in new if len(strings[i]) > 1 and strings[i][0] == " " and not strings[i][1].isspace()]
-            rest = sorted(set(new) - set(words))
+        begins, sizes = starts[places], lengths[places]
+        slots = self.known.find(data, begins, sizes)
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            strings = {i: data[a : a + n].decode() for i, a, n in zip(new.tolist(), begins[new].tolist(), sizes[new].tolist())}
+            words = [i for i, s in strings.items() if len(s) > 1 and s[0] == " " and not s[1].isspace()]
+            rest = sorted(set(strings) - set(words))
             for ask, which in ((self._ask_words, words), (self._ask, rest)):
                 if which:
-                    for i in which:
-                        slots[i] = known[pieces[i]] = len(known)
+                    slots[which] = len(self.ends) - 1 + np.arange(len(which))
                     ids, counts = ask([strings[i] for i in which])
                     self.ids = np.concatenate([self.ids, ids])
                     self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
-        slots = np.array(slots, np.int64)[codes]
+            self.known.add(data, begins[new], sizes[new], slots[new])
+        slots = slots[codes]
         n = self.ends[slots + 1] - self.ends[slots]
         total = np.cumsum(n)
         ids = self.ids[np.arange(int(n.sum())) + np.repeat(self.ends[slots] - total + n, n)]
