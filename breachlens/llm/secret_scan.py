@@ -6,7 +6,7 @@ measured: its length, the transitions between kinds of characters, how much of i
 cover, what its path looks like, and the words next to it. A random forest (Spark's own) trained
 from labelled findings then gives each candidate the probability of being a secret.
 
-Findings can be labelled by the caller. Without labels, ``weak_labels`` labels the certain ones:
+Findings can be labelled by the caller. Without labels, the column ``weak`` labels the certain ones:
 issuers' formats and assigned values that mix letters and digits are secrets; runs without a digit,
 placeholders and parts of addresses are not; the rest stays unlabelled and is left to the forest.
 
