@@ -295,8 +295,17 @@ def contaminated_documents(
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that are not contaminated, with all their columns."""
+    """The documents that are not contaminated, with all their columns. Rows that share an id, or have none,
+    go together if one of them is contaminated."""
     found = contaminated_documents(spark, docs, items, id_col, text_col).where("contaminated").select("doc_id").distinct()
     bad = write_layer(found, new_folder(spark, "contaminated"))  # Spark then knows its size and picks the join by it
     key = unused_name(docs, "contaminated_id")
     return docs.join(bad.withColumnRenamed("doc_id", key), F.col(f"`{id_col}`").eqNullSafe(F.col(key)), "left_anti")
+
+
+def drop_contaminated_rows(spark: SparkSession, docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows that are not contaminated, with all their columns. Each row is judged alone, whatever ids
+    rows share or lack: rows get a key of their own, and are written with it so that it stays."""
+    key = unused_name(docs, "row_key")
+    keyed = write_layer(docs.withColumn(key, F.monotonically_increasing_id()), new_folder(spark, "keyed"))
+    return drop_contaminated(spark, keyed, items, key, text_col).drop(key)

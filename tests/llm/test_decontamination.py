@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from breachlens.llm import decontamination
 from breachlens.llm.common import lower_words
 from breachlens.llm.decontamination import build_index, drop_contaminated, match_phrases
@@ -71,3 +72,19 @@ def test_dropping_leaves_clean_documents_and_all_columns(spark, docs):
     kept = drop_contaminated(spark, table, items_table(spark))
     assert kept.columns == table.columns
     assert sorted(r.doc_id for r in kept.collect()) == [4, 5, 6, 9, 11, 12]
+
+
+def test_rows_are_judged_alone_whatever_ids_they_share(spark, docs):
+    cases = [(None, ITEM), (None, "clean"), (None, None), (8, "x " * 20000 + ITEM), (8, "Two words"), (9, ITEM), (9, "also clean")]
+    table = docs(*cases).selectExpr("*", "1 AS row_key", "2 AS contaminated_id")
+    wanted = sorted(map(repr, [(None, "clean"), (None, None), (8, "x " * 20000 + ITEM), (9, "also clean")]))
+    kept = decontamination.drop_contaminated_rows(spark, table, items_table(spark))
+    assert kept.columns == table.columns
+    assert sorted(repr((r.doc_id, r.text)) for r in kept.collect()) == wanted
+
+
+def test_the_pipeline_keeps_clean_rows_without_id(spark, docs, folder_of):
+    folder = folder_of(benchmark=items_table(spark))
+    table = docs((None, ITEM), (None, "clean"), (8, "x " * 20000 + ITEM), (8, "Two words"))
+    kept = corpus_pipeline.decontaminate(spark, table, folder).collect()
+    assert sorted(str((r.doc_id, len(r.text))) for r in kept) == sorted([str((None, 5)), str((8, 40000 + len(ITEM)))])
