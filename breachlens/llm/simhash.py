@@ -180,22 +180,41 @@ def links(fps: DataFrame) -> DataFrame:
     return met.mapInArrow(_linked, "a bigint, b bigint").distinct()
 
 
+def _first_of_each(spark: SparkSession, rows: DataFrame, first: Column, folder: str) -> tuple[DataFrame, DataFrame]:
+    """((fp, root) of each fingerprint, (root, first) with the least ``first`` of each component)."""
+    fps = write_layer(rows.groupBy("fp").agg(F.min(first).alias("first")), f"{folder}/fingerprints")
+    roots = component_roots(spark, links(fps.select("fp")))
+    of = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return of.select("fp", "root"), of.groupBy("root").agg(F.min("first").alias("first"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, fp, component_id (the smallest id it is linked with)."""
     folder = new_folder(spark, "simhash")
     rows = write_layer(
         docs.select(F.col(f"`{id_col}`").alias("doc_id"), fingerprints(utf8(text_col)).alias("fp")), f"{folder}/documents"
     )
-    fps = write_layer(rows.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), f"{folder}/fingerprints")
-    roots = component_roots(spark, links(fps.select("fp")))
-    of = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = of.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    named = of.select("fp", "root").join(least, "root").select("fp", "component_id")
+    of, least = _first_of_each(spark, rows, F.col("doc_id"), folder)
+    named = of.join(least, "root").select("fp", F.col("first").alias("component_id"))
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the smallest id of each component, with all its columns."""
+    """The document with the smallest id of each component, with all its columns. It is all rows with that id,
+    or all without one."""
     kept = near_duplicates(spark, docs, id_col, text_col).where("doc_id <=> component_id").select("doc_id").distinct()
     key = unused_name(docs, "kept_id")
     return docs.join(kept.withColumnRenamed("doc_id", key), F.col(f"`{id_col}`").eqNullSafe(F.col(key)), "left_semi")
+
+
+def keep_one_row_of_each(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component, with all its columns: that with the smallest id, one without id only if
+    all lack one. Rows get a key of their own, which decides between equal ids, and are written with it."""
+    folder, key, fp = new_folder(spark, "simhash"), unused_name(docs, "row_key"), unused_name(docs, "row_fp")
+    keyed = docs.select("*", F.monotonically_increasing_id().alias(key), fingerprints(utf8(text_col)).alias(fp))
+    keyed = write_layer(keyed, f"{folder}/documents")
+    doc_id = F.col(f"`{id_col}`")
+    rows = keyed.select(F.col(fp).alias("fp"), F.struct(doc_id.isNull(), doc_id.alias("doc_id"), F.col(key).alias("key")).alias("row"))
+    _, least = _first_of_each(spark, rows, F.col("row"), folder)
+    kept = least.select(F.col("first.key").alias(key))
+    return keyed.join(kept, key, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -37,7 +37,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near-duplicates."""
     ship_package(spark)
-    return simhash.keep_one_of_each(spark, docs)
+    return simhash.keep_one_row_of_each(spark, docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from breachlens.llm import simhash
 from breachlens.llm.components import component_roots
 from breachlens.llm.queries import queries
@@ -131,3 +132,17 @@ def test_keeping_one_of_each(spark, docs):
     assert simhash.keep_one_of_each(spark, table.where("false")).count() == 0
     alone = docs((None, "x"), (None, "x"))
     assert simhash.keep_one_of_each(spark, alone).count() == 2
+
+
+def test_one_row_of_each_component_stays(spark, docs):
+    cases = [
+        (5, "a b c d e f"), (3, "A B C D E F"), (None, "a b c d e f"), (7, "something else"), (7, "something else"), (7, "A b c D e f"),
+        (None, "x"), (None, "x"), (None, "X"), (9, None), (None, ""), (None, "alone here"),
+    ]
+    table = docs(*cases).selectExpr("*", "1 AS row_key", "2 AS fp", "3 AS root", "4 AS first")
+    for keep in (simhash.keep_one_row_of_each, lambda spark, rows: corpus_pipeline.near_dedup(spark, rows, "")):
+        kept = keep(spark, table)
+        assert kept.columns == table.columns
+        found = sorted(str((r.doc_id, (r.text or "").lower())) for r in kept.collect())
+        assert found == sorted(map(str, [(3, "a b c d e f"), (7, "something else"), (None, "x"), (9, ""), (None, "alone here")]))
+    assert simhash.keep_one_row_of_each(spark, table.where("false")).count() == 0
