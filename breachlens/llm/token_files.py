@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -57,18 +58,24 @@ class Encoder:
 
     Byte-level BPE never merges across pre-tokens, so the ids of a text are those of its
     pre-tokens in a row. Tokenizers of other kinds get whole texts. Strings of special tokens are
-    ordinary text.
+    ordinary text; with ``special_tokens`` they have their own ids, as in the library's default.
     """
 
-    def __init__(self, tokenizer_json: str):
+    def __init__(self, tokenizer_json: str, special_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(tokenizer_json)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = not special_tokens
         spec = json.loads(tokenizer_json)
+        added = [t for t in spec.get("added_tokens") or () if t["content"] and (special_tokens or not t["special"])]
+        plain = not any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip", "normalized")) and not any(" " in t["content"] for t in added)
+        #: ids of the tokens at which texts are cut; where several begin, the library takes the longest
+        self.added_ids = {t["content"].encode(): np.array([self.library.token_to_id(t["content"])], np.uint32) for t in added}
+        longest_first = sorted(self.added_ids, key=len, reverse=True)
+        self.added = re.compile(b"(" + b"|".join(map(re.escape, longest_first)) + b")") if added else None
         kind = {k: (spec.get("pre_tokenizer") or {}).get(k, d) for k, d in (("type", None), ("add_prefix_space", True), ("use_regex", True))}
-        self.by_piece = kind == _BYTE_LEVEL and spec.get("normalizer") is None and spec["model"]["type"] == "BPE"
+        self.by_piece = kind == _BYTE_LEVEL and spec.get("normalizer") is None and spec["model"]["type"] == "BPE" and plain
         #: bytes of each token: its text has a character for each
         self.sizes = np.zeros(self.library.get_vocab_size(), np.int64)
         for token, i in self.library.get_vocab().items() if self.by_piece else ():
@@ -99,6 +106,17 @@ class Encoder:
         """(ids of all texts in a row, number of ids of each)."""
         if not self.by_piece:
             return self._ask([t.decode() for t in texts])
+        parts = [self.added.split(t) for t in texts] if self.added else []
+        if all(len(p) == 1 for p in parts):
+            return self._encode_pieces(texts)
+        # every second part is an added token
+        ids, counts = self._encode_pieces([x for p in parts for x in p[::2]])
+        between = iter(np.split(ids, np.cumsum(counts)[:-1]))
+        own = [np.concatenate([self.added_ids[x] if i % 2 else next(between) for i, x in enumerate(p)]) for p in parts]
+        return np.concatenate(own), np.array([len(x) for x in own], np.int64)
+
+    def _encode_pieces(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without added tokens."""
         if len(self.ends) > CACHE_ENTRIES:
             self._forget()
         data, starts, lengths, per_text = cut_pretokens(texts)
@@ -125,8 +143,8 @@ class Encoder:
 
 
 @cache
-def _encoder(tokenizer_json: str) -> Encoder:
-    return Encoder(tokenizer_json)
+def _encoder(tokenizer_json: str, special_tokens: bool) -> Encoder:
+    return Encoder(tokenizer_json, special_tokens)
 
 
 def _file_row(part: int, row: int, start: int, doc_ids: list, lengths: list[int], ids: list[np.ndarray]) -> pa.RecordBatch:
@@ -136,9 +154,9 @@ def _file_row(part: int, row: int, start: int, doc_ids: list, lengths: list[int]
     return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _ARROW)], schema=_ARROW)
 
 
-def _write_part(tokenizer_json: str, end_id: int):
+def _write_part(tokenizer_json: str, end_id: int, special_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = _encoder(tokenizer_json), TaskContext.get().partitionId()
+        encoder, part = _encoder(tokenizer_json, special_tokens), TaskContext.get().partitionId()
         end = np.array([end_id], np.uint32)
         row = start = held = 0
         doc_ids, lengths, ids = [], [], []
@@ -162,16 +180,18 @@ def _write_part(tokenizer_json: str, end_id: int):
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
+    special_tokens: bool = False,
 ) -> None:
     """Tokenize ``docs`` and write their ids, each document followed by ``end_id``, to ``folder``.
 
-    The one shuffle is that of the texts into ranges of document ids.
+    With ``special_tokens``, texts that hold the string of a special token get that token's id there, as
+    from the library as loaded; without, such strings are ordinary text. The one shuffle is that of the texts into ranges of document ids.
     """
     tokenizer_json = Path(tokenizer_path).read_text()
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), utf8(text_col).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(_write_part(tokenizer_json, end_id), FILE).write.parquet(folder)
+    ordered.mapInArrow(_write_part(tokenizer_json, end_id, special_tokens), FILE).write.parquet(folder)
 
 
 def _read_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -80,3 +80,25 @@ def test_query_equals_the_library(spark, docs, folder_of, monkeypatch, row_ids):
 
 def test_empty_table(spark, docs, folder_of):
     assert queries()["op4_token_files"](spark, folder_of(documents=docs((1, "x")).where("false"))).count() == 0
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_special_tokens_equal_the_library_as_loaded(name):
+    path = public_tokenizers.path(name)
+    direct = Tokenizer.from_file(path)
+    encoder = token_files.Encoder(open(path, encoding="utf-8").read(), special_tokens=True)
+    assert encoder.by_piece == (name == "byte_bpe_50k.json")
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}", f" {end} ", f"it's{end}'s  {end}\n", "none", "", f"<|endof{end}text|>", *random_texts(1500, 5)]
+    assert sum(end in t for t in texts) > 100
+    ids, counts = encoder.encode([t.encode() for t in texts])
+    expected = [x.ids for x in direct.encode_batch(texts, add_special_tokens=False)]
+    assert counts.tolist() == [len(x) for x in expected]
+    assert ids.tolist() == [i for x in expected for i in x]
+
+
+def test_files_hold_the_ids_of_special_tokens(spark, docs, tmp_path):
+    table = docs((1, "a <|endoftext|> b"), (2, "plain"))
+    token_files.write_token_files(table, f"{tmp_path}/files", PATH, special_tokens=True)
+    found = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in token_files.read_token_files(spark, f"{tmp_path}/files").collect()}
+    assert found[1] == [64, 220, 50256, 275, 0]
