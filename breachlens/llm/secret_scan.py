@@ -1,7 +1,7 @@
 """Secret scan: patterns find candidates, a random forest removes the false positives.
 
 Candidates are keys in the formats of issuers, values assigned to a secret's name, private key
-headers, and any other unbroken run of 20 to 512 key characters. For each candidate a few numbers are
+headers, and any other unbroken run of 20 key characters or more, each to its end. For each candidate a few numbers are
 measured: its length, the transitions between kinds of characters, how much of it dictionary words
 cover, what its path looks like, and the words next to it. A random forest (Spark's own) trained
 from labelled findings then gives each candidate the probability of being a secret.
@@ -51,8 +51,8 @@ _ISSUED = (
 _CANDIDATE = re.compile(
     rb"(?P<issued>(?<![0-9A-Za-z])(?:" + _ISSUED + rb"))"
     rb"|(?P<block>-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----)"
-    rb"|(?<![0-9A-Za-z])(?i:(?:" + _NAMES + rb"))[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']?(?P<assigned>[^\s\"']{8,512})"
-    rb"|(?<![0-9A-Za-z_+/=.-])(?P<run>[0-9A-Za-z_+/=.-]{20,512})(?![0-9A-Za-z_+/=.-])"
+    rb"|(?<![0-9A-Za-z])(?i:(?:" + _NAMES + rb"))[\"']?[ \t]*+(?>:=|=>|[:=])[ \t]*+[\"']?(?P<assigned>[^\s\"']{8,}+)"
+    rb"|(?<![0-9A-Za-z_+/=.-])(?P<run>[0-9A-Za-z_+/=.-]{20,}+)"
 )
 _PLACEHOLDER = re.compile(rb"(?i)example|change.?me|placeholder|your[_-]|xxxx|dummy|<[a-z_ ]+>|\*\*\*")
 _TEST_PATH = re.compile(r"(?i)test|example|sample|doc|fixture|mock")

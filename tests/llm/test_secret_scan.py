@@ -77,3 +77,15 @@ def test_odd_rows(spark, docs, folder_of):
 def test_assigned_values(text):
     match = secret_scan._CANDIDATE.search(text)
     assert match["assigned"] == b"abc12345"
+
+
+def test_long_values_and_aligned_signs_are_found_whole(docs):
+    key = "aB3+" * 175
+    for name in ("token=", "password     =   ", "secret := ", "api_key\t\t=> ", '"auth"  :  "'):
+        match = secret_scan._CANDIDATE.search(f"{name}{key} x".encode())
+        assert match["assigned"] == key.encode()
+    assert secret_scan._CANDIDATE.search(b"password       = abcd12345")["assigned"] == b"abcd12345"
+    assert secret_scan._CANDIDATE.search(f"client-key-data: {key}\n".encode())["run"] == key.encode()
+    mixed = [(i, t) for i, t, _ in planted(200)]
+    cleaned = secret_scan.redact(docs(*mixed, (1000, f"the harbour token={key} opened"))).where("doc_id = 1000").first().text
+    assert cleaned == "the harbour token=[secret] opened"
