@@ -61,3 +61,9 @@ def blocks(texts: Iterable[bytes | None], limit: int) -> Iterator[tuple[int, int
         held += size
     if at >= start:
         yield start, at + 1
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate folder that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -86,4 +86,43 @@ SELECT any_value(l.doc_id) AS doc_id, count(*)::BIGINT AS n_lines,
 FROM lines l LEFT JOIN repeated USING (key) GROUP BY r
 """
 
-ORACLE_SQL = {"op1_decontamination": _DECONTAMINATION, "op7_quality": _QUALITY, "op9_line_dedup": _LINE_DEDUP}
+def _vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Every part is compared with every entry in each round."""
+    steps = [
+        f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS r, vec_id, label, embedding AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda c: c IS NOT NULL AND isfinite(c::DOUBLE)))),
+pieces AS MATERIALIZED (
+  SELECT r, (i - 1) * {parts} // len(x) AS part, (i - 1) % (len(x) // {parts}) AS place, floor(1024 * x[i]::DOUBLE)::BIGINT AS c
+  FROM (SELECT r, x, unnest(range(1, len(x) + 1)) AS i FROM kept)),
+books0 AS MATERIALIZED (SELECT r AS entry, part, place, c FROM pieces WHERE r < {entries})"""
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""
+coded{n} AS MATERIALIZED (
+  SELECT r, part, min(d) AS d, arg_min(entry, d * {entries} + entry) AS entry
+  FROM (SELECT p.r, p.part, b.entry, sum((p.c - b.c) * (p.c - b.c))::BIGINT AS d
+        FROM pieces p JOIN books{n} b USING (part, place) GROUP BY ALL) GROUP BY r, part)""")
+        if n < rounds:
+            steps.append(f"""
+books{n + 1} AS MATERIALIZED (
+  SELECT b.entry, b.part, b.place, coalesce(m.c, b.c) AS c
+  FROM books{n} b LEFT JOIN (
+    SELECT entry, part, place, floor((sum(c) - ((sum(c) % count(*)) + count(*)) % count(*)) / count(*))::BIGINT AS c
+    FROM pieces JOIN coded{n} USING (r, part) GROUP BY entry, part, place) m USING (entry, part, place))""")
+    steps.append(f"""
+found AS (
+  SELECT vec_id, label, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+  FROM kept JOIN coded{rounds} USING (r) GROUP BY r, vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY part, entry, place), '')) FROM books{rounds}) AS codebooks_sha256
+FROM found
+""")
+    return ",".join(steps)
+
+
+ORACLE_SQL = {
+    "op1_decontamination": _DECONTAMINATION, "op7_quality": _QUALITY, "op9_line_dedup": _LINE_DEDUP,
+    "op13_vector_codes": _vector_codes(),
+}

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 
 from breachlens.llm.common import ship_package
@@ -40,7 +42,7 @@ def against_sql():
 
         found = queries()[name](spark, folder)
         con = duckdb.connect()
-        for table in ("documents", "benchmark"):
+        for table in sorted(p.name.removesuffix(".parquet") for p in Path(folder).glob("*.parquet")):
             con.sql(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet/*.parquet')")
         wanted = con.sql(oracle_sql()[name])
         names = sorted(found.columns)
