@@ -122,7 +122,44 @@ FROM found
     return ",".join(steps)
 
 
+_PREFIX_TRIE = r"""
+WITH crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i] || range(0, 8),
+      lambda acc, k: CASE WHEN acc & 1 = 1 THEN xor(acc >> 1, 3988292384) ELSE acc >> 1 END) AS v FROM range(256) r(i))),
+ordered AS (
+  SELECT conv_id, id, size, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id, size) - 1 AS p
+  FROM (SELECT conv_id, turn, strlen(coalesce(text, '')) AS size,
+          sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))[1:32] AS id
+        FROM conversations WHERE conv_id IS NOT NULL)),
+convs AS (
+  SELECT conv_id, conv_id - ((conv_id % 5) + 5) % 5 AS block,
+    xor(list_reduce([4294967295] || list_transform(range(1, len(conv_id::VARCHAR) + 1), lambda j: ascii((conv_id::VARCHAR)[j])),
+      lambda acc, b: xor(acc >> 8, t[(xor(acc, b) & 255) + 1])), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL) CROSS JOIN crc_table),
+rebuilt AS (
+  SELECT conv_id, id, size, row_number() OVER (PARTITION BY conv_id ORDER BY own, p) AS depth FROM (
+    SELECT c.conv_id, 0 AS own, p, id, size FROM convs c JOIN ordered o ON o.conv_id = c.block AND o.p < c.h
+    UNION ALL SELECT c.conv_id, 1, p, id, size FROM convs c JOIN ordered o ON o.conv_id = c.conv_id AND o.p >= c.h)),
+paths AS MATERIALIZED (
+  SELECT conv_id, 0 AS depth, '' AS key, 0 AS size FROM convs
+  UNION ALL SELECT conv_id, depth, string_agg(id, '') OVER (PARTITION BY conv_id ORDER BY depth), size FROM rebuilt),
+nodes AS MATERIALIZED (
+  SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n, any_value(size) AS size,
+    string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = last) AS ends
+  FROM paths JOIN (SELECT conv_id, max(depth) AS last FROM paths GROUP BY conv_id) USING (conv_id) GROUP BY key, depth),
+children AS (SELECT key[1:-33] AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+sums AS (
+  SELECT p.key, count(*) FILTER (c.key IS NULL) AS n_leaves, sum((u.n - 1) * u.size) AS saved_tokens
+  FROM nodes u LEFT JOIN children c USING (key) JOIN paths p ON p.conv_id = u.conv_id AND p.depth <= u.depth GROUP BY p.key)
+SELECT v.conv_id, v.depth::BIGINT AS depth, a.conv_id AS parent_conv_id, v.n::BIGINT AS n_convs,
+  coalesce(c.n_children, 0)::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens,
+  sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM nodes v JOIN sums s USING (key) LEFT JOIN children c USING (key)
+LEFT JOIN nodes a ON v.depth > 0 AND a.depth = v.depth - 1 AND a.key = v.key[1:-33]
+"""
+
 ORACLE_SQL = {
     "op1_decontamination": _DECONTAMINATION, "op7_quality": _QUALITY, "op9_line_dedup": _LINE_DEDUP,
-    "op13_vector_codes": _vector_codes(),
+    "op12_prefix_trie": _PREFIX_TRIE, "op13_vector_codes": _vector_codes(),
 }
