@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breachlens.llm import bpe, decontamination, language, licenses, line_dedup, prefix_trie, quality, secret_scan, simhash, suffix_dedup, token_files, vector_codes
+from breachlens.llm import bpe, decontamination, language, licenses, line_dedup, prefix_trie, quality, quality_classifier, secret_scan, simhash, suffix_dedup, token_files, vector_codes
 from breachlens.llm.common import ship_package, utf8
 from breachlens.llm.sql import ORACLE_SQL
 from breachlens.sources import new_folder
@@ -100,6 +100,15 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "finding", "kind", "start", "stop", F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    model = quality_classifier.train(spark, docs, labels, ~held_out)
+    score = quality_classifier.score(utf8("text"), model)
+    scored = docs.select("doc_id", held_out.alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(spark, _table(spark, sf_dir, "conversations"))
 
@@ -114,7 +123,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination, "op2_language": op2_language, "op3_licenses": op3_licenses, "op4_token_files": op4_token_files, "op5_bpe": op5_bpe, "op6_suffix_dedup": op6_suffix_dedup, "op7_quality": op7_quality, "op8_simhash": op8_simhash, "op9_line_dedup": op9_line_dedup,
-        "op10_secrets": op10_secrets, "op12_prefix_trie": op12_prefix_trie, "op13_vector_codes": op13_vector_codes,
+        "op10_secrets": op10_secrets, "op11_quality_classifier": op11_quality_classifier, "op12_prefix_trie": op12_prefix_trie, "op13_vector_codes": op13_vector_codes,
     }
 
 
