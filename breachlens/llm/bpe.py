@@ -3,7 +3,7 @@
 Pre-tokens that are whole vocabulary entries (most of a text) are resolved for a batch at once by
 a minimal perfect hash over the vocabulary, confirmed byte by byte. The others are merged from
 single bytes, lowest rank first and leftmost among equals, with a heap over linked parts; a bounded
-cache per worker keeps results of pre-tokens seen before.
+cache keeps results of pre-tokens seen before, until the task ends.
 
 Null and empty texts have no ids. What is not UTF-8 becomes U+FFFD before it is encoded. Encoded
 ids are little-endian unsigned 32-bit integers.
@@ -24,12 +24,12 @@ from pyspark.sql import Column
 
 from pyspark.sql import functions as F
 
-from breachlens.llm.common import blocks
+from breachlens.llm.common import blocks, release_memory
 from breachlens.llm.pretokens import WORD_BYTES, cut_pretokens, distinct_pieces, mixed, piece_words, valid_utf8
 
 #: Text bytes that are encoded together.
 BLOCK_BYTES = 2 << 20
-#: Merged pre-tokens that a worker remembers.
+#: Merged pre-tokens that a task remembers.
 CACHE_ENTRIES = 500_000
 
 
@@ -100,9 +100,9 @@ class Coder:
         self.lengths = np.array([len(by_id.get(i, b"")) for i in range(size)], np.int64)
         self.offsets = np.cumsum(self.lengths) - self.lengths
         self.data = np.frombuffer(b"".join(by_id.get(i, b"") for i in range(size)), np.uint8)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.slots: dict[bytes, int] = {}
         self.merged, self.ends = array("I"), array("q", [0])
 
@@ -147,7 +147,7 @@ class Coder:
         found = self.hash.find(data, starts, lengths)
         missed = np.flatnonzero(found < 0)
         if len(self.slots) > CACHE_ENTRIES:
-            self._forget()
+            self.forget()
         codes, places = distinct_pieces(data, starts[missed], lengths[missed])
         begins, ends = starts[missed][places], (starts + lengths)[missed][places]
         slots = self._slots([data[a:b] for a, b in zip(begins.tolist(), ends.tolist())])[codes]
@@ -176,6 +176,18 @@ def _coder(ranks: bytes) -> Coder:
     return Coder({base64.b64decode(entry): int(rank) for entry, rank in lines})
 
 
+def _task(ranks: bytes, batches: Iterator[pd.Series], of_block) -> Iterator:
+    """What ``of_block`` makes of a coder and the ids of each block of texts. What the coder has learnt goes with the task."""
+    coder = _coder(ranks)
+    try:
+        for batch in batches:
+            for found in encode_texts(coder, batch.tolist()):
+                yield of_block(coder, found)
+    finally:
+        coder.forget()
+        release_memory()
+
+
 def encode_texts(coder: Coder, texts: list[bytes | None]) -> Iterator[list[np.ndarray]]:
     """Ids of each text, in blocks of bounded size."""
     for start, stop in blocks(texts, BLOCK_BYTES):
@@ -191,9 +203,7 @@ def encode(text: Column, ranks_path: str) -> Column:
     ranks = Path(ranks_path).read_bytes()
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            for found in encode_texts(_coder(ranks), batch.tolist()):
-                yield pd.Series([_binary(ids) for ids in found], dtype=object)
+        yield from _task(ranks, batches, lambda _, found: pd.Series([_binary(ids) for ids in found], dtype=object))
 
     return F.pandas_udf(run, "binary")(text)
 
@@ -213,10 +223,11 @@ def encode_and_decode(text: Column, ranks_path: str) -> Column:
     """struct(ids, decoded): a round trip in one Python worker, where two would hold the texts twice."""
     ranks = Path(ranks_path).read_bytes()
 
+    def both(coder: Coder, found: list[np.ndarray]) -> pd.DataFrame:
+        sent = [_binary(ids) for ids in found]
+        return pd.DataFrame({"ids": sent, "decoded": [coder.decode(np.frombuffer(x, "<u4")) for x in sent]})
+
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for found in encode_texts(_coder(ranks), batch.tolist()):
-                sent = [_binary(ids) for ids in found]
-                yield pd.DataFrame({"ids": sent, "decoded": [_coder(ranks).decode(np.frombuffer(x, "<u4")) for x in sent]})
+        yield from _task(ranks, batches, both)
 
     return F.pandas_udf(run, "ids binary, decoded binary")(text)

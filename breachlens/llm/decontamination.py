@@ -25,7 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breachlens.llm.common import lower_words, unused_name, utf8
+from breachlens.llm.common import cut_words, lower_words, release_memory, unused_name, utf8
+from breachlens.llm.pretokens import distinct_pieces
 from breachlens.sources import new_folder
 from breachlens.sources.layers import write_layer
 
@@ -35,6 +36,8 @@ WINDOW_WORDS = 13
 GAP = 64
 #: Text bytes of a segment; a longer document is a segment of its own.
 SEGMENT_BYTES = 8 << 20
+#: Words of a segment whose codes are found together.
+WORDS_AT_ONCE = 1 << 17
 #: Windows handled together in one segment.
 WINDOWS_AT_ONCE = 100_000
 #: Bytes of distinct benchmark terms up to which they are broadcast (they are summed first); more are joined
@@ -45,17 +48,22 @@ INDEX = "segment bigint, term binary, n bigint, positions binary, doc_id {id_typ
 
 
 # --- index ----------------------------------------------------------------------
-def _segment_rows(segment: int, ids: list, word_lists: list[list[bytes]], schema: pa.Schema) -> pa.RecordBatch:
+def _segment_rows(segment: int, ids: list, texts: list[bytes | None], schema: pa.Schema) -> pa.RecordBatch:
     """One row per document, then one per term, its positions ascending."""
-    counts = np.array([len(words) for words in word_lists], np.int64)
+    data, word_starts, word_lengths, counts = cut_words(texts)
+    codes, known = np.empty(len(word_starts), np.int32), {}
+    for at in range(0, len(codes), WORDS_AT_ONCE):
+        begins, sizes = word_starts[at : at + WORDS_AT_ONCE], word_lengths[at : at + WORDS_AT_ONCE]
+        code, first = distinct_pieces(data, begins, sizes)
+        own = [data[a : a + n] for a, n in zip(begins[first].tolist(), sizes[first].tolist())]
+        codes[at : at + WORDS_AT_ONCE] = np.array([known.setdefault(term, len(known)) for term in own], np.int32)[code]
+    terms = list(known)
+    del data, word_starts, word_lengths, known
     starts = np.cumsum(counts + GAP) - counts - GAP
-    flat = np.empty(int(counts.sum()), object)
-    flat[:] = [word for words in word_lists for word in words]
-    codes, terms = pd.factorize(flat)
-    places = np.arange(len(flat), dtype=np.int64) + np.repeat(GAP * np.arange(len(ids)), counts)
-    order = np.argsort(codes.astype(np.int32), kind="stable")
+    places = np.arange(len(codes), dtype=np.int64) + np.repeat(GAP * np.arange(len(ids)), counts)
+    order = np.argsort(codes, kind="stable")
     lengths = np.bincount(codes, minlength=len(terms)).astype(np.int64)
-    positions = places[order].astype("<i4")
+    positions = places.astype("<i4")[order]
     edges = np.concatenate([[0], np.cumsum(lengths) * 4]).astype(np.int32)
     lists = pa.BinaryArray.from_buffers(
         pa.binary(), len(terms), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(positions.tobytes())]
@@ -63,7 +71,7 @@ def _segment_rows(segment: int, ids: list, word_lists: list[list[bytes]], schema
     d, t = len(ids), len(terms)
     columns = [
         pa.array(np.full(d + t, segment)),
-        pa.concat_arrays([pa.nulls(d, pa.binary()), pa.array(list(terms), pa.binary())]),
+        pa.concat_arrays([pa.nulls(d, pa.binary()), pa.array(terms, pa.binary())]),
         pa.concat_arrays([pa.nulls(d, pa.int64()), pa.array(lengths)]),
         pa.concat_arrays([pa.nulls(d, pa.binary()), lists]),
         pa.concat_arrays([pa.array(ids, schema.field("doc_id").type), pa.nulls(t, schema.field("doc_id").type)]),
@@ -76,7 +84,7 @@ def _segment_rows(segment: int, ids: list, word_lists: list[list[bytes]], schema
 def _index_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Segments of whole documents, closed as soon as they hold ``SEGMENT_BYTES``."""
     task = TaskContext.get().partitionId()
-    made, held, ids, word_lists, schema = 0, 0, [], [], None
+    made, held, ids, texts, schema = 0, 0, [], [], None
     for batch in batches:
         if schema is None:
             schema = pa.schema(
@@ -89,13 +97,15 @@ def _index_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             text = text.as_py()
             size = len(text) if text else 0
             if ids and held + size > SEGMENT_BYTES:
-                yield _segment_rows(task << 32 | made, ids, word_lists, schema)
-                made, held, ids, word_lists = made + 1, 0, [], []
+                yield _segment_rows(task << 32 | made, ids, texts, schema)
+                made, held, ids, texts = made + 1, 0, [], []
             ids.append(doc_id)
-            word_lists.append(lower_words(text))
+            texts.append(text)
             held += size
     if ids:
-        yield _segment_rows(task << 32 | made, ids, word_lists, schema)
+        yield _segment_rows(task << 32 | made, ids, texts, schema)
+    del ids, texts
+    release_memory()
 
 
 def build_index(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -294,18 +304,12 @@ def contaminated_documents(
     )
 
 
-def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that are not contaminated, with all their columns. Rows that share an id, or have none,
-    go together if one of them is contaminated."""
-    found = contaminated_documents(spark, docs, items, id_col, text_col).where("contaminated").select("doc_id").distinct()
-    bad = write_layer(found, new_folder(spark, "contaminated"))  # Spark then knows its size and picks the join by it
-    key = unused_name(docs, "contaminated_id")
-    return docs.join(bad.withColumnRenamed("doc_id", key), F.col(f"`{id_col}`").eqNullSafe(F.col(key)), "left_anti")
-
-
 def drop_contaminated_rows(spark: SparkSession, docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows that are not contaminated, with all their columns. Each row is judged alone, whatever ids
-    rows share or lack: rows get a key of their own, and are written with it so that it stays."""
-    key = unused_name(docs, "row_key")
-    keyed = write_layer(docs.withColumn(key, F.monotonically_increasing_id()), new_folder(spark, "keyed"))
-    return drop_contaminated(spark, keyed, items, key, text_col).drop(key)
+    """The rows that are not contaminated, with all their columns. Each row is judged alone, whatever ids rows share
+    or lack: verdicts go by the SHA-256 of the text, on which alone they depend, so no row is written a second time."""
+    digest = F.unhex(F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256))
+    texts = docs.select(digest.alias("digest"), F.col(f"`{text_col}`").alias("text"))
+    found = contaminated_documents(spark, texts, items, "digest").where("contaminated").select("doc_id").distinct()
+    bad = write_layer(found, new_folder(spark, "contaminated"))  # Spark then knows its size and picks the join by it
+    key = unused_name(docs, "contaminated_text")
+    return docs.join(bad.withColumnRenamed("doc_id", key), digest == F.col(key), "left_anti")

@@ -11,8 +11,9 @@ Equal fingerprints are one entry of the grid, so copies cost nothing there; what
 distinct fingerprints only.
 
 Words are runs without white space, A-Z lower-cased; a text with fewer words than a shingle is one
-shingle. Null and blank texts have fingerprint 0 and link like others. Rows with one id are one document.
-Rows without id link too, but never name a component unless all its rows lack one.
+shingle. Null and blank texts have fingerprint 0 and link like others. Each row is a document of its own,
+so rows that share an id may lie in different components. Rows without id link too, but never name a
+component unless all its rows lack one. An empty table has no fingerprints; other columns are not read.
 """
 
 from __future__ import annotations
@@ -199,14 +200,6 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one_of_each(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the smallest id of each component, with all its columns. It is all rows with that id,
-    or all without one."""
-    kept = near_duplicates(spark, docs, id_col, text_col).where("doc_id <=> component_id").select("doc_id").distinct()
-    key = unused_name(docs, "kept_id")
-    return docs.join(kept.withColumnRenamed("doc_id", key), F.col(f"`{id_col}`").eqNullSafe(F.col(key)), "left_semi")
-
-
 def keep_one_row_of_each(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component, with all its columns: that with the smallest id, one without id only if
     all lack one. Rows get a key of their own, which decides between equal ids, and are written with it."""

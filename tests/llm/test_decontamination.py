@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from breachlens.llm import decontamination
-from breachlens.llm.common import lower_words
-from breachlens.llm.decontamination import build_index, drop_contaminated, match_phrases
+from breachlens.llm.common import cut_words, lower_words
+from breachlens.llm.decontamination import build_index, drop_contaminated_rows, match_phrases
 
 ITEM = "the quick brown fox jumps over the lazy dog and runs away from here today ok"
 ITEMS = [(0, ITEM), (1, "Two words"), (2, None), (3, "..."), (4, ITEM), (10, "two two two")]
@@ -68,17 +68,27 @@ def test_phrases_and_proximity_equal_brute_force(spark, docs, tmp_path, slop):
 
 
 def test_dropping_leaves_clean_documents_and_all_columns(spark, docs):
-    table = docs(*CASES).selectExpr("*", "1 AS contaminated_id", "2 AS n_words")
-    kept = drop_contaminated(spark, table, items_table(spark))
+    table = docs(*CASES).selectExpr("*", "1 AS contaminated_text", "2 AS n_words", "3 AS digest")
+    kept = drop_contaminated_rows(spark, table, items_table(spark))
     assert kept.columns == table.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [4, 5, 6, 9, 11, 12]
+    assert sorted(r.doc_id for r in kept.collect()) == [4, 5, 6, 8, 9, 11, 12]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_cut_words(seed):
+    rng = random.Random(seed)
+    texts = [None, b"", b" "] + ["".join(rng.choice("aB1 .é-") for _ in range(rng.randrange(40))).encode() for _ in range(50)]
+    rng.shuffle(texts)
+    data, starts, lengths, per_text = cut_words(texts)
+    found = iter([data[a : a + n] for a, n in zip(starts.tolist(), lengths.tolist())])
+    assert [[next(found) for _ in range(n)] for n in per_text.tolist()] == [lower_words(t) for t in texts]
 
 
 def test_rows_are_judged_alone_whatever_ids_they_share(spark, docs):
     cases = [(None, ITEM), (None, "clean"), (None, None), (8, "x " * 20000 + ITEM), (8, "Two words"), (9, ITEM), (9, "also clean")]
-    table = docs(*cases).selectExpr("*", "1 AS row_key", "2 AS contaminated_id")
+    table = docs(*cases).selectExpr("*", "1 AS segment", "2 AS doc_id_")
     wanted = sorted(map(repr, [(None, "clean"), (None, None), (8, "x " * 20000 + ITEM), (9, "also clean")]))
-    kept = decontamination.drop_contaminated_rows(spark, table, items_table(spark))
+    kept = drop_contaminated_rows(spark, table, items_table(spark))
     assert kept.columns == table.columns
     assert sorted(repr((r.doc_id, r.text)) for r in kept.collect()) == wanted
 

@@ -123,15 +123,11 @@ def test_query_equals_brute_force(spark, docs, folder_of):
     assert sorted(map(tuple, found.collect())) == expected
 
 
-def test_keeping_one_of_each(spark, docs):
-    cases = [(5, "a b c d e f"), (3, "A B C D E F"), (9, None), (8, ""), (None, ""), (7, "something else"), (7, "something else")]
-    table = docs(*cases).selectExpr("*", "1 AS kept_id", "2 AS fp", "3 AS component_id")
-    kept = simhash.keep_one_of_each(spark, table)
-    assert kept.columns == table.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [3, 7, 7, 8]
-    assert simhash.keep_one_of_each(spark, table.where("false")).count() == 0
-    alone = docs((None, "x"), (None, "x"))
-    assert simhash.keep_one_of_each(spark, alone).count() == 2
+def test_rows_of_one_id_are_documents_of_their_own(spark, docs, folder_of):
+    far, other = "one two three four five six", "seven eight nine ten eleven twelve"
+    folder = folder_of(documents=docs((1, far), (7, far), (7, other), (9, other)))
+    found = sorted((r.doc_id, r.component_id) for r in queries()["op8_simhash"](spark, folder).collect())
+    assert found == [(1, 1), (7, 1), (7, 7), (9, 7)]
 
 
 def test_one_row_of_each_component_stays(spark, docs):
