@@ -5,11 +5,13 @@ over it, each keeps its largest response, and a softmax layer turns those into p
 languages. A text's probabilities are those of all its windows, weighted by their bytes.
 
 The network is fitted on the driver from a bounded sample of labelled texts: of each
-language the ``SAMPLE_DOCS`` documents with the smallest id hash, ``SAMPLE_WINDOWS`` windows of each.
+language the ``SAMPLE_DOCS`` distinct texts with the smallest hash, ``SAMPLE_WINDOWS`` windows of each.
 Labelled texts beyond that do not change what is collected. Predictions see the text only.
 
 Null texts and texts without a letter are ``und`` with score 0, and so is everything if there is no
-labelled text to learn from. Rows are independent; equal texts get equal results.
+labelled text to learn from. Rows are independent, whatever ids they share or lack; equal texts get equal
+results, and a text that is repeated counts once in the sample. An empty table has no predictions. Columns
+other than those named in the arguments are not read.
 """
 
 from __future__ import annotations
@@ -103,16 +105,20 @@ class ByteNetwork:
         return _softmax(hidden @ self.dense + self.dense_bias)
 
     def predict(self, texts: list[bytes]) -> list[tuple[str, float]]:
-        tables, out = self.tables(), []
-        for start, stop in blocks(texts, BLOCK_BYTES):
-            windows, sizes = _layout(texts[start:stop])
+        """(language, score) of each text. A long text goes through in pieces of whole windows."""
+        tables, size = self.tables(), max(WINDOW, BLOCK_BYTES // WINDOW * WINDOW)
+        owner = [i for i, t in enumerate(texts) for _ in range(0, max(1, len(t)), size)]
+        pieces = [t[a : a + size] for t in texts for a in range(0, max(1, len(t)), size)]
+        total, weight = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
+        for start, stop in blocks(pieces, BLOCK_BYTES):
+            windows, sizes = _layout(pieces[start:stop])
             p = np.concatenate([self.probabilities(windows[i : i + BATCH], tables) for i in range(0, len(windows), BATCH)])
-            per_text = np.array([max(1, -(-len(t) // WINDOW)) for t in texts[start:stop]])
-            first = np.cumsum(per_text) - per_text
-            total = np.add.reduceat(p * sizes[:, None], first) / np.maximum(np.add.reduceat(sizes, first), 1)[:, None]
-            best = total.argmax(1)
-            out += [(self.languages[b], min(1.0, float(t[b]))) for b, t in zip(best, total)]
-        return out
+            per_piece = np.array([max(1, -(-len(t) // WINDOW)) for t in pieces[start:stop]])
+            of = np.repeat(owner[start:stop], per_piece)
+            np.add.at(total, of, p * sizes[:, None])
+            np.add.at(weight, of, sizes)
+        total /= np.maximum(weight, 1)[:, None]
+        return [(self.languages[b], min(1.0, float(t[b]))) for b, t in zip(total.argmax(1), total)]
 
     def step(self, windows: np.ndarray, labels: np.ndarray) -> tuple[float, list[np.ndarray]]:
         """Loss and gradients, in the order of ``weights``. Only each filter's best place has a gradient."""
@@ -184,13 +190,11 @@ def _sample_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["order", "place", "lang", "piece"])
 
 
-def train(
-    docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
-) -> ByteNetwork | None:
+def train(docs: DataFrame, usable: Column, text_col: str = "text", lang_col: str = "lang") -> ByteNetwork | None:
     """Network fitted on the sample of ``docs`` where ``usable`` holds; None if it has no labelled text."""
-    order = F.xxhash64(F.col(f"`{id_col}`").cast("string"))
-    labelled = docs.where(usable & F.col(f"`{lang_col}`").isNotNull())
-    # first among a 256th of a language's documents, then among what is left: no task sees them all
+    order = F.xxhash64(F.col(f"`{text_col}`"))
+    labelled = docs.where(usable & F.col(f"`{lang_col}`").isNotNull() & (F.octet_length(F.col(f"`{text_col}`")) > 0))
+    # first among a 256th of a language's texts, then among what is left: no task sees them all
     few = F.row_number().over(Window.partitionBy("lang", F.pmod("order", F.lit(256))).orderBy("order"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
     chosen = labelled.select(F.col(f"`{lang_col}`").alias("lang"), order.alias("order")).distinct()
@@ -198,9 +202,8 @@ def train(
     chosen = chosen.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS).select("lang", "order")
     chosen = write_layer(chosen, new_folder(docs.sparkSession, "language-sample"))  # of known size: no need to shuffle the texts
     texts = labelled.select(F.col(f"`{lang_col}`").alias("lang"), order.alias("order"), utf8(text_col).alias("text"))
-    pieces = texts.join(chosen, ["lang", "order"]).mapInPandas(
-        _sample_windows, "order bigint, place bigint, lang string, piece binary"
-    )
+    once = texts.join(chosen, ["lang", "order"]).groupBy("lang", "order").agg(F.any_value("text").alias("text"))
+    pieces = once.select("order", "lang", "text").mapInPandas(_sample_windows, "order bigint, place bigint, lang string, piece binary")
     rows = sorted((r.order, r.place, r.lang, bytes(r.piece)) for r in pieces.collect())
     return fit([r[3] for r in rows], [r[2] for r in rows]) if rows else None
 

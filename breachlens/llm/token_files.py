@@ -6,7 +6,9 @@ token ids and the word offset of each block of the coding. Parquet is only the c
 words; the rows are found by range, and the blocks of a row are decoded at once.
 
 Null and empty texts hold the end id alone. Rows with one document id stand next to each other in
-the order of their texts; rows without id come first.
+the order of a hash of their texts, equal texts in no order that shows; rows without id come first. However
+many rows share an id or lack one, they are dealt out over files. An empty table has no rows. Ids must be
+whole numbers (they are cast to bigint); other columns are not read.
 """
 
 from __future__ import annotations
@@ -57,11 +59,11 @@ class Encoder:
     """The tokenizers library, asked once for each distinct pre-token.
 
     Byte-level BPE never merges across pre-tokens, so the ids of a text are those of its
-    pre-tokens in a row. Tokenizers of other kinds get whole texts. Strings of special tokens are
-    ordinary text; with ``special_tokens`` they have their own ids, as in the library's default.
+    pre-tokens in a row. Tokenizers of other kinds get whole texts. Strings of special tokens have their
+    own ids, as in the library's default; without ``special_tokens`` they are ordinary text.
     """
 
-    def __init__(self, tokenizer_json: str, special_tokens: bool = False):
+    def __init__(self, tokenizer_json: str, special_tokens: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
@@ -181,16 +183,21 @@ def _write_part(tokenizer_json: str, end_id: int, special_tokens: bool):
 
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
-    special_tokens: bool = False,
+    special_tokens: bool = True,
 ) -> None:
     """Tokenize ``docs`` and write their ids, each document followed by ``end_id``, to ``folder``.
 
-    With ``special_tokens``, texts that hold the string of a special token get that token's id there, as
-    from the library as loaded; without, such strings are ordinary text. The one shuffle is that of the texts into ranges of document ids.
+    Texts that hold the string of a special token get that token's id there, as from the library as loaded;
+    without ``special_tokens`` such strings are ordinary text. The one shuffle is that of the texts into ranges
+    of document ids, in which a hash of the text and the row's place divide rows of one id.
     """
     tokenizer_json = Path(tokenizer_path).read_text()
-    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), utf8(text_col).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(
+        F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), utf8(text_col).alias("text"),
+        F.xxhash64(F.col(f"`{text_col}`")).alias("hash"), F.monotonically_increasing_id().alias("place"),
+    )
+    keys = ["doc_id", "hash", "place"]
+    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
     ordered.mapInArrow(_write_part(tokenizer_json, end_id, special_tokens), FILE).write.parquet(folder)
 
 

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from breachlens.llm import language
 from breachlens.llm.queries import queries
@@ -94,3 +95,44 @@ def test_texts_without_letters_and_missing_labels(spark, docs, folder_of):
     assert {r.doc_id: r.lang_pred for r in found} == {1: "und", 2: "und", 3: "und", 4: "und", 5: "l1", 6: "l1", None: "l1"}
     assert len(found) == 8 and {r.score for r in found} <= {0.0, 1.0}
     assert query(spark, folder_of(documents=table.where("false"))).count() == 0
+
+
+def test_what_is_collected_is_bounded_without_ids(spark, docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language, "fit", lambda windows, labels: seen.append(len(windows)))
+    rng = random.Random(3)
+    some = [" ".join(rng.choice(WORDS["aa"]) for _ in range(800)) for _ in range(400)]
+    table = docs(*[(None, some[i % 400]) for i in range(4000)]).selectExpr("doc_id", "text", "'aa' AS lang")
+    language.train(table, F.lit(True))
+    assert 1000 < seen[0] <= language.SAMPLE_DOCS * language.SAMPLE_WINDOWS
+
+
+def test_query_equals_a_plain_convolution_of_each_window(spark, docs, folder_of, monkeypatch):
+    """Every window by itself, filters by loops over places; the learnt weights are those the query used."""
+    kept = []
+    fit = language.fit
+    monkeypatch.setattr(language, "fit", lambda windows, labels: kept.append(fit(windows, labels)) or kept[-1])
+    cases = labelled_texts(40, 7)
+    rows = [(i, t) for i, (_, t) in enumerate(cases)] + [(900, "bala kana " * 200)]
+    langs = spark.createDataFrame([(i, lang) for i, (lang, _) in enumerate(cases)], "doc_id bigint, lang string")
+    table = docs(*rows).drop("lang").join(langs, "doc_id", "left")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in queries()["op2_language"](spark, folder_of(documents=table)).collect()}
+    network = kept[0]
+    for i, text in rows:
+        data = text.encode()
+        total = np.zeros(len(network.languages))
+        for at in range(0, len(data), language.WINDOW):
+            window = list(data[at : at + language.WINDOW].lower())
+            size = len(window)
+            window += [256] * (language.WINDOW + max(language.WIDTHS) - 1 - size)
+            best = []
+            for bank in network.filters:
+                each = [sum(network.embedding[window[p + k]] @ bank[k] for k in range(len(bank))) for p in range(language.WINDOW)]
+                best.append(np.max(each, axis=0))
+            hidden = np.maximum(np.concatenate(best) + network.bias, 0)
+            logits = hidden @ network.dense + network.dense_bias
+            e = np.exp(logits - logits.max())
+            total += e / e.sum() * size
+        total /= len(data)
+        assert found[i][0] == network.languages[int(total.argmax())]
+        assert found[i][1] == pytest.approx(min(1, total.max()), abs=1e-4)

@@ -15,9 +15,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def library():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -40,13 +38,13 @@ def test_words_are_filled_greedily():
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-def test_ids_equal_the_library(monkeypatch, name):
+def test_ids_without_special_tokens_equal_the_library(monkeypatch, name):
     monkeypatch.setattr(token_files, "CACHE_ENTRIES", 500)
     texts = random_texts(1500, 11)
     path = public_tokenizers.path(name)
     direct = Tokenizer.from_file(path)
     direct.encode_special_tokens = True
-    encoder = token_files.Encoder(open(path, encoding="utf-8").read())
+    encoder = token_files.Encoder(open(path, encoding="utf-8").read(), special_tokens=False)
     assert encoder.by_piece == (name == "byte_bpe_50k.json")
     for i in range(0, len(texts), 100):
         part = texts[i : i + 100]
@@ -67,12 +65,13 @@ def test_words_whose_tokens_run_on_are_asked_one_by_one():
 @pytest.mark.parametrize("row_ids", [1, 50, 1 << 18])
 def test_query_equals_the_library(spark, docs, folder_of, monkeypatch, row_ids):
     monkeypatch.setattr(token_files, "ROW_IDS", row_ids)
-    cases = [(3 * i, t) for i, t in enumerate(random_texts(60, 3))] + [(7, None), (8, "same"), (8, "same"), (9, ""), (None, "no id")]
+    cases = [(3 * i, t) for i, t in enumerate(random_texts(60, 3))] + [(7, None), (8, "same"), (8, "same"), (9, ""), (None, "no id"), (11, "a <|endoftext|> b<|endoftext|>")]
     found = queries()["op4_token_files"](spark, folder_of(documents=docs(*cases, parts=5)))
     assert found.columns[:4] == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    plain = Tokenizer.from_file(PATH)  # as it is loaded, nothing switched
     expected, start = [], 0
     for i, text in sorted(cases, key=lambda x: (x[0] is not None, x[0] or 0, x[1] or "")):
-        ids = [*library().encode(text or "", add_special_tokens=False).ids, 0]
+        ids = [*plain.encode(text or "", add_special_tokens=False).ids, 0]
         expected.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, expected))
@@ -86,7 +85,7 @@ def test_empty_table(spark, docs, folder_of):
 def test_special_tokens_equal_the_library_as_loaded(name):
     path = public_tokenizers.path(name)
     direct = Tokenizer.from_file(path)
-    encoder = token_files.Encoder(open(path, encoding="utf-8").read(), special_tokens=True)
+    encoder = token_files.Encoder(open(path, encoding="utf-8").read())
     assert encoder.by_piece == (name == "byte_bpe_50k.json")
     end = "<|endoftext|>"
     texts = [f"a {end} b", end, f"{end}{end}", f" {end} ", f"it's{end}'s  {end}\n", "none", "", f"<|endof{end}text|>", *random_texts(1500, 5)]
@@ -99,6 +98,25 @@ def test_special_tokens_equal_the_library_as_loaded(name):
 
 def test_files_hold_the_ids_of_special_tokens(spark, docs, tmp_path):
     table = docs((1, "a <|endoftext|> b"), (2, "plain"))
-    token_files.write_token_files(table, f"{tmp_path}/files", PATH, special_tokens=True)
+    token_files.write_token_files(table, f"{tmp_path}/files", PATH)
     found = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in token_files.read_token_files(spark, f"{tmp_path}/files").collect()}
     assert found[1] == [64, 220, 50256, 275, 0]
+
+
+def test_rows_of_one_id_are_divided(spark, docs, tmp_path):
+    """A hot id, a null one with one text: several files, places without gap, order kept."""
+    rows = [(None, "the same text") for _ in range(400)] + [(5, f"text {i}") for i in range(400)] + [(i, "x") for i in range(10)]
+    table = docs(*rows, parts=6).withColumnRenamed("n_chars", "hash").withColumnRenamed("lang", "place")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_files.write_token_files(table, f"{tmp_path}/files", PATH)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    read = token_files.read_token_files(spark, f"{tmp_path}/files").join(token_files.part_starts(spark, f"{tmp_path}/files"), "part")
+    found = sorted((r.part_start + r.start, r.n_tokens, r.doc_id, r.part) for r in read.collect())
+    assert len(found) == len(rows)
+    assert all(a[0] + a[1] == b[0] for a, b in zip(found, found[1:]))
+    ids = [r[2] for r in found]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+    for hot in (None, 5):
+        assert len({part for _, _, i, part in found if i == hot}) > 1
