@@ -8,11 +8,11 @@ rule to name the first broken one.
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +61,16 @@ def measure(df: DataFrame, measures: dict[str, Column]) -> dict[str, Any]:
     return df.agg(*[c.alias(name) for name, c in measures.items()]).first().asDict()
 
 
+def measure_written(df: DataFrame, measures: dict[str, Column], write: Callable[[DataFrame], Any]) -> dict[str, Any]:
+    """Write ``df`` and measure the rows on their way, without a scan of their own; ``rows`` is their number.
+
+    The measures belong to the last stage of the write, whose tasks count once each, even if one is run again.
+    """
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(name) for name, c in measures.items()]))
+    return seen.get
+
+
 def any_of(conditions: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
@@ -148,13 +158,17 @@ def warn_duplicates(duplicates: int) -> None:
         log.warning("%d duplicate incident IDs found; cleaning keeps the first of each.", duplicates)
 
 
-def check_cleaned(clean: DataFrame) -> dict[str, Any]:
-    """Final check of the written clean layer; returns its row count and latest date."""
+def clean_measures(clean: DataFrame) -> dict[str, Column]:
     broken = incomplete(clean) | any_of(outside_range(name) for name in VALUE_RANGES)
-    found = measure(
-        clean,
-        {"rows": F.count(F.lit(1)), "broken": count_if(broken), "latest": F.max(INCIDENT_DATE)},
-    )
+    return {"broken": count_if(broken), "latest": F.max(INCIDENT_DATE)}
+
+
+def check_cleaned(clean: DataFrame, found: dict[str, Any] | None = None) -> dict[str, Any]:
+    """Final check of the written clean layer; returns its row count and latest date.
+
+    ``found`` has the ``clean_measures`` and ``rows`` if they were taken while it was written.
+    """
+    found = found or measure(clean, {"rows": F.count(F.lit(1)), **clean_measures(clean)})
     if not found["rows"]:
         raise ValueError("Cleaning left no rows.")
     if not found["broken"]:
@@ -173,17 +187,22 @@ def check_cleaned(clean: DataFrame) -> dict[str, Any]:
     )
 
 
+def complete_measures(df: DataFrame) -> dict[str, Column]:
+    flags = [c for c in FLAG_COLUMNS if c in df.columns and df.schema[c].dataType != T.BooleanType()]
+    no_flag = any_of(~F.coalesce(F.col(c).isin(0, 1), F.lit(True)) for c in flags)
+    return {"broken": count_if(incomplete(df)), "no_flag": count_if(no_flag)}
+
+
 def check_complete(df: DataFrame, label: str, expected_rows: int | None = None) -> int:
     """A written engineered layer: the expected rows, nothing missing or infinite, flags 0 or 1.
 
     Returns the row count. One scan if all is well.
     """
-    flags = [c for c in FLAG_COLUMNS if c in df.columns and df.schema[c].dataType != T.BooleanType()]
-    no_flag = any_of(~F.coalesce(F.col(c).isin(0, 1), F.lit(True)) for c in flags)
-    found = measure(
-        df,
-        {"rows": F.count(F.lit(1)), "broken": count_if(incomplete(df)), "no_flag": count_if(no_flag)},
-    )
+    return check_measured(measure(df, {"rows": F.count(F.lit(1)), **complete_measures(df)}), df, label, expected_rows)
+
+
+def check_measured(found: dict[str, Any], df: DataFrame, label: str, expected_rows: int | None = None) -> int:
+    """The same from ``rows`` and ``complete_measures``; ``df`` is read only to name what is wrong."""
     if not found["rows"]:
         raise ValueError(f"{label} has no rows.")
     if expected_rows is not None and found["rows"] != expected_rows:

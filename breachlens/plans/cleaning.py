@@ -28,8 +28,10 @@ from breachlens.operators.checks import (
     check_cleaned,
     check_header,
     check_required,
+    clean_measures,
     count_if,
     measure,
+    measure_written,
 )
 from breachlens.operators.order_stats import OrderStatistic, blend, quantile_ranks
 from breachlens.operators.sizing import (
@@ -262,16 +264,13 @@ def write_typed(
     kept = first.drop(*[c for c in order_by if c not in INCIDENT_COLUMNS])
     types = {f.name: f.dataType for f in kept.schema.fields}
     marked = kept.select(*typed_columns(kept), unreadable_bits(types).alias("_unreadable"))
-    written = write_layer(marked, folder)
     gaps = [*CATEGORY_COLUMNS, *NUMBER_COLUMNS, *FLAG_COLUMNS]
-    measured = measure(
-        written,
-        {
-            "rows": F.count(F.lit(1)),
-            "unreadable": F.bit_or("_unreadable"),
-            **{f"missing:{c}": F.count_if(F.col(c).isNull()) for c in gaps},
-        },
+    measured = measure_written(
+        marked,
+        {"unreadable": F.bit_or("_unreadable"), **{f"missing:{c}": F.count_if(F.col(c).isNull()) for c in gaps}},
+        lambda df: df.write.parquet(folder),
     )
+    written = raw.sparkSession.read.schema(marked.schema).parquet(folder)
     if measured["unreadable"]:
         check_readable(first, order_by)
     return written.drop("_unreadable"), measured
@@ -286,8 +285,10 @@ def write_clean(
     for name in CATEGORY_COLUMNS:
         if name in spelled:
             looked_up = look_up(looked_up, spellings, name, "clean", f"_clean_{name}")
-    clean = write_layer(looked_up.select(*clean_columns(typed, stats, spelled)), folder)
-    return clean, check_cleaned(clean)
+    columns = looked_up.select(*clean_columns(typed, stats, spelled))
+    found = measure_written(columns, clean_measures(columns), lambda df: df.write.parquet(folder))
+    clean = typed.sparkSession.read.schema(columns.schema).parquet(folder)
+    return clean, check_cleaned(clean, found)
 
 
 def changed_values(typed: DataFrame, stats: dict[str, NumberStatistics]) -> dict[str, int]:

@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from breachlens.functions.text import missing_cell_to_null
+from breachlens.sources.csv_splits import cells_of, split_records
 from breachlens.sources.layers import write_layer
 
+#: How every CSV is parsed.
+_OPTIONS = {"encoding": "UTF-8", "sep": ",", "quote": '"', "escape": '"', "maxCharsPerColumn": "-1"}
+
 SOURCE_ORDER = ["_source_file", "_source_block", "_source_row"]
 _BROKEN = "_broken_record"
 # a doubled quote is two quoted runs side by side, so the pattern needs no group and no backtracking
@@ -53,14 +57,16 @@ def land_cells(spark: SparkSession, path: str, folder: str, multi_line: bool | N
     """All cells as text in a Parquet layer, with the ``SOURCE_ORDER`` columns, and the number of rows.
 
     This is the one way CSV enters: text that is not UTF-8 and rows with more fields than the header
-    raise. With ``multi_line=None`` files are read whole only if a quoted cell may hold a line break,
-    else they are split. The text is parsed once.
+    raise. With ``multi_line=None`` files are split in any case: by lines, or by records if a quoted cell may
+    hold a line break (see ``csv_splits``). True reads each file whole in one task, False by lines.
     """
     bad, odd = text_faults(spark, path)
     if bad:
         raise RuntimeError(f"Unable to load dataset: {bad} line(s) are not valid UTF-8")
     try:
-        landed = write_layer(read_incident_csv(spark, path, odd if multi_line is None else multi_line), folder)
+        by_record = multi_line is None and odd
+        cells = read_split_csv(spark, path, f"{folder}-parts") if by_record else read_incident_csv(spark, path, bool(multi_line))
+        landed = write_layer(cells, folder)
     except (PySparkException, Py4JJavaError) as error:
         raise RuntimeError(f"Unable to load dataset: {error}") from error
     found = landed.agg(F.count(F.lit(1)).alias("rows"), F.count_if("_too_long").alias("long")).first()
@@ -83,31 +89,39 @@ def read_incident_csv(spark: SparkSession, path: str, multi_line: bool) -> DataF
     cells = (
         spark.read.schema(schema)
         .options(
-            header=True,
-            encoding="UTF-8",
-            sep=",",
-            quote='"',
-            escape='"',
-            multiLine=multi_line,
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=_BROKEN,
-            maxCharsPerColumn=-1,
-            columnPruning=False,
-            enforceSchema=False,
+            header=True, multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN,
+            columnPruning=False, enforceSchema=False, **_OPTIONS,
         )
         .csv(path)
     )
-    blank_line = F.coalesce(F.trim(_BROKEN) == "", F.lit(False))
-    positioned = cells.where(~blank_line).select(
-        *[missing_cell_to_null(F.col(f"`{name}`")).alias(name) for name in names],
-        _BROKEN,
-        F.col("_metadata.file_path").alias("_source_file"),
-        F.col("_metadata.file_block_start").alias("_source_block"),
-        F.monotonically_increasing_id().alias("_source_row"),
+    return _positioned(
+        cells.select(
+            *[F.col(f"`{name}`").alias(name) for name in names], _BROKEN, F.col("_metadata.file_path").alias("_source_file"),
+            F.col("_metadata.file_block_start").alias("_source_block"), F.monotonically_increasing_id().alias("_source_row"),
+        ),
+        names,
     )
+
+
+def read_split_csv(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    """The same as ``read_incident_csv`` with ``multi_line``, by any number of tasks per file."""
+    names = read_header(spark, path)
+    records = split_records(spark, path, names, folder)
+    cells = cells_of(F.col("record"), len(names), _OPTIONS)
+    cells = records.select(cells.alias("c"), "file", "block", "row").select(
+        *[F.col(f"c.c{i}").alias(name) for i, name in enumerate(names)], F.col("c.broken").alias(_BROKEN),
+        F.col("file").alias("_source_file"), F.col("block").alias("_source_block"), F.col("row").alias("_source_row"),
+    )
+    return _positioned(cells, names)
+
+
+def _positioned(cells: DataFrame, names: list[str]) -> DataFrame:
+    """Cells with missing-value spellings as NULL, without blank lines, too long rows marked."""
+    blank_line = F.coalesce(F.trim(_BROKEN) == "", F.lit(False))
     commas = F.size(F.split(F.regexp_replace(_BROKEN, _QUOTED, ""), ",", -1))
-    return positioned.withColumn("_too_long", F.coalesce(commas > len(names), F.lit(False))).drop(
-        _BROKEN
+    return cells.where(~blank_line).select(
+        *[missing_cell_to_null(F.col(f"`{name}`")).alias(name) for name in names], *SOURCE_ORDER,
+        F.coalesce(commas > len(names), F.lit(False)).alias("_too_long"),
     )
 
 

@@ -526,3 +526,143 @@ def test_vacuum_keeps_the_present_version(spark, make, table, tmp_path):
     assert table.row_count() == 3
     with pytest.raises(ValueError):
         table.vacuum(-1)
+
+
+# --- buckets ------------------------------------------------------------------------
+def _exchanges_over_the_table(df, table):
+    """Exchanges of the executed plan that have a scan of the table below them."""
+    df.collect()
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    open_at, found = [], 0
+    for line in lines:
+        depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        while open_at and open_at[-1] >= depth:
+            open_at.pop()
+        if line.strip(" :+-*()0123456789").startswith("Exchange"):
+            open_at.append(depth)
+        if "FileScan" in line and table.split(".")[-1] in line:
+            found += bool(open_at)
+        if "== Initial Plan" in line:
+            break
+    return found
+
+
+@pytest.fixture
+def large(make):
+    def build(n, first=0):
+        rows = make(n=3).where("incident_id = 'INC-001'").drop("incident_id")
+        ids = rows.sparkSession.range(first, first + n).select(F.format_string("ID-%09d", "id").alias("incident_id"))
+        return ids.crossJoin(F.broadcast(rows))
+
+    return build
+
+
+def test_ids_are_checked_without_a_shuffle_of_the_table(spark, large, table, monkeypatch):
+    from breachlens.operators import checks
+    from breachlens.sources import incident_table
+
+    table.replace(large(3000))
+    assert table.bucket_count() == incident_table.LEAST_BUCKETS
+    rows = spark.table(table.name)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        own = large(2000, 2990).select("incident_id").repartition(table.bucket_count(), "incident_id")
+        own = own.groupBy("incident_id").agg(F.count(F.lit(1)).alias("rows"))
+        joined = table._in_both(own, rows.select("incident_id"))
+        assert joined.count() == 10 and _exchanges_over_the_table(joined, table.name) == 0
+        per_key = rows.groupBy("incident_id").agg(F.count(F.lit(1)).alias("rows"))
+        assert _exchanges_over_the_table(per_key, table.name) == 0
+        monkeypatch.setattr(incident_table, "POINT_ROWS", 5)
+        with pytest.raises(ValueError, match="unique"):
+            table.insert(large(2000, 2990))
+        assert table.insert(large(2000, 3000)) == 2000
+        assert checks.duplicate_count(spark.table(table.name), 5000) == 0
+        table.verify()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _rows_read(df):
+    """Rows that the scans of a collected query gave."""
+    df.collect()
+    todo, read = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        if name == "FileSourceScanExec":
+            read += node.metrics().apply("numOutputRows").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return read
+
+
+def test_a_look_up_by_id_reads_one_bucket(spark, large, table):
+    table.replace(large(40_000))
+    found = table.fetch(f"SELECT * FROM {table.name} WHERE incident_id = ?", ["ID-000012345"])
+    assert [r["incident_id"] for r in found.collect()] == ["ID-000012345"]
+    assert 0 < _rows_read(found) < 40_000 / 4
+    few = spark.table(table.name).select("incident_id").where(F.col("incident_id").isin(["ID-000000001", "nowhere"]))
+    assert _rows_read(few) < 40_000 / 3
+
+
+def test_versions_keep_their_buckets(spark, make, table):
+    table.buckets = 3
+    version = table.replace(make())["version"]
+    assert table.bucket_count() == 3 and version.endswith("-b3")
+    again = IncidentTable(spark, table.root, f"{table.name}_again")
+    again.attach(version)
+    assert again.bucket_count() == 3 and again.row_count() == 3
+    again.insert(make(n=5).where("incident_id > 'INC-003'"))
+    assert spark.table(again.name).where("incident_id = 'INC-003'").count() == 1
+    other = IncidentTable(spark, table.root, f"{table.name}_other", buckets=5)
+    other.replace(make())
+    other.attach(version)
+    assert other.bucket_count() == 3 and other.row_count() == 4
+    spark.sql(f"DROP TABLE {again.name}")
+    spark.sql(f"DROP TABLE {other.name}")
+
+
+def test_all_forms_of_insert_obey_the_table(spark, make, table):
+    """Spark's parser classifies them; what may hide an insert is refused."""
+    table.replace(make())
+    t = table.name
+    same = f"SELECT * FROM {t}"
+    for statement in (f"/* by hand */ INSERT INTO {t} {same}", f"INSERT INTO {t} BY NAME {same}", f"INSERT INTO {t} ({same})",
+                      f"-- note\nINSERT INTO TABLE spark_catalog.default.{t} TABLE {t}", f"INSERT INTO {t} {same} UNION ALL {same};",
+                      f"INSERT INTO {t} WITH x AS ({same}) SELECT * FROM x", f"INSERT INTO {t.upper()} {same}"):
+        with pytest.raises(ValueError, match="present and unique"):
+            table.execute(statement)
+    for statement in (f"WITH x AS ({same}) INSERT INTO {t} SELECT * FROM x", f"FROM {t} INSERT INTO {t} SELECT * INSERT INTO {t} SELECT *",
+                      f"BEGIN INSERT INTO {t} {same}; END", f"EXECUTE IMMEDIATE 'INSERT INTO {t} {same}'",
+                      f"INSERT INTO IDENTIFIER('{t}') {same}", f"INSERT INTO {t} REPLACE WHERE true {same}"):
+        with pytest.raises(ValueError, match="not run"):
+            table.execute(statement)
+    with pytest.raises(ValueError, match="without PARTITION"):
+        table.execute(f"INSERT INTO {t} PARTITION (sector = 'x') {same}")
+    assert table.row_count() == 3
+    table.execute(f"INSERT INTO {t} BY NAME SELECT severity_score, concat(incident_id, :tail) AS incident_id FROM {t}", {"tail": "-b"})
+    table.execute(f"INSERT INTO {t} (severity_score, incident_id) (SELECT 2D, 'new')")
+    assert table.row_count() == 7 and spark.table(t).where("incident_id = 'INC-001-b'").first()["severity_score"] == 8
+    spark.sql(f"CREATE TABLE {t}_b (incident_id STRING) USING parquet")
+    table.execute(f"INSERT INTO {t}_b SELECT incident_id FROM {t}")
+    table.execute(f"INSERT INTO {t}_b SELECT incident_id FROM {t}")
+    assert spark.table(f"{t}_b").count() == 14 and table.row_count() == 7
+    spark.sql(f"DROP TABLE {t}_b")
+
+
+def test_checks_count_while_the_rows_are_written(spark, make, tmp_path):
+    """Also through a shuffle, whose tasks may run again."""
+    from breachlens.operators.checks import count_if, measure_written
+
+    rows = make(n=5).repartition(3, "incident_id")
+    checks = {"low": count_if(F.col("severity_score") < 5), "last": F.max("incident_id")}
+    found = measure_written(rows, checks, lambda df: df.write.parquet(str(tmp_path / "w")))
+    written = spark.read.parquet(str(tmp_path / "w"))
+    assert found["rows"] == written.count() and found["last"] == written.agg(F.max("incident_id")).first()[0]
+    assert found["low"] == written.where("severity_score < 5").count()
+    none = measure_written(rows.where("false"), checks, lambda df: df.write.parquet(str(tmp_path / "e")))
+    assert none == {"rows": 0, "low": 0, "last": None}
