@@ -29,7 +29,7 @@ from breachlens.operators.checks import (
 )
 from breachlens.plans import profile
 from breachlens.plans.analytics import QUESTIONS
-from breachlens.plans.cleaning import Cleaned, clean_incidents, filled, limited, number_statistics, read_clean_csv, typed_columns
+from breachlens.plans.cleaning import Cleaned, clean_incidents, filled, limited, number_statistics, read_clean_csv, typed_columns, write_typed
 from breachlens.plans.features import FEATURE_GROUPS, engineer_features
 from breachlens.schema import (
     CATEGORY_COLUMNS,
@@ -184,6 +184,12 @@ def _profile(of: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, st
     return part
 
 
+def eda_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """About the medians that the cleaning has stored."""
+    medians = {c: s.clean_median for c, s in layers(spark, sf_dir).cleaned.statistics.items()}
+    return _profile(lambda clean: profile.correlations(clean, medians))(spark, sf_dir)
+
+
 def _raw_profile(of: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: of(layers(spark, sf_dir).raw.select(*INCIDENT_COLUMNS))
 
@@ -256,60 +262,67 @@ def dq_dirty_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each rule that must stop a run, tried on whole layers with one fault: whether it did."""
+    """Each rule that must stop a run, tried on a whole layer with one fault: the error, the words of its message that name
+    the rule, and the rows that break it (of a rule on columns: all rows)."""
     built = layers(spark, sf_dir)
     raw, clean, engineered = built.raw, built.cleaned.df, built.engineered
-    dirty = write_layer(dirty_incidents(spark, sf_dir), new_folder(spark, "dirty"))
+    faulty = F.col(INCIDENT_ID).endswith("-7")
 
     def folder() -> str:
         return new_folder(spark, "rejected")
 
     def with_fault(df: DataFrame, name: str, value: str) -> DataFrame:
-        return df.withColumn(name, F.when(F.xxhash64(INCIDENT_ID) % 97 == 0, F.expr(value)).otherwise(F.col(name)))
+        return df.withColumn(name, F.when(faulty, F.expr(value)).otherwise(F.col(name)))
 
-    def cleaned_of(name: str) -> None:
-        """Clean rows whose one dirty column is ``name``."""
-        faulty = raw.drop(name).join(dirty.select(*ORDER_COLUMNS, name).distinct(), ORDER_COLUMNS)
-        clean_incidents(faulty, ORDER_COLUMNS, folder=folder())
+    def typed_with(name: str, value: str) -> None:
+        text = raw.withColumn(name, F.col(name).cast("string"))
+        write_typed(with_fault(text, name, value), ORDER_COLUMNS, folder())
 
     def table_of(df: DataFrame) -> IncidentTable:
         table = _own_table(spark)
         table.replace(df)
         return table
 
+    kept = table_of(clean)  # for the rules on tables
+    rows = raw.agg(F.count(F.lit(1)).alias("raw"), F.count_if(faulty).alias("raw_faulty")).first()
+    n, n_clean = rows["raw"], built.cleaned.report["final_rows"]
+    of_clean = clean.agg(F.count_if(faulty).alias("faulty"), F.count_if(F.col(INCIDENT_DATE) > "2017-01-05").alias("future")).first()
+    faults = of_clean["faulty"]
+    later = of_clean["future"]
+    # rule: what is tried, the words, the rows that break it
     rules = {
-        "V1 empty": lambda: land_raw(raw.where("false"), ORDER_COLUMNS, folder()),
-        "V2 blank name": lambda: land_raw(raw.withColumn("  ", F.lit(1)), ORDER_COLUMNS, folder()),
-        "V3 repeated name": lambda: land_raw(raw.select("*", "sector"), ORDER_COLUMNS, folder()),
-        "V4 lacking column": lambda: land_raw(raw.drop("region"), ORDER_COLUMNS, folder()),
-        "V5 no id": lambda: land_raw(dirty, ORDER_COLUMNS, folder()),
-        "V6 number": lambda: cleaned_of("records_affected"),
-        "V7 date": lambda: cleaned_of(INCIDENT_DATE),
-        "V8 flag": lambda: cleaned_of("zero_day_used"),
-        "V9 final ids": lambda: table_of(clean.union(clean)),
-        "V10 gap": lambda: check_cleaned(with_fault(clean, "sector", "NULL")),
-        "V11 infinite": lambda: check_cleaned(with_fault(clean, "records_affected", "DOUBLE('inf')")),
-        "V12 range": lambda: check_cleaned(with_fault(clean, "severity_score", "11D")),
-        "V13 feature input": lambda: engineer_features(with_fault(clean, INCIDENT_DATE, "NULL")),
-        "V14 future": lambda: engineer_features(built.cleaned, "2017-1-5"),
-        "V15 feature output": lambda: check_complete(with_fault(engineered, "risk_score", "NULL"), "Output"),
-        "V16 counts": lambda: check_run(raw.count(), clean.count(), clean.count(), clean.count() - 1),
-        "V17 status": lambda: save_summary(spark, {"status": "FAILED", "rows": clean.count()}, folder()),
-        "V18 flag values": lambda: check_complete(with_fault(incidents(spark, sf_dir), "zero_day_used", "2"), "Table"),
-        "V19 profile input": lambda: profile.check_profile_input(dirty),
-        "S3 no file": lambda: land_csv(spark, f"{sf_dir}/no-such-file.csv", folder()),
-        "S12 schema": lambda: table_of(clean).verify_schema(engineered),
-        "S15 table": lambda: IncidentTable(spark, folder(), f"absent_{uuid.uuid4().hex[:12]}").verify(),
-        "S16 repeated insert": lambda: (t := table_of(clean)).execute(f"INSERT INTO {t.name} SELECT * FROM {t.name}"),
+        "V1 empty": (lambda: land_raw(raw.where("false"), ORDER_COLUMNS, folder()), "has no rows", 0),
+        "V2 blank name": (lambda: land_raw(raw.withColumn("  ", F.lit(1)), ORDER_COLUMNS, folder()), "name is blank", n),
+        "V3 repeated name": (lambda: land_raw(raw.select("*", "sector"), ORDER_COLUMNS, folder()), "repeated: ['sector']", n),
+        "V4 lacking column": (lambda: land_raw(raw.drop("region"), ORDER_COLUMNS, folder()), "Missing Columns: ['region']", n),
+        "V5 no id": (lambda: land_raw(with_fault(raw, INCIDENT_ID, "NULL"), ORDER_COLUMNS, folder()), "have no incident_id", rows["raw_faulty"]),
+        "V6 number": (lambda: typed_with("records_affected", "'12abc'"), f"records_affected: {faults} invalid numeric", faults),
+        "V7 date": (lambda: typed_with(INCIDENT_DATE, "'2025/13/45'"), f"{faults} invalid incident_date", faults),
+        "V8 flag": (lambda: typed_with("zero_day_used", "'maybe'"), f"zero_day_used: {faults} values are neither yes nor no", faults),
+        "V9 final ids": (lambda: kept.replace(clean.union(clean)), "must stay unique", n_clean),
+        "V10 gap": (lambda: check_cleaned(with_fault(clean, "sector", "NULL")), f"gaps: {{'sector': {faults}}}", faults),
+        "V11 infinite": (lambda: check_cleaned(with_fault(clean, "records_affected", "DOUBLE('inf')")), "infinite values in ['records_affected']", faults),
+        "V12 range": (lambda: check_cleaned(with_fault(clean, "severity_score", "11D")), f"{faults} values of severity_score out of range", faults),
+        "V13 feature input": (lambda: engineer_features(with_fault(clean, INCIDENT_DATE, "NULL")), "invalid incident_date or none", faults),
+        "V14 future": (lambda: engineer_features(built.cleaned, "2017-1-5"), "in the future of the reference date 2017-01-05", later),
+        "V15 feature output": (lambda: check_complete(with_fault(engineered, "risk_score", "NULL"), "Output"), "Output has gaps in ['risk_score']", faults),
+        "V16 counts": (lambda: check_run(n, n_clean, n_clean, n_clean - 1), f"{n_clean - 1} rows instead of {n_clean}", 1),
+        "V17 status": (lambda: save_summary(spark, {"status": "FAILED", "rows": n_clean}, folder()), "not read back as a success", 1),
+        "V18 flag values": (lambda: check_complete(with_fault(incidents(spark, sf_dir), "zero_day_used", "2"), "Table"), "flags other than 0 and 1 in zero_day_used", faults),
+        "V19 profile input": (lambda: profile.check_profile_input(with_fault(clean, INCIDENT_DATE, "NULL")), "invalid incident_date or none in some rows", faults),
+        "S3 no file": (lambda: land_csv(spark, f"{sf_dir}/no-such-file.csv", folder()), "Dataset not found", 0),
+        "S12 schema": (lambda: kept.verify_schema(engineered.select(*INCIDENT_COLUMNS, "risk_score")), "lacks the columns ['risk_score']", n_clean),
+        "S15 table": (lambda: IncidentTable(spark, folder(), "absent_table").verify(), "no table absent_table", 0),
+        "S16 repeated insert": (lambda: kept.execute(f"INSERT INTO {kept.name} SELECT * FROM {kept.name} WHERE incident_id LIKE '%-7'"), "present and unique", faults),
     }
     out = []
-    for rule, attempt in rules.items():
+    for rule, (attempt, words, broken) in rules.items():
         try:
             attempt()
-            out.append((rule, 0))
-        except (ValueError, FileNotFoundError):
-            out.append((rule, 1))
-    return spark.createDataFrame(out, "rule string, refused int").crossJoin(raw.agg(F.count(F.lit(1)).alias("rows")))
+            out.append((rule, "none", "", broken))
+        except (ValueError, FileNotFoundError) as error:
+            out.append((rule, type(error).__name__, words if words in str(error) else str(error)[:200], broken))
+    return spark.createDataFrame(out, "rule string, error string, message string, rows bigint")
 
 
 # --- sources, sinks, table ----------------------------------------------------
@@ -429,9 +442,38 @@ def table_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns of the query table, their types and the key."""
-    found = layers(spark, sf_dir).table.schema()
-    return found.select("name", "type", F.col("is_key").cast("int").alias("is_key"))
+    """Columns of the query table, their types, the key, and the values that each holds."""
+    table = layers(spark, sf_dir).table
+    rows = spark.table(table.name)
+    held = rows.agg(*[F.count(F.col(c)).alias(c) for c in rows.columns]).unpivot([], rows.columns, "name", "values")
+    return table.schema().join(held, "name").select("name", "type", F.col("is_key").cast("int").alias("is_key"), "values")
+
+
+def table_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values at quartile ranks from the index of a table that was appended to after it was indexed."""
+    rows = incidents(spark, sf_dir)
+    table = _own_table(spark)
+    table.replace(rows.where("is_weekend = 0"))
+    table.number_index()
+    table.insert(rows.where("is_weekend = 1"))
+    index = table.number_index()
+    counts = index.counts()
+    ranks = {c: {(counts[c] - 1) * quarter // 4 for quarter in range(5)} for c in NUMBER_COLUMNS}
+    found = index.order_statistics(ranks)
+    out = [(c, rank, s.value, s.below, s.equal) for (c, rank), s in found.items()]
+    return spark.createDataFrame(out, "column string, rank bigint, value double, below bigint, equal bigint")
+
+
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows with line breaks and quotes in some cells, written as CSV and landed by splits."""
+    folder = new_folder(spark, "csv")
+    broken = F.concat("attack_type", F.lit('\n"'), "region", F.lit('"\n'))
+    rows = layers(spark, sf_dir).raw.withColumn(
+        "attack_type", F.when(F.col("src_partkey") % 7 == 0, broken).otherwise(F.col("attack_type"))
+    )
+    write_csv(rows.select(*INCIDENT_COLUMNS), f"{folder}/files")
+    landed, _ = land_csv(spark, f"{folder}/files", f"{folder}/landed")
+    return landed.select(INCIDENT_ID, "attack_type", "region", F.col("severity_score").cast("double").alias("severity_score"))
 
 
 def table_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -486,7 +528,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "eda_histogram": _profile(profile.severity_histogram),
         "eda_totals": _profile(profile.money_totals),
         "eda_flag_rates": _profile(profile.flag_rates),
-        "eda_correlations": _profile(profile.correlations),
+        "eda_correlations": eda_correlations,
         "missing_report": _raw_profile(profile.missing_report),
         "dataset_summary": _raw_profile(profile.dataset_summary),
         "dq_checks": dq_checks,
@@ -496,6 +538,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feat_other_day": feat_other_day,
         "table_statement": table_statement,
         "table_schema": table_schema,
+        "table_quantiles": table_quantiles,
+        "csv_line_breaks": csv_line_breaks,
         "csv_round_trip": csv_round_trip,
         "clean_csv": clean_csv,
         "engineered_csv": engineered_csv,

@@ -15,6 +15,7 @@ need two.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,16 +32,21 @@ class OrderStatistic:
     equal: int
 
 
-def _unpivot(df: DataFrame, values: dict[str, Column]) -> DataFrame:
-    """(name, value) of all present values."""
+def unpivot(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """(name, value, rows) of all present values, one row each."""
     doubles = df.select(*[value.alias(name) for name, value in values.items()])
     long = doubles.unpivot([], list(values), "name", "value")
     return long.where(F.col("value").isNotNull() & ~F.isnan("value")).select(
-        "name", (F.col("value") + F.lit(0.0)).alias("value")
+        "name", (F.col("value") + F.lit(0.0)).alias("value"), F.lit(1).cast("long").alias("rows")
     )
 
 
-def _log_bucket(value: Column) -> Column:
+def summary() -> list[Column]:
+    """What is kept of a bucket. Summaries of parts of a table add up to that of the whole."""
+    return [F.sum("rows").alias("rows"), F.min("value").alias("low_value"), F.max("value").alias("high_value")]
+
+
+def log_bucket(value: Column) -> Column:
     # the logarithm and each product are monotone, so a larger value never gets a smaller bucket
     return F.floor(F.signum(value) * F.log1p(F.abs(value)) * F.lit(_LOG_STEPS))
 
@@ -75,22 +81,45 @@ def order_statistics(
     result. ``df`` is scanned once per pass, reading only the named columns, so pass a written
     layer and not a long chain of work.
     """
+    return search(_Columns(df, [name for name, many in ranks.items() if many]), ranks)
+
+
+class Values(Protocol):
+    """Where values come from: rows of a table, or an index of them."""
+
+    def buckets(self) -> DataFrame:
+        """(name, bucket, rows, low_value, high_value) by ``log_bucket``."""
+
+    def inside(self, spans: dict[str, set[tuple[float, float, int]]]) -> DataFrame:
+        """(name, value, rows), at least of all values within the spans (low, high, values below) of each name."""
+
+
+class _Columns:
+    def __init__(self, df: DataFrame, names: list[str]):
+        self.df, self.columns = df, {name: F.col(f"`{name}`").cast("double") for name in names}
+
+    def buckets(self) -> DataFrame:
+        return unpivot(self.df, self.columns).groupBy("name", log_bucket(F.col("value")).alias("bucket")).agg(*summary())
+
+    def inside(self, spans: dict[str, set[tuple[float, float, int]]]) -> DataFrame:
+        narrowed, anywhere = {}, F.lit(False)
+        for name, many in spans.items():
+            inside = F.lit(False)
+            for low, high, _ in sorted(many):
+                inside = inside | self.columns[name].between(F.lit(low), F.lit(high))
+            narrowed[name] = F.when(inside, self.columns[name])
+            anywhere = anywhere | inside
+        # few rows are left here, so the unpivot of the later passes is nearly free
+        return unpivot(self.df.where(anywhere), narrowed)
+
+
+def search(values: Values, ranks: dict[str, set[int]]) -> dict[tuple[str, int], OrderStatistic]:
+    """The statistics at the wanted ranks, from buckets and then from ever finer ones of the open spans."""
     found: dict[tuple[str, int], OrderStatistic] = {}
     wanted = {name: sorted(int(r) for r in many) for name, many in ranks.items() if many}
     if not wanted:
         return found
-    columns = {name: F.col(f"`{name}`").cast("double") for name in wanted}
-    summary = [
-        F.count(F.lit(1)).alias("rows"),
-        F.min("value").alias("low_value"),
-        F.max("value").alias("high_value"),
-    ]
-    buckets = (
-        _unpivot(df, columns)
-        .groupBy("name", _log_bucket(F.col("value")).alias("bucket"))
-        .agg(*summary)
-        .withColumns({"low": F.lit(0.0), "offset": F.lit(0).cast("long")})
-    )
+    buckets = values.buckets().withColumns({"low": F.lit(0.0), "offset": F.lit(0).cast("long")})
     while True:
         spans: dict[str, set[tuple[float, float, int]]] = {}
         still: dict[str, list[int]] = {}
@@ -103,24 +132,12 @@ def order_statistics(
         wanted = still
         if not wanted:
             return found
-        buckets = _refined(df, {name: columns[name] for name in wanted}, spans, summary)
+        buckets = _refined(values, spans)
 
 
-def _refined(
-    df: DataFrame,
-    columns: dict[str, Column],
-    spans: dict[str, set[tuple[float, float, int]]],
-    summary: list[Column],
-) -> DataFrame:
+def _refined(values: Values, spans: dict[str, set[tuple[float, float, int]]]) -> DataFrame:
     """Finer buckets inside the open spans: at most one span per wanted rank, none overlap."""
-    narrowed = {}
-    anywhere = F.lit(False)
-    for name, value in columns.items():
-        inside = F.lit(False)
-        for low, high, _ in sorted(spans[name]):
-            inside = inside | value.between(F.lit(low), F.lit(high))
-        narrowed[name] = F.when(inside, value)
-        anywhere = anywhere | inside
+    placed = values.inside(spans)
     listed = F.array(
         *[
             F.struct(
@@ -131,12 +148,10 @@ def _refined(
             for low, high, below in sorted(many)
         ]
     )
-    open_spans = df.sparkSession.range(1).select(F.inline(listed))
-    # few rows are left here, so the unpivot of the later passes is nearly free
-    placed = _unpivot(df.where(anywhere), narrowed).join(F.broadcast(open_spans), ["name"])
-    held = placed.where(F.col("value").between(F.col("low"), F.col("high")))
+    open_spans = placed.sparkSession.range(1).select(F.inline(listed))
+    held = placed.join(F.broadcast(open_spans), ["name"]).where(F.col("value").between(F.col("low"), F.col("high")))
     bucket = _linear_bucket(F.col("value"), F.col("low"), F.col("high")).alias("bucket")
-    return held.groupBy("name", "low", "offset", bucket).agg(*summary)
+    return held.groupBy("name", "low", "offset", bucket).agg(*summary())
 
 
 def quantile_ranks(rows: int, share: float) -> tuple[int, int, float]:
@@ -167,7 +182,12 @@ def quantiles(
         for c in columns
         if counts[c]
     }
-    stats = order_statistics(df, ranks)
+    return interpolated(counts.asDict(), columns, shares, order_statistics(df, ranks))
+
+
+def interpolated(
+    counts: dict[str, int], columns: list[str], shares: list[float], stats: dict[tuple[str, int], OrderStatistic]
+) -> dict[tuple[str, float], float | None]:
     out: dict[tuple[str, float], float | None] = {}
     for c in columns:
         for share in shares:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from itertools import combinations
+import math
+from itertools import combinations, combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,24 +59,27 @@ def _long(df: DataFrame, values: dict[str, dict[str, Column]], key: str) -> Data
 def column_quality(df: DataFrame, exact: bool = True) -> DataFrame:
     """Type, missing count and share, and distinct values (null is one) of each column.
 
-    The exact count groups each column by itself, combined before the shuffle. With
+    The exact count is one scan and one shuffle: every row gives a (column, digest) pair per column, and equal pairs
+    are combined before the shuffle. The digest has 128 bits, from the value in its own type. With
     ``exact=False`` distinct values are estimated from sketches, without a shuffle of values.
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     type_of = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
     if exact:
-        # one narrow group-by per column in its own type: nothing is turned into text
-        parts = []
-        for c in df.columns:
-            per_value = df.groupBy(_one_gap(df, c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-            gap_rows = F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0))
-            parts.append(
-                per_value.agg(
-                    F.lit(c).alias("column"), F.sum("n").alias("rows"), gap_rows.alias("missing"),
-                    F.count(F.lit(1)).alias("unique"),
-                ).where("rows IS NOT NULL")
-            )
-        counted = reduce(DataFrame.unionByName, parts)
+        names = F.array(*[F.lit(c) for c in df.columns])
+        # the expansion copies its whole input per column, so it sees nothing but digests
+        pairs = df.select(*[_digest(_one_gap(df, c)).alias(f"_{i}") for i, c in enumerate(df.columns)])
+        per_value = (
+            pairs.unpivot([], pairs.columns, "place", "digest")
+            .groupBy("place", "digest")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        counted = per_value.groupBy("place").agg(
+            F.sum("n").alias("rows"), F.sum(F.when(F.col("digest").isNull(), F.col("n")).otherwise(0)).alias("missing"),
+            F.count(F.lit(1)).alias("unique"),
+        )
+        place = F.substring("place", 2, 9).cast("int")
+        counted = counted.select(F.get(names, place).alias("column"), "rows", "missing", "unique")
     else:
         gap = {c: is_missing(F.col(f"`{c}`"), df.schema[c].dataType) for c in df.columns}
         counted = _long(
@@ -100,6 +103,11 @@ def column_quality(df: DataFrame, exact: bool = True) -> DataFrame:
     ).orderBy(F.desc("missing"), "column")
 
 
+def _digest(value: Column) -> Column:
+    """128 bits from two hashes with different seeds; NULL for NULL."""
+    return F.when(value.isNotNull(), F.struct(F.xxhash64(value).alias("a"), F.xxhash64(F.lit(1), value).alias("b")))
+
+
 def _one_gap(df: DataFrame, name: str) -> Column:
     """The column's values, with NaN as NULL and -0.0 as 0.0."""
     value = F.col(f"`{name}`")
@@ -234,36 +242,60 @@ def flag_rates(df: DataFrame) -> DataFrame:
     return _long(df, rates, "column")
 
 
-def correlations(df: DataFrame) -> DataFrame:
+#: A shift is too far off if its distance from a mean is over so many deviations: digits would be lost.
+_FAR = 1e4
+
+
+def correlations(df: DataFrame, shifts: dict[str, float] | None = None) -> DataFrame:
     """Pearson correlation of every two number columns, rounded; NULL for a constant column.
 
-    A first scan takes means and gaps, a second one sums products of the distances from the
-    means: one plain sum per pair, which is as exact as running moments and much cheaper. Pairs
-    with gaps are summed over the rows where both values are present.
+    One scan sums the products of distances from a ``shift`` per column, such as a stored median (by
+    default one of its values), which is as exact as running moments and much cheaper. Only if a column has
+    gaps, or a shift proves to be far from all values, a second scan follows: with the means that the
+    first one found, and over the rows where both values of a pair are present.
     """
     columns, df = NUMBER_COLUMNS, _folded(df)
-    seen = measure(
+    if shifts is None:
+        row = df.select(*columns).first()
+        shifts = {c: (row[c] if row is not None and row[c] is not None else 0.0) for c in columns}
+    away = {c: F.col(c) - F.lit(float(shifts[c])) for c in columns}
+    sums = measure(
         df,
         {
             "rows": F.count(F.lit(1)),
             **{f"n:{c}": F.count(c) for c in columns},
-            **{f"mean:{c}": F.avg(c) for c in columns},
+            **{f"sum:{c}": F.sum(away[c]) for c in columns},
+            **{f"{a}|{b}": F.sum(away[a] * away[b]) for a, b in combinations_with_replacement(columns, 2)},
             **{f"varies:{c}": F.min(c) < F.max(c) for c in columns},
         },
     )
-    away = {c: F.col(c) - F.lit(seen[f"mean:{c}"]) for c in columns}
-    wanted: dict[tuple[str, str], Column] = {}
-    for a, b in combinations(columns, 2):
-        if not (seen[f"varies:{a}"] and seen[f"varies:{b}"]):
-            wanted[a, b] = F.lit(None).cast("double")
-        elif seen[f"n:{a}"] == seen[f"n:{b}"] == seen["rows"]:
-            squares = F.sqrt(F.sum(away[a] * away[a])) * F.sqrt(F.sum(away[b] * away[b]))
-            wanted[a, b] = F.sum(away[a] * away[b]) / F.nullif(squares, F.lit(0.0))
-        else:
-            wanted[a, b] = _correlation_of_present(F.col(a), F.col(b), away[a], away[b])
+    n, whole = sums["rows"], all(sums[f"n:{c}"] == sums["rows"] for c in columns)
+    spread = {c: sums[f"{c}|{c}"] - sums[f"sum:{c}"] ** 2 / n if whole and n else 0.0 for c in columns}
+    near = whole and all(
+        not sums[f"varies:{c}"] or (sums[f"sum:{c}"] / n) ** 2 * n <= _FAR**2 * spread[c] for c in columns
+    )
+    varies = {c: sums[f"varies:{c}"] for c in columns}
+    if near:
+        wanted = {
+            (a, b): F.lit(
+                (sums[f"{a}|{b}"] - sums[f"sum:{a}"] * sums[f"sum:{b}"] / n) / (math.sqrt(spread[a]) * math.sqrt(spread[b]))
+                if varies[a] and varies[b] else None
+            ).cast("double")
+            for a, b in combinations(columns, 2)
+        }
+        df = df.sparkSession.range(1)
+    else:
+        means = {c: shifts[c] + (sums[f"sum:{c}"] or 0.0) / max(1, sums[f"n:{c}"]) for c in columns}
+        away = {c: F.col(c) - F.lit(means[c]) for c in columns}
+        wanted = {
+            (a, b): _correlation_of_present(F.col(a), F.col(b), away[a], away[b])
+            if varies[a] and varies[b] else F.lit(None).cast("double")
+            for a, b in combinations(columns, 2)
+        }
     for c in columns:
-        wanted[c, c] = F.lit(1.0 if seen[f"varies:{c}"] else None).cast("double")
-    row = df.agg(*[round_half_even(v, 2).alias(f"{a}|{b}") for (a, b), v in wanted.items()])
+        wanted[c, c] = F.lit(1.0 if varies[c] else None).cast("double")
+    shown = [round_half_even(v, 2).alias(f"{a}|{b}") for (a, b), v in wanted.items()]
+    row = df.select(*shown) if near else df.agg(*shown)
     entries = []
     for a in columns:
         for b in columns:

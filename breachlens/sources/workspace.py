@@ -36,6 +36,11 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete an intermediate folder that nothing reads any more."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -267,13 +267,56 @@ _REPORT = [
 
 ENGINEERED_DOUBLES = [*NUMBER_COLUMNS, *(f.name for f in FEATURE_TYPES.fields if f.dataType.typeName() == "double")]
 
-#: Rules of ``dq_rejections``; all must refuse.
+#: Rules of ``dq_rejections``: error, words of the message, rows that break the rule. {x} stands for a number from ``_FAULTS``.
 REJECTIONS = [
-    "V1 empty", "V2 blank name", "V3 repeated name", "V4 lacking column", "V5 no id", "V6 number", "V7 date", "V8 flag",
-    "V9 final ids", "V10 gap", "V11 infinite", "V12 range", "V13 feature input", "V14 future", "V15 feature output",
-    "V16 counts", "V17 status", "V18 flag values", "V19 profile input", "S3 no file", "S12 schema", "S15 table",
-    "S16 repeated insert",
+    ("V1 empty", "ValueError", "has no rows", "0"),
+    ("V2 blank name", "ValueError", "name is blank", "{raw}"),
+    ("V3 repeated name", "ValueError", "repeated: ['sector']", "{raw}"),
+    ("V4 lacking column", "ValueError", "Missing Columns: ['region']", "{raw}"),
+    ("V5 no id", "ValueError", "have no incident_id", "{raw_faulty}"),
+    ("V6 number", "ValueError", "records_affected: {faulty} invalid numeric", "{faulty}"),
+    ("V7 date", "ValueError", "{faulty} invalid incident_date", "{faulty}"),
+    ("V8 flag", "ValueError", "zero_day_used: {faulty} values are neither yes nor no", "{faulty}"),
+    ("V9 final ids", "ValueError", "must stay unique", "{clean}"),
+    ("V10 gap", "ValueError", "gaps: {'sector': {faulty}}", "{faulty}"),
+    ("V11 infinite", "ValueError", "infinite values in ['records_affected']", "{faulty}"),
+    ("V12 range", "ValueError", "{faulty} values of severity_score out of range", "{faulty}"),
+    ("V13 feature input", "ValueError", "invalid incident_date or none", "{faulty}"),
+    ("V14 future", "ValueError", "in the future of the reference date 2017-01-05", "{future}"),
+    ("V15 feature output", "ValueError", "Output has gaps in ['risk_score']", "{faulty}"),
+    ("V16 counts", "ValueError", "{less} rows instead of {clean}", "1"),
+    ("V17 status", "ValueError", "not read back as a success", "1"),
+    ("V18 flag values", "ValueError", "flags other than 0 and 1 in zero_day_used", "{faulty}"),
+    ("V19 profile input", "ValueError", "invalid incident_date or none in some rows", "{faulty}"),
+    ("S3 no file", "FileNotFoundError", "Dataset not found", "0"),
+    ("S12 schema", "ValueError", "lacks the columns ['risk_score']", "{clean}"),
+    ("S15 table", "ValueError", "no table absent_table", "0"),
+    ("S16 repeated insert", "ValueError", "present and unique", "{faulty}"),
 ]
+_FAULTS = {
+    "raw": "(SELECT count(*) FROM raw)",
+    "raw_faulty": "(SELECT count(*) FROM raw WHERE incident_id LIKE '%-7')",
+    "clean": "(SELECT count(*) FROM clean)",
+    "less": "(SELECT count(*) - 1 FROM clean)",
+    "faulty": "(SELECT count(*) FROM clean WHERE incident_id LIKE '%-7')",
+    "future": "(SELECT count(*) FROM clean WHERE incident_date > DATE '2017-01-05')",
+}
+
+
+def rejections() -> str:
+    def filled_in(words: str) -> str:
+        text = "'" + words.replace("'", "''") + "'"
+        for name, number in _FAULTS.items():
+            text = text.replace(f"{{{name}}}", f"' || {number} || '")
+        return text
+
+    def counted(rows: str) -> str:
+        return _FAULTS.get(rows.strip("{}"), rows)
+
+    return chain("clean") + " UNION ALL ".join(
+        f"SELECT '{rule}' AS rule, '{error}' AS error, {filled_in(words)} AS message, CAST({counted(rows)} AS BIGINT) AS rows"
+        for rule, error, words, rows in REJECTIONS
+    )
 
 
 def dirty_checks() -> str:
@@ -450,12 +493,7 @@ def oracle_sql() -> dict[str, str]:
         ]
     )
     out["dq_dirty_checks"] = dirty_checks()
-    out["dq_rejections"] = on(
-        "raw",
-        "SELECT rule, 1 AS refused, (SELECT count(*) FROM raw) AS rows FROM (VALUES "
-        + _list(f"('{rule}')" for rule in REJECTIONS)
-        + ") AS r(rule)",
-    )
+    out["dq_rejections"] = rejections()
     out["feat_other_day"] = on(
         "clean",
         "SELECT incident_id, CAST(date_diff('day', incident_date, DATE '2026-01-05') AS INTEGER) AS incident_age_days FROM clean",
@@ -463,9 +501,22 @@ def oracle_sql() -> dict[str, str]:
     out["table_statement"] = on("engineered", "SELECT attack_type, count(*) AS incidents FROM engineered GROUP BY attack_type")
     types = {c: table_type(c).simpleString() for c in INCIDENT_COLUMNS}
     types |= {f.name: f.dataType.simpleString() for f in FEATURE_TYPES.fields}
-    out["table_schema"] = "SELECT * FROM (VALUES " + _list(
-        f"('{c}', '{kind}', {int(c == 'incident_id')})" for c, kind in types.items()
-    ) + ") AS t(name, type, is_key)"
+    out["table_schema"] = chain("engineered") + " UNION ALL ".join(
+        f"SELECT '{c}' AS name, '{kind}' AS type, {int(c == 'incident_id')} AS is_key, count({c}) AS values FROM engineered"
+        for c, kind in types.items()
+    )
+    out["table_quantiles"] = chain("engineered") + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", rank, value, below, equal FROM ("
+        f"SELECT {c} AS value, row_number() OVER (ORDER BY {c}) - 1 AS rank, rank() OVER (ORDER BY {c}) - 1 AS below, "
+        f"count(*) OVER (PARTITION BY {c}) AS equal, count(*) OVER () - 1 AS last FROM engineered) "
+        "WHERE rank IN (0, last // 4, last * 2 // 4, last * 3 // 4, last)"
+        for c in NUMBER_COLUMNS
+    )
+    out["csv_line_breaks"] = on(
+        "raw",
+        "SELECT incident_id, CASE WHEN src_partkey % 7 = 0 THEN attack_type || chr(10) || '\"' || region || '\"' || chr(10) "
+        "ELSE attack_type END AS attack_type, region, severity_score FROM raw",
+    )
     out["run_summary"] = on(
         "engineered",
         "SELECT 'SUCCESS' AS status, (SELECT count(*) FROM raw) AS raw_records, "

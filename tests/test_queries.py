@@ -57,7 +57,7 @@ def plan_of(df):
 
 def test_no_python_workers_and_no_cross_joins(spark):
     for name in NAMES:
-        if name == "dq_rejections":  # a list of outcomes, put beside the row count
+        if name == "dq_rejections":  # a list of outcomes
             continue
         plan = plan_of(registered.queries()[name](spark, SMALL))
         for word in ("EvalPython", "MapInPandas", "MapInArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
