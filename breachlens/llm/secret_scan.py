@@ -1,14 +1,15 @@
 """Secret scan: patterns find candidates, a random forest removes the false positives.
 
-Candidates are keys in the formats of issuers, values assigned to a secret's name, private key
-headers, and any other unbroken run of 20 key characters or more, each to its end. For each candidate a few numbers are
-measured: its length, the transitions between kinds of characters, how much of it dictionary words
+Candidates are private keys from their header to their end line, keys in the formats of issuers, values
+assigned to a name that ends like a secret's, quoted ones with their blanks, and any other unbroken run of 20 key
+characters or more, each to its end. They are taken in this order, so a key of an issuer is found as such within an
+address, a path or an assigned value, and no place belongs to two. For each candidate a few numbers are measured: its length, the transitions between kinds of characters, how much of it dictionary words
 cover, what its path looks like, and the words next to it. A random forest (Spark's own) trained
 from labelled findings then gives each candidate the probability of being a secret.
 
 Findings can be labelled by the caller. Without labels, the column ``weak`` labels the certain ones:
-issuers' formats and assigned values that mix letters and digits are secrets; runs without a digit,
-placeholders and parts of addresses are not; the rest stays unlabelled and is left to the forest.
+placeholders are none; issuers' formats are secrets, in addresses too; other parts of addresses are none; assigned values
+that mix letters and digits are secrets; runs without a digit are none; the rest stays unlabelled and is left to the forest.
 
 The forest is fitted on the ``SAMPLE`` labelled findings of each label with the smallest hash. The
 dictionary is counted over all texts: the ``DICTIONARY`` words that most texts use.
@@ -21,7 +22,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -48,12 +49,17 @@ _ISSUED = (
     rb"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])|gh[pousr]_[0-9A-Za-z]{36,}|xox[abpr]-[0-9A-Za-z-]{10,}"
     rb"|sk_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35}|eyJ[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]+"
 )
-_CANDIDATE = re.compile(
-    rb"(?P<issued>(?<![0-9A-Za-z])(?:" + _ISSUED + rb"))"
-    rb"|(?P<block>-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----)"
-    rb"|(?<![0-9A-Za-z])(?i:(?:" + _NAMES + rb"))[\"']?[ \t]*+(?>:=|=>|[:=])[ \t]*+[\"']?(?P<assigned>[^\s\"']{8,}+)"
-    rb"|(?<![0-9A-Za-z_+/=.-])(?P<run>[0-9A-Za-z_+/=.-]{20,}+)"
+_ISSUED_KEY = re.compile(rb"(?<![0-9A-Za-z])(?:" + _ISSUED + rb")")
+_HEADER = re.compile(rb"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----")
+_END_LINE = re.compile(rb"-----END [A-Z ]{0,20}PRIVATE KEY-----")
+#: What may stand in a private key whose end line is lost.
+_KEY_BODY = re.compile(rb"(?:[\r\n]++(?:[0-9A-Za-z+/=]++(?=[\r\n]|\Z)|(?:Proc-Type|DEK-Info): [^\r\n]*+))*+")
+_ASSIGNED = re.compile(
+    rb"(?i:" + _NAMES + rb")[\"']?[ \t]*+(?>:=|=>|[:=])[ \t]*+"
+    rb"(?:\"(?P<double>[^\"\r\n]{8,}+)\"|'(?P<single>[^'\r\n]{8,}+)'|[\"']?(?P<plain>[^\s\"']{8,}+))"
 )
+_NAME_TAIL = re.compile(rb"(?<![0-9A-Za-z_.-])[0-9A-Za-z_.-]*+\Z")
+_RUN = re.compile(rb"(?<![0-9A-Za-z_+/=.-])[0-9A-Za-z_+/=.-]{20,}+")
 _PLACEHOLDER = re.compile(rb"(?i)example|change.?me|placeholder|your[_-]|xxxx|dummy|<[a-z_ ]+>|\*\*\*")
 _TEST_PATH = re.compile(r"(?i)test|example|sample|doc|fixture|mock")
 _WORD = re.compile(rb"[a-z]{4,16}")
@@ -99,6 +105,48 @@ def dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY)
 
 
 # --- candidates -----------------------------------------------------------------
+def _private_keys(text: bytes) -> Iterator[tuple[int, int]]:
+    """From each header to its end line; to the end of what looks like a key if another header or nothing follows."""
+    headers = list(_HEADER.finditer(text))
+    for header, following in zip(headers, [*headers[1:], None]):
+        last = following.start() if following else len(text)
+        end = _END_LINE.search(text, header.end(), last)
+        yield header.start(), end.end() if end else _KEY_BODY.match(text, header.end(), last).end()
+
+
+def _name_start(text: bytes, at: int) -> int:
+    """Where the name begins that holds the place ``at``."""
+    return _NAME_TAIL.search(text, max(0, at - 256), at).start()
+
+
+def candidates(text: bytes) -> list[tuple[int, int, str]]:
+    """(start, stop, kind) of all candidates, in order; none overlap."""
+    taken: list[tuple[int, int, str]] = []
+
+    def add(spans: Iterable[tuple[int, int]], kind: str) -> None:
+        """Those that touch none of the kinds before."""
+        known, at, new = sorted(taken), 0, []
+        for start, stop in spans:
+            while at < len(known) and known[at][1] <= start:
+                at += 1
+            if at == len(known) or known[at][0] >= stop:
+                new.append((start, stop, kind))
+        taken.extend(new)
+
+    add(_private_keys(text), "block")
+    add((m.span() for m in _ISSUED_KEY.finditer(text)), "issued")
+    assigned = {m.span(m.lastgroup): m.start() for m in _ASSIGNED.finditer(text)}
+    add(assigned, "assigned")
+    # a run begins or ends where a candidate or the name of one stands
+    taken_up = [(_name_start(text, assigned[a, b]) if kind == "assigned" else a, b) for a, b, kind in taken]
+    gaps, at = [], 0
+    for start, stop in [*sorted(taken_up), (len(text), len(text))]:
+        gaps.append((at, start))
+        at = max(at, stop)
+    add([m.span() for start, stop in gaps if start < stop for m in _RUN.finditer(text, start, stop)], "run")
+    return sorted(taken)
+
+
 class _Measures:
     def __init__(self, words: dict[bytes, int]):
         self.words = set(words)
@@ -147,10 +195,14 @@ def _weak_label(kind: str, value: bytes, in_address: float) -> int | None:
     """1 for certain secrets, 0 for certain false findings, None where only a person could say."""
     if kind == "block":
         return 1
-    if _PLACEHOLDER.search(value) or in_address:
+    if _PLACEHOLDER.search(value):
+        return 0
+    if kind == "issued":
+        return 1
+    if in_address:
         return 0
     mixed = any(48 <= c <= 57 for c in value) and any(c > 57 for c in value)
-    if kind == "issued" or kind == "assigned" and mixed:
+    if kind == "assigned" and mixed:
         return 1
     return None if kind == "run" and mixed else 0
 
@@ -161,13 +213,10 @@ def _candidates(words: dict[bytes, int]):
         for batch in batches:
             rows = []
             for doc_id, text, path in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for number, match in enumerate(_CANDIDATE.finditer(text or b"")):
-                    kind = match.lastgroup
-                    start, stop = match.span(kind)
-                    found = measures.of(text, kind, start, stop, path or "")
-                    value = match[kind].decode(errors="replace")
-                    weak = _weak_label(kind, match[kind], found[FEATURES.index("in_address")])
-                    rows.append((doc_id, number, kind, start, stop, value, weak, *found))
+                for number, (start, stop, kind) in enumerate(candidates(text or b"")):
+                    found, value = measures.of(text, kind, start, stop, path or ""), text[start:stop]
+                    weak = _weak_label(kind, value, found[FEATURES.index("in_address")])
+                    rows.append((doc_id, number, kind, start, stop, value.decode(errors="replace"), weak, *found))
             names = ["doc_id", *(part.split()[0] for part in FINDING.split(", "))]
             types = [batch.schema.field(0).type, pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32()]
             types += [pa.float64()] * len(FEATURES)
