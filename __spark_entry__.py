@@ -31,6 +31,7 @@ from breachlens.plans import profile
 from breachlens.plans.analytics import QUESTIONS
 from breachlens.plans.cleaning import Cleaned, clean_incidents, filled, limited, number_statistics, read_clean_csv, typed_columns, write_typed
 from breachlens.plans.features import FEATURE_GROUPS, engineer_features
+from breachlens.plans.report import KEYS, report
 from breachlens.schema import (
     CATEGORY_COLUMNS,
     FENCED_COLUMNS,
@@ -489,6 +490,20 @@ def table_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=True)
 
 
+def grouped_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All grouped and overall questions from one scan, one row per question, key and figure."""
+    parts = []
+    for question, answer in report(incidents(spark, sf_dir), new_folder(spark, "report")).items():
+        figures = [f.name for f in answer.schema.fields if f.name not in KEYS]
+        key = F.concat_ws("/", *[F.col(c).cast("string") for c in answer.columns if c in KEYS]) if len(figures) < len(answer.columns) else F.lit("")
+        numbers = [F.struct(F.lit(c).alias("figure"), F.col(c).cast("double").alias("value")) for c in figures]
+        parts.append(answer.select(F.lit(question).alias("question"), key.alias("key"), F.inline(F.array(*numbers))))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 # --- driver contract ----------------------------------------------------------
 def entry(spark: SparkSession) -> DataFrame:
     """Dashboard figures over all incidents."""
@@ -539,6 +554,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_statement": table_statement,
         "table_schema": table_schema,
         "table_quantiles": table_quantiles,
+        "grouped_report": grouped_report,
         "csv_line_breaks": csv_line_breaks,
         "csv_round_trip": csv_round_trip,
         "clean_csv": clean_csv,

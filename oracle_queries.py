@@ -350,8 +350,51 @@ def dirty_checks() -> str:
     return f"WITH dirty AS MATERIALIZED ({dirty})\n" + " UNION ALL ".join(selects)
 
 
+#: Keys and figures of the questions that ``grouped_report`` answers together.
+_REPORTED = {
+    "q01_total_incidents": ([], ["total_incidents"]),
+    "q02_average_severity": ([], ["average_severity"]),
+    "q04_by_sector": (["sector"], ["total_incidents"]),
+    "q05_by_region": (["region"], ["total_incidents"]),
+    "q06_by_attack_type": (["attack_type"], ["incidents"]),
+    "q07_by_threat_actor": (["threat_actor"], ["incidents"]),
+    "q08_monthly_trend": (["incident_year", "incident_month"], ["total_incidents"]),
+    "q09_downtime_by_sector": (["sector"], ["avg_downtime"]),
+    "q12_zero_day_split": (["zero_day_used"], ["incidents"]),
+    "q13_exfiltration_split": (["data_exfiltration"], ["incidents"]),
+    "q14_average_detection": ([], ["average_detection_time"]),
+    "q15_average_team": ([], ["average_team_size"]),
+    "q16_resolution_rate": ([], ["success_rate"]),
+    "q17_records_by_attack": (["attack_type"], ["average_records"]),
+    "q19_weekend_split": (["is_weekend"], ["incidents"]),
+    "q20_costliest_sectors": (["sector"], ["total_loss"]),
+    "q21_risk_by_sector": (["sector"], ["avg_risk"]),
+    "q22_leading_actors": (["region", "threat_actor"], ["incidents"]),
+    "q25_dashboard": ([], [
+        "total_incidents", "avg_severity", "avg_downtime", "total_financial_loss", "average_risk_score", "resolution_success_rate",
+        "avg_detection_time",
+    ]),
+    "q26_high_risk_count": ([], ["high_risk_incidents"]),
+    "q27_impact_by_attack": (["attack_type"], ["incidents", "total_financial_impact", "avg_financial_impact"]),
+    "q28_resolution_by_sector": (["sector"], ["incidents", "resolution_rate"]),
+}
+
+
+def grouped_report() -> str:
+    before, parts = chain("engineered"), []
+    for question, (keys, figures) in _REPORTED.items():
+        key = f"concat_ws('/', {_list(keys)})" if keys else "''"
+        for figure in figures:
+            parts.append(
+                f"SELECT '{question}' AS question, {key} AS key, '{figure}' AS figure, CAST({figure} AS DOUBLE) AS value "
+                f"FROM ({QUESTIONS[question].removeprefix(before)})"
+            )
+    return before + " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(QUESTIONS)
+    out["grouped_report"] = grouped_report()
     raw_columns = [c for c in INCIDENT_COLUMNS]
     out["clean_dedupe"] = on("dedup", f"SELECT {_list(raw_columns)} FROM dedup")
     out["clean_text"] = on("filled", f"SELECT incident_id, {_list(CATEGORY_COLUMNS)} FROM filled")
