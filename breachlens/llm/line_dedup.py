@@ -13,7 +13,8 @@ takes them out when it falls below. A dedup asks the filter of the shard first;
 repeated keys and a few false ones) is looked up in the exact counts.
 
 Keys are 16-byte BLAKE2 digests. Null and empty texts are one empty line. Rows with one id are
-one document. A document without id comes after all others; all rows without id are one document.
+one document. A document without id comes after all others; all rows without id are one document. Ids must be
+whole numbers (they are cast to bigint). An empty table has no lines; other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ SHARD_KEYS = 1_000_000
 #: Lines of one shard are dealt to so many partitions, as one line may stand in most documents.
 SPREAD = 8
 _LAST_ID = (1 << 63) - 1
+#: A line on its way: the id that orders its document, the row it stands in, and its key.
+_LINE = ["doc_id", "row_a", "row_b", "key"]
 _CHANGE = "number int, kind string, folder string, n_shards int"
 _CONTINUED = bytes(range(0x80, 0xC0))
 
@@ -52,15 +55,17 @@ def line_key(line: bytes) -> bytes | None:
 
 
 def _held_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per row and key in it, with all columns but the text."""
     for batch in batches:
-        ids, keys = [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        rows, keys = [], []
+        for row, text in enumerate(batch.column("text")):
             text = text.as_py()
             if text:
                 own = {line_key(line) for line in text.split(b"\n")} - {None}
-                ids += [doc_id] * len(own)
+                rows += [row] * len(own)
                 keys += own
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], names=["doc_id", "key"])
+        others = batch.drop_columns("text").take(pa.array(rows, pa.int64()))
+        yield others.append_column("key", pa.array(keys, pa.binary()))
 
 
 def _shard(n_shards: int) -> Column:
@@ -97,7 +102,7 @@ def _admitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 start += 1
             if start == stop or loaded != (shard[start], part[start]):  # without a filter, no key is repeated
                 continue
-            lines = batch.slice(start, stop - start).select(["doc_id", "key"])
+            lines = batch.slice(start, stop - start).select(_LINE)
             yield lines.filter(pa.array(cuckoo.holds(lines.column("key").to_pylist())))
 
 
@@ -186,10 +191,14 @@ class LineStore:
         self.batches.append((kind, rows))
         self.counts, self.filters = self._held(counts), filters
 
+    @staticmethod
+    def _order(id_col: str) -> Column:
+        return F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(_LAST_ID))
+
     def holders(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """(doc_id, key) once for each key that a row holds."""
-        order = F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(_LAST_ID)).alias("doc_id")
-        return docs.select(order, utf8(text_col).alias("text")).mapInArrow(_held_keys, "doc_id bigint, key binary")
+        rows = docs.select(self._order(id_col).alias("doc_id"), utf8(text_col).alias("text"))
+        return rows.mapInArrow(_held_keys, "doc_id bigint, key binary")
 
     def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> None:
         """Count the lines of ``docs``; lines of an id that the store already holds are added to that document."""
@@ -247,36 +256,42 @@ class LineStore:
         self._publish("deleted", gone, folder, merged)
 
     def repeats(self, lines: DataFrame) -> DataFrame:
-        """Of (doc_id, key) rows, those whose key a document with a smaller id holds too."""
+        """Of rows of ``_LINE``, those whose key a document with a smaller id holds too."""
         blank = F.lit(None)
         rows = lines.select(
-            _shard(self.n_shards).alias("shard"), F.pmod(F.xxhash64("doc_id"), F.lit(SPREAD)).cast("int").alias("part"),
-            "doc_id", "key", blank.cast("binary").alias("data"),
+            _shard(self.n_shards).alias("shard"), F.pmod(F.xxhash64("doc_id", "row_a"), F.lit(SPREAD)).cast("int").alias("part"),
+            *_LINE, blank.cast("binary").alias("data"),
         )
         filters = self.filters.select(
             "shard", F.explode(F.array(*[F.lit(i) for i in range(SPREAD)])).alias("part"),
-            blank.cast("bigint").alias("doc_id"), blank.cast("binary").alias("key"), "data",
+            *[blank.cast("bigint").alias(c) for c in _LINE[:-1]], blank.cast("binary").alias("key"), "data",
         )
         dealt = filters.unionByName(rows).repartition(self.n_shards * SPREAD, "shard", "part")
         admitted = dealt.sortWithinPartitions("shard", "part", F.col("data").isNull()).mapInArrow(
-            _admitted, "doc_id bigint, key binary"
+            _admitted, "doc_id bigint, row_a bigint, row_b bigint, key binary"
         )
         exact = self.counts.where("repeated").select("key", "first_doc")
-        return admitted.join(exact, "key").where("doc_id > first_doc").select("doc_id", "key")
+        return admitted.join(exact, "key").where("doc_id > first_doc").select(*_LINE)
 
     def dedupe(
         self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_dropped: str | None = None
     ) -> DataFrame:
         """``docs`` without the lines that an inserted document with a smaller id holds.
 
-        All columns stay; ``n_dropped`` names a column to add with the number of dropped lines.
+        All columns stay; ``n_dropped`` names a column to add with the number of dropped lines. What is
+        dropped is collected per id and text (128 bits of hashes), so a list never has more keys than
+        its own text, however many rows share an id or lack one.
         """
-        own = {name: unused_name(docs, name) for name in ("dedup_id", "dedup_keys", "dedup_new")}
-        gone = self.repeats(self.holders(docs, id_col, text_col)).groupBy("doc_id").agg(F.collect_set("key").alias(own["dedup_keys"]))
-        key = F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(_LAST_ID))
-        joined = docs.withColumn(own["dedup_id"], key).join(
-            gone.withColumnRenamed("doc_id", own["dedup_id"]), own["dedup_id"], "left"
+        own = {name: unused_name(docs, name) for name in ("dedup_id", "dedup_a", "dedup_b", "dedup_keys", "dedup_new")}
+        text = F.col(f"`{text_col}`")
+        row = {"doc_id": self._order(id_col), "row_a": F.xxhash64(text), "row_b": F.xxhash64(F.lit(1), text)}
+        lines = docs.select(*[c.alias(name) for name, c in row.items()], utf8(text_col).alias("text")).mapInArrow(
+            _held_keys, "doc_id bigint, row_a bigint, row_b bigint, key binary"
         )
+        gone = self.repeats(lines).groupBy(*row).agg(F.collect_set("key").alias(own["dedup_keys"]))
+        names = dict(zip(row, (own["dedup_id"], own["dedup_a"], own["dedup_b"])))
+        keyed = docs.withColumns({names[name]: c for name, c in row.items()})
+        joined = keyed.join(gone.withColumnsRenamed(names), list(names.values()), "left")
         keys = F.col(own["dedup_keys"])
         changed = F.pandas_udf(_without_lines, "text string, n_dropped bigint")(F.when(keys.isNotNull(), utf8(text_col)), keys)
         joined = joined.withColumn(own["dedup_new"], changed)

@@ -70,22 +70,24 @@ FROM lowered LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
 """
 
 _LINE_DEDUP = r"""
-WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS place, coalesce(text, '') AS text FROM documents),
 lines AS (
-  SELECT r, doc_id, i, parts[i] AS line,
+  SELECT r, doc_id, place, i, parts[i] AS line,
     translate(regexp_replace(parts[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
-  FROM (SELECT r, doc_id, parts, unnest(range(1, len(parts) + 1)) AS i
-        FROM (SELECT r, doc_id, string_split(text, chr(10)) AS parts FROM texts))),
+  FROM (SELECT r, doc_id, place, parts, unnest(range(1, len(parts) + 1)) AS i
+        FROM (SELECT r, doc_id, place, string_split(text, chr(10)) AS parts FROM texts))),
 repeated AS (
-  SELECT key, min(doc_id) AS first_doc FROM lines WHERE length(key) >= 10
-  GROUP BY key HAVING count(DISTINCT doc_id) > 1)
+  SELECT key, min(place) AS first_place FROM lines WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT place) > 1)
 SELECT any_value(l.doc_id) AS doc_id, count(*)::BIGINT AS n_lines,
-  count(first_doc) FILTER (l.doc_id <> first_doc)::BIGINT AS n_dropped,
-  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (first_doc IS NULL OR l.doc_id = first_doc), '')) AS kept_sha256
+  count(first_place) FILTER (l.place <> first_place)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (first_place IS NULL OR l.place = first_place), '')) AS kept_sha256
 FROM lines l LEFT JOIN repeated USING (key) GROUP BY r
 """
 
+
 def _vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
     """Every part is compared with every entry in each round."""
     steps = [

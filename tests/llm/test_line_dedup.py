@@ -1,6 +1,8 @@
 import random
 from collections import defaultdict
+from collections.abc import Iterator
 
+import pandas as pd
 import pytest
 
 from breachlens.llm.cuckoo import CuckooFilter
@@ -32,7 +34,8 @@ def dropped(docs):
 
 
 def test_query_equals_sql(spark, docs, folder_of, against_sql):
-    against_sql(spark, "op9_line_dedup", folder_of(documents=docs(*CASES), benchmark=docs((1, "x"))))
+    cases = [*CASES, (None, LONG), (None, f"{LONG}\nonly without id"), (None, "only without id")]
+    against_sql(spark, "op9_line_dedup", folder_of(documents=docs(*cases), benchmark=docs((1, "x"))))
 
 
 def test_empty_table(spark, docs, folder_of, against_sql):
@@ -41,7 +44,7 @@ def test_empty_table(spark, docs, folder_of, against_sql):
 
 def test_rows_without_id_and_clashing_columns(spark, docs, tmp_path):
     cases = [*CASES, (None, LONG), (None, f"{LONG}\nonly without id"), (None, "only without id")]
-    table = docs(*cases).selectExpr("*", "1 AS dedup_id", "2 AS dedup_keys", "3 AS key")
+    table = docs(*cases).selectExpr("*", "1 AS dedup_id", "2 AS dedup_keys", "3 AS key", "4 AS row_a")
     found = drop_repeated_lines(spark, table, f"{tmp_path}/store", n_dropped="n_dropped")
     assert found.columns == [*table.columns, "n_dropped"]
     assert sorted(map(repr, found.select("doc_id", "text", "n_dropped").collect())) == sorted(
@@ -49,6 +52,30 @@ def test_rows_without_id_and_clashing_columns(spark, docs, tmp_path):
     )
 
 
+def test_dropped_keys_never_exceed_a_row(spark, docs, tmp_path, monkeypatch):
+    """Many rows without id, each with repeated lines of its own: lists as long as a row, not as the group."""
+    from breachlens.llm import line_dedup
+
+    rows = [(i, "\n".join(f"repeated line {i} {k}" for k in range(3))) for i in range(100)]
+    rows += [(None, f"{text}\nown line of row {i}") for i, text in rows]
+    sizes = spark.sparkContext.accumulator(0)
+    longest = spark.sparkContext.accumulator(0)
+    cut = line_dedup._without_lines
+
+    def seen(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, keys in batches:
+            for k in keys:
+                if k is not None:
+                    sizes.add(len(k))
+                    longest.add(int(len(k) > 3))
+            yield from cut(iter([(texts, keys)]))
+
+    monkeypatch.setattr(line_dedup, "_without_lines", seen)
+    found = drop_repeated_lines(spark, docs(*rows), f"{tmp_path}/store", n_dropped="n").collect()
+    assert sorted(map(repr, map(tuple, ((r.doc_id, r.text, r.n) for r in found)))) == sorted(map(repr, dropped(rows)))
+    assert sizes.value == 300 and longest.value == 0
+
+
 def test_deletions_undo_insertions(spark, docs, tmp_path):
     rng = random.Random(3)
     pool = [f"sentence number {i} of the pool" for i in range(40)]
