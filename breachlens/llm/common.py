@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import ctypes
-import shutil
-import tempfile
 from collections.abc import Iterable, Iterator
 from functools import cache
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from breachlens.sources.workspace import remove_folder, ship_package
+
+__all__ = [
+    "WHITE_SPACE", "blocks", "cut_words", "lower_words", "release_memory", "remove_folder", "ship_package", "unused_name", "utf8",
+]
+
 #: The white space that ends a word or surrounds a line: space, tab and the four line breaks.
 WHITE_SPACE = b" \t\n\r\x0b\x0c"
 
@@ -23,19 +26,6 @@ _WORD_BYTES = bytes(
 )
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package, as ``spark-submit --py-files`` would; once per application."""
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        package = Path(__file__).resolve().parents[1]
-        folder = tempfile.mkdtemp(prefix="breachlens-")
-        context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
-        _shipped.add(context.applicationId)
-
-
 def lower_words(text: bytes | None) -> list[bytes]:
     """Runs of digits, ASCII letters in lower case and non-ASCII characters; none for null."""
     return text.translate(_WORD_BYTES).split() if text else []
@@ -94,9 +84,3 @@ def blocks(texts: Iterable[bytes | None], limit: int) -> Iterator[tuple[int, int
         held += size
     if at >= start:
         yield start, at + 1
-
-
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete an intermediate folder that nothing reads any more."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
