@@ -2,11 +2,14 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from breachlens.llm import suffix_dedup
 from breachlens.llm.queries import queries
 from breachlens.llm.suffix_arrays import common_prefixes, suffix_order
+from breachlens.llm.suffix_dedup import Sizes
 
 L = suffix_dedup.LENGTH
 
@@ -89,19 +92,80 @@ def random_cases(seed):
     return cases
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_query_equals_brute_force(spark, docs, folder_of, monkeypatch, seed):
-    for name, value in zip(
-        ("SEGMENT_BYTES", "CHUNK", "SHARD_TEXT", "ARRAY_BYTES"),
-        [(4 << 20, 4 << 20, 16 << 20, 4 << 20), (500, 64, 300, 200), (1, 1 << 20, 1 << 20, 100), (3000, 1000, 100, 1 << 20)][seed],
-    ):
-        monkeypatch.setattr(suffix_dedup, name, value)
-    cases = random_cases(seed)
+def digests(found):
+    rows = found.selectExpr(
+        "doc_id", "n_bytes", "n_bytes - length(kept)", "size(spans)", "sha2(kept, 256)",
+    ).collect()
+    return sorted(map(repr, map(tuple, rows)))
+
+
+def test_query_equals_brute_force(spark, docs, folder_of):
+    cases = random_cases(0)
     found = queries()["op6_suffix_dedup"](spark, folder_of(documents=docs(*cases, parts=3)))
     assert found.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, slow_removal(cases)))
 
 
+@pytest.mark.parametrize(
+    ("seed", "sizes"),
+    [
+        (1, Sizes(segment=500, chunk=64, shard=300, array=200)),
+        (2, Sizes(segment=1, shard=1 << 20, array=100)),
+        (3, Sizes(segment=3000, chunk=1000, shard=100, task=1000)),
+        (0, Sizes(segment=500, chunk=64, array=200, common=1)),
+        (1, Sizes(segment=700, shard=400, common_entries=1)),
+        (2, Sizes(segment=1, chunk=128, array=60, common_entries=3)),
+        (4, Sizes(common=0)),
+    ],
+)
+def test_any_division_equals_brute_force(spark, docs, seed, sizes):
+    cases = random_cases(seed)
+    found = suffix_dedup.remove_repeats(spark, docs(*cases, parts=3), sizes=sizes)
+    assert digests(found) == sorted(map(repr, slow_removal(cases)))
+
+
+def segment_batches(sizes, batches):
+    class Task:
+        partitionId = staticmethod(lambda: 0)  # noqa: N815
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(suffix_dedup.TaskContext, "get", classmethod(lambda cls: Task))
+        return list(suffix_dedup._segment_batches(sizes, batches))
+
+
+def phrase_cases():
+    """One phrase in most texts, with other words around it in each; some of the surroundings stand twice."""
+    rng = random.Random(9)
+    around = lambda: "".join(rng.choice("abcdefghijkl ") for _ in range(40))
+    texts = [around() + "the phrase that stands in most of the texts" + around() for _ in range(1400)]
+    return [(i, t) for i, t in enumerate([*texts, *(t[20:] + "!" for t in texts[:100]), *texts[100:130]])]
+
+
+def test_common_phrase_is_dealt_over_shards():
+    cases = phrase_cases()
+    sizes, n_shards = Sizes(segment=20000, common=200), 8
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in cases]), pa.array([t.encode() for _, t in cases])], ["doc_id", "text"])
+    made = pa.Table.from_batches(segment_batches(sizes, [batch])).to_pandas()
+    sent = pd.concat(suffix_dedup._send_anchors(n_shards, sizes)([made]))
+    answers = pd.concat(suffix_dedup._answer_anchors(sizes, (s,), rows) for s, rows in sent.groupby("shard"))
+    send = suffix_dedup._send_passages(n_shards, sizes)
+    out = pd.concat(
+        send((i,), made[made["segment"] == i], answers[answers["segment"] == i]) for i in made["segment"]
+    )
+    strings = out[out["shard"] >= n_shards]
+    weights = strings.groupby("shard")["data"].apply(lambda rows: sum(len(suffix_dedup._unpack_arrays(d)[1]) for d in rows))
+    assert len(weights) == n_shards and weights.max() < 1.2 * weights.mean()
+    for data in strings["data"]:
+        found = suffix_dedup._unpack_arrays(data)[0].view(f"S{L}")
+        assert (found[1:] > found[:-1]).all()
+
+
+def test_common_phrase_equals_brute_force(spark, docs):
+    cases = phrase_cases()
+    found = suffix_dedup.remove_repeats(spark, docs(*cases, parts=5), sizes=Sizes(segment=20000, common=200))
+    assert digests(found) == sorted(map(repr, slow_removal(cases)))
+
+
 def test_empty_and_clean_tables(spark, docs, folder_of):
     query = queries()["op6_suffix_dedup"]
     assert query(spark, folder_of(documents=docs((1, "x")).where("false"))).count() == 0
