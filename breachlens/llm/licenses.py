@@ -6,7 +6,9 @@ one automaton over words. A place of a text is accepted for a template's label i
 there on spell out all mandatory wording, with only the marked regions left out or replaced.
 
 Words are runs of digits, ASCII letters (A-Z lower-cased) and non-ASCII characters, so punctuation,
-case and line breaks never decide. Null and empty texts have no words, labels or places.
+case and line breaks never decide. Null and empty texts have no words, labels or places. Each row is
+scanned by itself, so repeated rows give repeated results; an empty table gives none; other columns of any
+name are not read.
 """
 
 from __future__ import annotations
@@ -24,52 +26,127 @@ from breachlens.llm.common import lower_words, utf8
 #: Phrases whose places are counted, and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Wording of public licenses and of the usual notices, by label. Fixed values.
+#: Wording by label, all of it fixed values. ``-text`` is a whole license, ``-header`` a whole file header,
+#: ``-opening`` a license's grant alone, ``-notice`` a line that names a license.
 TEMPLATES = {
-    "apache-2.0": (
+    "0bsd-text": (
+        "permission to use copy modify and <<optional>>or<<end>> distribute this software for any purpose with or without "
+        "fee is hereby granted "
+        "the software is provided as is and <<var:1-8>> disclaims all warranties with regard to this software including "
+        "all implied warranties of merchantability and fitness in no event shall <<var:1-8>> be liable for any special "
+        "direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits "
+        "whether in an action of contract negligence or other tortious action arising out of or in connection with the "
+        "use or performance of this software",
+    ),
+    "apache-2.0-header": (
+        "licensed under the apache license version 2 0 the license you may not use <<var:1-4>> except in compliance with "
+        "the license you may obtain a copy of the license at <<var:1-1>> www apache org licenses license 2 0 "
+        "<<optional>>txt<<end>> <<optional>>html<<end>> unless required by applicable law or agreed to in writing software "
+        "distributed under the license is distributed on an as is basis without warranties or conditions of any kind "
+        "either express or implied see the license for the specific language governing permissions and limitations "
+        "under the license",
+    ),
+    "apache-2.0-notice": (
         "licensed under the apache license <<optional>>version<<end>> 2 0",
         "apache license <<optional>>version<<end>> 2 0 january 2004",
         "spdx license identifier apache 2 0",
     ),
-    "bsd": (
+    "bsd-2-clause-text": (
+        "redistribution and use in source and binary forms with or without modification are permitted "
+        "provided that the following conditions are met "
+        "<<optional>>1<<end>> redistributions of source code must retain the above copyright notice this list of "
+        "conditions and the following disclaimer "
+        "<<optional>>2<<end>> redistributions in binary form must reproduce the above copyright notice this list of "
+        "conditions and the following disclaimer in the documentation and or other materials provided with the "
+        "distribution "
+        "this software is provided by <<var:1-12>> as is and any express or implied warranties including but not limited "
+        "to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event "
+        "shall <<var:1-12>> be liable for any direct indirect incidental special exemplary or consequential damages "
+        "including but not limited to procurement of substitute goods or services loss of use data or profits or "
+        "business interruption however caused and on any theory of liability whether in contract strict liability or "
+        "tort including negligence or otherwise arising in any way out of the use of this software even if advised of "
+        "the possibility of such damage",
+    ),
+    "bsd-3-clause-text": (
+        "redistribution and use in source and binary forms with or without modification are permitted "
+        "provided that the following conditions are met "
+        "<<optional>>1<<end>> redistributions of source code must retain the above copyright notice this list of "
+        "conditions and the following disclaimer "
+        "<<optional>>2<<end>> redistributions in binary form must reproduce the above copyright notice this list of "
+        "conditions and the following disclaimer in the documentation and or other materials provided with the "
+        "distribution "
+        "<<optional>>3<<end>> neither the name of <<var:1-12>> nor the names of <<optional>>its<<end>> contributors may be "
+        "used to endorse or promote products derived from this software without specific prior written permission "
+        "this software is provided by <<var:1-12>> as is and any express or implied warranties including but not limited "
+        "to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event "
+        "shall <<var:1-12>> be liable for any direct indirect incidental special exemplary or consequential damages "
+        "including but not limited to procurement of substitute goods or services loss of use data or profits or "
+        "business interruption however caused and on any theory of liability whether in contract strict liability or "
+        "tort including negligence or otherwise arising in any way out of the use of this software even if advised of "
+        "the possibility of such damage",
+    ),
+    "bsd-notice": ("spdx license identifier bsd <<var:1-1>> clause",),
+    "bsd-opening": (
         "redistribution and use in source and binary forms with or without modification are permitted "
         "provided that the following conditions are met",
-        "spdx license identifier bsd <<var:1-1>> clause",
     ),
-    "cc-by": (
+    "cc-by-notice": (
         "licensed under <<optional>>a<<end>> <<optional>>the<<end>> cc by <<var:1-1>> 0",
         "creative commons attribution <<var:1-1>> 0 <<optional>>international<<end>> license",
     ),
-    "cc-by-nc": (
+    "cc-by-nc-notice": (
         "licensed under <<optional>>a<<end>> <<optional>>the<<end>> cc by nc <<var:1-1>> 0",
         "creative commons attribution noncommercial <<var:1-1>> 0 <<optional>>international<<end>> license",
     ),
-    "cc-by-sa": (
+    "cc-by-sa-notice": (
         "licensed under <<optional>>a<<end>> <<optional>>the<<end>> cc by sa <<var:1-1>> 0",
         "creative commons attribution sharealike <<var:1-1>> 0 <<optional>>international<<end>> license",
     ),
-    "gpl-2.0": (
+    "gpl-2.0-header": (
+        "this <<var:1-4>> is free software you can redistribute it and or modify it under the terms of the gnu general "
+        "public license as published by the free software foundation either version 2 of the license or at your option "
+        "any later version this <<var:1-4>> is distributed in the hope that it will be useful but without any warranty "
+        "without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general "
+        "public license for more details",
+    ),
+    "gpl-2.0-notice": (
         "licensed under the gnu general public license version 2 <<optional>>0<<end>>",
         "under the terms of the gnu general public license as published by the free software foundation "
         "<<optional>>either<<end>> version 2",
         "spdx license identifier gpl 2 0 <<optional>>only<<end>>",
     ),
-    "gpl-3.0": (
+    "gpl-3.0-header": (
+        "this <<var:1-4>> is free software you can redistribute it and or modify it under the terms of the gnu general "
+        "public license as published by the free software foundation either version 3 of the license or at your option "
+        "any later version this <<var:1-4>> is distributed in the hope that it will be useful but without any warranty "
+        "without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general "
+        "public license for more details",
+    ),
+    "gpl-3.0-notice": (
         "licensed under the gnu general public license version 3 <<optional>>0<<end>>",
         "under the terms of the gnu general public license as published by the free software foundation "
         "<<optional>>either<<end>> version 3",
         "spdx license identifier gpl 3 0 <<optional>>only<<end>>",
     ),
-    "isc": (
-        "permission to use copy modify and or distribute this software for any purpose with or without fee "
-        "is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-opening": (
+        "permission to use copy modify and <<optional>>or<<end>> distribute this software for any purpose with or without "
+        "fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    ),
+    "isc-text": (
+        "permission to use copy modify and <<optional>>or<<end>> distribute this software for any purpose with or without "
+        "fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies "
+        "the software is provided as is and <<var:1-8>> disclaims all warranties with regard to this software including "
+        "all implied warranties of merchantability and fitness in no event shall <<var:1-8>> be liable for any special "
+        "direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits "
+        "whether in an action of contract negligence or other tortious action arising out of or in connection with the "
+        "use or performance of this software",
     ),
     "mit-notice": (
         "released under the mit license",
         "licensed under the mit license",
         "spdx license identifier mit",
     ),
-    "mit-text": (
+    "mit-opening": (
         "<<optional>>copyright <<optional>>c<<end>> <<var:1-8>><<end>> permission is hereby granted free of charge to "
         "any person obtaining a copy of this <<var:1-4>> and associated documentation files the <<var:1-4>> to deal "
         "in <<optional>>the<<end>> <<var:1-4>> without restriction including without limitation the rights to use "
@@ -78,15 +155,40 @@ TEMPLATES = {
         "and this permission notice <<optional>>including the next paragraph<<end>> shall be included in all copies or "
         "substantial portions of the <<var:1-4>>",
     ),
-    "mpl-2.0": (
+    "mit-text": (
+        "<<optional>>copyright <<optional>>c<<end>> <<var:1-8>><<end>> permission is hereby granted free of charge to "
+        "any person obtaining a copy of this <<var:1-4>> and associated documentation files the <<var:1-4>> to deal "
+        "in <<optional>>the<<end>> <<var:1-4>> without restriction including without limitation the rights to use "
+        "copy modify merge publish distribute sublicense and or sell copies of the <<var:1-4>> and to permit persons "
+        "to whom the <<var:1-4>> is furnished to do so subject to the following conditions the above copyright notice "
+        "and this permission notice <<optional>>including the next paragraph<<end>> shall be included in all copies or "
+        "substantial portions of the <<var:1-4>> "
+        "the <<var:1-4>> is provided as is without warranty of any kind express or implied including but not limited to "
+        "the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall "
+        "<<var:1-8>> be liable for any claim damages or other liability whether in an action of contract tort or "
+        "otherwise arising from out of or in connection with the <<var:1-4>> or the use or other dealings in the <<var:1-4>>",
+    ),
+    "mpl-2.0-notice": (
         "subject to the terms of the mozilla public license <<optional>>v<<end>> <<optional>>version<<end>> 2 0",
         "licensed under the mozilla public license <<optional>>version<<end>> 2 0",
         "spdx license identifier mpl 2 0",
     ),
+    "zlib-text": (
+        "this software is provided as is without any express or implied warranty in no event will <<var:1-6>> be held "
+        "liable for any damages arising from the use of this software permission is granted to anyone to use this "
+        "software for any purpose including commercial applications and to alter it and redistribute it freely subject "
+        "to the following restrictions "
+        "<<optional>>1<<end>> the origin of this software must not be misrepresented you must not claim that you wrote the "
+        "original software if you use this software in a product an acknowledgment in the product documentation would "
+        "be appreciated but is not required "
+        "<<optional>>2<<end>> altered source versions must be plainly marked as such and must not be misrepresented as "
+        "being the original software "
+        "<<optional>>3<<end>> this notice may not be removed or altered from any source distribution",
+    ),
 }
 
 #: Every accepted text holds one of these; texts without them are only counted.
-ANCHORS = (b"licen", b"hereby", b"redistribution")
+ANCHORS = (b"licen", b"hereby", b"redistribut")
 
 _MARK = re.compile(r"<<(optional|end|var:(\d+)-(\d+))>>")
 _ANY = None

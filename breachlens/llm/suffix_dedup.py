@@ -528,6 +528,7 @@ def remove_repeats(
     sent = "shard bigint, segment bigint, data binary"
     by_segment = segments.repartition(width, "segment").groupBy("segment")
     anchors = segments.mapInPandas(_send_anchors(n_shards, sizes), sent).repartition(width, "shard")
+
     def answer_anchors(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         return _answer_anchors(sizes, key, rows)
 
