@@ -9,7 +9,9 @@ the document with the smallest id. The store keeps, under a folder,
 * ``filters``: per shard of keys a cuckoo filter of those held by two documents or more.
 
 Inserting documents adds keys to the filters when their count reaches two; deleting documents
-takes them out when it falls below. A dedup asks the filter of the shard first; what it admits (the
+takes them out when it falls below. When a store has outgrown its shards, they are divided anew and the filters
+built again, so a filter stays of bounded size however small the first batch was. An insert reads the holders of
+earlier batches only within its own range of ids, which Parquet statistics find; counts are written whole. A dedup asks the filter of the shard first; what it admits (the
 repeated keys and a few false ones) is looked up in the exact counts.
 
 Keys are 16-byte BLAKE2 digests. Null and empty texts are one empty line. Rows with one id are
@@ -127,8 +129,8 @@ class LineStore:
     only appended. Opening the folder again gives the store of the last change. One writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, shard_keys: int = SHARD_KEYS):
+        self.spark, self.folder, self.shard_keys = spark, folder, shard_keys
         self.batches: list[tuple[str, DataFrame]] = []
         self.counts: DataFrame | None = None
         self.filters: DataFrame | None = None
@@ -165,11 +167,11 @@ class LineStore:
                 live = live.join(rows, "doc_id", "left_anti")
         return live
 
-    def _publish(self, kind: str, rows: DataFrame, folder: str, counts: DataFrame) -> None:
+    def _publish(self, kind: str, rows: DataFrame, folder: str, counts: DataFrame, n_shards: int) -> None:
         """Write the changed counts, bring the filters in line with them, and list the change."""
         counts = write_layer(counts, f"{folder}/counts")
         per_shard = counts.groupBy("shard").agg(F.count(F.when(F.col("repeated"), 1)).alias("n"))
-        if self.filters is None:
+        if n_shards != self.n_shards:
             full = per_shard.select("shard", F.lit(True).alias("rebuild"))
             old = self.spark.createDataFrame([], "shard int, data binary")
         else:
@@ -186,10 +188,10 @@ class LineStore:
             old.groupBy("shard").cogroup(changes.groupBy("of_shard")).applyInPandas(_update_filter, "shard int, data binary")
         )
         filters = write_layer(filters, f"{folder}/filters")
-        change = [(len(self.batches), kind, folder, self.n_shards)]
+        change = [(len(self.batches), kind, folder, n_shards)]
         self.spark.createDataFrame(change, _CHANGE).coalesce(1).write.mode("append").parquet(f"{self.folder}/changes")
         self.batches.append((kind, rows))
-        self.counts, self.filters = self._held(counts), filters
+        self.counts, self.filters, self.n_shards = self._held(counts), filters, n_shards
 
     @staticmethod
     def _order(id_col: str) -> Column:
@@ -204,17 +206,22 @@ class LineStore:
         """Count the lines of ``docs``; lines of an id that the store already holds are added to that document."""
         folder = self._new_change()
         rows = write_layer(self.holders(docs, id_col, text_col), f"{folder}/rows")
-        if not self.n_shards:
-            self.n_shards = max(8, -(-rows.count() // SHARD_KEYS))
-        new = rows.distinct()
-        if self.counts is not None:
-            new = new.join(self._live(), ["doc_id", "key"], "left_anti")
+        new, n_shards = rows.distinct(), self.n_shards
+        if self.counts is None:
+            n_shards = max(8, -(-rows.count() // self.shard_keys))
+        else:
+            n, least, most = rows.agg(F.count(F.lit(1)), F.min("doc_id"), F.max("doc_id")).first()
+            n += self.counts.count()
+            if n > 2 * n_shards * self.shard_keys:
+                n_shards = -(-n // self.shard_keys)
+            held = self._live().where(F.col("doc_id").between(least, most)) if least is not None else self._live().limit(0)
+            new = new.join(held, ["doc_id", "key"], "left_anti")
         new = new.groupBy("key").agg(
             F.min("doc_id").alias("new_first"), F.max("doc_id").alias("new_last"), F.count(F.lit(1)).alias("new_docs")
         )
         if self.counts is None:
             merged = new.select(
-                _shard(self.n_shards).alias("shard"), "key", F.col("new_docs").alias("n_docs"),
+                _shard(n_shards).alias("shard"), "key", F.col("new_docs").alias("n_docs"),
                 F.col("new_first").alias("first_doc"), F.lit(False).alias("was_repeated"),
                 (F.col("new_first") < F.col("new_last")).alias("repeated"),
             )
@@ -222,7 +229,7 @@ class LineStore:
             old = self.counts.select("key", "n_docs", "first_doc", F.col("repeated").alias("was"))
             both = old.join(new, "key", "full")
             merged = both.select(
-                _shard(self.n_shards).alias("shard"), "key",
+                _shard(n_shards).alias("shard"), "key",
                 (F.coalesce("n_docs", F.lit(0)) + F.coalesce("new_docs", F.lit(0))).alias("n_docs"),
                 F.least("first_doc", "new_first").alias("first_doc"),
                 F.coalesce("was", F.lit(False)).alias("was_repeated"),
@@ -231,7 +238,7 @@ class LineStore:
                     | (F.greatest("first_doc", "new_last") > F.least("first_doc", "new_first"))
                 ).alias("repeated"),
             )
-        self._publish("inserted", rows, folder, merged)
+        self._publish("inserted", rows, folder, merged, n_shards)
 
     def delete(self, ids: DataFrame, id_col: str = "doc_id") -> None:
         """Take documents out again; ids that the store does not hold change nothing."""
@@ -253,7 +260,7 @@ class LineStore:
             F.when(F.col("touched"), F.coalesce(F.col("left_first") < F.col("left_last"), F.lit(False)))
             .otherwise(F.col("repeated")).alias("repeated"),
         )
-        self._publish("deleted", gone, folder, merged)
+        self._publish("deleted", gone, folder, merged, self.n_shards)
 
     def repeats(self, lines: DataFrame) -> DataFrame:
         """Of rows of ``_LINE``, those whose key a document with a smaller id holds too."""

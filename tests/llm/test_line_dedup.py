@@ -101,6 +101,29 @@ def test_deletions_undo_insertions(spark, docs, tmp_path):
     assert kept(first) == sorted(dropped(first))
 
 
+def test_a_store_that_outgrows_its_shards_divides_them_anew(spark, docs, tmp_path):
+    make = lambda a, b: [(i, f"line of {i} and another\nline of {i // 2} and one more") for i in range(a, b)]
+    parts = [make(0, 6), make(6, 300), make(250, 330)]  # the last one overlaps ids that are held
+    store, shards = LineStore(spark, f"{tmp_path}/store", shard_keys=5), []
+    for part in parts:
+        store.insert(docs(*part))
+        shards.append(store.n_shards)
+    assert shards[0] == 8 and shards[1] > 50 and shards[2] == shards[1]
+    everything = make(0, 330)
+    kept = lambda store: sorted((r.doc_id, r.text, r.n) for r in store.dedupe(docs(*everything), n_dropped="n").collect())
+    assert kept(store) == sorted(dropped(everything))
+    per_shard = store.counts.where("repeated").groupBy("shard").count().collect()
+    assert max(r["shard"] for r in per_shard) < store.n_shards
+    again = LineStore(spark, f"{tmp_path}/store", shard_keys=5)
+    assert again.n_shards == store.n_shards and kept(again) == sorted(dropped(everything))
+    again.delete(docs(*make(100, 330)))
+    assert again.n_shards == store.n_shards
+    left = make(0, 100)
+    assert sorted((r.doc_id, r.text, r.n) for r in again.dedupe(docs(*left), n_dropped="n").collect()) == sorted(dropped(left))
+    again.insert(docs((7, None)).where("false"))  # nothing new
+    assert again.counts.count() == len({x for _, t in left for x in t.split("\n")})
+
+
 @pytest.mark.parametrize("n", [0, 1, 5000])
 def test_cuckoo_filter(n):
     rng = random.Random(n)
