@@ -36,7 +36,8 @@ from breachlens.operators.checks import (
 from breachlens.operators.order_stats import OrderStatistic, blend, quantile_ranks
 from breachlens.operators.sizing import (
     NARROW_ROWS_PER_PARTITION,
-    WIDE_ROWS_PER_PARTITION,
+    buckets_for,
+    in_buckets,
     shuffle_sized_for,
 )
 from breachlens.schema import (
@@ -53,7 +54,7 @@ from breachlens.schema import (
     VALUE_RANGES,
 )
 from breachlens.sources.csv_files import SOURCE_ORDER, land_cells, read_header
-from breachlens.sources.layers import write_layer
+from breachlens.sources.layers import write_buckets, write_layer
 from breachlens.sources.workspace import new_folder
 
 _SHARES = (0.25, 0.5, 0.75)
@@ -78,6 +79,8 @@ class Cleaned:
     measured: dict[str, Any]
     typed: DataFrame
     spellings: DataFrame
+    #: of the typed and the clean layer, by incident id; a table with as many takes their rows without a shuffle
+    buckets: int | None = None
 
 
 # --- row-local part -----------------------------------------------------------
@@ -107,11 +110,13 @@ def unreadable_bits(types: dict[str, T.DataType]) -> Column:
 
 
 def check_readable(first: DataFrame, order_by: list[str]) -> None:
-    """Raise for unreadable numbers, flags and dates, in this order. Only run if there are some."""
+    """Raise for unreadable numbers, flags and dates, in this order. ``first`` may lack columns that are known to be readable."""
     types = {f.name: f.dataType for f in first.schema.fields}
-    bad = {name: unreadable(name, types[name]) for name in PARSED_COLUMNS}
+    bad = {name: unreadable(name, types[name]) for name in PARSED_COLUMNS if name in types}
     counts = measure(first, {name: F.count_if(condition) for name, condition in bad.items()})
-    name = next(name for name in PARSED_COLUMNS if counts[name])
+    name = next((name for name in bad if counts[name]), None)
+    if name is None:
+        return
 
     def examples(limit: int) -> list[str]:
         text = F.col(name).cast("string").alias("text")
@@ -253,31 +258,46 @@ def clean_columns(
 
 
 def write_typed(
-    raw: DataFrame, order_by: list[str], folder: str
+    raw: DataFrame, order_by: list[str], folder: str, buckets: int | None = None
 ) -> tuple[DataFrame, dict[str, Any]]:
     """Keep the first row per id, type the columns and write the layer the statistics read.
 
-    Numbers and flags that are missing stay NULL. Raises if a value cannot be read. Returns the
-    layer with its row count and the gaps per column.
+    Numbers and flags that are missing stay NULL. Raises if a value cannot be read: a scan of ``raw`` looks for
+    such values, and the columns that have some are checked on the first rows before the others are moved. Rows
+    are typed before the shuffle, which then moves numbers instead of text. Returns the layer, in ``buckets`` by
+    id, with its row count and the gaps per column.
     """
-    first = keep_first(raw, INCIDENT_ID, order_by)
-    kept = first.drop(*[c for c in order_by if c not in INCIDENT_COLUMNS])
-    types = {f.name: f.dataType for f in kept.schema.fields}
-    marked = kept.select(*typed_columns(kept), unreadable_bits(types).alias("_unreadable"))
-    gaps = [*CATEGORY_COLUMNS, *NUMBER_COLUMNS, *FLAG_COLUMNS]
-    measured = measure_written(
-        marked,
-        {"unreadable": F.bit_or("_unreadable"), **{f"missing:{c}": F.count_if(F.col(c).isNull()) for c in gaps}},
-        lambda df: df.write.parquet(folder),
+    spark = raw.sparkSession
+    types = {f.name: f.dataType for f in raw.schema.fields}
+    with in_buckets(spark):
+        found = raw.agg(F.bit_or(unreadable_bits(types))).first()[0]
+    if found:
+        suspects = [name for i, name in enumerate(PARSED_COLUMNS) if found >> i & 1]
+        check_readable(keep_first(raw.select(*dict.fromkeys([INCIDENT_ID, *order_by, *suspects])), INCIDENT_ID, order_by), order_by)
+    incidents = raw.drop(*[c for c in order_by if c not in INCIDENT_COLUMNS])
+    places = {f"_order_{i}": F.col(f"`{c}`") for i, c in enumerate(order_by)}
+    typed = raw.select(
+        *typed_columns(incidents), unreadable_bits(types).alias("_unreadable"),
+        F.col(INCIDENT_ID).alias("_raw_id"), *[place.alias(name) for name, place in places.items()],
     )
-    written = raw.sparkSession.read.schema(marked.schema).parquet(folder)
+    # text ids are the same in both, so the layer's own ones say where a row lies
+    key = INCIDENT_ID if isinstance(types[INCIDENT_ID], T.StringType) else "_raw_id"
+    buckets = buckets or buckets_for(0)
+    with in_buckets(spark, buckets):
+        marked = keep_first(typed, key, list(places)).drop("_raw_id", *places)
+        gaps = [*CATEGORY_COLUMNS, *NUMBER_COLUMNS, *FLAG_COLUMNS]
+        measures = {"unreadable": F.bit_or("_unreadable"), **{f"missing:{c}": F.count_if(F.col(c).isNull()) for c in gaps}}
+        measured: dict[str, Any] = {}
+        written = write_buckets(
+            marked, folder, INCIDENT_ID, buckets, lambda write: measured.update(measure_written(marked, measures, write))
+        )
     if measured["unreadable"]:
-        check_readable(first, order_by)
+        check_readable(keep_first(raw, INCIDENT_ID, order_by), order_by)
     return written.drop("_unreadable"), measured
 
 
 def write_clean(
-    typed: DataFrame, stats: dict[str, NumberStatistics], spellings: DataFrame, folder: str
+    typed: DataFrame, stats: dict[str, NumberStatistics], spellings: DataFrame, folder: str, buckets: int | None = None
 ) -> tuple[DataFrame, dict[str, Any]]:
     """Spell, fill, limit and fence the typed layer, write it, and run the final checks on it."""
     spelled = bounded_columns(spellings)
@@ -286,8 +306,12 @@ def write_clean(
         if name in spelled:
             looked_up = look_up(looked_up, spellings, name, "clean", f"_clean_{name}")
     columns = looked_up.select(*clean_columns(typed, stats, spelled))
-    found = measure_written(columns, clean_measures(columns), lambda df: df.write.parquet(folder))
-    clean = typed.sparkSession.read.schema(columns.schema).parquet(folder)
+    found: dict[str, Any] = {}
+    with in_buckets(typed.sparkSession):
+        clean = write_buckets(
+            columns, folder, INCIDENT_ID, buckets or buckets_for(0),
+            lambda write: found.update(measure_written(columns, clean_measures(columns), write)),
+        )
     return clean, check_cleaned(clean, found)
 
 
@@ -324,14 +348,14 @@ def clean_incidents(
     folder = folder or new_folder(spark, "clean")
     if raw_rows is None:
         raw_rows = raw.count()
-    with shuffle_sized_for(spark, raw_rows, WIDE_ROWS_PER_PARTITION):
-        typed, first_pass = write_typed(raw, order_by, f"{folder}/typed")
+    buckets = buckets_for(raw_rows)
+    typed, first_pass = write_typed(raw, order_by, f"{folder}/typed", buckets)
     rows = first_pass["rows"]
     gaps = {name: first_pass[f"missing:{name}"] for name in NUMBER_COLUMNS}
     stats = number_statistics(typed, gaps, rows)
     with shuffle_sized_for(spark, rows, NARROW_ROWS_PER_PARTITION):
         spellings = category_spellings(typed, f"{folder}/spellings")
-    clean, measured = write_clean(typed, stats, spellings, clean_path or f"{folder}/clean")
+    clean, measured = write_clean(typed, stats, spellings, clean_path or f"{folder}/clean", buckets)
     changed = changed_values(typed, stats)
     filled_roles = [*CATEGORY_COLUMNS, *NUMBER_COLUMNS, *FLAG_COLUMNS]
     fenced_counts = {c: changed[f"fenced:{c}"] for c in FENCED_COLUMNS if changed[f"fenced:{c}"]}
@@ -346,7 +370,7 @@ def clean_incidents(
             c: changed[f"adjusted:{c}"] for c in VALUE_RANGES if changed[f"adjusted:{c}"]
         },
     }
-    return Cleaned(clean, report, stats, measured, typed, spellings)
+    return Cleaned(clean, report, stats, measured, typed, spellings, buckets)
 
 
 def read_clean_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from breachlens.operators.order_stats import OrderStatistic, interpolated, log_bucket, quantile_ranks, search, summary, unpivot
+from breachlens.operators.sizing import NARROW_ROWS_PER_PARTITION, shuffle_sized_for
 from breachlens.sources.workspace import folder_exists
 
 _VALUES = "name string, value double, rows bigint"
@@ -34,19 +35,22 @@ class ValueIndex:
         return folder_exists(self.spark, f"{self.folder}/buckets")
 
     def add(self, df: DataFrame) -> None:
-        """Index the rows of ``df`` beside those that are there."""
-        self._write(unpivot(df, {ROWS: F.lit(0.0), **{c: F.col(f"`{c}`").cast("double") for c in self.columns}}))
+        """Index the rows of ``df`` beside those that are there. They are counted first, to shuffle their values in enough parts."""
+        values = unpivot(df, {ROWS: F.lit(0.0), **{c: F.col(f"`{c}`").cast("double") for c in self.columns}})
+        self._write(values, df.count())
 
     def rows(self) -> int:
         """Rows that were added."""
         return self._counted().get(ROWS, 0)
 
-    def _write(self, values: DataFrame, into: str | None = None) -> None:
+    def _write(self, values: DataFrame, rows: int, into: str | None = None) -> None:
+        """Write the (name, value, rows) of so many table rows as a segment."""
         into = into or self.folder
         distinct = values.groupBy("name", "value").agg(F.sum("rows").alias("rows"))
         part = uuid.uuid4().hex[:12]
         ordered = distinct.repartitionByRange("name", "value").sortWithinPartitions("name", "value")
-        ordered.write.parquet(f"{into}/values/segment={part}")
+        with shuffle_sized_for(self.spark, rows * len(self.columns), NARROW_ROWS_PER_PARTITION):
+            ordered.write.parquet(f"{into}/values/segment={part}")
         written = self.spark.read.schema(_VALUES).parquet(f"{into}/values/segment={part}")
         buckets = written.groupBy("name", log_bucket(F.col("value")).alias("bucket")).agg(*summary())
         # written last: a segment counts from here on
@@ -55,7 +59,7 @@ class ValueIndex:
     def compact(self, folder: str) -> ValueIndex:
         """One segment with the same values, as an index in another folder."""
         whole = ValueIndex(self.spark, folder, self.columns)
-        self._write(self._values(), folder)
+        self._write(self._values(), self.rows(), folder)
         return whole
 
     # --- values -----------------------------------------------------------------
