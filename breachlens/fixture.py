@@ -5,8 +5,12 @@ The text, with the tables filled in, runs in Spark SQL and in DuckDB, so both sh
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
+from breachlens.operators.sizing import WIDE_ROWS_PER_PARTITION, compiled, shuffle_sized_for
 from breachlens.schema import FLAG_COLUMNS, NUMBER_COLUMNS
 
 # the row of an incident id that counts as the first one
@@ -74,6 +78,15 @@ def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return tables
 
 
+@contextmanager
+def joins_sized(spark: SparkSession, sf_dir: str) -> Iterator[int]:
+    """Within the block, the joins of these rows shuffle and sort in parts by the number of line items; whoever runs
+    the plan of ``raw_incidents`` or ``dirty_incidents`` does so in it. Gives that number."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()  # from the files' footers
+    with shuffle_sized_for(spark, lines, WIDE_ROWS_PER_PARTITION), compiled(spark):
+        yield lines
+
+
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw layer with its three order columns, over all rows of the tables in ``sf_dir``."""
     return spark.sql(orders_first(RAW_SQL), **_tables(spark, sf_dir))

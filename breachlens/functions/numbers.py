@@ -18,7 +18,8 @@ def nan_to_null(number: Column) -> Column:
 def parse_number(value: Column, dtype: T.DataType) -> Column:
     """DOUBLE, or NULL where the value is missing or is no number."""
     if isinstance(dtype, T.StringType):
-        return nan_to_null(F.when(value.rlike(_NUMBER_TEXT), value.try_cast("double")))
+        # no such text is NaN, and each mention of the cast would be evaluated: only -0.0 is left to turn into 0.0
+        return F.when(value.rlike(_NUMBER_TEXT), value.try_cast("double")) + F.lit(0.0)
     return nan_to_null(value.cast("double"))
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from breachlens.functions import PARSED_COLUMNS, bounded, normalize_category, parsed, unreadable
 from breachlens.operators import bounded_columns, category_counts, keep_first, look_up, order_statistics
 from breachlens.operators.checks import (
+    any_of,
     check_cleaned,
     check_header,
     check_required,
@@ -37,6 +38,7 @@ from breachlens.operators.order_stats import OrderStatistic, blend, quantile_ran
 from breachlens.operators.sizing import (
     NARROW_ROWS_PER_PARTITION,
     buckets_for,
+    compiled,
     in_buckets,
     shuffle_sized_for,
 )
@@ -101,18 +103,20 @@ def typed_columns(df: DataFrame) -> list[Column]:
     return out
 
 
-def unreadable_bits(types: dict[str, T.DataType]) -> Column:
-    """One bit per checked column: the value is present but cannot be read as its type."""
-    bits = F.lit(0)
-    for i, name in enumerate(PARSED_COLUMNS):
-        bits = bits + F.when(unreadable(name, types[name]), 1 << i).otherwise(0)
-    return bits
+def unreadable_columns(df: DataFrame) -> list[str]:
+    """The checked columns of ``df`` that hold a value which is present but cannot be read as its type; one scan."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    with compiled(df.sparkSession):
+        found = measure(df, {name: F.bool_or(unreadable(name, types[name])) for name in PARSED_COLUMNS})
+    return [name for name in PARSED_COLUMNS if found[name]]
 
 
 def check_readable(first: DataFrame, order_by: list[str]) -> None:
     """Raise for unreadable numbers, flags and dates, in this order. ``first`` may lack columns that are known to be readable."""
     types = {f.name: f.dataType for f in first.schema.fields}
     bad = {name: unreadable(name, types[name]) for name in PARSED_COLUMNS if name in types}
+    # the rows that break a rule, moved and kept once for their numbers and their examples
+    first = write_layer(first.where(any_of(bad.values())), new_folder(first.sparkSession, "unreadable"))
     counts = measure(first, {name: F.count_if(condition) for name, condition in bad.items()})
     name = next((name for name in bad if counts[name]), None)
     if name is None:
@@ -262,23 +266,20 @@ def write_typed(
 ) -> tuple[DataFrame, dict[str, Any]]:
     """Keep the first row per id, type the columns and write the layer the statistics read.
 
-    Numbers and flags that are missing stay NULL. Raises if a value cannot be read: a scan of ``raw`` looks for
-    such values, and the columns that have some are checked on the first rows before the others are moved. Rows
-    are typed before the shuffle, which then moves numbers instead of text. Returns the layer, in ``buckets`` by
+    Numbers and flags that are missing stay NULL. Raises if a value cannot be read: a scan of ``raw``, a landed layer,
+    looks for such values, and the columns that have some are checked on the first rows before the others are moved, so
+    the rows that are moved are known to be readable. They are typed before the shuffle, which then moves numbers instead of text. Returns the layer, in ``buckets`` by
     id, with its row count and the gaps per column.
     """
     spark = raw.sparkSession
     types = {f.name: f.dataType for f in raw.schema.fields}
-    with in_buckets(spark):
-        found = raw.agg(F.bit_or(unreadable_bits(types))).first()[0]
-    if found:
-        suspects = [name for i, name in enumerate(PARSED_COLUMNS) if found >> i & 1]
+    suspects = unreadable_columns(raw)
+    if suspects:
         check_readable(keep_first(raw.select(*dict.fromkeys([INCIDENT_ID, *order_by, *suspects])), INCIDENT_ID, order_by), order_by)
     incidents = raw.drop(*[c for c in order_by if c not in INCIDENT_COLUMNS])
     places = {f"_order_{i}": F.col(f"`{c}`") for i, c in enumerate(order_by)}
     typed = raw.select(
-        *typed_columns(incidents), unreadable_bits(types).alias("_unreadable"),
-        F.col(INCIDENT_ID).alias("_raw_id"), *[place.alias(name) for name, place in places.items()],
+        *typed_columns(incidents), F.col(INCIDENT_ID).alias("_raw_id"), *[place.alias(name) for name, place in places.items()],
     )
     # text ids are the same in both, so the layer's own ones say where a row lies
     key = INCIDENT_ID if isinstance(types[INCIDENT_ID], T.StringType) else "_raw_id"
@@ -286,14 +287,12 @@ def write_typed(
     with in_buckets(spark, buckets):
         marked = keep_first(typed, key, list(places)).drop("_raw_id", *places)
         gaps = [*CATEGORY_COLUMNS, *NUMBER_COLUMNS, *FLAG_COLUMNS]
-        measures = {"unreadable": F.bit_or("_unreadable"), **{f"missing:{c}": F.count_if(F.col(c).isNull()) for c in gaps}}
+        measures = {f"missing:{c}": F.count_if(F.col(c).isNull()) for c in gaps}
         measured: dict[str, Any] = {}
         written = write_buckets(
             marked, folder, INCIDENT_ID, buckets, lambda write: measured.update(measure_written(marked, measures, write))
         )
-    if measured["unreadable"]:
-        check_readable(keep_first(raw, INCIDENT_ID, order_by), order_by)
-    return written.drop("_unreadable"), measured
+    return written, measured
 
 
 def write_clean(
@@ -332,6 +331,7 @@ def clean_incidents(
     raw_rows: int | None = None,
     folder: str | None = None,
     clean_path: str | None = None,
+    buckets: int | None = None,
 ) -> Cleaned:
     """Raw rows in, checked clean layer and cleaning report out.
 
@@ -339,7 +339,8 @@ def clean_incidents(
     are dropped unless they belong to the incident columns. ``raw`` is read more than once unless
     ``raw_rows`` is given: hand in a landed layer.
     Working layers go to ``folder`` (default: a fresh one in the shared folder), the clean layer
-    to ``clean_path`` (default: next to them).
+    to ``clean_path`` (default: next to them). They lie in ``buckets`` by id (default: by the rows); a raw layer that
+    does so too is not shuffled.
     """
     if not order_by:
         raise ValueError("order_by must name the columns that say which row of an id came first.")
@@ -348,7 +349,7 @@ def clean_incidents(
     folder = folder or new_folder(spark, "clean")
     if raw_rows is None:
         raw_rows = raw.count()
-    buckets = buckets_for(raw_rows)
+    buckets = buckets or buckets_for(raw_rows)
     typed, first_pass = write_typed(raw, order_by, f"{folder}/typed", buckets)
     rows = first_pass["rows"]
     gaps = {name: first_pass[f"missing:{name}"] for name in NUMBER_COLUMNS}
@@ -382,9 +383,7 @@ def read_clean_csv(spark: SparkSession, path: str, multi_line: bool | None = Non
     check_header(read_header(spark, path))
     folder = new_folder(spark, "clean-csv")
     cells, _ = land_cells(spark, path, f"{folder}/cells", multi_line)
-    types = {f.name: f.dataType for f in cells.schema.fields}
-    marked = cells.select(*typed_columns(cells.drop(*SOURCE_ORDER)), unreadable_bits(types).alias("_unreadable"))
-    typed = write_layer(marked, f"{folder}/typed")
-    if typed.agg(F.bit_or("_unreadable")).first()[0]:
+    if unreadable_columns(cells):
         check_readable(cells, SOURCE_ORDER)
-    return typed.drop("_unreadable")
+    with compiled(spark):
+        return write_layer(cells.select(*typed_columns(cells.drop(*SOURCE_ORDER))), f"{folder}/typed")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from breachlens.functions.text import missing_cell_to_null
+from breachlens.operators.sizing import compiled
 from breachlens.sources.csv_splits import cells_of, split_records
 from breachlens.sources.layers import write_layer
 
@@ -66,7 +67,8 @@ def land_cells(spark: SparkSession, path: str, folder: str, multi_line: bool | N
     try:
         by_record = multi_line is None and odd
         cells = read_split_csv(spark, path, f"{folder}-parts") if by_record else read_incident_csv(spark, path, bool(multi_line))
-        landed = write_layer(cells, folder)
+        with compiled(spark):
+            landed = write_layer(cells, folder)
     except (PySparkException, Py4JJavaError) as error:
         raise RuntimeError(f"Unable to load dataset: {error}") from error
     found = landed.agg(F.count(F.lit(1)).alias("rows"), F.count_if("_too_long").alias("long")).first()
