@@ -17,7 +17,9 @@ import csv
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,28 +52,28 @@ def state_after(line: str, inside: bool) -> bool:
     return _ENDS_INSIDE.match(line, at) is not None
 
 
-def _split_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, Iterator[tuple]]]:
-    """Per batch and split in it: the split, and (line, row, ...) in order."""
+def _split_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Per batch and split in it: the split, and its lines in order."""
     for batch in batches:
-        rows = list(zip(*[column.to_pylist() for column in batch.columns]))
-        at = 0
-        while at < len(rows):
-            split, end = rows[at][1:3], at
-            while end < len(rows) and rows[end][1:3] == split:
-                end += 1
-            yield split, rows[at:end]
-            at = end
+        if not batch.num_rows:
+            continue
+        new = np.zeros(batch.num_rows, bool)
+        for column in (batch.column("file"), batch.column("block")):
+            new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        starts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        for at, end in zip(starts, starts[1:]):
+            yield (batch.column("file")[at].as_py(), batch.column("block")[at].as_py()), batch.slice(at, end - at)
 
 
 def _end_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ends: dict[tuple, tuple[bool, bool]] = {}
-    for split, rows in _split_lines(batches):
+    for split, lines in _split_lines(batches):
         outside, inside = ends.get(split, (False, True))
-        for line, *_ in rows:
-            if '"' in line:
-                same = outside == inside
-                outside = state_after(line, outside)
-                inside = outside if same else state_after(line, inside)
+        text = lines.column("value")
+        for line in text.filter(pc.match_substring(text, '"')).to_pylist():
+            same = outside == inside
+            outside = state_after(line, outside)
+            inside = outside if same else state_after(line, inside)
         ends[split] = outside, inside
     if ends:
         columns = list(zip(*[(*split, int(a), int(b)) for split, (a, b) in ends.items()]))
@@ -82,7 +84,11 @@ def _end_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records of each split, and the fragments at its edges."""
+    """Records of each split, and the fragments at its edges.
+
+    Lines without a quote are records as they stand while no cell is open: they are picked at once. Python goes line by line
+    only through the others, a file's header, blank lines and files whose lines end with a carriage return.
+    """
     split, inside, held, held_row, begun, header_due, returns = None, False, [], None, False, False, False
 
     def row(part: str, text: str) -> tuple:
@@ -97,14 +103,27 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = zip(*rows) if rows else [[]] * 5
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["file", "block", "row", "part", "record"])
 
-    for new, rows in _split_lines(batches):
+    for new, lines in _split_lines(batches):
         done = []
         if new != split:
             done += rest() if split else []
             split, held = new, []
-            inside = rows[0][4] == 1
+            inside = lines.column("begins")[0].as_py() == 1
             begun, header_due, returns = not inside, new[1] == 0, False
-        for line, _, _, number, _ in rows:
+        text_of, number_of = lines.column("value"), lines.column("row").to_numpy()
+        plain = pc.and_(pc.match_substring_regex(text_of, "[!-~]"), pc.invert(pc.match_substring_regex(text_of, '["\r]')))
+        plain = plain.to_numpy(zero_copy_only=False)
+        special, picked = [*np.flatnonzero(~plain).tolist(), len(plain)], np.zeros(len(plain), bool)
+        ahead, at = 0, 0
+        while at < len(plain):
+            while special[ahead] < at:
+                ahead += 1
+            if begun and not (held or header_due or returns) and special[ahead] > at:
+                picked[at : special[ahead]] = True
+                at = special[ahead]
+                continue
+            line, number = text_of[at].as_py(), int(number_of[at])
+            at += 1
             if not held:
                 held_row = number
             held.append(line)
@@ -126,6 +145,11 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 done.append(row(WHOLE, text))
             held = []
         yield out(done)
+        if picked.any():
+            whole = lines.filter(pa.array(picked))
+            part = pa.array([WHOLE]).take(pa.array(np.zeros(whole.num_rows, np.int32)))
+            columns = [whole.column("file"), whole.column("block"), whole.column("row"), part, whole.column("value")]
+            yield pa.RecordBatch.from_arrays(columns, ["file", "block", "row", "part", "record"])
     if split:
         yield out(rest())
 
