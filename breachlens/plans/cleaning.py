@@ -55,7 +55,7 @@ from breachlens.schema import (
     NUMBER_COLUMNS,
     VALUE_RANGES,
 )
-from breachlens.sources.csv_files import SOURCE_ORDER, land_cells, read_header
+from breachlens.sources.csv_files import SOURCE_ORDER, land_cells, land_values, read_header
 from breachlens.sources.layers import write_buckets, write_layer
 from breachlens.sources.workspace import new_folder
 
@@ -103,12 +103,27 @@ def typed_columns(df: DataFrame) -> list[Column]:
     return out
 
 
+def values_of_cells() -> dict[str, Column]:
+    """How the cells of a CSV file are read, by column; the others are text."""
+    return {name: parsed(name, T.StringType()) for name in PARSED_COLUMNS}
+
+
+def _settled(name: str, dtype: T.DataType) -> bool:
+    """Whether any value of this type can be read as one of the column."""
+    clean = T.DateType if name == INCIDENT_DATE else T.DoubleType if name in NUMBER_COLUMNS else T.BooleanType
+    return isinstance(dtype, clean)
+
+
 def unreadable_columns(df: DataFrame) -> list[str]:
-    """The checked columns of ``df`` that hold a value which is present but cannot be read as its type; one scan."""
+    """The checked columns of ``df`` that hold a value which is present but cannot be read as its type; one scan of
+    those that have another type."""
     types = {f.name: f.dataType for f in df.schema.fields}
+    measures = {name: F.bool_or(unreadable(name, types[name])) for name in PARSED_COLUMNS if not _settled(name, types[name])}
+    if not measures:
+        return []
     with compiled(df.sparkSession):
-        found = measure(df, {name: F.bool_or(unreadable(name, types[name])) for name in PARSED_COLUMNS})
-    return [name for name in PARSED_COLUMNS if found[name]]
+        found = measure(df, measures)
+    return [name for name in measures if found[name]]
 
 
 def check_readable(first: DataFrame, order_by: list[str]) -> None:

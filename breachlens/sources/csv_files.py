@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import csv
+from collections.abc import Callable
+from typing import Any
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from breachlens.functions.text import missing_cell_to_null
+from breachlens.operators.checks import any_of, measure_written
 from breachlens.operators.sizing import compiled
 from breachlens.sources.csv_splits import cells_of, split_records
-from breachlens.sources.layers import write_layer
+from breachlens.sources.layers import quoted
 
 #: How every CSV is parsed.
 _OPTIONS = {"encoding": "UTF-8", "sep": ",", "quote": '"', "escape": '"', "maxCharsPerColumn": "-1"}
@@ -61,20 +64,49 @@ def land_cells(spark: SparkSession, path: str, folder: str, multi_line: bool | N
     raise. With ``multi_line=None`` files are split in any case: by lines, or by records if a quoted cell may
     hold a line break (see ``csv_splits``). True reads each file whole in one task, False by lines.
     """
+    landed, found = _land(spark, path, folder, multi_line, {})
+    return landed, found["rows"]
+
+
+def land_values(
+    spark: SparkSession, path: str, folder: str, reads: dict[str, Column], multi_line: bool | None = None,
+    measures: Callable[[DataFrame], dict[str, Column]] = lambda df: {},
+) -> tuple[DataFrame | None, dict[str, Any]]:
+    """``land_cells`` with each column in ``reads`` as its expression reads it, so that the text is neither kept nor
+    read again; with the ``measures`` of the layer and its ``rows``, taken while it is written.
+
+    No layer (None) if a cell that is there gives NULL: ``land_cells`` has the text that tells which.
+    """
+    landed, found = _land(spark, path, folder, multi_line, reads, measures)
+    return (None if found["_unread"] else landed), found
+
+
+def _land(
+    spark: SparkSession, path: str, folder: str, multi_line: bool | None, reads: dict[str, Column],
+    measures: Callable[[DataFrame], dict[str, Column]] = lambda df: {},
+) -> tuple[DataFrame, dict[str, Any]]:
     bad, odd = text_faults(spark, path)
     if bad:
         raise RuntimeError(f"Unable to load dataset: {bad} line(s) are not valid UTF-8")
     try:
         by_record = multi_line is None and odd
         cells = read_split_csv(spark, path, f"{folder}-parts") if by_record else read_incident_csv(spark, path, bool(multi_line))
+        # two steps, so that each value is read once
+        values = cells.select(
+            *[reads.get(c, F.col(quoted(c))).alias(c) for c in cells.columns],
+            *[F.col(quoted(c)).isNotNull().alias(f"_given_{i}") for i, c in enumerate(reads)],
+        )
+        unread = any_of(F.col(f"_given_{i}") & F.col(quoted(c)).isNull() for i, c in enumerate(reads))
+        marked = values.select(*[quoted(c) for c in cells.columns], unread.alias("_unread"))
+        layer = marked.drop("_too_long", "_unread")
+        checks = {"_long": F.count_if("_too_long"), "_unread": F.count_if("_unread"), **measures(layer)}
         with compiled(spark):
-            landed = write_layer(cells, folder)
+            found = measure_written(marked, checks, lambda df: df.drop("_too_long", "_unread").write.parquet(folder))
     except (PySparkException, Py4JJavaError) as error:
         raise RuntimeError(f"Unable to load dataset: {error}") from error
-    found = landed.agg(F.count(F.lit(1)).alias("rows"), F.count_if("_too_long").alias("long")).first()
-    if found["long"]:
-        raise RuntimeError(f"Unable to load dataset: {found['long']} row(s) have more fields than the header")
-    return landed.drop("_too_long"), found["rows"]
+    if found["_long"]:
+        raise RuntimeError(f"Unable to load dataset: {found['_long']} row(s) have more fields than the header")
+    return spark.read.schema(layer.schema).parquet(folder), found
 
 
 def read_incident_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:

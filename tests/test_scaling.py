@@ -1,21 +1,23 @@
 """What must not grow faster than the rows: partitions are sized by them, and rows that are in their buckets stay there."""
 
 from pathlib import Path
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from conftest import cleaned_of
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
-from breachlens import fixture
-from breachlens.batch import land_raw
+from breachlens import batch, fixture
+from breachlens.batch import land_raw, run_batch
 from breachlens.fixture import DIRTY_SQL, RAW_SQL, orders_first
 from breachlens.functions import parse_number
 from breachlens.operators import keep_first, sizing
 from breachlens.plans import cleaning
 from breachlens.plans.cleaning import clean_incidents, write_typed
 from breachlens.plans.features import engineer_features
-from breachlens.sources import incident_table, value_index
+from breachlens.sources import csv_splits, incident_table, value_index, write_csv
 from breachlens.sources.incident_table import IncidentTable
 from breachlens.sources.value_index import ValueIndex
 
@@ -165,3 +167,77 @@ def test_number_text_is_cast_once(spark):
     read = parse_number(F.col("t"), texts.schema["t"].dataType)
     assert [str(r[0]) for r in texts.select(read).collect()] == ["0.0", "inf", "None", "None", "7.0", "None"]
     assert texts.select(read).columns[0].count("TRY_CAST") == 1
+
+
+def _refused(*_args, **_kwargs):
+    raise AssertionError("this step is not needed for a file that can be read")
+
+
+def test_the_cells_of_a_clean_file_are_landed_once(spark, make, tmp_path, monkeypatch):
+    clean = cleaned_of(make(n=30)).df
+    write_csv(clean, str(tmp_path / "clean"))
+    for step in ("land_cells", "unreadable_columns", "check_readable"):
+        monkeypatch.setattr(cleaning, step, _refused)
+    read = cleaning.read_clean_csv(spark, str(tmp_path / "clean"))
+    assert read.dtypes == clean.dtypes and sorted(read.collect()) == sorted(clean.collect())
+
+
+def test_an_engineered_file_is_landed_and_checked_once(spark, make, tmp_path, monkeypatch):
+    engineered = engineer_features(cleaned_of(make(n=30)))
+    rows = sorted(engineered.withColumns({c: F.col(c).cast("int") for c, t in engineered.dtypes if t == "boolean"}).collect())
+    write_csv(engineered, str(tmp_path / "engineered"))
+    for step in ("land_cells", "check_complete", "measure"):
+        monkeypatch.setattr(incident_table, step, _refused)
+    assert sorted(incident_table.load_engineered(spark, str(tmp_path / "engineered"), csv=True).collect()) == rows
+
+
+def test_a_run_from_csv_reads_each_value_once(spark, make, tmp_path, monkeypatch):
+    rows = make([{"zero_day_used": " YES "}, {"records_affected": None}, {"incident_date": "2025-1-5"}], schema="""incident_id string,
+        incident_date string, sector string, region string, attack_type string, threat_actor string, records_affected string,
+        downtime_hours string, ransom_demand_usd string, detection_time_hours string, severity_score string,
+        response_team_size string, regulatory_fine_usd string, resolved_within_7_days string, data_exfiltration string,
+        zero_day_used string""".replace("\n", " "))
+    write_csv(rows, str(tmp_path / "good"))
+    write_csv(rows.withColumn("records_affected", F.lit("12abc")), str(tmp_path / "bad"))
+    name = f"run_{tmp_path.name.replace('-', '_')}"
+    with pytest.raises(ValueError, match="records_affected: 3 invalid numeric values"):
+        run_batch(spark, str(tmp_path / "bad"), str(tmp_path / "t1"), table_name=name)
+    monkeypatch.setattr(batch, "land_cells", _refused)
+    result = run_batch(spark, str(tmp_path / "good"), str(tmp_path / "t2"), table_name=name)
+    found = {r["incident_id"]: r for r in spark.table(name).collect()}
+    assert result.summary["database_records"] == 3 and found["INC-001"]["zero_day_used"] == 1
+    assert found["INC-002"]["records_affected"] == 500 and str(found["INC-003"]["incident_date"]) == "2025-01-05"
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_csv_input_keeps_each_bucket_in_one_sorted_file(spark, make, tmp_path, monkeypatch):
+    twice = make(n=60).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(3))))
+    rows = twice.select("*", (F.hash("incident_id", "copy") % 1000).alias("src_partkey"), F.lit(1).alias("src_suppkey"), F.lit(1.0).alias("src_price"))
+    raw, n = land_raw(rows.drop("copy").withColumn("sector", F.col("src_partkey").cast("string")), fixture.ORDER_COLUMNS, str(tmp_path / "raw"), 8)
+    monkeypatch.setattr(registered, "layers", lambda *_: SimpleNamespace(raw=raw, landed=(raw, n)))
+    path = registered.ordered_csv(spark, str(tmp_path))
+    read = spark.read.csv(path, header=True, inferSchema=False).select(
+        "incident_id", F.col("sector").cast("int").alias("place"), F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")
+    )
+    per_id = read.groupBy("incident_id").agg(
+        F.countDistinct("file").alias("files"), F.min_by("place", "row").alias("first"), F.min("place").alias("least"), F.count("*").alias("n")
+    ).collect()
+    assert len(per_id) == 60 and all(r["files"] == 1 and r["first"] == r["least"] and r["n"] == 3 for r in per_id)
+
+
+def test_lines_without_quotes_are_not_read_one_by_one(monkeypatch):
+    lines = ["a,b", "1,x", "", *[f"{i},plain" for i in range(2000)], '7,"open', "middle", 'end"', *[f"{i},after" for i in range(2000)], '8,"cut']
+    n = len(lines)
+    data = [lines, ["f"] * n, [0] * n, list(range(n)), [None] * n]
+    types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+    given = pa.RecordBatch.from_arrays([pa.array(d, t) for d, t in zip(data, types)], ["value", "file", "block", "row", "begins"])
+    seen, state_after = [], csv_splits.state_after
+    monkeypatch.setattr(csv_splits, "state_after", lambda line, inside: seen.append(line) or state_after(line, inside))
+    out = [r for b in csv_splits._records(iter([given.slice(0, 900), given.slice(900)])) for r in b.to_pylist()]
+    assert len(seen) < 20
+    whole = {r["row"]: r["record"] for r in out if r["part"] == csv_splits.WHOLE}
+    expected = {i: line for i, line in enumerate(lines) if line and i not in (0, 2003, 2004, 2005, n - 1)} | {2003: '7,"open\nmiddle\nend"'}
+    assert whole == expected
+    assert [(r["row"], r["part"], r["record"]) for r in out if r["part"] != csv_splits.WHOLE] == [
+        (0, csv_splits.HEADER, "a,b"), (n - 1, csv_splits.FIRST, '8,"cut')
+    ]
