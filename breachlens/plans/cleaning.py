@@ -397,8 +397,9 @@ def read_clean_csv(spark: SparkSession, path: str, multi_line: bool | None = Non
     """
     check_header(read_header(spark, path))
     folder = new_folder(spark, "clean-csv")
-    cells, _ = land_cells(spark, path, f"{folder}/cells", multi_line)
-    if unreadable_columns(cells):
+    typed, _ = land_values(spark, path, f"{folder}/typed", values_of_cells(), multi_line)
+    if typed is None:
+        cells, _ = land_cells(spark, path, f"{folder}/cells", multi_line)
         check_readable(cells, SOURCE_ORDER)
-    with compiled(spark):
-        return write_layer(cells.select(*typed_columns(cells.drop(*SOURCE_ORDER))), f"{folder}/typed")
+        raise ValueError("The clean file has values that cannot be read.")
+    return typed.drop(*SOURCE_ORDER)
