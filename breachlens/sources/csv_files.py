@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from breachlens.functions.text import missing_cell_to_null
+from breachlens.operators import sizing
 from breachlens.operators.checks import any_of, measure_written
 from breachlens.operators.sizing import compiled
 from breachlens.sources.csv_splits import cells_of, split_records
-from breachlens.sources.layers import quoted
+from breachlens.sources.layers import PACKED, quoted
 
 #: How every CSV is parsed.
 _OPTIONS = {"encoding": "UTF-8", "sep": ",", "quote": '"', "escape": '"', "maxCharsPerColumn": "-1"}
@@ -101,7 +102,9 @@ def _land(
         layer = marked.drop("_too_long", "_unread")
         checks = {"_long": F.count_if("_too_long"), "_unread": F.count_if("_unread"), **measures(layer)}
         with compiled(spark):
-            found = measure_written(marked, checks, lambda df: df.drop("_too_long", "_unread").write.parquet(folder))
+            found = measure_written(
+                marked, checks, lambda df: df.drop("_too_long", "_unread").write.option("compression", PACKED).parquet(folder)
+            )
     except (PySparkException, Py4JJavaError) as error:
         raise RuntimeError(f"Unable to load dataset: {error}") from error
     if found["_long"]:
@@ -159,12 +162,21 @@ def _positioned(cells: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header line in every part file. Cells keep their spaces; NULL is an empty cell."""
-    df.write.mode(mode).options(
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", packed: bool = False) -> None:
+    """CSV with a header line in every part file. Cells keep their spaces; NULL is an empty cell.
+
+    ``packed`` writes gzip files, quickly rather than as small as can be. Readers take them for CSV by their names; none
+    is read by several tasks, so each has a bounded number of rows.
+    """
+    writer = df.write.mode(mode).options(
         header=True,
         encoding="UTF-8",
         escape='"',
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
-    ).csv(path)
+    )
+    if packed:
+        writer = writer.options(
+            compression="gzip", maxRecordsPerFile=sizing.WIDE_ROWS_PER_PARTITION, **{"zlib.compress.level": "BEST_SPEED"}
+        )
+    writer.csv(path)

@@ -20,6 +20,7 @@ from breachlens.plans import cleaning
 from breachlens.plans.cleaning import clean_incidents, write_typed
 from breachlens.plans.features import engineer_features
 from breachlens.sources import csv_splits, incident_table, value_index, write_csv
+from breachlens.sources.csv_files import land_cells
 from breachlens.sources.incident_table import IncidentTable
 from breachlens.sources.value_index import ValueIndex
 
@@ -313,3 +314,37 @@ def test_a_run_removes_its_landed_rows(spark, make, tmp_path, monkeypatch, given
     assert landed[0] and not any(p.exists() for p in landed[0])
     assert result.summary["database_records"] == spark.table(name).count() == result.cleaned.df.count() == result.cleaned.typed.count() == 300
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_packed_csv_is_read_like_plain(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sizing, "WIDE_ROWS_PER_PARTITION", 40)
+    rows = spark.range(100).select(
+        F.col("id").cast("string").alias("a"), F.when(F.col("id") % 7 == 0, F.lit('x\n"y"\n, z')).otherwise(" p q ").alias("b"),
+        F.when(F.col("id") % 3 > 0, F.lit("\u00e9,7")).alias("c"),
+    ).coalesce(1)
+    found = {}
+    for packed in (False, True):
+        write_csv(rows, str(tmp_path / f"{packed}"), packed=packed)
+        landed, n = land_cells(spark, str(tmp_path / f"{packed}"), str(tmp_path / f"landed-{packed}"))
+        found[packed] = sorted(map(str, landed.select("a", "b", "c").collect()))
+        assert n == 100
+    assert found[True] == found[False] == sorted(map(str, rows.collect()))
+    files = list((tmp_path / "True").glob("part-*"))
+    assert len(files) == 3 and all(p.name.endswith(".csv.gz") for p in files)
+
+
+def _exported(monkeypatch, tmp_path, reader):
+    """The files that a query's reader is given."""
+    seen, read = [], getattr(registered, reader)
+    monkeypatch.setattr(registered, "new_folder", lambda *_: str(tmp_path / "csv"))
+    monkeypatch.setattr(registered, reader, lambda s, p, **b: seen.extend(x.name for x in Path(p).glob("part-*")) or read(s, p, **b))
+    return seen
+
+
+def test_an_exported_clean_layer_is_packed_and_dropped_once_landed(spark, make, tmp_path, monkeypatch):
+    cleaned = cleaned_of(make(n=300))
+    monkeypatch.setattr(registered, "layers", lambda *_: SimpleNamespace(cleaned=cleaned))
+    seen = _exported(monkeypatch, tmp_path, "read_clean_csv")
+    rows = registered.clean_csv(spark, "")
+    assert seen and all(x.endswith(".csv.gz") for x in seen) and not (tmp_path / "csv").exists()
+    assert sorted(rows.collect()) == sorted(registered._shown(cleaned.df).collect()) and rows.count() == 300
